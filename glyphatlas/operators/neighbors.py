@@ -19,6 +19,8 @@ from glyphatlas.vocab import MIN_DIST, N_NEIGHBORS, SPLIT_SEED
 
 MAX_PIVOTS = 1024
 DIST_DIGITS = 9
+# All forces on a node are added up in a round, so steps are far smaller than in one-edge-at-a-time descent.
+FIRST_STEP = 0.1
 
 
 def knn(vectors: DataFrame, k: int = N_NEIGHBORS, metric: str = "cosine", block_rows: int = 4096) -> DataFrame:
@@ -189,9 +191,11 @@ def memberships(neighbours: DataFrame, steps: int = 64) -> DataFrame:
     rho = F.coalesce(F.array_min(F.filter(dist, lambda d: d > 0)), F.lit(0.0))
     target = F.log2(F.size("ns").cast("double"))
     staged = lists.select("src", "ns", dist.alias("ds"), rho.alias("rho"), target.alias("target"))
-    return staged.select("src", "rho", sigma(F.col("ds"), F.col("rho"), F.col("target"), steps).alias("sigma"),
-                         F.explode("ns").alias("n")).select(
-        "src", "n.dst", _member(F.col("n.distance"), F.col("rho"), F.col("sigma")).alias("weight"))
+    # sigma is handed over as an array element, so that it is worked out once per row and not per neighbour
+    once = F.array(sigma(F.col("ds"), F.col("rho"), F.col("target"), steps))
+    weighted = F.flatten(F.transform(once, lambda s: F.transform("ns", lambda n: F.struct(
+        n["dst"].alias("dst"), _member(n["distance"], F.col("rho"), s).alias("weight")))))
+    return staged.select("src", F.explode(weighted).alias("n")).select("src", "n.dst", "n.weight")
 
 
 def _member(d: Column, rho: Column, s: Column) -> Column:
@@ -261,7 +265,7 @@ def layout_2d(
                                     "weight").select("e.i", "e.j", "weight").repartition(width, "i"))
     clip = lambda c: F.greatest(F.least(c, F.lit(4.0)), F.lit(-4.0))
     for epoch in range(epochs):
-        rate = 1.0 - epoch / epochs
+        rate = FIRST_STEP * (1.0 - epoch / epochs)
         draws = F.explode(F.sequence(F.lit(1), F.lit(negatives)))
         away = idx.select("i", draws.alias("t")).select(
             "i", F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), "i", "t"), F.lit(n)).alias("j"), F.lit(-1.0).alias("weight"))

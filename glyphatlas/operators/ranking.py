@@ -45,11 +45,17 @@ def with_position(df: DataFrame, order: list[Column], name: str = "position") ->
     return running_totals(df, order, {name: F.lit(1).cast("bigint")})
 
 
-def top_rows(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
-    """The first `n` rows in a total order: a sorted limit while `n` is small, else by position."""
+def top_rows(df: DataFrame, n: int, order: list[Column], key: str = "id") -> DataFrame:
+    """The first `n` rows in a total order, with unique `key`.
+
+    Up to DRIVER_LIMIT rows the keys come from a sorted limit, which reads and moves only the columns of the
+    order; beyond it from positions. The wide rows are picked by key and never meet in one task.
+    """
     if n <= DRIVER_LIMIT:
-        return df.orderBy(*order).limit(n)
-    return with_position(df, order, "_pos").where(F.col("_pos") < n).drop("_pos")
+        keys = df.orderBy(*order).limit(n).select(key)
+    else:
+        keys = with_position(df, order, "_pos").where(F.col("_pos") < n).select(key)
+    return df.join(keys, key, "left_semi").select(*df.columns)
 
 
 def grouped_quantiles(df: DataFrame, by: list[str], col: str, qs: dict[str, float]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphatlas.functions import records as R
+from glyphatlas.operators.ranking import exact_quantiles
 from glyphatlas.vocab import MAX_VALUES_SHOWN, VALUE_FIELDS
 
 
@@ -62,7 +63,7 @@ def parse_report(records: DataFrame) -> DataFrame:
     """One row: rows, median and maximum edit count, rows with code, rows with keywords."""
     return records.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.percentile("edit_count", 0.5).alias("median_edits"),
+        F.lit(exact_quantiles(records, "edit_count", {"m": 0.5}).scalar()).alias("median_edits"),
         F.max("edit_count").alias("max_edits"),
         F.count_if(F.size("code_languages") > 0).alias("with_code"),
         F.count_if(F.size("keywords") > 0).alias("with_keywords"),

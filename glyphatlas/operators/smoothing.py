@@ -15,14 +15,18 @@ from glyphatlas.functions.vectors import dimension, doubles, sum_vectors, unit
 from glyphatlas.operators.graph import adjacency, eval_pairs
 from glyphatlas.operators.retrieval import hits_at_k
 from glyphatlas.operators.vectors import class_cohesion, cohesion_summary
-from glyphatlas.session import cut_lineage, shuffle_width
+from glyphatlas.session import cut_lineage, lay_out
 from glyphatlas.vocab import ALPHA_GRID, N_ITER_GRID, VARIANTS
 
 _CUT_EVERY = 3
+# A node is hot if it has more links than this and than 1/500 of all; there can be at most 500 hot nodes.
+_HOT_LINKS = 50_000
+_MAX_HOT = 500
 
 
 def retrofit_variants(
-    vectors: DataFrame, links: DataFrame, alphas: Sequence[float], n_iters: Sequence[int], dim: int | None = None
+    vectors: DataFrame, links: DataFrame, alphas: Sequence[float], n_iters: Sequence[int], dim: int | None = None,
+    hot_links: int = _HOT_LINKS,
 ) -> DataFrame:
     """(alpha, n_iter, id, embedding) for every combination.
 
@@ -30,31 +34,50 @@ def retrofit_variants(
     result is scaled to length 1. `links` is (src, dst, weight) with weights summing to 1 per source.
     """
     d = dim or dimension(vectors)
-    width = shuffle_width(vectors.sparkSession)
-    every_alpha = F.explode(F.array(*[F.lit(float(a)) for a in alphas])).alias("alpha")
-    base = cut_lineage(
-        vectors.select("id", unit(doubles(F.col("embedding"))).alias("q0"), every_alpha).repartition(width, "id", "alpha"))
-    wires = cut_lineage(
-        links.select("src", F.col("dst").alias("id"), "weight", every_alpha).repartition(width, "id", "alpha"))
+    # variants are numbered: a whole-number key keeps its partitioning, a floating-point key does not
+    each = F.posexplode(F.array(*[F.lit(float(a)) for a in alphas])).alias("variant", "alpha")
+    base = lay_out(vectors.select("id", unit(doubles(F.col("embedding"))).alias("q0"), each), "id", "variant")
+    pulls = cut_lineage(links.select("src", F.col("dst").alias("id"), "weight"))
+    cold, hot = _hot_nodes(pulls, hot_links)
+    wires = lay_out(cold.select("*", each).drop("alpha"), "id", "variant")
+    busy = None if hot is None else cut_lineage(
+        pulls.join(F.broadcast(hot), "id", "left_semi").select("*", each).drop("alpha").repartition("src"))
     state = base.withColumnRenamed("q0", "q")
-    snapshots = [base.select("alpha", F.lit(0).alias("n_iter"), "id", F.col("q0").alias("q"))] if 0 in n_iters else []
+    snapshots = [state.withColumn("n_iter", F.lit(0))] if 0 in n_iters else []
     for i in range(1, max(n_iters) + 1):
-        pulled = wires.join(state, ["id", "alpha"]).groupBy(F.col("src").alias("id"), "alpha").agg(
+        sent = wires.join(state, ["id", "variant"]).select("src", "variant", "weight", "q")
+        if busy is not None:
+            few = F.broadcast(state.join(F.broadcast(hot), "id", "left_semi"))  # at most _MAX_HOT nodes
+            sent = sent.unionByName(busy.join(few, ["id", "variant"]).select("src", "variant", "weight", "q"))
+        pulled = sent.groupBy(F.col("src").alias("id"), "variant").agg(
             sum_vectors(F.col("q"), d, F.col("weight")).alias("m"))
         a = F.col("alpha")
         mixed = F.zip_with("q0", "m", lambda x, y: (1 - a) * x + a * y)
-        state = base.join(pulled, ["id", "alpha"], "left").select(
-            "id", "alpha", F.when(F.col("m").isNull(), F.col("q0")).otherwise(mixed).alias("q"))
+        state = base.join(pulled, ["id", "variant"], "left").select(
+            "id", "variant", F.when(F.col("m").isNull(), F.col("q0")).otherwise(mixed).alias("q"), "alpha")
         if i % _CUT_EVERY == 0 or (i in n_iters and i < max(n_iters)):
             state = cut_lineage(state)
         if i in n_iters:
-            snapshots.append(state.select("alpha", F.lit(i).alias("n_iter"), "id", "q"))
+            snapshots.append(state.withColumn("n_iter", F.lit(i)))
     out = snapshots[0]
     for more in snapshots[1:]:
         out = out.unionByName(more)
     return out.select("alpha", "n_iter", "id", unit(F.col("q")).alias("embedding"))
 
 
+def _hot_nodes(pulls: DataFrame, hot_links: int = _HOT_LINKS) -> tuple[DataFrame, DataFrame | None]:
+    """(links of ordinary nodes, ids of hot nodes or None).
+
+    The bucket of a node with very many links would be one long task. Such nodes are few by definition, so
+    their vectors are sent to their links instead, which stay spread out.
+    """
+    limit = max(hot_links, pulls.count() // _MAX_HOT)
+    hot = cut_lineage(pulls.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("id"))
+    if hot.isEmpty():
+        return pulls, None
+    return pulls.join(F.broadcast(hot), "id", "left_anti"), hot
+
+
 def retrofit(vectors: DataFrame, links: DataFrame, alpha: float, n_iter: int) -> DataFrame:
     return retrofit_variants(vectors, links, [alpha], [n_iter]).select("id", "embedding")
 
