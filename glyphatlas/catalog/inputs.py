@@ -9,8 +9,16 @@ from glyphatlas.operators.graph import canonical, extract_edges
 from glyphatlas.vocab import ENUM_DOMAINS
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+# The test tables are single row groups, which Spark reads in one task. Tables below this size are spread
+# over all cores before heavy expressions; larger ones come in enough splits of their own.
+_SMALL = 1 << 30
+
+
+def table(spark: SparkSession, sf: str, name: str, spread: str | None = None) -> DataFrame:
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    if spread and df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < _SMALL:
+        return df.repartition(spark.sparkContext.defaultParallelism, spread)
+    return df
 
 
 # --- tagged texts ---------------------------------------------------------------------------
@@ -46,7 +54,7 @@ def tagged(spark: SparkSession, sf: str) -> DataFrame:
     overflowing and non-numeric terms, an early value-file link, code that is not a tag and both kinds of
     line break are spread over the documents by arithmetic on doc_id.
     """
-    docs = table(spark, sf, "documents").selectExpr(
+    docs = table(spark, sf, "documents", "doc_id").selectExpr(
         "doc_id", "lang", "source", "n_chars", f"{_ID} AS id", f"{_FIRST} AS first", f"{_REST} AS rest",
         "instr(text, '\n') > 0 AS more", f"{_STAMP} AS stamp", f"{_TERMS} AS terms")
     bfile = "concat('<a href=\"/', id, '/b', substring(id, 2), '.txt\">terms</a>')"
@@ -91,7 +99,7 @@ def tagged(spark: SparkSession, sf: str) -> DataFrame:
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with their labels as raw records."""
-    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    docs = table(spark, sf, "documents", "doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
     keep = lambda test, word: f"CASE WHEN {test} THEN '{word}' END"
     words = ["lang", "source", keep("doc_id % 50 = 0", "core"), keep("quality = 1", "nice"), keep("toxic = 1", "dead"),
              keep("doc_id % 3 = 0", "tabl"), keep("doc_id % 4 = 1", "sign"), keep("doc_id % 7 = 2", "mult"), "'nonn'",
@@ -137,7 +145,7 @@ _ANNOTATIONS = {
 
 def annotator(spark: SparkSession, sf: str, which: str) -> DataFrame:
     """Annotator `a`, or `b`: the same with shifted, missing and out-of-domain values."""
-    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    docs = table(spark, sf, "documents", "doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
     cols = []
     for field, (index, shifted, null_a, null_b) in _ANNOTATIONS.items():
         if which == "a":
@@ -161,7 +169,7 @@ def enriched(spark: SparkSession, sf: str) -> DataFrame:
 def xref(spark: SparkSession, sf: str) -> DataFrame:
     """(text): one cross-reference line per line item, from its order to its part and its supplier. Some
     lines are bare, some ids run on for a seventh digit."""
-    return table(spark, sf, "lineitem").selectExpr(
+    return table(spark, sf, "lineitem", "l_orderkey").selectExpr(
         "concat('%Y A', lpad(cast(l_orderkey as string), 6, '0'), CASE WHEN l_linenumber = 6 THEN '' ELSE concat(' Cf. A',"
         " lpad(cast(l_partkey as string), 6, '0'), CASE WHEN l_linenumber = 7 THEN '9' ELSE '' END, ', A',"
         " lpad(cast(l_suppkey as string), 6, '0'), '.') END) AS text")
@@ -210,7 +218,7 @@ def layer_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 def source_layers(spark: SparkSession, sf: str) -> DataFrame:
     """Documents in two layers: language (0) and source (1)."""
-    return table(spark, sf, "documents").selectExpr(
+    return table(spark, sf, "documents", "doc_id").selectExpr(
         "doc_id AS id", "text",
         "stack(2, 0, CASE lang WHEN 'de' THEN 0 WHEN 'en' THEN 1 WHEN 'es' THEN 2 ELSE 3 END, 1,"
         " cast(substring(source, 4) as int)) AS (layer, c)").selectExpr("id", "text", "layer", "cast(c as bigint) AS cluster_id")

@@ -188,7 +188,7 @@ def _rules(spark, sf):
 
 @query("hash_embed")
 def _hash(spark, sf):
-    docs = I.table(spark, sf, "documents").selectExpr("doc_id AS id", "text")
+    docs = I.table(spark, sf, "documents", "doc_id").selectExpr("doc_id AS id", "text")
     return M.hash_embed(docs, 256).select("id", F.size("embedding").alias("dim"), "text_version", F.array_join(
         F.transform("embedding", lambda x: F.round(x, 4).cast("string")), ",").alias("embedding"))
 
@@ -197,5 +197,5 @@ def _hash(spark, sf):
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
 SELECT id, term, tf, df, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS tfidf FROM tf JOIN df USING (term)""")
 def _tfidf(spark, sf):
-    docs = I.table(spark, sf, "documents").selectExpr("doc_id AS id", "text")
+    docs = I.table(spark, sf, "documents", "doc_id").selectExpr("doc_id AS id", "text")
     return M.tfidf_terms(docs).withColumn("tfidf", r6("tfidf"))

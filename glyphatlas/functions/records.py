@@ -6,16 +6,14 @@ text stay an array of structs, and every field is a filter over that array.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from glyphatlas.functions.strings import BLANK, non_empty, split_lines, strip
-from glyphatlas.vocab import LANGUAGE_BUCKETS, MAX_VALUES_SHOWN, MONTHS, OTHER_LANGUAGE, VALUE_FIELDS
+from glyphatlas.functions.strings import ANY_BREAK, BLANK, let, non_empty, strip
+from glyphatlas.vocab import LANGUAGE_BUCKETS, MAX_VALUES_SHOWN, MONTHS, OTHER_LANGUAGE
 
-_TAGGED = rf"(?U)^%\w{BLANK}+A\d+(?:{BLANK}.*)?$"
-_CONTENT = rf"(?U)^%\w{BLANK}+A\d+{BLANK}(.*)$"
+_TAGGED = rf"(?U)^%\w{BLANK}+A\d+(?={BLANK}|$)"
+_PREFIX = rf"(?U)^%\w{BLANK}+A\d+{BLANK}?"
 _HEADER = rf"(?U)^%I{BLANK}+(A\d+)(?:{BLANK}+M\d+{BLANK}+N\d+)?{BLANK}+#(\d+){BLANK}+(.+?){BLANK}*$"
 _LANG_TAG = r"^\(([A-Za-z][A-Za-z0-9/+#. -]{0,28})\)"
 _INTEGER = r"^[+-]?[0-9]+$"
@@ -23,12 +21,15 @@ _CLOCK = r"^\+?[0-9]+$"
 
 
 def tagged_lines(text: Column) -> Column:
-    """array<struct<field, content, line>> of the well-formed tagged lines, in text order."""
-    kept = F.filter(split_lines(text), lambda x: x.rlike(_TAGGED))
+    """array<struct<field, content, line>> of the well-formed tagged lines, in text order.
+
+    The patterns stop after the prefix, so that the content of a line is never scanned by them.
+    """
+    kept = F.filter(F.split(text, ANY_BREAK), lambda x: x.startswith("%") & x.rlike(_TAGGED))
     return F.transform(
         kept,
         lambda x: F.struct(
-            F.substring(x, 2, 1).alias("field"), F.regexp_extract(x, _CONTENT, 1).alias("content"), x.alias("line")
+            F.substring(x, 2, 1).alias("field"), F.regexp_replace(x, _PREFIX, "").alias("content"), x.alias("line")
         ),
     )
 
@@ -43,8 +44,11 @@ def first_non_empty(parts: Column) -> Column:
 
 def parse_edit_date(c: Column) -> Column:
     """`Mon DD YYYY hh:mm:ss` as a zone-free timestamp; null for anything else."""
-    parts = F.split(strip(c), f"(?U){BLANK}+")
-    clock = F.split(F.get(parts, F.lit(3)), ":")
+    return let(F.split(strip(c), f"(?U){BLANK}+"), lambda parts: let(
+        F.split(F.get(parts, F.lit(3)), ":"), lambda clock: _timestamp(parts, clock)))
+
+
+def _timestamp(parts: Column, clock: Column) -> Column:
     number = lambda x: F.when(x.rlike(_CLOCK), x.try_cast("int"))
     month = F.array_position(F.array(*map(F.lit, MONTHS)), F.get(parts, F.lit(0))).cast("int")
     hour, minute, second = (number(F.get(clock, F.lit(i))) for i in range(3))
@@ -57,21 +61,19 @@ def parse_edit_date(c: Column) -> Column:
 def parse_header(lines: Column) -> Column:
     """struct<id, edits, stamp> of the last well-formed header line; null where there is none."""
     heads = F.filter(lines, lambda x: (x["field"] == "I") & x["line"].rlike(_HEADER))
-    last = F.try_element_at(heads, F.lit(-1))["line"]
-    return F.when(
+    return let(F.try_element_at(heads, F.lit(-1))["line"], lambda last: F.when(
         last.isNotNull(),
         F.struct(
             F.regexp_extract(last, _HEADER, 1).alias("id"),
             F.regexp_extract(last, _HEADER, 2).try_cast("bigint").alias("edits"),
             parse_edit_date(F.regexp_extract(last, _HEADER, 3)).alias("stamp"),
         ),
-    )
+    ))
 
 
 def lang_tag(c: Column) -> Column:
     """The language tag in brackets at the start of a code line; null where it is code, not a tag."""
-    tag = F.regexp_extract(strip(c), _LANG_TAG, 1)
-    return F.when(tag != "", tag)
+    return let(F.regexp_extract(strip(c), _LANG_TAG, 1), lambda tag: F.when(tag != "", tag))
 
 
 def lang_bucket(tag: Column) -> Column:
@@ -111,8 +113,9 @@ def value_terms(chunks: Column) -> Column:
 def int64_prefix(terms: Column, limit: int = MAX_VALUES_SHOWN) -> Column:
     """Leading terms that are 64-bit integers; stops at the first that is not."""
     typed = F.transform(F.slice(terms, 1, limit), lambda t: F.when(t.rlike(_INTEGER), t.try_cast("bigint")))
-    bad = F.array_position(F.transform(typed, lambda t: t.isNull()), True).cast("int")
-    return F.when(bad == 0, typed).otherwise(F.slice(typed, F.lit(1), F.greatest(bad - 1, F.lit(0))))
+    bad = lambda ts: F.array_position(F.transform(ts, lambda t: t.isNull()), True).cast("int")
+    return let(typed, lambda ts: let(bad(ts), lambda b: F.when(b == 0, ts).otherwise(
+        F.slice(ts, F.lit(1), F.greatest(b - 1, F.lit(0))))))
 
 
 def values_preview(terms: Column, limit: int = MAX_VALUES_SHOWN) -> Column:
@@ -144,28 +147,3 @@ def count_field(lines: Column, code: str) -> Column:
 def file_stem(path: Column) -> Column:
     name = F.element_at(F.split(path, "/"), -1)
     return F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
-__all__ = [
-    "VALUE_FIELDS",
-    "any_of",
-    "code_languages",
-    "count_field",
-    "field_contents",
-    "file_stem",
-    "first_non_empty",
-    "has_bfile",
-    "int64_prefix",
-    "keyword_list",
-    "lang_bucket",
-    "lang_tag",
-    "parse_edit_date",
-    "parse_header",
-    "tagged_lines",
-    "value_terms",
-    "values_preview",
-]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLANK = r"[\s\x1C-\x1F]"
 # CR LF, or one of LF VT FF CR FS GS RS NEL LS PS.
 LINE_BREAK = "\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029]"
+# The same, where a CR LF may count as two breaks because blank lines do not matter.
+ANY_BREAK = "[\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029]"
 
 
 def strip(c: Column) -> Column:
@@ -29,3 +33,8 @@ def text_or_empty(c: Column) -> Column:
 def head(c: Column, n: int) -> Column:
     """The first `n` characters (code points)."""
     return F.substring(c, 1, n)
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` worked out once, however often `use` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from glyphatlas.functions.strings import BLANK, split_lines
-from glyphatlas.operators.ranking import exact_quantiles, with_position
-from glyphatlas.operators.selection import sample_order
+from glyphatlas.functions.strings import ANY_BREAK, BLANK, let
+from glyphatlas.operators.ranking import exact_quantiles
+from glyphatlas.session import cut_lineage
 from glyphatlas.vocab import HOLDOUT_FRACTION, SPLIT_SEED
 
-_XREF = rf"(?U)^%Y{BLANK}+(A\d+)(?:{BLANK}+(.*))?$"
+_XREF = rf"(?U)^%Y{BLANK}+A\d+(?={BLANK}|$)"
+_SOURCE = rf"(?U)^%Y{BLANK}+(A\d+)"
 _ID = r"A[0-9]{6}"
+_PREFIX_DIGITS = 4
 
 
 def extract_edges(texts: DataFrame, text_col: str = "text") -> DataFrame:
@@ -20,23 +23,25 @@ def extract_edges(texts: DataFrame, text_col: str = "text") -> DataFrame:
     The source id is that of the line itself. Ids are found without word boundaries, so a longer number
     yields its first six digits.
     """
-    lines = texts.select(F.explode(F.filter(split_lines(F.col(text_col)), lambda x: x.rlike(_XREF))).alias("line"))
-    found = lines.select(
-        F.regexp_extract("line", _XREF, 1).alias("src"),
-        F.explode(F.regexp_extract_all(F.regexp_extract("line", _XREF, 2), F.lit(_ID), F.lit(0))).alias("dst"),
-    )
-    return found.where("src <> dst")
+    found = texts.select(F.explode(_pairs(F.col(text_col))).alias("p"))
+    return found.select("p.src", "p.dst")
+
+
+def _pairs(text: Column) -> Column:
+    """array<struct<src, dst>> of one text."""
+    lines = F.filter(F.split(text, ANY_BREAK), lambda x: x.startswith("%Y") & x.rlike(_XREF))
+
+    def of_line(line: Column) -> Column:
+        found = F.regexp_extract_all(F.regexp_replace(line, _SOURCE, ""), F.lit(_ID), F.lit(0))
+        return let(F.regexp_extract(line, _SOURCE, 1), lambda src: F.transform(
+            F.filter(found, lambda d: d != src), lambda d: F.struct(src.alias("src"), d.alias("dst"))))
+
+    return F.flatten(F.transform(lines, of_line))
 
 
 def edge_cache(texts: DataFrame) -> DataFrame:
     """Per file: version columns and its (src, dst) pairs, kept so that unchanged files are not read again."""
-    lines = F.filter(split_lines(F.col("text")), lambda x: x.rlike(_XREF))
-    pairs = F.flatten(F.transform(lines, lambda x: F.transform(
-        F.regexp_extract_all(F.regexp_extract(x, _XREF, 2), F.lit(_ID), F.lit(0)),
-        lambda d: F.struct(F.regexp_extract(x, _XREF, 1).alias("src"), d.alias("dst")))))
-    return texts.select(
-        F.col("path").alias("path_rel"), "mtime", "size",
-        F.filter(pairs, lambda p: p["src"] != p["dst"]).alias("pairs"))
+    return texts.select(F.col("path").alias("path_rel"), "mtime", "size", _pairs(F.col("text")).alias("pairs"))
 
 
 def cached_edges(cache: DataFrame) -> DataFrame:
@@ -81,12 +86,26 @@ def edge_report(edges: DataFrame) -> DataFrame:
 
 
 def split_edges(edges: DataFrame, fraction: float = HOLDOUT_FRACTION, seed: int = SPLIT_SEED) -> DataFrame:
-    """Add `split`: the first max(1, round(fraction * E)) edges in digest order are the holdout."""
-    keyed = edges.withColumn("_key", F.concat_ws("-", F.col("from_id").cast("string"), F.col("to_id").cast("string")))
-    placed = with_position(keyed, sample_order(seed, "_key"), "_pos").drop("_key")
-    total = edges.agg(F.count(F.lit(1))).scalar()
-    hold = F.greatest(F.lit(1), F.bround(total * F.lit(fraction), 0))
-    return placed.select(*edges.columns, F.when(F.col("_pos") < hold, "holdout").otherwise("train").alias("split"))
+    """Add `split`: the first max(1, round(fraction * E)) edges in digest order are the holdout.
+
+    Digests are uniform, so nothing is sorted: edges are counted per digest prefix, the last holdout digest
+    is looked up within the one prefix that holds it, and every edge is then compared with it.
+    """
+    name = F.concat_ws("-", F.col("from_id").cast("string"), F.col("to_id").cast("string"))
+    keyed = cut_lineage(edges.withColumn("_key", name).withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), "_key"))))
+    prefix = F.substring("_h", 1, _PREFIX_DIGITS).alias("_p")
+    counts = keyed.groupBy(prefix).agg(F.count(F.lit(1)).alias("n"))  # at most 16 ** _PREFIX_DIGITS rows
+    order = W.orderBy("_p").rowsBetween(W.unboundedPreceding, W.currentRow)
+    counts = counts.select("_p", "n", F.sum("n").over(order).alias("upto"))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hold = max(1, round(total * fraction))
+    cut = counts.where(F.col("upto") >= hold).orderBy("_p").first()
+    if cut is None:
+        return edges.withColumn("split", F.lit("train"))
+    near = keyed.where(prefix == cut["_p"]).select("_h", "_key")
+    last = near.orderBy("_h", "_key").offset(hold - (cut["upto"] - cut["n"]) - 1).limit(1).first()
+    held = (F.col("_h") < last["_h"]) | ((F.col("_h") == last["_h"]) & (F.col("_key") <= last["_key"]))
+    return keyed.select(*edges.columns, F.when(held, "holdout").otherwise("train").alias("split"))
 
 
 def adjacency(edges: DataFrame) -> DataFrame:

@@ -58,31 +58,33 @@ def _empty_lists(points: DataFrame) -> DataFrame:
 
 
 def _distinct_neighbours(points: DataFrame, n: int, k: int, metric: str, block_rows: int) -> DataFrame:
-    spark = points.sparkSession
     n_pivots = min(MAX_PIVOTS, max(1, n // block_rows))
-    pivots = np.array([r["v"] for r in top_rows(points, n_pivots, sample_order(SPLIT_SEED)).collect()])
+    subs, radius = np.zeros(n_pivots, dtype="int64"), np.full(n_pivots, -np.inf)
     id_type = points.schema["id"].dataType
+    if n_pivots == 1:
+        celled = points.withColumn("cell", F.lit(0))
+        subs[0], radius[0], to_pivots = -(-n // block_rows), np.inf, lambda block: np.zeros((len(block), 1))
+    else:
+        pivots = np.array([r["v"] for r in top_rows(points, n_pivots, sample_order(SPLIT_SEED)).collect()])
+
+        def to_pivots(block):
+            sq = (block**2).sum(1)[:, None] + (pivots**2).sum(1)[None, :] - 2 * block @ pivots.T
+            return np.sqrt(np.maximum(sq, 0.0))
 
-    def to_pivots(block):
-        sq = (block**2).sum(1)[:, None] + (pivots**2).sum(1)[None, :] - 2 * block @ pivots.T
-        return np.sqrt(np.maximum(sq, 0.0))
-
-    def assign(frames):
-        for f in frames:
-            if len(f):
-                d = to_pivots(np.stack(f["v"].to_numpy()))
-                f["cell"] = d.argmin(1).astype("int32")
-                f["reach"] = d.min(1)
-                yield f
-
-    celled = cut_lineage(points.mapInPandas(assign, T.StructType(
-        points.schema.fields + [T.StructField("cell", T.IntegerType()), T.StructField("reach", T.DoubleType())])))
-    cells = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("r")).collect()  # <= MAX_PIVOTS rows
-    subs = np.zeros(n_pivots, dtype="int64")
-    radius = np.full(n_pivots, -np.inf)
-    for c in cells:
-        subs[c["cell"]] = -(-c["n"] // block_rows)
-        radius[c["cell"]] = c["r"]
+        def assign(frames):
+            for f in frames:
+                if len(f):
+                    d = to_pivots(np.stack(f["v"].to_numpy()))
+                    f["cell"] = d.argmin(1).astype("int32")
+                    f["reach"] = d.min(1)
+                    yield f
+
+        celled = cut_lineage(points.mapInPandas(assign, T.StructType(
+            points.schema.fields + [T.StructField("cell", T.IntegerType()), T.StructField("reach", T.DoubleType())])))
+        # at most MAX_PIVOTS rows
+        for c in celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("r")).collect():
+            subs[c["cell"]] = -(-c["n"] // block_rows)
+            radius[c["cell"]] = c["r"]
     slack = 4e-9 if metric == "cosine" else 1e-8
 
     def distances(a, b):
@@ -186,7 +188,8 @@ def fuzzy_graph(neighbours: DataFrame, steps: int = 64) -> DataFrame:
 
 def memberships(neighbours: DataFrame, steps: int = 64) -> DataFrame:
     """(src, dst, weight) of the directed lists."""
-    lists = neighbours.groupBy("src").agg(F.array_sort(F.collect_list(F.struct("distance", "dst"))).alias("ns"))  # k rows
+    spread = neighbours.repartition(shuffle_width(neighbours.sparkSession), "src")  # bisection is heavy for its bytes
+    lists = spread.groupBy("src").agg(F.array_sort(F.collect_list(F.struct("distance", "dst"))).alias("ns"))  # k rows
     dist = F.transform("ns", lambda x: x["distance"])
     rho = F.coalesce(F.array_min(F.filter(dist, lambda d: d > 0)), F.lit(0.0))
     target = F.log2(F.size("ns").cast("double"))

@@ -56,7 +56,8 @@ def test_smoothing_matches_plain_arithmetic(spark, q0, hot, monkeypatch):
         assert np.allclose(r["embedding"], want, atol=1e-9)
 
 
-def test_smoothing_directions(spark, q0):
+def test_smoothing_directions(spark):
+    q0 = unit(np.random.default_rng(42).normal(size=(10, 16)))
     q = matrix(S.retrofit(frame(spark, q0), G.adjacency(edges(spark, (0, 1), (2, 3))), 0.8, 10))
     assert q[0] @ q[1] > q0[0] @ q0[1] and q[2] @ q[3] > q0[2] @ q0[3]
     for i in range(4, 10):
