@@ -219,7 +219,17 @@ def _grid(spark, sf):
                        *[r6(c).alias(c) for c in shown])
 
 
-@query("variant_cohesion")
+@query("variant_cohesion", f"""WITH {S.TRAINED}, {S.smoothing(10, '0.2, 0.8')}, {S.MEMBERS},
+g AS (SELECT 'baseline' AS variant, id, dim, val FROM q0 UNION ALL SELECT 'alpha_02', id, dim, val FROM q10 WHERE alpha = 0.2
+  UNION ALL SELECT 'alpha_08', id, dim, val FROM q5 WHERE alpha = 0.8),
+z AS (SELECT variant, id, sqrt(sum(val * val)) AS z FROM g GROUP BY ALL),
+x AS (SELECT variant, id, dim, val / CASE WHEN z = 0 THEN 1 ELSE z END AS val FROM g JOIN z USING (variant, id)),
+tot AS (SELECT variant, dim, sum(val) AS t FROM x GROUP BY ALL),
+cs AS (SELECT variant, class, dim, sum(val) AS s, count(*) AS n FROM x JOIN mem USING (id) GROUP BY ALL),
+o AS (SELECT variant, class, any_value(n) AS n, (sum(s * s) - any_value(n)) / (any_value(n) * (any_value(n) - 1)) AS intra,
+    sum(s * (t - s)) / (any_value(n) * ((SELECT count(*) FROM v) - any_value(n))) AS inter
+  FROM cs JOIN tot USING (variant, dim) GROUP BY ALL)
+SELECT variant, class, n, round(intra, 6) AS intra, round(inter, 6) AS inter, round(intra - inter, 6) AS gap FROM o""")
 def _variants(spark, sf):
     points = M.variant_vectors(I.vectors(spark, sf), vector_split(spark, sf))
     out = V.class_cohesion(points, members(spark, sf), ("variant",))

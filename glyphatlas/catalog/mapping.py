@@ -224,25 +224,43 @@ lim AS (SELECT scale, round((SELECT quantile_cont(core, 0.5) FROM core), 9) AS t
 mr AS (SELECT nn.src, nn.dst, round(greatest(a.core, b.core, distance), 9) AS w FROM nn JOIN core a ON a.src = nn.src JOIN core b ON b.src = nn.dst),
 ed AS (SELECT DISTINCT scale, src, dst FROM (SELECT scale, src, dst FROM mr, lim WHERE w <= t UNION ALL SELECT scale, dst, src FROM mr, lim WHERE w <= t)),
 reach AS (SELECT scale, core.src AS id, core.src AS root FROM core, cut
-  UNION SELECT r.scale, e.dst, r.root FROM reach r JOIN ed e ON e.scale = r.scale AND e.src = r.id)
-SELECT id, scale::BIGINT AS scale, min(root) AS component FROM reach GROUP BY id, scale"""
+  UNION SELECT r.scale, e.dst, r.root FROM reach r JOIN ed e ON e.scale = r.scale AND e.src = r.id),
+comps AS (SELECT id, scale::BIGINT AS scale, min(root) AS component FROM reach GROUP BY id, scale)"""
 
 
-@query("density_components", _components_sql(_KNN))
+# Layers from the components: enough clusters of enough rows, and not the clusters of the scale before.
+_LAYERS_SQL = """,
+sz AS (SELECT scale, component, count(*) AS n FROM comps GROUP BY ALL HAVING count(*) >= 5),
+fd AS (SELECT scale, count(*) AS k, sum(n) AS m FROM sz GROUP BY scale),
+lg AS (SELECT *, lag(k) OVER (ORDER BY scale) AS pk, lag(m) OVER (ORDER BY scale) AS pm FROM fd),
+en AS (SELECT scale FROM lg WHERE k >= 4 AND (k, m) IS DISTINCT FROM (pk, pm)),
+kp AS (SELECT scale FROM en UNION SELECT max_by(scale, k * 10 + scale) FROM fd WHERE NOT EXISTS (SELECT 1 FROM en)),
+la AS (SELECT scale, row_number() OVER (ORDER BY scale DESC) - 1 AS layer FROM kp),
+ci AS (SELECT scale, component, row_number() OVER (PARTITION BY scale ORDER BY n DESC, component) - 1 AS c FROM sz)
+SELECT id, layer, coalesce(c, -1) AS cluster_id FROM comps JOIN la USING (scale) LEFT JOIN ci USING (scale, component)"""
+
+_KNN_FLAT = f"""{S.VECTORS},
+dd AS (SELECT a.id AS src, b.id AS dst, round(list_distance(a.emb[1:2], b.emb[1:2]), 9) AS distance FROM v a JOIN v b ON a.id <> b.id),
+nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY distance, dst) AS rank FROM dd) WHERE rank <= 10)"""
+
+
+@query("density_components", _components_sql(_KNN) + " SELECT * FROM comps")
 def _components(spark, sf):
     rows = Y.density_components(neighbours(spark, sf))
     return rows.withColumn("scale", F.col("scale").cast("bigint"))
 
 
-@query("density_layers_hd")
+@query("density_layers_hd", _components_sql(_KNN) + _LAYERS_SQL)
 def _layers_hd(spark, sf):
-    return Y.density_layers(neighbours(spark, sf), min_size=5)
+    out = Y.density_layers(neighbours(spark, sf), min_size=5)
+    return out.withColumn("layer", F.col("layer").cast("bigint"))
 
 
-@query("density_layers")
+@query("density_layers", _components_sql(_KNN_FLAT) + _LAYERS_SQL)
 def _layers(spark, sf):
-    flat = B.pca_2d(I.vectors(spark, sf)).select("id", F.array("x", "y").alias("embedding"))
-    return Y.density_layers(B.knn(flat, 10, "euclidean"), min_size=5)
+    flat = I.vectors(spark, sf).select("id", F.slice("embedding", 1, 2).alias("embedding"))
+    out = Y.density_layers(B.knn(flat, 10, "euclidean"), min_size=5)
+    return out.withColumn("layer", F.col("layer").cast("bigint"))
 
 
 # --- clusters -------------------------------------------------------------------------------------

@@ -202,7 +202,7 @@ q0 AS (
 def smooth(step: int, before: str, alphas: str = "0.8") -> str:
     """CTE q<step>: one smoothing round over (alpha, id, dim, val) rows."""
     return f"""
-q{step} AS (
+q{step} AS MATERIALIZED (
   SELECT b.alpha, b.id, b.dim, CASE WHEN p.val IS NULL THEN b.val ELSE (1 - b.alpha) * b.val + b.alpha * p.val END AS val
   FROM (SELECT alpha, id, dim, val FROM q0, (SELECT unnest([{alphas}])::DOUBLE AS alpha)) b
   LEFT JOIN (SELECT q.alpha, a.src AS id, q.dim, sum(a.w * q.val) AS val FROM adj a

@@ -32,10 +32,34 @@ def dimension(vectors: DataFrame, col: str = "embedding") -> int:
     return row["d"]
 
 
-def sum_vectors(v: Column, dim: int, weight: Column | None = None) -> Column:
-    """Element-wise (weighted) sum as an aggregate. One plain sum per element, so that Spark adds up
-    partial sums before the shuffle and a hot key costs no more than a cold one."""
-    return F.array(*[F.sum(v[i] if weight is None else v[i] * weight) for i in range(dim)])
+CHUNK = 16
+
+
+def chunks(v: Column, dim: int) -> Column:
+    """array<struct<chunk, part>>: the vector in pieces of CHUNK elements. Sums over pieces compile to small
+    code whatever the dimension."""
+    return F.transform(F.sequence(F.lit(0), F.lit((dim - 1) // CHUNK)), lambda c: F.struct(
+        c.alias("chunk"), F.slice(v, c * CHUNK + 1, CHUNK).alias("part")))
+
+
+def sum_part(part: Column, weight: Column | None = None) -> Column:
+    """Element-wise (weighted) sum of pieces: plain sums, added up before the shuffle, so that a hot key
+    costs no more than a cold one. A short last piece leaves nulls at its end."""
+    at = [F.get(part, F.lit(i)) for i in range(CHUNK)]
+    return F.array(*[F.sum(x if weight is None else x * weight) for x in at])
+
+
+def join_parts(dim: int) -> Column:
+    """Aggregate: the vector of the (chunk, part) rows of a group, one row per piece."""
+    parts = F.array_sort(F.collect_list(F.struct("chunk", "part")))
+    return F.slice(F.flatten(F.transform(parts, lambda p: p["part"])), 1, dim)
+
+
+def sum_vectors(rows: DataFrame, keys: list[str], col: str, dim: int) -> DataFrame:
+    """(keys..., n, total): number and sum of the vectors in `col` per key."""
+    pieces = rows.select(*keys, F.inline(chunks(F.col(col), dim)))
+    sums = pieces.groupBy(*keys, "chunk").agg(F.count(F.lit(1)).alias("n"), sum_part(F.col("part")).alias("part"))
+    return sums.groupBy(*keys).agg(F.max("n").alias("n"), join_parts(dim).alias("total"))
 
 
 def round_vector(v: Column, digits: int) -> Column:

@@ -24,8 +24,8 @@ def exemplars(layers: DataFrame, vectors: DataFrame, n: int = 3, dim: int | None
     d = dim or dimension(vectors)
     v = vectors.select("id", doubles(F.col("embedding")).alias("v"))
     rows = layers.where(F.col("cluster_id") != NOISE).join(v, "id")
-    means = rows.groupBy("layer", "cluster_id").agg(F.count(F.lit(1)).alias("n"), sum_vectors(F.col("v"), d).alias("s"))
-    means = means.select("layer", "cluster_id", F.transform("s", lambda x: x / F.col("n")).alias("mean"))
+    sums = sum_vectors(rows, ["layer", "cluster_id"], "v", d)
+    means = sums.select("layer", "cluster_id", F.transform("total", lambda x: x / F.col("n")).alias("mean"))
     gap = F.aggregate(F.zip_with("v", "mean", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
     far = rows.join(means, ["layer", "cluster_id"]).select(
         "layer", "cluster_id", "id", F.round(F.sqrt(gap), 9).alias("distance"))

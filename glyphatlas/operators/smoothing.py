@@ -1,7 +1,8 @@
 """Graph smoothing of vectors, and its grid search.
 
 All (id, alpha) variants advance together: one pass over the graph per iteration serves every alpha. Links
-and vectors are laid out once by (node, alpha), so an iteration shuffles only the partial neighbour sums.
+and vectors are laid out once by (node, alpha, piece of the vector), so an iteration shuffles only the
+partial neighbour sums.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphatlas.functions.vectors import dimension, doubles, sum_vectors, unit
+from glyphatlas.functions.vectors import CHUNK, chunks, dimension, doubles, join_parts, sum_part, unit
 from glyphatlas.operators.graph import adjacency, eval_pairs
 from glyphatlas.operators.retrieval import hits_at_k
 from glyphatlas.operators.vectors import class_cohesion, cohesion_summary
@@ -36,25 +37,29 @@ def retrofit_variants(
     d = dim or dimension(vectors)
     # variants are numbered: a whole-number key keeps its partitioning, a floating-point key does not
     each = F.posexplode(F.array(*[F.lit(float(a)) for a in alphas])).alias("variant", "alpha")
-    base = lay_out(vectors.select("id", unit(doubles(F.col("embedding"))).alias("q0"), each), "id", "variant")
+    pieces = F.explode(F.sequence(F.lit(0), F.lit((d - 1) // CHUNK))).alias("chunk")
+    keys = ["id", "variant", "chunk"]
+    whole = vectors.select("id", unit(doubles(F.col("embedding"))).alias("v"), each)
+    base = lay_out(whole.select("id", "variant", "alpha", F.inline(chunks(F.col("v"), d))).withColumnRenamed("part", "q0"), *keys)
     pulls = cut_lineage(links.select("src", F.col("dst").alias("id"), "weight"))
     cold, hot = _hot_nodes(pulls, hot_links)
-    wires = lay_out(cold.select("*", each).drop("alpha"), "id", "variant")
+    spread = lambda rows: rows.select("*", each).drop("alpha").select("*", pieces)
+    wires = lay_out(spread(cold), *keys)
     busy = None if hot is None else cut_lineage(
-        pulls.join(F.broadcast(hot), "id", "left_semi").select("*", each).drop("alpha").repartition("src"))
+        spread(pulls.join(F.broadcast(hot), "id", "left_semi").repartition("src")))
     state = base.withColumnRenamed("q0", "q")
     snapshots = [state.withColumn("n_iter", F.lit(0))] if 0 in n_iters else []
     for i in range(1, max(n_iters) + 1):
-        sent = wires.join(state, ["id", "variant"]).select("src", "variant", "weight", "q")
+        sent = wires.join(state, keys).select("src", "variant", "chunk", "weight", "q")
         if busy is not None:
             few = F.broadcast(state.join(F.broadcast(hot), "id", "left_semi"))  # at most _MAX_HOT nodes
-            sent = sent.unionByName(busy.join(few, ["id", "variant"]).select("src", "variant", "weight", "q"))
-        pulled = sent.groupBy(F.col("src").alias("id"), "variant").agg(
-            sum_vectors(F.col("q"), d, F.col("weight")).alias("m"))
+            sent = sent.unionByName(busy.join(few, keys).select(*sent.columns))
+        pulled = sent.groupBy(F.col("src").alias("id"), "variant", "chunk").agg(
+            sum_part(F.col("q"), F.col("weight")).alias("m"))
         a = F.col("alpha")
         mixed = F.zip_with("q0", "m", lambda x, y: (1 - a) * x + a * y)
-        state = base.join(pulled, ["id", "variant"], "left").select(
-            "id", "variant", F.when(F.col("m").isNull(), F.col("q0")).otherwise(mixed).alias("q"), "alpha")
+        state = base.join(pulled, keys, "left").select(
+            *keys, "alpha", F.when(F.col("m").isNull(), F.col("q0")).otherwise(mixed).alias("q"))
         if i % _CUT_EVERY == 0 or (i in n_iters and i < max(n_iters)):
             state = cut_lineage(state)
         if i in n_iters:
@@ -62,7 +67,9 @@ def retrofit_variants(
     out = snapshots[0]
     for more in snapshots[1:]:
         out = out.unionByName(more)
-    return out.select("alpha", "n_iter", "id", unit(F.col("q")).alias("embedding"))
+    joined = out.withColumnRenamed("q", "part").groupBy("id", "variant", "n_iter").agg(
+        F.max("alpha").alias("alpha"), join_parts(d).alias("q"))
+    return joined.select("alpha", "n_iter", "id", unit(F.col("q")).alias("embedding"))
 
 
 def _hot_nodes(pulls: DataFrame, hot_links: int = _HOT_LINKS) -> tuple[DataFrame, DataFrame | None]:
@@ -71,7 +78,10 @@ def _hot_nodes(pulls: DataFrame, hot_links: int = _HOT_LINKS) -> tuple[DataFrame
     The bucket of a node with very many links would be one long task. Such nodes are few by definition, so
     their vectors are sent to their links instead, which stay spread out.
     """
-    limit = max(hot_links, pulls.count() // _MAX_HOT)
+    total = pulls.count()
+    if total <= hot_links:
+        return pulls, None
+    limit = max(hot_links, total // _MAX_HOT)
     hot = cut_lineage(pulls.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("id"))
     if hot.isEmpty():
         return pulls, None

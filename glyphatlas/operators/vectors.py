@@ -50,8 +50,7 @@ def class_sums(vectors: DataFrame, members: DataFrame, by: tuple[str, ...] = (),
     """(by..., class, n, total): number of members and sum vector per class."""
     d = dim or dimension(vectors)
     v = vectors.select(*by, "id", doubles(F.col("embedding")).alias("v"))
-    return members.join(v, "id").groupBy(*by, "class").agg(
-        F.count(F.lit(1)).alias("n"), sum_vectors(F.col("v"), d).alias("total"))
+    return sum_vectors(members.join(v, "id"), [*by, "class"], "v", d)
 
 
 def class_centroids(vectors: DataFrame, members: DataFrame, dim: int | None = None) -> DataFrame:
@@ -67,8 +66,8 @@ def class_cohesion(vectors: DataFrame, members: DataFrame, by: tuple[str, ...] =
     the rows, whatever the class sizes. Classes with fewer than two members, or all rows, are left out.
     """
     d = dim or dimension(vectors)
-    everything = vectors.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("all_n"), sum_vectors(doubles(F.col("embedding")), d).alias("all_total"))
+    rows = vectors.select(*by, doubles(F.col("embedding")).alias("v"))
+    everything = sum_vectors(rows, list(by), "v", d).select(*by, F.col("n").alias("all_n"), F.col("total").alias("all_total"))
     sums = class_sums(vectors, members, by, d)
     if by:
         joined = sums.join(everything, list(by))
