@@ -18,6 +18,7 @@ def build_session(app: str = "glyphatlas", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update(conf)
     for key, value in settings.items():
