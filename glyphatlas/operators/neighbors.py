@@ -147,13 +147,14 @@ def _distinct_neighbours(points: DataFrame, n: int, k: int, metric: str, block_r
             d = distances(qx[at : at + 1024], x)
             me = qid[at : at + 1024]
             d[me[:, None] == ids[None, :]] = np.inf
-            # stable sort over id-sorted columns: ties come out in id order
-            best = np.argsort(d, axis=1, kind="stable")[:, :k]
-            picked = np.take_along_axis(d, best, axis=1)
-            ok = np.isfinite(picked)
-            src.append(np.repeat(me, ok.sum(1)))
-            dst.append(ids[best[ok]])
-            dist.append(picked[ok])
+            kth = np.partition(d, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
+            row, col = np.nonzero((d <= kth[:, None]) & np.isfinite(d))
+            order = np.lexsort((col, d[row, col], row))  # columns are in id order, so ties come out by id
+            row, col = row[order], col[order]
+            first = np.arange(len(row)) - np.searchsorted(row, row) < k
+            src.append(me[row[first]])
+            dst.append(ids[col[first]])
+            dist.append(d[row[first], col[first]])
         return pd.DataFrame({"src": np.concatenate(src), "dst": np.concatenate(dst), "distance": np.concatenate(dist)})
 
     return asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInPandas(nearest, lists)
