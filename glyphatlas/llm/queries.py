@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphatlas.llm import length_histogram, mixing, sharding, token_codes
+from glyphatlas.llm import decontaminate, discriminant, fertility, length_histogram, mixing, sharding, token_codes, toxicity
 from glyphatlas.llm.answers import ANSWERS
 from glyphatlas.llm.common import table
 
@@ -20,6 +20,21 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+@query
+def op2_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discriminant.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op6_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"))
@@ -36,6 +51,11 @@ def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram.suffix_sums(length_histogram.length_histogram(lengths))
 
 
+@query
+def op9_levenshtein_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_codes.scratch(spark, "token-codes")
