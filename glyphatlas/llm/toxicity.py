@@ -1,9 +1,10 @@
 """Misspelled terms of a lexicon by Levenshtein automata intersected with its trie, scored by context.
 
-1. `learn_lexicon`: terms that labelled toxic texts use far more often than others, in different contexts. The labelled
-   rows are a bounded sample (`MOST_LABELLED`, smallest digests of doc_id), which may therefore be broadcast.
+1. `learn_lexicon`: terms that labelled toxic texts use far more often than others, in many texts and contexts. The
+   labelled rows are a bounded sample (`MOST_LABELLED`, smallest digests of doc_id), which may therefore be broadcast.
 2. `Automaton`: the trie of the terms, intersected with the automaton of all words within 1 edit of a term (2 edits
-   for terms of `LONG` letters or more), made deterministic. All words of a batch step through its table together.
+   for terms of `LONG` letters or more; two letters that change places are one edit), made deterministic. All words
+   of a batch step through its table together. Words that other texts of the sample use as well are no misspellings.
 3. `measure`: every hit in every whole text counts by its context window: less in quotation marks or beside a reporting
    word, more beside a word of address, less if misspelled.
 4. A logistic fit of the labels on these measures gives the score.
@@ -28,10 +29,12 @@ from glyphatlas.llm.common import doc_texts, held_out, in_pieces, span_hashes, u
 from glyphatlas.session import cut_lineage
 
 MOST_LABELLED = 20_000
-MOST_TERMS = 200
-LEAST_CONTEXTS = 5
+MOST_TERMS = 500
+MOST_ORDINARY = 50_000
+LEAST_SUPPORT, LEAST_SHARE = 5, 0.002
 LEAST_RATIO = 10.0
-SHORTEST, LONG = 4, 8
+SHORTEST, LONG = 4, 9
+TERMS_EACH = 32
 WINDOW = 4
 REACH = 60
 QUOTED, ADDRESSED, MISSPELLED = 0.15, 1.25, 0.8
@@ -50,7 +53,7 @@ REPORT = (
 class Automaton:
     """Deterministic table over letters a-z, and one class for any other character.
 
-    A state stands for a set of (trie node, edits spent); `distance[state]` is the smallest number of edits to a term
+    A state stands for a set of (trie node, letter that is still to come of two that changed places, edits spent); `distance[state]` is the smallest number of edits to a term
     that the word read so far is within, or 9. State 0 is dead, state 1 the start.
     """
 
@@ -71,31 +74,42 @@ class Automaton:
         for node in range(len(children) - 1, -1, -1):
             spare[node] = max([end[node], *(spare[c] for c in children[node].values())])
 
-        def settled(found: dict[int, int]) -> frozenset:
+        def settled(found: dict[tuple[int, int], int]) -> frozenset:
             """With every letter of the terms that may be left out."""
             todo = list(found.items())
             while todo:
-                node, e = todo.pop()
-                if found[node] < e:
+                (node, due), e = todo.pop()
+                if due >= 0 or found[node, due] < e:
                     continue
                 for child in children[node].values():
-                    if e + 1 <= spare[child] and e + 1 < found.get(child, 9):
-                        found[child] = e + 1
-                        todo.append((child, e + 1))
+                    if e + 1 <= spare[child] and e + 1 < found.get((child, -1), 9):
+                        found[child, -1] = e + 1
+                        todo.append(((child, -1), e + 1))
             return frozenset(found.items())
 
-        start = settled({0: 0}) if terms else frozenset()
+        def steps(node: int, due: int, e: int, k: int) -> Iterator[tuple[tuple[int, int], int]]:
+            """Where one more character leads."""
+            if due >= 0:
+                if due == k:
+                    yield (node, -1), e
+                return
+            for letter, child in children[node].items():
+                yield (child, -1), e + (letter != k or k == 26)
+                if letter != k and k in children[child] and k < 26:
+                    yield (children[child][k], letter), e + 1
+            yield (node, -1), e + 1
+
+        start = settled({(0, -1): 0}) if terms else frozenset()
         number = {frozenset(): 0, start: 1}
         table, distance = [[0] * 27], [9]
         queue = [start]
         for state in queue:
             row = []
             for k in range(27):
-                found: dict[int, int] = {}
-                for node, e in state:
-                    steps = [(child, e + (letter != k or k == 26)) for letter, child in children[node].items()]
-                    for to, cost in [*steps, (node, e + 1)]:
-                        if cost <= spare[to] and cost < found.get(to, 9):
+                found: dict[tuple[int, int], int] = {}
+                for (node, due), e in state:
+                    for to, cost in steps(node, due, e, k):
+                        if cost <= spare[to[0]] and cost < found.get(to, 9):
                             found[to] = cost
                 goal = settled(found)
                 if goal not in number:
@@ -103,7 +117,7 @@ class Automaton:
                     queue.append(goal)
                 row.append(number[goal])
             table.append(row)
-            distance.append(min([9, *(e for node, e in state if e <= end[node])]))
+            distance.append(min([9, *(e for (node, due), e in state if due < 0 and e <= end[node])]))
         self.table = np.array(table, np.int32)
         self.distance = np.array(distance, np.int8)
 
@@ -124,6 +138,21 @@ class Automaton:
         return out
 
 
+class Automata:
+    """Automata of `TERMS_EACH` terms each, in alphabetical order, so that terms with a common beginning share states and
+    the tables grow in proportion to the terms."""
+
+    def __init__(self, terms: list[str]):
+        terms = sorted(set(terms))
+        self.parts = [Automaton(terms[i:i + TERMS_EACH]) for i in range(0, len(terms), TERMS_EACH)]
+
+    def distances(self, letters: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        out = np.full(len(start), 9, np.int8)
+        for part in self.parts:
+            np.minimum(out, part.distances(letters, start, end), out=out)
+        return out
+
+
 # --- words and contexts ----------------------------------------------------------------------------------
 
 _LETTER = np.full(256, 26, np.uint8)
@@ -139,7 +168,7 @@ def _word_list(words: tuple[str, ...]) -> np.ndarray:
     return np.sort(span_hashes(data, ends - [len(w) for w in words], ends))
 
 
-def context_counts(column: pa.Array, automaton: Automaton) -> dict[str, np.ndarray]:
+def context_counts(column: pa.Array, automaton: Automata, ordinary: tuple[str, ...] = ()) -> dict[str, np.ndarray]:
     """Per row: words, exact hits, misspelled hits, quoted hits, and the sum of the hits' weights."""
     data, offsets = utf8(pc.utf8_lower(column))
     rows = len(offsets) - 1
@@ -162,6 +191,8 @@ def context_counts(column: pa.Array, automaton: Automaton) -> dict[str, np.ndarr
     out = {"n_words": np.bincount(row, minlength=rows)}
     edits = automaton.distances(_LETTER[data], start, end)
     hit = np.flatnonzero(edits < 9)
+    if len(ordinary) and len(hit):
+        hit = hit[(edits[hit] == 0) | ~np.isin(_local_hashes(data, start[hit], end[hit]), _word_list(ordinary))]
     # context: words on either side, and quotation marks on both sides of the hit within reach and row
     lo, hi = np.maximum(hit - WINDOW, 0), np.minimum(hit + WINDOW + 1, len(start))
     first = np.searchsorted(row, np.arange(rows + 1))
@@ -210,37 +241,58 @@ def labelled_sample(labels: DataFrame, folds: int, fold: int, most: int = MOST_L
     return known.groupBy("known").agg(F.max("label").alias("label")).orderBy(F.xxhash64("known"), "known").limit(most)
 
 
-def learn_lexicon(texts: DataFrame, sample: DataFrame, most: int = MOST_TERMS) -> list[str]:
-    """Up to `most` terms, by the ratio of their shares among toxic and other texts of the sample.
-
-    A term needs `LEAST_CONTEXTS` different words before it in toxic texts, so that the words of a text with many
-    copies do not count.
-    """
+def word_counts(texts: DataFrame, sample: DataFrame) -> DataFrame:
+    """(word, toxic, contexts, other): in how many toxic and other texts of the sample a word stands, and after how many
+    different words in toxic ones."""
     seen = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("known"))
-    words = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)
-    listed = seen.select("label", words.alias("w"))
+    listed = seen.select("label", F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1).alias("w")).where(F.size("w") > 0)
+    long_enough = F.filter(F.array_distinct("w"), lambda w: F.length(w) >= SHORTEST)
+    texts_of = listed.select("label", F.explode(long_enough).alias("word")).groupBy("word").agg(
+        F.count(F.when(F.col("label") == 1, 1)).alias("toxic"), F.count(F.when(F.col("label") == 0, 1)).alias("other"))
     pairs = F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.struct(
         F.element_at("w", i).alias("word"), F.when(i > 1, F.element_at("w", F.greatest(i - 1, F.lit(1)))).otherwise("").alias("before")))
-    each = listed.where(F.size("w") > 0).select("label", F.explode(F.array_distinct(pairs)).alias("p")).select("label", "p.word", "p.before")
-    each = each.where(F.length("word") >= SHORTEST).groupBy("label", "word", "before").agg(F.lit(1).alias("one"))
-    per = each.groupBy("word").agg(F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("toxic"), F.sum(F.when(F.col("label") == 0, 1).otherwise(0)).alias("other"))
-    counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    n1, n0 = counts.get(1, 0), counts.get(0, 0)
-    if not n1 or not n0:
-        return []
-    ratio = ((F.col("toxic") + 0.5) / n1) / ((F.col("other") + 0.5) / n0)
-    best = per.where(F.col("toxic") >= LEAST_CONTEXTS).withColumn("ratio", ratio).where(F.col("ratio") >= LEAST_RATIO)
-    return sorted(r["word"] for r in best.orderBy(F.desc("ratio"), "word").limit(most).collect())
+    toxic = listed.where("label = 1").select(F.explode(F.array_distinct(pairs)).alias("p")).select("p.word", "p.before").where(F.length("word") >= SHORTEST)
+    contexts = toxic.distinct().groupBy("word").agg(F.count(F.lit(1)).alias("contexts"))
+    return texts_of.join(contexts, "word", "left").select("word", "toxic", F.coalesce("contexts", F.lit(0)).alias("contexts"), "other")
 
 
-def measure(docs: DataFrame, terms: list[str]) -> DataFrame:
+def learn_lexicon(counts: DataFrame, sample: DataFrame, most: int = MOST_TERMS) -> tuple[list[str], tuple[str, ...]]:
+    """Up to `most` terms, by the ratio of their shares among toxic and other texts, and the ordinary words near them.
+
+    A term stands in `LEAST_SUPPORT` toxic texts of the sample and `LEAST_SHARE` of them, after as many different words, so that
+    neither the words of a long text nor those of a text with many copies count. An ordinary word is within the
+    automaton's reach, but no more frequent in toxic texts than elsewhere.
+    """
+    found = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    n1, n0 = found.get(1, 0), found.get(0, 0)
+    if not n1 or not n0:
+        return [], ()
+    support = F.least("toxic", "contexts")
+    ratio = ((support + 0.5) / n1) / ((F.col("other") + 0.5) / n0)
+    best = counts.where(support >= max(LEAST_SUPPORT, LEAST_SHARE * n1)).withColumn("ratio", ratio).where(F.col("ratio") >= LEAST_RATIO)
+    terms = sorted(r["word"] for r in best.orderBy(F.desc("ratio"), "word").limit(most).collect())
+    automaton = Automata(terms)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(0))
+            lead = (data & 0xC0) != 0x80
+            kept = np.concatenate([[0], np.cumsum(lead)])
+            edits = automaton.distances(_LETTER[data[lead]], kept[offsets[:-1]], kept[offsets[1:]])
+            yield batch.filter(pa.array((edits > 0) & (edits < 9)))
+
+    usual = counts.where((F.col("other") > 0) & (ratio < LEAST_RATIO)).select("word", "other").mapInArrow(near, "word string, other long")
+    ordinary = usual.orderBy(F.desc("other"), "word").limit(MOST_ORDINARY).collect()
+    return terms, tuple(r["word"] for r in ordinary)
+
+
+def measure(docs: DataFrame, terms: list[str], ordinary: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_words, exact, misspelled, quoted, weight) of every whole text. The automaton grows with the terms only."""
-    automaton = Automaton(terms)
+    automaton = Automata(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_pieces(batches, 4 << 20):
-            text = batch.column(1)
-            found = context_counts(text, automaton)
+            found = context_counts(batch.column(1), automaton, ordinary)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(found[c], pa.int64()) for c in ("n_words", "exact", "misspelled", "quoted")], pa.array(found["weight"])],
                 ["doc_id", "n_words", "exact", "misspelled", "quoted", "weight"])
@@ -280,8 +332,8 @@ def fit(rows: np.ndarray, labels: np.ndarray, ridge: float = 0.01) -> Logistic:
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, folds: int = 3, fold: int = 1, most: int = MOST_LABELLED) -> DataFrame:
     """(doc_id, held_out, score, predicted, exact, misspelled, quoted) for every row; labels of the held-out fold are never read."""
     sample = cut_lineage(labelled_sample(labels, folds, fold, most))
-    terms = learn_lexicon(doc_texts(docs), sample)
-    measured = cut_lineage(measure(docs, terms))
+    terms, ordinary = learn_lexicon(cut_lineage(word_counts(doc_texts(docs), sample)), sample)
+    measured = cut_lineage(measure(docs, terms, ordinary))
     density = F.log1p(100 * F.col("weight") / F.greatest("n_words", F.lit(1)))
     known = measured.join(F.broadcast(sample), F.col("doc_id") == F.col("known"))
     got = known.groupBy("known").agg(F.max("label").alias("label"), F.max(F.log1p("weight")).alias("a"), F.max(density).alias("b"))
