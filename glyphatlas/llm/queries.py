@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphatlas.llm import decontaminate, discriminant, fertility, length_histogram, mixing, sharding, token_codes, toxicity
+from glyphatlas.llm import decontaminate, discriminant, fertility, length_histogram, mixing, near_dup, sharding, token_codes, toxicity
 from glyphatlas.llm.answers import ANSWERS
 from glyphatlas.llm.common import table
 
@@ -25,6 +25,11 @@ def op2_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.components(table(spark, sf_dir, "documents"), 3, 85)
+
+
 @query
 def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
