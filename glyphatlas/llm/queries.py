@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphatlas.llm import decontaminate, discriminant, fertility, length_histogram, mixing, near_dup, sharding, token_codes, toxicity
+from glyphatlas.llm import decontaminate, discriminant, fertility, length_histogram, mixing, near_dup, repeats, sharding, token_codes, toxicity
 from glyphatlas.llm.answers import ANSWERS
 from glyphatlas.llm.common import table
 
@@ -20,6 +20,11 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+@query
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.dedup(table(spark, sf_dir, "documents")).drop("kept_bytes")
+
+
 @query
 def op2_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge(table(spark, sf_dir, "documents"))
