@@ -16,6 +16,7 @@ null doc_id is shuffled like any other. Sources without words get nothing. An em
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glyphatlas.llm.common import WORD, null_safe_join
@@ -131,3 +132,20 @@ def taken(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     each = per.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     share = (F.col("words") / F.col("copies")).cast("long") + F.when(F.col("copy") <= F.col("words") % F.col("copies"), 1).otherwise(0)
     return null_safe_join(each, wanted, ["source"]).select("doc_id", "size", "source_size", "target", share.alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The rows of `docs`, with their columns, once for every reading in which the mix takes their first word. Rows without words are no part
+    of a mix."""
+    pieces, _, _ = mix(docs, block)
+    keys = ["doc_id", "source", "size"]
+    times = pieces.where("from_word = 0").groupBy(*keys, "row").agg(F.count(F.lit(1)).alias("times"))
+    # rows with equal keys are told apart by a number, in the order of their texts
+    times = times.select(*keys, "times", F.row_number().over(W.partitionBy(*keys).orderBy("row")).alias("copy"))
+    named = docs.withColumns({
+        "__doc_id": F.col("doc_id").cast("long"), "__source": F.col("source").cast("string"), "__size": n_words(F.col("text"))})
+    numbered = named.withColumn("__copy", F.row_number().over(W.partitionBy("__doc_id", "__source", "__size").orderBy("text")))
+    times = times.select(*[F.col(c).alias(f"__{c}") for c in (*keys, "copy")], "times").withColumnRenamed("times", "__times")
+    joined = null_safe_join(numbered, times, ["__doc_id", "__source", "__size", "__copy"])
+    repeated = joined.withColumn("__time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
+    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -14,6 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glyphatlas.operators.ranking import with_position
@@ -101,3 +102,21 @@ def place(docs: DataFrame, tree: tuple[Leaf, ...] = TREE) -> DataFrame:
     begins = placed.groupBy("shard").agg(F.min("place").alias("begin"))  # one row per shard
     return placed.join(F.broadcast(begins), "shard").select(
         "doc_id", "size", "text_crc32", "law", "shard", (F.col("place") - F.col("begin")).alias("slot"), "grown_shard")
+
+
+def place_documents(docs: DataFrame, tree: tuple[Leaf, ...] = TREE) -> DataFrame:
+    """The rows of `docs` with their columns, and shard_size, shard and slot of each. Rows that share doc_id and text are alike, so either
+    may take either slot."""
+    same = W.partitionBy("doc_id", "text_crc32", "size")
+    placed = place(docs, tree).select("doc_id", "text_crc32", "size", "shard", "slot", F.row_number().over(same.orderBy("slot")).alias("copy"))
+    placed = placed.withColumnsRenamed({c: f"__r_{c}" for c in placed.columns})
+    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    named = docs.withColumns({
+        "__doc_id": F.col("doc_id").cast("long"), "__text_crc32": F.crc32(raw), "__size": (F.octet_length(raw) + 1).cast("long")})
+    named = named.withColumn("__copy", F.row_number().over(W.partitionBy("__doc_id", "__text_crc32", "__size").orderBy("text")))
+    test = F.lit(True)
+    for c in ("doc_id", "text_crc32", "size", "copy"):
+        test = test & F.col(f"__{c}").eqNullSafe(F.col(f"__r_{c}"))
+    taken = {"shard_size": "__r_size", "shard": "__r_shard", "slot": "__r_slot"}
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in taken]
+    return named.join(placed, test).select(*own, *[F.col(c).alias(name) for name, c in taken.items()])
