@@ -16,11 +16,16 @@ from glyphatlas.vocab import CONTENT_KEYWORDS
 XREF = f"WITH {S.XREF}"
 
 
-@query("extract_edges", f"{XREF} SELECT src, dst FROM xe")
+@query("extract_edges", f"{XREF} SELECT src, substr(dst, 1, 7) AS dst FROM found WHERE src <> substr(dst, 1, 7)")
 def _extract(spark, sf):
     return G.extract_edges(I.xref(spark, sf))
 
 
+@query("extract_edges_whole_ids", f"{XREF} SELECT src, dst FROM xe")
+def _extract_whole(spark, sf):
+    return G.extract_edges(I.xref(spark, sf), id_pattern=G.WHOLE_ID_PATTERN)
+
+
 @query("canonical_edges", f"{XREF} SELECT from_id, to_id FROM e")
 def _canonical(spark, sf):
     return I.xref_edges(spark, sf)
@@ -36,11 +41,11 @@ def _symmetric(spark, sf):
     return G.symmetric(I.xref_edges(spark, sf))
 
 
-@query("edges_in_scope", f"""{XREF}, n AS (SELECT 'A' || lpad(o_orderkey::VARCHAR, 6, '0') AS id FROM orders WHERE o_orderstatus = 'F')
+@query("edges_in_scope", f"""{XREF}, n AS (SELECT 'A' || lpad(o_orderkey::VARCHAR, greatest(6, length(o_orderkey::VARCHAR))::INTEGER, '0') AS id FROM orders WHERE o_orderstatus = 'F')
 SELECT from_id, to_id FROM e WHERE from_id IN (SELECT id FROM n) AND to_id IN (SELECT id FROM n)""")
 def _scope(spark, sf):
     nodes = I.table(spark, sf, "orders").where("o_orderstatus = 'F'").selectExpr(
-        "concat('A', lpad(cast(o_orderkey as string), 6, '0')) AS id")
+        "concat('A', lpad(cast(o_orderkey as string), greatest(6, length(cast(o_orderkey as string))), '0')) AS id")
     return G.in_scope(I.xref_edges(spark, sf), nodes)
 
 
@@ -71,8 +76,8 @@ def _degrees(spark, sf):
     return G.degrees(I.xref_edges(spark, sf))
 
 
-@query("isolated_nodes", f"""{XREF} SELECT 'A' || lpad(o_orderkey::VARCHAR, 6, '0') AS id FROM orders
-WHERE 'A' || lpad(o_orderkey::VARCHAR, 6, '0') NOT IN (SELECT from_id FROM e UNION SELECT to_id FROM e)""")
+@query("isolated_nodes", f"""{XREF} SELECT 'A' || lpad(o_orderkey::VARCHAR, greatest(6, length(o_orderkey::VARCHAR))::INTEGER, '0') AS id FROM orders
+WHERE 'A' || lpad(o_orderkey::VARCHAR, greatest(6, length(o_orderkey::VARCHAR))::INTEGER, '0') NOT IN (SELECT from_id FROM e UNION SELECT to_id FROM e)""")
 def _isolated(spark, sf):
     return G.isolated(I.order_nodes(spark, sf), I.xref_edges(spark, sf))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphatlas.operators.graph import canonical, extract_edges
+from glyphatlas.operators.graph import WHOLE_ID_PATTERN, canonical, extract_edges
 from glyphatlas.vocab import ENUM_DOMAINS
 
 
@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf: str, name: str, spread: str | None = None) ->
 
 # --- tagged texts ---------------------------------------------------------------------------
 
-_ID = "concat('A', lpad(cast(doc_id as string), 6, '0'))"
+_ID = "concat('A', lpad(cast(doc_id as string), greatest(6, length(cast(doc_id as string))), '0'))"
 _FIRST = "substring_index(text, '\n', 1)"
 _REST = "CASE WHEN instr(text, '\n') > 0 THEN substring(text, instr(text, '\n') + 1) ELSE '' END"
 _STAMP = (
@@ -170,17 +170,17 @@ def xref(spark: SparkSession, sf: str) -> DataFrame:
     """(text): one cross-reference line per line item, from its order to its part and its supplier. Some
     lines are bare, some ids run on for a seventh digit."""
     return table(spark, sf, "lineitem", "l_orderkey").selectExpr(
-        "concat('%Y A', lpad(cast(l_orderkey as string), 6, '0'), CASE WHEN l_linenumber = 6 THEN '' ELSE concat(' Cf. A',"
-        " lpad(cast(l_partkey as string), 6, '0'), CASE WHEN l_linenumber = 7 THEN '9' ELSE '' END, ', A',"
-        " lpad(cast(l_suppkey as string), 6, '0'), '.') END) AS text")
+        "concat('%Y A', lpad(cast(l_orderkey as string), greatest(6, length(cast(l_orderkey as string))), '0'), CASE WHEN l_linenumber = 6 THEN '' ELSE concat(' Cf. A',"
+        " lpad(cast(l_partkey as string), greatest(6, length(cast(l_partkey as string))), '0'), CASE WHEN l_linenumber = 7 THEN '9' ELSE '' END, ', A',"
+        " lpad(cast(l_suppkey as string), greatest(6, length(cast(l_suppkey as string))), '0'), '.') END) AS text")
 
 
 def xref_edges(spark: SparkSession, sf: str) -> DataFrame:
-    return canonical(extract_edges(xref(spark, sf)))
+    return canonical(extract_edges(xref(spark, sf), id_pattern=WHOLE_ID_PATTERN))
 
 
 def order_nodes(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").selectExpr("concat('A', lpad(cast(o_orderkey as string), 6, '0')) AS id")
+    return table(spark, sf, "orders").selectExpr("concat('A', lpad(cast(o_orderkey as string), greatest(6, length(cast(o_orderkey as string))), '0')) AS id")
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:

@@ -102,7 +102,7 @@ pt AS (SELECT m.id AS id, (m.doc_id % 100)::DOUBLE AS x, (edit_count % 100)::DOU
   {_ESC.format(c="CASE WHEN l IS NULL THEN '' WHEN length(l) <= 140 THEN l ELSE rtrim(left(l, 139)) || '…' END")} AS first_formula,
   m.values_preview_str AS values_preview_str, edit_count, n_references, author_name AS author,
   {_ESC.format(c="array_to_string(keywords, ', ')")} AS keywords,
-  m.id || ' ' || m.name || ' ' || author_name || ' ' || left(replace(comments, chr(10), ' '), 400) AS search_text,
+  m.id || ' ' || m.name || ' ' || author_name || ' ' || replace(comments, chr(10), ' ') AS search_text,
   CASE WHEN author_name IN (SELECT author_name FROM top) THEN author_name ELSE 'Other' END AS author_filter,
   array_to_string(keywords, '|') AS keywords_filter, edit_count AS edits_filter, n_references AS refs_filter, n_links AS links_filter,
   coalesce(edit_year, 0) AS year_filter,
@@ -120,10 +120,10 @@ def _points(spark, sf):
     return points(spark, sf).withColumns({c: r6(c) for c in ("marker_size", "log_edits", "log_refs")})
 
 
-@query("points_labels", """SELECT 'A' || lpad(doc_id::VARCHAR, 6, '0') AS id, quality::BIGINT AS quality FROM documents LEFT JOIN labels USING (doc_id)""")
+@query("points_labels", """SELECT 'A' || lpad(doc_id::VARCHAR, greatest(6, length(doc_id::VARCHAR))::INTEGER, '0') AS id, quality::BIGINT AS quality FROM documents LEFT JOIN labels USING (doc_id)""")
 def _labels(spark, sf):
     docs = I.table(spark, sf, "documents").join(I.table(spark, sf, "labels"), "doc_id", "left")
-    return docs.selectExpr("concat('A', lpad(cast(doc_id as string), 6, '0')) AS id", "cast(quality as bigint) AS quality")
+    return docs.selectExpr("concat('A', lpad(cast(doc_id as string), greatest(6, length(cast(doc_id as string))), '0')) AS id", "cast(quality as bigint) AS quality")
 
 
 @query("facet_filter", f"""{_POINTS} SELECT id FROM pt WHERE author_filter IN ('Other', 'src1') AND (edit_count >= 500)

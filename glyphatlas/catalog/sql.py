@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from glyphatlas.vocab import ENUM_DOMAINS
 
-ID = "'A' || lpad(doc_id::VARCHAR, 6, '0')"
+ID = "'A' || lpad(doc_id::VARCHAR, greatest(6, length(doc_id::VARCHAR))::INTEGER, '0')"
 FIRST = "split_part(text, chr(10), 1)"
 REST = "CASE WHEN strpos(text, chr(10)) > 0 THEN substr(text, strpos(text, chr(10)) + 1) ELSE '' END"
 
@@ -153,8 +153,10 @@ fields AS (
 
 XREF = """
 found AS (
-  SELECT 'A' || lpad(l_orderkey::VARCHAR, 6, '0') AS src, 'A' || lpad(k::VARCHAR, 6, '0') AS dst
-  FROM (SELECT l_orderkey, l_linenumber, unnest([l_partkey, l_suppkey]) AS k FROM lineitem) WHERE l_linenumber <> 6
+  SELECT 'A' || lpad(l_orderkey::VARCHAR, greatest(6, length(l_orderkey::VARCHAR))::INTEGER, '0') AS src, unnest([
+      'A' || lpad(l_partkey::VARCHAR, greatest(6, length(l_partkey::VARCHAR))::INTEGER, '0') || CASE WHEN l_linenumber = 7 THEN '9' ELSE '' END,
+      'A' || lpad(l_suppkey::VARCHAR, greatest(6, length(l_suppkey::VARCHAR))::INTEGER, '0')]) AS dst
+  FROM lineitem WHERE l_linenumber <> 6
 ),
 xe AS (SELECT * FROM found WHERE src <> dst),
 e AS (SELECT DISTINCT least(src, dst) AS from_id, greatest(src, dst) AS to_id FROM xe)"""

@@ -82,6 +82,8 @@ def prompt_entry(place: Column, title: str = "Sequence", budgets: dict[str, int]
     return F.concat(*[c for label, part in parts.items() for c in (F.lit(label), part)])
 
 
-def search_text(limit: int = SEARCH_COMMENT_CHARS) -> Column:
-    flat = head(F.replace(_text("comments"), F.lit("\n"), F.lit(" ")), limit)
+def search_text(limit: int | None = SEARCH_COMMENT_CHARS) -> Column:
+    """Text to search in; `limit` None takes the whole comments."""
+    flat = F.replace(_text("comments"), F.lit("\n"), F.lit(" "))
+    flat = flat if limit is None else head(flat, limit)
     return F.concat_ws(" ", "id", "name", clean_author(F.col("author")), flat)

@@ -13,35 +13,39 @@ from glyphatlas.vocab import HOLDOUT_FRACTION, SPLIT_SEED
 
 _XREF = rf"(?U)^%Y{BLANK}+A\d+(?={BLANK}|$)"
 _SOURCE = rf"(?U)^%Y{BLANK}+(A\d+)"
-_ID = r"A[0-9]{6}"
+# Fixed value: ids of exactly six digits, so a longer number counts by its first six.
+ID_PATTERN = r"A[0-9]{6}"
+# Ids of six digits or more, read to their end.
+WHOLE_ID_PATTERN = r"A[0-9]{6,}"
 _PREFIX_DIGITS = 4
+_MOST_SORTED = 100_000
 
 
-def extract_edges(texts: DataFrame, text_col: str = "text") -> DataFrame:
+def extract_edges(texts: DataFrame, text_col: str = "text", id_pattern: str = ID_PATTERN) -> DataFrame:
     """(src, dst) for every id in every cross-reference line, without self references.
 
-    The source id is that of the line itself. Ids are found without word boundaries, so a longer number
-    yields its first six digits.
+    The source id is that of the line itself. Ids are found without word boundaries by `id_pattern`: with the
+    default a longer number yields its first six digits, with WHOLE_ID_PATTERN all of them.
     """
-    found = texts.select(F.explode(_pairs(F.col(text_col))).alias("p"))
+    found = texts.select(F.explode(_pairs(F.col(text_col), id_pattern)).alias("p"))
     return found.select("p.src", "p.dst")
 
 
-def _pairs(text: Column) -> Column:
+def _pairs(text: Column, id_pattern: str = ID_PATTERN) -> Column:
     """array<struct<src, dst>> of one text."""
     lines = F.filter(F.split(text, ANY_BREAK), lambda x: x.startswith("%Y") & x.rlike(_XREF))
 
     def of_line(line: Column) -> Column:
-        found = F.regexp_extract_all(F.regexp_replace(line, _SOURCE, ""), F.lit(_ID), F.lit(0))
+        found = F.regexp_extract_all(F.regexp_replace(line, _SOURCE, ""), F.lit(id_pattern), F.lit(0))
         return let(F.regexp_extract(line, _SOURCE, 1), lambda src: F.transform(
             F.filter(found, lambda d: d != src), lambda d: F.struct(src.alias("src"), d.alias("dst"))))
 
     return F.flatten(F.transform(lines, of_line))
 
 
-def edge_cache(texts: DataFrame) -> DataFrame:
+def edge_cache(texts: DataFrame, id_pattern: str = ID_PATTERN) -> DataFrame:
     """Per file: version columns and its (src, dst) pairs, kept so that unchanged files are not read again."""
-    return texts.select(F.col("path").alias("path_rel"), "mtime", "size", _pairs(F.col("text")).alias("pairs"))
+    return texts.select(F.col("path").alias("path_rel"), "mtime", "size", _pairs(F.col("text"), id_pattern).alias("pairs"))
 
 
 def cached_edges(cache: DataFrame) -> DataFrame:
@@ -88,22 +92,29 @@ def edge_report(edges: DataFrame) -> DataFrame:
 def split_edges(edges: DataFrame, fraction: float = HOLDOUT_FRACTION, seed: int = SPLIT_SEED) -> DataFrame:
     """Add `split`: the first max(1, round(fraction * E)) edges in digest order are the holdout.
 
-    Digests are uniform, so nothing is sorted: edges are counted per digest prefix, the last holdout digest
-    is looked up within the one prefix that holds it, and every edge is then compared with it.
+    Digests are uniform, so nothing is sorted: edges are counted per digest prefix, longer ones within the prefix that
+    holds the last holdout digest until at most _MOST_SORTED edges share it, and every edge is compared with that digest.
     """
     name = F.concat_ws("-", F.col("from_id").cast("string"), F.col("to_id").cast("string"))
     keyed = cut_lineage(edges.withColumn("_key", name).withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), "_key"))))
-    prefix = F.substring("_h", 1, _PREFIX_DIGITS).alias("_p")
-    counts = keyed.groupBy(prefix).agg(F.count(F.lit(1)).alias("n"))  # at most 16 ** _PREFIX_DIGITS rows
-    order = W.orderBy("_p").rowsBetween(W.unboundedPreceding, W.currentRow)
-    counts = counts.select("_p", "n", F.sum("n").over(order).alias("upto"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hold = max(1, round(total * fraction))
-    cut = counts.where(F.col("upto") >= hold).orderBy("_p").first()
-    if cut is None:
-        return edges.withColumn("split", F.lit("train"))
-    near = keyed.where(prefix == cut["_p"]).select("_h", "_key")
-    last = near.orderBy("_h", "_key").offset(hold - (cut["upto"] - cut["n"]) - 1).limit(1).first()
+    # one prefix after the other gets longer, until few enough edges share it to be sorted
+    near, digits, skipped, hold = keyed, 0, 0, None
+    while True:
+        digits += _PREFIX_DIGITS
+        prefix = F.substring("_h", 1, digits)
+        counts = near.groupBy(prefix.alias("_p")).agg(F.count(F.lit(1)).alias("n"))  # at most 16 ** _PREFIX_DIGITS rows
+        order = W.orderBy("_p").rowsBetween(W.unboundedPreceding, W.currentRow)
+        counts = counts.select("_p", "n", F.sum("n").over(order).alias("upto"))
+        if hold is None:
+            hold = max(1, round(counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * fraction))
+        cut = counts.where(F.col("upto") >= hold - skipped).orderBy("_p").first()
+        if cut is None:
+            return edges.withColumn("split", F.lit("train"))
+        skipped += cut["upto"] - cut["n"]
+        near = near.where(prefix == cut["_p"]).select("_h", "_key")
+        if cut["n"] <= _MOST_SORTED or digits >= 32:
+            break
+    last = near.orderBy("_h", "_key").offset(hold - skipped - 1).limit(1).first()
     held = (F.col("_h") < last["_h"]) | ((F.col("_h") == last["_h"]) & (F.col("_key") <= last["_key"]))
     return keyed.select(*edges.columns, F.when(held, "holdout").otherwise("train").alias("split"))
 

@@ -69,7 +69,7 @@ def map_points(records: DataFrame, coords: DataFrame, labels_wide: DataFrame) ->
         "n_references": whole("n_references"),
         "author": D.html_escape(F.col("_author")),
         "keywords": D.html_escape(D.join_keywords(F.col("keywords"))),
-        "search_text": search_text(),
+        "search_text": search_text(None),
         "author_filter": F.col("author_filter"),
         "keywords_filter": D.join_keywords(F.col("keywords"), "|"),
         "edits_filter": whole("edit_count"),

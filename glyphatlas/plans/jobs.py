@@ -50,22 +50,31 @@ def ingest(spark: SparkSession, root: str, table: str, quarantine: str | None =
     """Bring the record table up to date with the files below `root`; returns the parse report.
 
     Rows of vanished files go, also when nothing else changed. Files that are not UTF-8 are listed in
-    `quarantine`; their old rows stay and they are tried again next time.
+    `quarantine` (beside the table if not given); their old rows stay and they are tried again next time.
     """
     _, live, read = _changed_files(spark, root, table, glob)
     read = cut_lineage(read)
     new = tagged_records(read.where("valid").drop("valid"))
-    if quarantine:
-        read.where("NOT valid").select("path", "mtime", "size").write.mode("overwrite").parquet(quarantine)
+    _set_aside(read, quarantine or f"{table}._quarantine")
     merged = new if live is None else N.upsert(live, new.select(*live.columns), "path_rel")
     publish_snapshot(merged.orderBy("id"), table)
     return parse_report(spark.read.parquet(table))
 
 
-def extract_references(spark: SparkSession, root: str, cache: str, edges: str, glob: str = "*.seq") -> DataFrame:
-    """Bring the per-file edge cache up to date and rebuild the undirected edge table; returns its report."""
+def _set_aside(read: DataFrame, quarantine: str) -> None:
+    """List the files of this run that are not UTF-8."""
+    publish_snapshot(read.where("NOT valid").select("path", "mtime", "size"), quarantine)
+
+
+def extract_references(
+    spark: SparkSession, root: str, cache: str, edges: str, glob: str = "*.seq", quarantine: str | None = None, id_pattern: str = G.ID_PATTERN,
+) -> DataFrame:
+    """Bring the per-file edge cache up to date and rebuild the undirected edge table; returns its report. Files
+    that are not UTF-8 are listed in `quarantine`, beside the cache if not given."""
     _, live, read = _changed_files(spark, root, cache, glob)
-    new = G.edge_cache(read.where("valid"))
+    read = cut_lineage(read)
+    new = G.edge_cache(read.where("valid"), id_pattern)
+    _set_aside(read, quarantine or f"{cache}._quarantine")
     publish_snapshot(new if live is None else N.upsert(live, new, "path_rel"), cache)
     publish_snapshot(G.canonical(G.cached_edges(spark.read.parquet(cache))).orderBy("from_id", "to_id"), edges)
     return G.edge_report(spark.read.parquet(edges))

@@ -42,13 +42,25 @@ def publish_snapshot(df: DataFrame, path: str, codec: str = "zstd", expected: in
     if found != expected:
         fs.delete(path_of(staged), True)
         raise RuntimeError(f"wrote {expected} rows but read back {found}")
-    if fs.exists(path_of(path)):
-        fs.rename(path_of(path), path_of(old))
-    fs.rename(path_of(staged), path_of(path))
-    fs.delete(path_of(old), True)
+    swap(fs, path_of, staged, path, old)
     return found
 
 
+def swap(fs, path_of, staged: str, path: str, old: str) -> None:
+    """Put `staged` in the place of `path`. A store that refuses a rename leaves the old snapshot where it was."""
+    had = fs.exists(path_of(path))
+    if had and not fs.rename(path_of(path), path_of(old)):
+        fs.delete(path_of(staged), True)
+        raise RuntimeError(f"could not move the old snapshot {path}; it stays in place")
+    if not fs.rename(path_of(staged), path_of(path)):
+        if had and not fs.rename(path_of(old), path_of(path)):
+            raise RuntimeError(f"could not put {staged} in place, nor move the old snapshot back: it is {old}")
+        fs.delete(path_of(staged), True)
+        raise RuntimeError(f"could not put the new snapshot {path} in place; the old one stays")
+    if had:
+        fs.delete(path_of(old), True)
+
+
 def sample_path(root: str, n: int, seed: int) -> str:
     """Place of a cached sample; its parameters are part of the name."""
     return f"{root.rstrip('/')}/n={n}/seed={seed}"

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from glyphatlas.operators.incremental import changed
 
-# Explicit path lists go through the driver: use them only for this many changed files.
-PATH_LIMIT = 10_000
-
-
 def _files(spark: SparkSession, paths, glob: str, recursive: bool = True) -> DataFrame:
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     return reader.option("recursiveFileLookup", str(recursive).lower()).load(paths)
@@ -33,25 +29,33 @@ def discover(spark: SparkSession, root: str, glob: str = "*.seq") -> DataFrame:
     return _files(spark, root, glob).select(_relative(root).alias("path"), *_version())
 
 
+def _read(files: DataFrame, root: str) -> DataFrame:
+    """(path, mtime, size, text, valid) of binary file rows; `valid` is false where the bytes are not UTF-8."""
+    ok = F.is_valid_utf8(F.col("content").cast("string"))
+    return files.select(_relative(root).alias("path"), *_version(), F.col("content").cast("string").alias("text"), ok.alias("valid"))
+
+
 def scan_tagged(spark: SparkSession, root: str, glob: str = "*.seq", only: DataFrame | None = None) -> DataFrame:
-    """(path, mtime, size, text, valid) of the files below `root`, or of those in `only` (path).
+    """(path, mtime, size, text, valid) of the files below `root`, or of those in `only` (path, and mtime if known).
 
-    A short list of paths is loaded directly, so unchanged files are never opened. `valid` is false where
-    the bytes are not UTF-8: such files belong in quarantine and are tried again on the next run.
+    Files are matched by their listed path, never by a pattern, and one that has vanished since is left out. With
+    `mtime`, files older than all wanted ones are not opened. Files that are not valid belong in
+    quarantine and are tried again on the next run.
     """
-    files = None
-    if only is not None:
-        few = [r["path"] for r in only.select("path").limit(PATH_LIMIT + 1).collect()]
-        if not few:
-            files = _files(spark, root, glob).where("false")
-        elif len(few) <= PATH_LIMIT:
-            files = _files(spark, [f"{root.rstrip('/')}/{p}" for p in few], "*")
-    files = files if files is not None else _files(spark, root, glob)
-    rows = files.select(_relative(root).alias("path"), *_version(), F.col("content"))
-    if only is not None and len(few) > PATH_LIMIT:
-        rows = rows.join(only.select("path"), "path", "left_semi")
-    ok = F.is_valid_utf8(F.col("content").cast("string"))
-    return rows.select("path", "mtime", "size", F.col("content").cast("string").alias("text"), ok.alias("valid"))
+    files = _files(spark, root, glob)
+    if only is None:
+        return _read(files, root)
+    if "mtime" in only.columns:
+        first = only.agg(F.min("mtime")).first()[0]
+        files = files.where("false" if first is None else F.col("modificationTime") >= F.timestamp_seconds(F.lit(first - 1.0)))
+    return _read(files, root).join(only.select("path"), "path", "left_semi")
+
+
+def stream_tagged(spark: SparkSession, root: str, glob: str = "*.seq", max_files: int = 10_000) -> DataFrame:
+    """The same rows as a stream of the files that arrive below `root`."""
+    schema = spark.read.format("binaryFile").load(root).schema
+    reader = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true")
+    return _read(reader.option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files).load(root), root)
 
 
 def scan_changed(spark: SparkSession, root: str, cache: DataFrame, glob: str = "*.seq") -> DataFrame:

@@ -1,39 +1,39 @@
 """New tagged files as a stream that upserts into a record table.
 
-The file source remembers paths, so it sees new files but not edits; run the batch ingest for those.
+The file source remembers paths, so it sees new files but not edits; run the batch ingest for those. Both read files, key
+rows and set bad bytes aside in the same way, so they can serve the same table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from glyphatlas.operators.incremental import upsert
 from glyphatlas.operators.records import tagged_records
+from glyphatlas.session import cut_lineage
 from glyphatlas.sources.snapshots import exists, publish_snapshot
+from glyphatlas.sources.tagged import stream_tagged
 
 
-def tagged_stream(spark: SparkSession, root: str, glob: str = "*.seq", max_files: int = 10_000) -> DataFrame:
-    files = spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
-    rows = files.option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files).load(root)
-    return rows.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_modification_time").cast("double").alias("mtime"),
-        F.col("_metadata.file_size").alias("size"),
-        F.col("value").alias("text"),
-    )
-
-
-def ingest_stream(spark: SparkSession, root: str, table: str, checkpoint: str, glob: str = "*.seq") -> StreamingQuery:
-    """Parse all files that arrived since the last run and merge them into `table`. Replaying a batch after
-    a failure changes nothing, because rows are replaced by path."""
+def ingest_stream(
+    spark: SparkSession, root: str, table: str, checkpoint: str, glob: str = "*.seq", quarantine: str | None = None, max_files: int = 10_000,
+) -> StreamingQuery:
+    """Parse all files that arrived since the last run and merge them into `table`. Replaying a batch after a
+    failure changes nothing, because rows are replaced by path. Files that are not UTF-8 are listed in
+    `quarantine`, beside the table if not given."""
+    aside = quarantine or f"{table}._quarantine"
 
     def merge(batch: DataFrame, _: int) -> None:
-        new = tagged_records(batch)
+        read = cut_lineage(batch)
+        new = tagged_records(read.where("valid").drop("valid"))
+        bad = read.where("NOT valid").select("path", "mtime", "size")
+        if exists(spark, aside):
+            bad = upsert(spark.read.parquet(aside), bad, "path")
+        publish_snapshot(bad, aside)
         if exists(spark, table):
             new = upsert(spark.read.parquet(table), new, "path_rel")
         publish_snapshot(new, table)
 
-    stream = tagged_stream(spark, root, glob)
+    stream = stream_tagged(spark, root, glob, max_files)
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

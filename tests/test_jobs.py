@@ -1,5 +1,6 @@
 """Whole jobs over files written for these tests."""
 
+import hashlib
 import json
 import os
 
@@ -8,10 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from glyphatlas.catalog import inputs
+from glyphatlas.operators import graph as G
 from glyphatlas.operators import inference as I
 from glyphatlas.plans import jobs
 from glyphatlas.sources.exports import read_csv
-from glyphatlas.sources.snapshots import publish_snapshot
+from glyphatlas.sources.snapshots import publish_snapshot, swap
 from glyphatlas.streaming.ingest import ingest_stream
 from glyphatlas.vocab import ENUM_FIELDS
 
@@ -67,6 +69,70 @@ def test_stream_merges_new_files_once(spark, tmp_path):
     assert {r["id"]: r["name"] for r in rows.collect()} == {"A000001": "one", "A000002": "two"}
 
 
+def test_stream_and_batch_share_keys_and_quarantine(spark, tmp_path):
+    root, table, ck = str(tmp_path / "seq"), str(tmp_path / "records"), str(tmp_path / "ck")
+    write(root, 1, "one")
+    write(root, 2, "two")
+    jobs.ingest(spark, root, table)
+    write(root, 3, "three")
+    with open(os.path.join(root, "A000", "a[4]*.seq"), "w") as f:
+        f.write("%I A000004 #4 Jan 01 2020 00:00:00\n%N A000004 four\n")
+    with open(os.path.join(root, "A000", "bad.seq"), "wb") as f:
+        f.write(b"%N A000009 \xff\xfe\n")
+    ingest_stream(spark, root, table, ck).awaitTermination()
+    rows = lambda: {r["path_rel"]: r["name"] for r in spark.read.parquet(table).collect()}
+    want = {"A000/a000001.seq": "one", "A000/a000002.seq": "two", "A000/a000003.seq": "three", "A000/a[4]*.seq": "four"}
+    assert rows() == want and spark.read.parquet(table).count() == 4
+    aside = lambda place: [r["path"] for r in spark.read.parquet(place).collect()]
+    assert aside(f"{table}._quarantine") == ["A000/bad.seq"]
+    write(root, 1, "one again")
+    jobs.ingest(spark, root, table)
+    assert rows() == want | {"A000/a000001.seq": "one again"}
+    assert aside(f"{table}._quarantine") == ["A000/bad.seq"]
+    jobs.extract_references(spark, root, str(tmp_path / "cache"), str(tmp_path / "edges"))
+    assert aside(f"{tmp_path / 'cache'}._quarantine") == ["A000/bad.seq"]
+
+
+@pytest.mark.parametrize("refused", [1, 2])
+def test_refused_rename_keeps_the_old_snapshot(refused):
+    class Store:
+        def __init__(self):
+            self.held, self.calls = {"new": "new rows", "table": "old rows"}, 0
+
+        def exists(self, p):
+            return p in self.held
+
+        def rename(self, a, b):
+            self.calls += 1
+            if self.calls == refused:
+                return False
+            self.held[b] = self.held.pop(a)
+            return True
+
+        def delete(self, p, _):
+            self.held.pop(p, None)
+
+    store = Store()
+    with pytest.raises(RuntimeError):
+        swap(store, lambda p: p, "new", "table", "old")
+    assert store.held == {"table": "old rows"}
+
+
+def test_ids_of_seven_digits_stay_apart(spark):
+    docs = spark.createDataFrame([(1, "%Y A1234567 Cf. A1234568, A000012.")], "i long, text string")
+    assert sorted(map(tuple, G.extract_edges(docs, id_pattern=G.WHOLE_ID_PATTERN).collect())) == [("A1234567", "A000012"), ("A1234567", "A1234568")]
+    assert sorted(map(tuple, G.extract_edges(docs).collect())) == [("A1234567", "A000012"), ("A1234567", "A123456")]
+
+
+@pytest.mark.parametrize("most", [100_000, 1])
+def test_split_by_longer_and_longer_prefixes(spark, monkeypatch, most):
+    monkeypatch.setattr(G, "_MOST_SORTED", most)
+    edges = spark.range(500).selectExpr("cast(id as string) AS from_id", "cast(id + 1 as string) AS to_id")
+    split = G.split_edges(edges, 0.1).collect()
+    digest = lambda r: (hashlib.md5(f"42:{r['from_id']}-{r['to_id']}".encode()).hexdigest())
+    assert {r["from_id"] for r in split if r["split"] == "holdout"} == {r["from_id"] for r in sorted(split, key=digest)[:50]}
+
+
 def test_snapshot_checks_its_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     assert publish_snapshot(spark.range(5), path) == 5
