@@ -74,31 +74,33 @@ def align_responses(batches: DataFrame, responses: DataFrame, fields=ENUM_FIELDS
 def classify(
     df: DataFrame, classifier: Classifier, columns: tuple[str, ...], fields=ENUM_FIELDS, batch_size: int = CLASSIFY_BATCH
 ) -> DataFrame:
-    """(id, fields..., input_tokens, output_tokens), one row per row of `df`.
+    """(id, fields..., input_tokens, output_tokens, error), one row per row of `df`.
 
-    Only `id` and `columns` travel to the workers. A batch whose call fails gets nulls, so the next run
-    picks its rows up again. Token use is a column on the first row of each batch.
+    Only `id` and `columns` travel to the workers. A batch whose call fails gets nulls and the reason in `error`, so
+    the next run picks its rows up again. Token use is a column on the first row of each batch.
     """
     text, whole = T.StringType(), T.LongType()
     schema = T.StructType([df.schema["id"], *[T.StructField(f, text) for f in fields],
-                           T.StructField("input_tokens", whole), T.StructField("output_tokens", whole)])
+                           T.StructField("input_tokens", whole), T.StructField("output_tokens", whole), T.StructField("error", text)])
 
     def run(frames):
         import pandas as pd
 
         for frame in frames:
             for at in range(0, len(frame), batch_size):
+                error = None
                 rows = frame.iloc[at : at + batch_size].to_dict("records")
                 try:
                     items, used_in, used_out = classifier(rows)
-                except Exception:
-                    items, used_in, used_out = [], 0, 0
+                except Exception as fault:  # the service's own kinds are not known here; the reason is kept
+                    items, used_in, used_out, error = [], 0, 0, f"{type(fault).__name__}: {fault}"[:1000]
                 by_index = {int(i["index"]): i for i in items if isinstance(i, dict) and "index" in i}
                 answers = [by_index.get(j, {}) for j in range(len(rows))]
                 cell = lambda a, f: None if a.get(f) is None else str(a[f])
                 out = {"id": [r["id"] for r in rows], **{f: [cell(a, f) for a in answers] for f in fields}}
                 rest = [0] * (len(rows) - 1)
-                yield pd.DataFrame({**out, "input_tokens": [used_in, *rest], "output_tokens": [used_out, *rest]})
+                yield pd.DataFrame({
+                    **out, "input_tokens": [used_in, *rest], "output_tokens": [used_out, *rest], "error": pd.Series([error] * len(rows), dtype="object")})
 
     needed = df.select("id", *[c for c in columns if c != "id"])
     return validated(needed.mapInPandas(run, schema), fields)
@@ -173,9 +175,9 @@ def embed(df: DataFrame, embedder: Embedder, text_version: str = EMBED_TEXT_VERS
     return stamped.join(df.select("id", text_hash(F.col("text")).alias("text_hash")), "id")
 
 
-def text_hash(text: Column) -> Column:
-    """Stored with a vector, so that an edited text under the same id is embedded again."""
-    return F.xxhash64(text)
+def text_hash(*text: Column) -> Column:
+    """Stored with a vector or an answer, so that an edited text under the same id is done again."""
+    return F.xxhash64(*text)
 
 
 def hash_embed(df: DataFrame, dim: int = 256, text_version: str = EMBED_TEXT_VERSION) -> DataFrame:

@@ -96,44 +96,55 @@ def draw_sample(spark: SparkSession, table: str, root: str, n: int, seed: int) -
 def enrich(
     spark: SparkSession, table: str, out: str, classifier: I.Classifier | None = None, skip: bool = False,
     columns: tuple[str, ...] = ("name", "offset", "values_preview_str", "keywords", "comments", "formulas", "author", "last_edited"),
-    chunks: int = 1, answers: str | None = None,
+    chunks: int = 1, answers: str | None = None, version: str = "1",
 ) -> DataFrame:
-    """Classify records and publish them with the enum fields; returns completeness.
+    """Classify records and publish them with the enum fields; returns completeness, with the rows whose last call failed.
 
-    With `skip` the input passes through. Without a classifier the built-in rules answer. Complete rows of
-    an earlier output are kept, and only the others are sent, in `chunks` appended to `answers`, so that an
-    interrupted run loses at most one chunk.
+    With `skip` the input passes through. Without a classifier the built-in rules answer. Answers are appended to `answers` in
+    `chunks`, so that an interrupted run loses at most one chunk, each with the classifier's `version` and a digest of the columns it
+    saw: a row is sent again if it was edited, if the version is another, or if it has no complete answer yet.
     """
     records = spark.read.parquet(table)
     if skip:
         publish_snapshot(records, out)
         return records.agg(F.count(F.lit(1)).alias("n_rows"))
+    failed = F.lit(0).cast("bigint")
     if classifier is None:
         done = I.classify_by_rules(records)
     else:
         answers = answers or f"{out}._answers"
-        frame = records if not exists(spark, out) else N.reuse_complete(records, spark.read.parquet(out), ENUM_FIELDS)
-        frame = _with_fields(frame)
+        seen = I.text_hash(*[F.col(c) for c in columns]).alias("row_hash")
+        frame = _with_fields(records)
+        marks = cut_lineage(frame.select("id", seen))
         if exists(spark, answers):
-            frame = N.reuse_complete(frame, _best_answers(spark.read.parquet(answers)), ENUM_FIELDS)
+            frame = N.reuse_complete(frame, _best_answers(_current_answers(spark.read.parquet(answers), marks, version)), ENUM_FIELDS)
         frame = cut_lineage(frame)
         todo = N.needs_work(frame, ENUM_FIELDS)
         for c in range(chunks):
             part = todo.where(F.pmod(F.xxhash64("id"), F.lit(chunks)) == c)
-            I.classify(part, classifier, columns).write.mode("append").parquet(answers)
-        done = N.reuse_complete(frame, _best_answers(spark.read.parquet(answers)), ENUM_FIELDS)
+            got = I.classify(part, classifier, columns).withColumns({"classifier_version": F.lit(version), "answered_at": F.current_timestamp()})
+            got.join(marks, "id").write.mode("append").parquet(answers)
+        current = cut_lineage(_current_answers(spark.read.parquet(answers), marks, version))
+        done = N.reuse_complete(frame, _best_answers(current), ENUM_FIELDS)
+        last = current.groupBy("id").agg(F.max_by("error", "answered_at").alias("error"))
+        failed = F.lit(last.where("error IS NOT NULL").count()).cast("bigint")
     publish_snapshot(done, out)
-    return A.completeness(spark.read.parquet(out).withColumn("run", F.lit("enrich")), "run")
+    return A.completeness(spark.read.parquet(out).withColumn("run", F.lit("enrich")), "run").withColumn("n_failed", failed)
 
 
 def _with_fields(df: DataFrame) -> DataFrame:
     return df.withColumns({f: F.lit(None).cast("string") for f in ENUM_FIELDS if f not in df.columns})
 
 
+def _current_answers(answers: DataFrame, marks: DataFrame, version: str) -> DataFrame:
+    """Answers of this version to rows as they are now."""
+    return answers.where(F.col("classifier_version") == version).join(marks, ["id", "row_hash"], "left_semi")
+
+
 def _best_answers(answers: DataFrame) -> DataFrame:
-    """One complete answer per id, for ids that have one."""
+    """The latest complete answer per id, for ids that have one."""
     full = answers.dropna(subset=list(ENUM_FIELDS))
-    return full.groupBy("id").agg(F.min(F.struct(*ENUM_FIELDS)).alias("a")).select("id", "a.*")
+    return full.groupBy("id").agg(F.max_by(F.struct(*ENUM_FIELDS), "answered_at").alias("a")).select("id", "a.*")
 
 
 def embed_records(

@@ -184,8 +184,17 @@ def test_enrich_resumes(spark, tmp_path):
         report = jobs.enrich(spark, src, out, one, columns=("name",), chunks=2).first()
         assert (report["n_complete"], report["n_null"]) == (5, 1) and sum(seen) == 6
         seen.clear()
+        report = jobs.enrich(spark, src, out, one, columns=("name",)).first()
+        assert sum(seen) == 1 and report["n_failed"] == 1
+        errors = [r["error"] for r in spark.read.parquet(f"{out}._answers").where("error IS NOT NULL").collect()]
+        assert len(errors) == 2 and all("Error" in e or "Exception" in e for e in errors)
+        seen.clear()
+        publish_snapshot(rows.withColumn("name", F.when(F.col("id") == "A2", "edited").otherwise(F.col("name"))).coalesce(1), src)
         jobs.enrich(spark, src, out, one, columns=("name",))
-        assert sum(seen) == 1
+        assert sum(seen) == 2  # the edited row and the failing one
+        seen.clear()
+        jobs.enrich(spark, src, out, one, columns=("name",), version="2")
+        assert sum(seen) == 6
     finally:
         J.I.classify = real
     assert jobs.enrich(spark, src, str(tmp_path / "copy"), skip=True).first()["n_rows"] == 6
