@@ -4,8 +4,9 @@
    equals). Equal windows have equal anchors at the same place, so the windows of a repeat meet under their anchor's
    hash, wherever the repeats begin. Consecutive windows share an anchor and form a segment of at most 168 bytes.
 2. Only anchors that occur twice can hold repeats: hashes are counted (one row per hash after the map-side sums) and joined back.
+   Up to here the texts are read where they lie; a segment travels as two hashes and its place.
 3. Equal segments are one row with their first occurrence. All windows of any other occurrence start earlier there.
-4. Segments with the same anchor meet in one task, as parts of one suffix array with its longest common prefixes. A
+4. Where an anchor has several different segments, their bytes are fetched and meet in one task, as parts of one suffix array with its longest common prefixes. A
    stack scan over it lists the intervals with a common prefix of a window or more; an interval is a maximal repeat if
    the bytes before its suffixes differ, or if one of them begins a segment (a longer repeat goes on in the segments
    before and after it). Of each maximal repeat all members but the first are repeated, and with them all windows
@@ -14,7 +15,7 @@
    surroundings) would be too much for one task: its windows are compared by 128-bit digests in a map-side combined
    minimum instead.
 
-Texts are dealt out once, by doc_id, and that exchange serves all passes. Results: null or empty texts have 0 bytes; a
+Texts are dealt out once, by doc_id, for fetching bytes and for cutting. Results: null or empty texts have 0 bytes; a
 null doc_id comes before all others; rows that share a doc_id follow each other in the order of their texts; an empty
 table gives no rows.
 """
@@ -31,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glyphatlas.llm.common import MIX, in_pieces, mixed, span_hashes, utf8
-from glyphatlas.session import shuffle_width
+from glyphatlas.session import cut_lineage, shuffle_width
 
 WINDOW, SEED = 100, 32
 REACH = WINDOW - SEED + 1
@@ -78,48 +79,34 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return start, stop - start, place[start], h[place[start]]
 
 
-def _anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, f, key, place) of all segments: hash of the anchor, hash of the segment's bytes with the anchor's place in it, and its
+    copy, start and number of windows in one number whose order is that of (copy, start)."""
     for batch in in_pieces(batches, CHUNK):
         data, offsets = utf8(batch.column(2))
-        _, _, place, h = segments(data, offsets)
-        row = np.searchsorted(offsets, place, "right") - 1
+        start, windows, anchor, h = segments(data, offsets)
+        row = np.searchsorted(offsets, start, "right") - 1
+        f = mixed(span_hashes(data, start, start + windows - 1 + WINDOW) + (anchor - start).astype(np.uint64) * MIX)
+        place = (np.array(batch.column(1), np.int64)[row] << 40) | ((start - offsets[row]) << 8) | windows
         yield pa.RecordBatch.from_arrays(
-            [pa.array(h.view(np.int64)), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array((place - offsets[row]).astype(np.int32))],
-            ["h", "key", "copy", "place"])
-
-
-def _cut_segments(with_text: bool):
-    """Segments of the anchors in column `places`: (h, f1, f2, key, copy, start, windows), and their bytes if asked."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_pieces(batches, CHUNK):
-            data, offsets = utf8(batch.column(2))
-            start, windows, place, h = segments(data, offsets)
-            wanted = batch.column(3)
-            owner = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(wanted).to_numpy(zero_copy_only=False))
-            asked = wanted.flatten().to_numpy(zero_copy_only=False) + offsets[owner]
-            take = np.isin(place, asked)
-            start, windows, place, h = start[take], windows[take], place[take], h[take]
-            row = np.searchsorted(offsets, start, "right") - 1
-            end = start + windows - 1 + WINDOW
-            # the place of the anchor tells segments apart that hold it twice
-            tag = (place - start).astype(np.uint64)
-            f1 = mixed(span_hashes(data, start, end) + tag * MIX)
-            f2 = mixed(span_hashes(data ^ np.uint8(0x5A), start, end) ^ h + tag)
-            columns = [pa.array(h.view(np.int64)), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), batch.column(0).take(pa.array(row)),
-                       batch.column(1).take(pa.array(row)), pa.array((start - offsets[row]).astype(np.int32)), pa.array(windows.astype(np.int32))]
-            names = ["h", "f1", "f2", "key", "copy", "start", "windows"]
-            if with_text:  # equal segments of this piece once: the first, since rows and places ascend
-                first = np.unique(f1, return_index=True)[1]
-                order = np.lexsort((start[first], np.array(batch.column(1))[row[first]], np.array(batch.column(0))[row[first]])) if len(first) else first
-                first = first[order]
-                whole = data.tobytes()
-                columns = [c.take(pa.array(first)) for c in columns]
-                columns.append(pa.array([whole[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)], pa.binary()))
-                names.append("bytes")
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    return run
+            [pa.array(h.view(np.int64)), pa.array(f.view(np.int64)), batch.column(0).take(pa.array(row)), pa.array(place)], ["h", "f", "key", "place"])
+
+
+def _fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the asked segments of every text."""
+    for batch in batches:
+        keys, copies, out = batch.column(0), batch.column(1), []
+        for i, (text, asked) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+            raw = text.as_py().encode()
+            for a in asked.as_py():
+                start, windows = a["place"] >> 8 & 0xFFFFFFFF, a["place"] & 0xFF
+                out.append((a["h"], a["f"], i, start, windows, raw[start:start + windows - 1 + WINDOW]))
+        if out:
+            h, f, row, start, windows, found = zip(*out, strict=True)
+            row = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h, pa.int64()), pa.array(f, pa.int64()), keys.take(row), copies.take(row), pa.array(start, pa.int32()), pa.array(windows, pa.int32()),
+                 pa.array(found, pa.binary())], ["h", "f", "key", "copy", "start", "windows", "bytes"])
 
 
 # --- suffix array ------------------------------------------------------------------------------------------
@@ -280,17 +267,17 @@ def _repeated_first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, repeat, length, f1, f2, inner): members of maximal repeats, as places in segments."""
+    """(repeat, length, h, f, inner): members of maximal repeats, as places in segments."""
     for table in _whole_groups(batches):
         array, _, _ = _scan(table)
-        column = lambda c: table.column(c).combine_chunks()
+        h, f = (table.column(c).combine_chunks() for c in ("h", "f"))
         for first, last, length in array.maximal_repeats():
-            inside = pa.array(array.segment[first:last + 1])
             n = last + 1 - first
-            name = f"{int(column('h')[int(array.segment[first])].as_py()) & ((1 << 64) - 1):016x}:{int(column('f1')[int(array.segment[first])].as_py()) & ((1 << 64) - 1):016x}:{int(array.inner[first])}:{length}"
+            inside = pa.array(array.segment[first:last + 1])
+            name = f"{h[int(array.segment[first])]}:{f[int(array.segment[first])]}:{array.inner[first]}:{length}"
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * n), pa.array([length] * n, pa.int32()), column("f1").take(inside), column("f2").take(inside), pa.array(array.inner[first:last + 1].astype(np.int32))],
-                ["repeat", "length", "f1", "f2", "inner"])
+                [pa.array([name] * n), pa.array([length] * n, pa.int32()), h.take(inside), f.take(inside), pa.array(array.inner[first:last + 1].astype(np.int32))],
+                ["repeat", "length", "h", "f", "inner"])
 
 
 def _every_window(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,55 +302,82 @@ def _every_window(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """(key, copy, text) dealt out by doc_id; copy numbers the rows that share one."""
-    laid = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    laid = laid.repartition(shuffle_width(docs.sparkSession), "key")
-    return laid.select("key", F.row_number().over(W.partitionBy("key").orderBy("text")).alias("copy"), "text")
+    """(key, copy, text): doc_id without nulls, and a number that tells rows apart that share one."""
+    laid = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("key"), F.isnull("doc_id").cast("int").alias("copy"),
+        F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    shared = cut_lineage(laid.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
+    if shared.isEmpty():
+        return laid
+    some = laid.join(shared, "key", "left_semi").select("key", F.row_number().over(W.partitionBy("key").orderBy("text")).alias("copy"), "text")
+    return laid.join(shared, "key", "left_anti").select("key", "copy", "text").unionByName(some)
 
 
-def _parts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Occurrences of segments with repeated anchors, and the distinct segments with their first occurrence and bytes."""
-    anchors = texts.mapInArrow(_anchors, "h long, key long, copy int, place int")
-    repeated = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    places = anchors.join(repeated, "h").groupBy("key", "copy").agg(F.collect_list("place").alias("places"))
-    asked = texts.join(places, ["key", "copy"]).select("key", "copy", "text", "places")
-    head = "h long, f1 long, f2 long, key long, copy int, start int, windows int"
-    occurrences = asked.mapInArrow(_cut_segments(False), head)
-    held = asked.mapInArrow(_cut_segments(True), f"{head}, bytes binary")
-    distinct = held.groupBy("h", "f1", "f2", "windows", "bytes").agg(F.min(F.struct("key", "copy", "start")).alias("first"))
-    return occurrences, distinct.select("h", "f1", "f2", "windows", "bytes", "first.*")
+def _dealt(texts: DataFrame) -> DataFrame:
+    """The texts by (key, copy): the exchange that all later joins share."""
+    return texts.repartition(shuffle_width(texts.sparkSession), "key", "copy")
 
 
-def _split_hot(distinct: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Segments of ordinary anchors, dealt out and ordered by anchor, and those of hot ones."""
-    hot = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("h")
-    cold = distinct.join(hot, "h", "left_anti").repartition(shuffle_width(distinct.sparkSession), "h").sortWithinPartitions("h")
-    return cold.select("h", "f1", "f2", "windows", "key", "copy", "start", "bytes"), distinct.join(hot, "h", "left_semi")
+def _occurrences(texts: DataFrame) -> DataFrame:
+    """(h, f, key, place) of the segments whose anchor occurs twice or more."""
+    sketched = texts.mapInArrow(_sketch, "h long, f long, key long, place long")
+    repeated = sketched.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    return cut_lineage(sketched.join(repeated, "h"))
 
 
-def removed_runs(texts: DataFrame) -> DataFrame:
+def _first_ones(occurrences: DataFrame) -> DataFrame:
+    """(h, f, n, first) of the distinct segments: number of occurrences, and key and place of the first."""
+    return cut_lineage(occurrences.groupBy("h", "f").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "place")).alias("first")))
+
+
+def _fetched(dealt: DataFrame, firsts: DataFrame, hot: bool) -> DataFrame:
+    """First occurrences, with their bytes, of the segments whose anchor has others as well; of hot anchors or of the rest."""
+    kinds = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
+    chosen = kinds.where(F.col("kinds") > HOT if hot else (F.col("kinds") > 1) & (F.col("kinds") <= HOT))
+    wanted = firsts.join(chosen.select("h"), "h").select("h", "f", "first.key", "first.place")
+    asked = wanted.groupBy("key", F.shiftright("place", 40).cast("int").alias("copy")).agg(F.collect_list(F.struct("h", "f", "place")).alias("asked"))
+    rows = dealt.join(cut_lineage(asked), ["key", "copy"]).select("key", "copy", "text", "asked")
+    return rows.mapInArrow(_fetch, "h long, f long, key long, copy int, start int, windows int, bytes binary")
+
+
+def _by_anchor(fetched: DataFrame) -> DataFrame:
+    return fetched.repartition(shuffle_width(fetched.sparkSession), "h").sortWithinPartitions("h")
+
+
+def removed_runs(dealt: DataFrame, texts: DataFrame) -> DataFrame:
     """(key, copy, start, end): runs of bytes that strings starting earlier cover; they may overlap."""
-    occurrences, distinct = _parts(texts)
+    occurrences = _occurrences(texts)
+    firsts = _first_ones(occurrences)
     spans = "key long, copy int, start int, end int"
-    cold, hot = _split_hot(distinct)
-    first_ones = cold.mapInArrow(_repeated_first, spans)
-    windows = hot.select("windows", "bytes", "key", "copy", "start").mapInArrow(_every_window, "w1 long, w2 long, key long, copy int, start int")
-    earliest = windows.groupBy("w1", "w2").agg(F.min(F.struct("key", "copy", "start")).alias("earliest"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    hot_ones = windows.join(earliest, ["w1", "w2"]).where(F.struct("key", "copy", "start") != F.col("earliest"))
-    hot_ones = hot_ones.select("key", "copy", "start", (F.col("start") + WINDOW).alias("end"))
-    begins = distinct.select("f1", "f2", F.struct("key", "copy", "start").alias("earliest"))
-    others = occurrences.join(begins, ["f1", "f2"]).where(F.struct("key", "copy", "start") != F.col("earliest"))
-    others = others.select("key", "copy", "start", (F.col("start") + F.col("windows") + (WINDOW - 1)).alias("end"))
-    return first_ones.unionByName(hot_ones).unionByName(others)
+    runs = _by_anchor(_fetched(dealt, firsts, False)).mapInArrow(_repeated_first, spans)
+    hot = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > HOT)
+    if not hot.isEmpty():
+        windows = _fetched(dealt, firsts, True).mapInArrow(_every_window, "w1 long, w2 long, key long, copy int, start int")
+        earliest = windows.groupBy("w1", "w2").agg(F.min(F.struct("key", "copy", "start")).alias("earliest"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        later = windows.join(earliest, ["w1", "w2"]).where(F.struct("key", "copy", "start") != F.col("earliest"))
+        runs = runs.unionByName(later.select("key", "copy", "start", (F.col("start") + WINDOW).alias("end")))
+    begins = firsts.where("n > 1").select("h", "f", "first")
+    others = occurrences.join(begins, ["h", "f"]).where(F.struct("key", "place") != F.col("first"))
+    start = F.shiftright("place", 8).bitwiseAND(F.lit(0xFFFFFFFF))
+    return runs.unionByName(others.select(
+        "key", F.shiftright("place", 40).cast("int").alias("copy"), start.cast("int").alias("start"),
+        (start + F.col("place").bitwiseAND(F.lit(0xFF)) + (WINDOW - 1)).cast("int").alias("end")))
 
 
 def maximal_repeats(docs: DataFrame) -> DataFrame:
-    """(repeat, length, doc_id, start): all occurrences of every maximal repeat within segments; a repeat of more than a segment is a
-    chain of overlapping ones. Anchors beyond HOT are left to `dedup`."""
-    occurrences, distinct = _parts(_numbered(docs))
-    members = _split_hot(distinct)[0].mapInArrow(_groups, "repeat string, length int, f1 long, f2 long, inner int")
-    found = members.join(occurrences.select("f1", "f2", "key", "start"), ["f1", "f2"])
-    return found.select("repeat", "length", F.when(F.col("key") != _NO_ID, F.col("key")).alias("doc_id"), (F.col("start") + F.col("inner")).alias("start"))
+    """(repeat, length, doc_id, start): all occurrences of every maximal repeat within segments that differ elsewhere; a repeat of more
+    than a segment is a chain of overlapping ones, and segments that are equal throughout are the occurrences of one. Hot anchors are
+    left to `dedup`."""
+    texts = _numbered(docs)
+    occurrences = _occurrences(texts)
+    firsts = _first_ones(occurrences)
+    found = _by_anchor(_fetched(_dealt(texts), firsts, False)).mapInArrow(_groups, "repeat string, length int, h long, f long, inner int")
+    whole = firsts.where("n > 1").select(
+        F.concat_ws(":", "h", "f", F.lit("all")).alias("repeat"), (F.col("first.place").bitwiseAND(F.lit(0xFF)) + (WINDOW - 1)).cast("int").alias("length"), "h", "f",
+        F.lit(0).alias("inner"))
+    start = F.shiftright("place", 8).bitwiseAND(F.lit(0xFFFFFFFF)) + F.col("inner")
+    return found.unionByName(whole).join(occurrences, ["h", "f"]).select(
+        "repeat", "length", F.when(F.col("key") != _NO_ID, F.col("key")).alias("doc_id"), start.cast("int").alias("start"))
 
 
 def _kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,7 +409,8 @@ def _kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes) for every row of `docs`."""
     texts = _numbered(docs)
-    runs = removed_runs(texts).groupBy("key", "copy").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
-    joined = texts.join(runs, ["key", "copy"], "left").select("key", "text", "runs")
+    dealt = _dealt(texts)
+    runs = removed_runs(dealt, texts).groupBy("key", "copy").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
+    joined = dealt.join(runs, ["key", "copy"], "left").select("key", "text", "runs")
     kept = joined.mapInArrow(_kept, "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary")
     return kept.select(F.when(F.col("key") != _NO_ID, F.col("key")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes")
