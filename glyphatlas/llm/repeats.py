@@ -37,7 +37,7 @@ from glyphatlas.session import cut_lineage, shuffle_width
 WINDOW, SEED = 100, 32
 REACH = WINDOW - SEED + 1
 HOT = 20_000
-CHUNK = 4 << 20
+CHUNK = 1 << 19
 _PLACE = np.uint64((1 << 28) - 1)
 _NO_ID = -(1 << 63)
 _FACTOR = 0x9E3779B97F4A7C15
