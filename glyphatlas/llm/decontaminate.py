@@ -188,7 +188,7 @@ def _pass(texts: DataFrame, block: Block, coverage: float, passage: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shipped.value
-        for batch in in_pieces(batches, 4 << 20):
+        for batch in in_pieces(batches, 1 << 19):
             words = BareWords(*utf8(batch.column(1)))
             names = batch.column(0)
             out = []

@@ -87,7 +87,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     """(doc_id, stats array<double>) of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_pieces(batches, 4 << 20):
+        for batch in in_pieces(batches, 1 << 19):
             found = statistics(*utf8(batch.column(1)))
             flat = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), found.shape[1]).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), flat], ["doc_id", "stats"])

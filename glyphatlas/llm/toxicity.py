@@ -291,10 +291,10 @@ def measure(docs: DataFrame, terms: list[str], ordinary: tuple[str, ...] = ()) -
     automaton = Automata(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_pieces(batches, 4 << 20):
+        for batch in in_pieces(batches, 1 << 20):
             found = context_counts(batch.column(1), automaton, ordinary)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(found[c], pa.int64()) for c in ("n_words", "exact", "misspelled", "quoted")], pa.array(found["weight"])],
+                [batch.column(0), *[pa.array(found[c], pa.int64()) for c in ("n_words", "exact", "misspelled", "quoted")], pa.array(found["weight"], pa.float64())],
                 ["doc_id", "n_words", "exact", "misspelled", "quoted", "weight"])
 
     return doc_texts(docs).mapInArrow(run, "doc_id long, n_words long, exact long, misspelled long, quoted long, weight double")
