@@ -135,11 +135,11 @@ def training_links(split):
     return G.adjacency(split.where("split = 'train'").select("from_id", "to_id"))
 
 
-@query("retrofit", f"""WITH {S.TRAINED}, {S.smoothing(2)},
-n AS (SELECT id, sqrt(sum(val * val)) AS n FROM q2 GROUP BY id)
-SELECT id, dim::BIGINT AS dim, round(val / n, 6) + 0.0 AS val FROM q2 JOIN n USING (id)""")
+@query("retrofit", f"""WITH {S.TRAINED}, {S.smoothing(5)},
+n AS (SELECT id, sqrt(sum(val * val)) AS n FROM q5 GROUP BY id)
+SELECT id, dim::BIGINT AS dim, round(val / n, 6) + 0.0 AS val FROM q5 JOIN n USING (id)""")
 def _retrofit(spark, sf):
-    out = M.retrofit(I.vectors(spark, sf), training_links(vector_split(spark, sf)), 0.8, 2)
+    out = M.retrofit(I.vectors(spark, sf), training_links(vector_split(spark, sf)), 0.8, 5)
     return long_vector(out, "id")
 
 
@@ -195,9 +195,9 @@ def _summary(spark, sf):
 _ALPHAS = "0.2, 0.4, 0.6, 0.8, 0.9, 1.0"
 
 
-@query("retrofit_grid", f"""WITH {S.TRAINED}, {S.smoothing(2, _ALPHAS)}, {S.MEMBERS},
-g AS (SELECT 0.0 AS alpha, 0 AS n_iter, id, dim, val FROM q0 UNION ALL SELECT alpha, 1, id, dim, val FROM q1
-  UNION ALL SELECT alpha, 2, id, dim, val FROM q2),
+@query("retrofit_grid", f"""WITH {S.TRAINED}, {S.smoothing(10, _ALPHAS)}, {S.MEMBERS},
+g AS (SELECT 0.0 AS alpha, 0 AS n_iter, id, dim, val FROM q0 UNION ALL SELECT alpha, 5, id, dim, val FROM q5
+  UNION ALL SELECT alpha, 10, id, dim, val FROM q10),
 u AS (SELECT alpha, n_iter, id, list_transform(l, lambda x: x / CASE WHEN z = 0 THEN 1 ELSE z END) AS emb
   FROM (SELECT alpha, n_iter, id, list(val ORDER BY dim) AS l, sqrt(sum(val * val)) AS z FROM g GROUP BY ALL)),
 sim AS (SELECT a.alpha, a.n_iter, p.src, p.dst, a.emb, round(list_dot_product(a.emb, b.emb), 9) AS s FROM pairs p
@@ -218,7 +218,7 @@ SELECT round(f.alpha, 6) AS alpha, f.n_iter::BIGINT AS n_iter, f.n_pairs, round(
   round(f.mrr, 6) AS mrr, round(f.weighted_gap, 6) AS weighted_gap, round(f.mrr - b.mrr, 6) AS delta_mrr,
   round(f.hits_at_10 - b.hits_at_10, 6) AS delta_hits_at_10, round(f.weighted_gap - b.weighted_gap, 6) AS delta_weighted_gap FROM f, b""")
 def _grid(spark, sf):
-    grid = M.retrofit_grid(I.vectors(spark, sf), vector_split(spark, sf), members(spark, sf), n_iters=(1, 2))
+    grid = M.retrofit_grid(I.vectors(spark, sf), vector_split(spark, sf), members(spark, sf))
     shown = ("hits_at_10", "hits_at_100", "mrr", "weighted_gap", "delta_mrr", "delta_hits_at_10", "delta_weighted_gap")
     return grid.select(r6("alpha").alias("alpha"), F.col("n_iter").cast("bigint").alias("n_iter"), "n_pairs",
                        *[r6(c).alias(c) for c in shown])

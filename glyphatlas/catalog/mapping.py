@@ -206,21 +206,19 @@ def _pca(spark, sf):
 
 @query("layout_2d")
 def _layout(spark, sf):
-    return B.layout_2d(B.pca_2d(I.vectors(spark, sf)), B.fuzzy_graph(neighbours(spark, sf)), epochs=10)
+    return B.layout_2d(B.pca_2d(I.vectors(spark, sf)), B.fuzzy_graph(neighbours(spark, sf)))
 
 
 # Connected components of each scale, by the smallest id that can be reached.
 _SCALES = ", ".join(str(q) for q in Y.SCALES)
+_LIMITS = " UNION ALL ".join(f"SELECT {i} AS scale, round((SELECT quantile_cont(core, {q}) FROM core), 9) AS t" for i, q in enumerate(Y.SCALES))
 
 
 def _components_sql(knn: str) -> str:
     return f"""WITH RECURSIVE {knn},
 core AS (SELECT src, max(distance) AS core FROM nn GROUP BY src),
 cut AS (SELECT generate_subscripts([{_SCALES}], 1) - 1 AS scale, unnest([{_SCALES}]) AS q),
-lim AS (SELECT scale, round((SELECT quantile_cont(core, 0.5) FROM core), 9) AS t FROM cut WHERE scale = 0
-  UNION ALL SELECT 1, round((SELECT quantile_cont(core, 0.75) FROM core), 9)
-  UNION ALL SELECT 2, round((SELECT quantile_cont(core, 0.9) FROM core), 9)
-  UNION ALL SELECT 3, round((SELECT quantile_cont(core, 0.97) FROM core), 9)),
+lim AS ({_LIMITS}),
 mr AS (SELECT nn.src, nn.dst, round(greatest(a.core, b.core, distance), 9) AS w FROM nn JOIN core a ON a.src = nn.src JOIN core b ON b.src = nn.dst),
 ed AS (SELECT DISTINCT scale, src, dst FROM (SELECT scale, src, dst FROM mr, lim WHERE w <= t UNION ALL SELECT scale, dst, src FROM mr, lim WHERE w <= t)),
 reach AS (SELECT scale, core.src AS id, core.src AS root FROM core, cut

@@ -16,7 +16,7 @@ from glyphatlas.operators.ranking import exact_quantiles, running_totals
 from glyphatlas.session import cut_lineage
 from glyphatlas.vocab import NOISE
 
-SCALES = (0.5, 0.75, 0.9, 0.97)
+SCALES = (0.25, 0.5, 0.75, 0.9, 0.97)
 
 
 def mutual_reachability(neighbours: DataFrame) -> DataFrame:
