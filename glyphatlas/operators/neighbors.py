@@ -19,6 +19,9 @@ from glyphatlas.vocab import MIN_DIST, N_NEIGHBORS, SPLIT_SEED
 
 MAX_PIVOTS = 1024
 DIST_DIGITS = 9
+# Rows that place the hyperplanes of the approximate search, and the cuts kept ready for leaves that come out too large.
+PLANE_SAMPLE = 10_000
+FURTHER_CUTS = 16
 # All forces on a node are added up in a round, so steps are far smaller than in one-edge-at-a-time descent.
 FIRST_STEP = 0.1
 
@@ -47,6 +50,77 @@ def knn(vectors: DataFrame, k: int = N_NEIGHBORS, metric: str = "cosine", block_
     return ranked.where(F.col("rank") <= k).select("src", "dst", "rank", "distance")
 
 
+def knn_approximate(
+    vectors: DataFrame, k: int = N_NEIGHBORS, metric: str = "cosine", leaf_rows: int = 1024, tables: int = 12, seed: int = SPLIT_SEED,
+) -> DataFrame:
+    """(src, dst, rank, distance) like `knn`, with nearly all of the nearest rows, in work and traffic linear in the rows.
+
+    Every table cuts the space by its own random hyperplanes, through medians of at most PLANE_SAMPLE rows, into leaves of
+    about `leaf_rows`; a leaf that came out larger is cut by further hyperplanes. Rows that share a leaf in any
+    table are compared by one bounded matrix product. Copies are folded first, so no leaf is full of equal rows.
+    """
+    if metric not in ("cosine", "euclidean"):
+        raise ValueError(f"unknown metric {metric!r}")
+    v = doubles(F.col("embedding"))
+    points = cut_lineage(vectors.select("id", (unit(v) if metric == "cosine" else v).alias("v")))
+    distinct = cut_lineage(points.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
+    sizes = distinct.agg(F.count(F.lit(1)).alias("d"), F.sum("n").alias("n"), F.max(F.size("v")).alias("dim")).first()
+    if not sizes["d"]:
+        return _empty_lists(points)
+    depth = max(0, int(np.ceil(np.log2(sizes["d"] / leaf_rows))))
+    planes = np.random.default_rng(seed).normal(size=(tables, depth + FURTHER_CUTS, sizes["dim"]))
+    sample = np.array([r["v"] for r in top_rows(distinct, PLANE_SAMPLE, sample_order(seed)).select("v").collect()])
+    middle = np.median(np.einsum("tcd,nd->tcn", planes, sample), axis=2)
+
+    def side(frames):
+        import pandas as pd
+
+        for f in frames:
+            if len(f):
+                x = np.stack(f["v"].to_numpy())
+                for t in range(tables):
+                    bits = (x @ planes[t].T > middle[t]).astype("int64")
+                    weight = 1 << np.arange(bits.shape[1], dtype="int64")
+                    yield pd.DataFrame({"id": f["id"], "v": f["v"], "leaf": t + tables * (bits[:, :depth] @ weight[:depth]), "more": bits[:, depth:] @ weight[:FURTHER_CUTS]})
+
+    whole = T.LongType()
+    cut = distinct.select("id", "v").mapInPandas(side, T.StructType([
+        *distinct.select("id", "v").schema.fields, T.StructField("leaf", whole), T.StructField("more", whole)]))
+    counts = cut.groupBy("leaf").agg(F.count(F.lit(1)).alias("_n"))  # one row per leaf
+    further = F.least(F.greatest(F.ceil(F.log2(F.col("_n") / leaf_rows)), F.lit(0)), F.lit(FURTHER_CUTS)).cast("int")
+    leaves = cut.join(counts, "leaf").withColumn("more", F.expr("more") % F.pow(F.lit(2), further).cast("bigint")).drop("_n")
+    lists = T.StructType([
+        T.StructField("src", points.schema["id"].dataType), T.StructField("dst", points.schema["id"].dataType), T.StructField("distance", T.DoubleType())])
+
+    def within(f):
+        import pandas as pd
+
+        f = f.sort_values("id")
+        ids, x = f["id"].to_numpy(), np.stack(f["v"].to_numpy())
+        most = min(k, len(ids) - 1)
+        src, dst, dist = [ids[:0]], [ids[:0]], [np.zeros(0)]
+        for at in range(0, len(ids) if most else 0, 512):
+            block = x[at : at + 512]
+            if metric == "cosine":
+                d = np.round(1.0 - block @ x.T, DIST_DIGITS)
+            else:
+                sq = (block**2).sum(1)[:, None] + (x**2).sum(1)[None, :] - 2 * block @ x.T
+                d = np.round(np.sqrt(np.maximum(sq, 0)), DIST_DIGITS)
+            rows = np.arange(len(block))
+            d[rows, rows + at] = np.inf
+            near = np.argpartition(d, most - 1, axis=1)[:, :most]
+            src.append(np.repeat(ids[at : at + 512], most))
+            dst.append(ids[near.ravel()])
+            dist.append(d[rows[:, None], near].ravel())
+        return pd.DataFrame({"src": np.concatenate(src), "dst": np.concatenate(dst), "distance": np.concatenate(dist)})
+
+    near = leaves.groupBy("leaf", "more").applyInPandas(within, lists).groupBy("src", "dst").agg(F.min("distance").alias("distance"))
+    if sizes["d"] < sizes["n"]:
+        near = _hand_to_copies(points, distinct, near, k, metric)
+    ranked = near.withColumn("rank", F.row_number().over(_by_distance("src")).cast("bigint"))
+    return ranked.where(F.col("rank") <= k).select("src", "dst", "rank", "distance")
+
+
 def _by_distance(key: str):
     return W.partitionBy(key).orderBy("distance", "dst")
 

@@ -193,17 +193,18 @@ def smooth(
 
 def place_and_label(
     spark: SparkSession, records: str, vectors: str, out: str, epochs: int = 30, min_size: int = 20, min_clusters: int = 4,
-    flat: bool = True, namer: Callable | None = None,
+    flat: bool = True, namer: Callable | None = None, exact: bool = False,
 ) -> DataFrame:
     """Lay the vectors out in two dimensions, cluster, name, and publish `out`/{coords, labels}; returns the
-    label summary. With `flat` the positions are clustered, else the vectors themselves."""
+    label summary. With `flat` the positions are clustered, else the vectors themselves. The neighbours of
+    the vectors come from the approximate search, whose work is linear, unless `exact` is asked for."""
     points = spark.read.parquet(vectors).select("id", "embedding")
-    near = cut_lineage(B.knn(points))
+    near = cut_lineage(B.knn(points) if exact else B.knn_approximate(points))
     place = B.layout_2d(B.pca_2d(points), B.fuzzy_graph(near), epochs)
     publish_snapshot(place, f"{out}/coords")
     coords = spark.read.parquet(f"{out}/coords")
     if flat:
-        near = B.knn(coords.select("id", F.array("x", "y").alias("embedding")), metric="euclidean")
+        near = (B.knn if exact else B.knn_approximate)(coords.select("id", F.array("x", "y").alias("embedding")), metric="euclidean")
     layers = cut_lineage(Y.density_layers(near, min_size, min_clusters))
     docs = spark.read.parquet(records).select("id", C.topic_doc().alias("text"))
     texts = layers.where("cluster_id >= 0").join(docs, "id")

@@ -63,6 +63,25 @@ def test_knn_on_few_rows(spark):
     assert B.knn(frame(spark, np.eye(3)).where("false")).count() == 0
 
 
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_approximate_lists_hold_nearly_all_neighbours(spark, metric):
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(60, 24)) * 4
+    q = np.concatenate([centres[i % 60] + draw.normal(size=24) for i in range(3000)]).reshape(-1, 24)
+    q[2900:] = q[:100]  # copies
+    df = frame(spark, q)
+    got, want = lists(B.knn_approximate(df, 10, metric, leaf_rows=256)), lists(B.knn(df, 10, metric))
+    hits = sum(len({j for j, _ in got[i]} & {j for j, _ in want[i]}) for i in want)
+    assert hits / sum(map(len, want.values())) >= 0.95
+    assert all(len(x) == 10 for x in got.values())
+
+
+def test_approximate_lists_of_few_rows(spark):
+    assert B.knn_approximate(frame(spark, np.zeros((0, 3))), 3).count() == 0
+    q = np.random.default_rng(1).normal(size=(40, 5))
+    assert lists(B.knn_approximate(frame(spark, q), 5)) == lists(B.knn(frame(spark, q), 5))
+
+
 def test_memberships_sum_to_the_target(spark):
     q = np.random.default_rng(13).normal(size=(50, 6))
     near = B.knn(frame(spark, q), 8)
