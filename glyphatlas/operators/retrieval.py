@@ -1,36 +1,23 @@
-"""Ranking of targets among all vectors, by blocks.
+"""Ranking of targets among all vectors.
 
-Queries and vectors are hashed into blocks of bounded size; each pair of blocks is one matrix product in an
-Arrow worker, which returns one count per query. Similarities are never rows, and no key decides a block's
-size, so a node with very many edges does not make a large group.
+The vectors stay where they are. Queries are shipped to the tasks in chunks of at most CHUNK_BYTES, whose size is counted
+first; a task multiplies its vectors with a chunk and returns one count per query. Similarities are never rows, no vector is
+copied, and a node with very many edges makes no large group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glyphatlas.functions.vectors import dot, doubles
 from glyphatlas.session import cut_lineage
 
-BLOCK_ROWS = 4096
+CHUNK_BYTES = 32 << 20
 SIM_DIGITS = 9
 
 
-def block_count(rows: int, block_rows: int = BLOCK_ROWS) -> int:
-    return max(1, -(-rows // block_rows))
-
-
-def cross_blocks(left: DataFrame, right: DataFrame, left_key: list[str], right_key: list[str], n_left: int, n_right: int):
-    """Tag rows with (_lb, _rb) so that every left block meets every right block in exactly one group."""
-    lb = F.pmod(F.xxhash64(*left_key), F.lit(n_left)).cast("int")
-    rb = F.pmod(F.xxhash64(*right_key), F.lit(n_right)).cast("int")
-    left = left.withColumn("_lb", lb).withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(n_right - 1))))
-    right = right.withColumn("_rb", rb).withColumn("_lb", F.explode(F.sequence(F.lit(0), F.lit(n_left - 1))))
-    return left, right
-
-
 def hits_at_k(vectors: DataFrame, pairs: DataFrame, ks=(10, 100), by: tuple[str, ...] = ()) -> DataFrame:
     """(by..., n_pairs, hits_at_k..., mrr) of finding `dst` among all other vectors, nearest to `src` first.
 
@@ -54,31 +41,44 @@ def target_ranks(vectors: DataFrame, pairs: DataFrame, by: tuple[str, ...] = ())
     target = F.round(dot(F.col("sv"), F.col("tv")), SIM_DIGITS)
     asked = pairs.join(first, "src").join(second, [*by, "dst"]).select(*by, "src", "dst", "sv", target.alias("target"))
     asked = cut_lineage(asked)
-    n_by = points.select(*by).distinct().count() if by else 1
-    left, right = cross_blocks(
-        asked, points, ["src", "dst"], ["id"],
-        block_count(asked.count() // max(n_by, 1)), block_count(points.count() // max(n_by, 1)))
-    keys = [*by, "_lb", "_rb"]
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("sv")).alias("dim")).first()
+    n_chunks = -(-size["n"] * 8 * ((size["dim"] or 0) + 4) // CHUNK_BYTES)
     schema = T.StructType([asked.schema[c] for c in (*by, "src", "dst")] + [T.StructField("above", T.LongType())])
+    counted = asked.select(*by, "src", "dst", F.lit(0).cast("long").alias("above")).where("false")
+    for c in range(n_chunks):
+        # hashed to chunks of like size
+        chunk = asked.where(F.pmod(F.xxhash64("src", "dst"), F.lit(n_chunks)) == c).toPandas()
+        counted = counted.unionByName(points.mapInPandas(_count_above(chunk, by, points.sparkSession), schema))
+    return counted.groupBy(*by, "src", "dst").agg((F.sum("above") + 1).alias("rank"))
 
-    def count_above(q, c):
-        import numpy as np
-
-        out = q[[*by, "src", "dst"]].copy()
-        if len(q) == 0 or len(c) == 0:
-            out["above"] = 0
-            return out
-        ids = c["id"].to_numpy()
-        corpus = np.stack(c["v"].to_numpy())
-        above = np.zeros(len(q), dtype=np.int64)
-        for at in range(0, len(q), 1024):
-            part = slice(at, at + 1024)
-            sims = np.round(np.stack(q["sv"].to_numpy()[part]) @ corpus.T, SIM_DIGITS)
-            nearer = sims > q["target"].to_numpy()[part][:, None]
-            nearer &= q["src"].to_numpy()[part][:, None] != ids[None, :]
-            above[part] = nearer.sum(axis=1)
-        out["above"] = above
-        return out
 
-    counted = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(count_above, schema)
-    return counted.groupBy(*by, "src", "dst").agg((F.sum("above") + 1).alias("rank"))
+def _count_above(chunk, by: tuple[str, ...], spark: SparkSession):
+    """For every query of the chunk, how many vectors of a task are nearer than its target."""
+    import numpy as np
+
+    groups = chunk.groupby(list(by), dropna=False, sort=False) if by else [((), chunk)]
+    queries = {
+        tuple(np.atleast_1d(np.array(key, dtype=object)).tolist()): (q[[*by, "src", "dst"]], q["src"].to_numpy(), q["target"].to_numpy(), np.stack(q["sv"].to_numpy()))
+        for key, q in groups if len(q)}
+    shipped = spark.sparkContext.broadcast(queries)
+
+    def run(frames):
+        above = {}
+        for f in frames:
+            for key, part in f.groupby(list(by), dropna=False, sort=False) if by else [((), f)]:
+                key = tuple(np.atleast_1d(np.array(key, dtype=object)).tolist())
+                if key not in shipped.value or not len(part):
+                    continue
+                _, src, target, sv = shipped.value[key]
+                ids, corpus = part["id"].to_numpy(), np.stack(part["v"].to_numpy())
+                total = above.setdefault(key, np.zeros(len(src), dtype=np.int64))
+                for at in range(0, len(src), 1024):
+                    spot = slice(at, at + 1024)
+                    nearer = np.round(sv[spot] @ corpus.T, SIM_DIGITS) > target[spot][:, None]
+                    total[spot] += (nearer & (src[spot][:, None] != ids[None, :])).sum(axis=1)
+        for key, total in above.items():
+            out = shipped.value[key][0].copy()
+            out["above"] = total
+            yield out
+
+    return run
