@@ -10,7 +10,7 @@
 Documents stay where they are. The benchmark is read in blocks of at most `BLOCK_WORDS` words, each shipped to the
 tasks, one pass over the documents per block: what is shipped has a bound and any size of benchmark is covered.
 
-Words are lowered (A-Z) and lose ASCII punctuation at their ends. Null or empty texts match nothing; items of fewer than
+Words are lowered and lose ASCII punctuation at their ends. Null or empty texts match nothing; items of fewer than
 `MIN_TILE` words have no seeds and match nothing; repeated items and documents are reported each. Empty tables give no rows.
 """
 
@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,7 +145,7 @@ class Block:
 
 def load_block(items: pa.Table) -> Block:
     """The block of (item_id, text) rows."""
-    data, offsets = utf8(items.column(1))
+    data, offsets = utf8(pc.utf8_lower(items.column(1)))
     words = BareWords(data, offsets)
     row, seeds = words.shingles(MIN_TILE)
     pair = np.unique(np.stack([seeds, row.astype(np.uint64)]), axis=1)
@@ -189,7 +190,7 @@ def _pass(texts: DataFrame, block: Block, coverage: float, passage: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shipped.value
         for batch in in_pieces(batches, 1 << 19):
-            words = BareWords(*utf8(batch.column(1)))
+            words = BareWords(*utf8(pc.utf8_lower(batch.column(1))))
             names = batch.column(0)
             out = []
             for row, item in candidates(*words.shingles(MIN_TILE), block).T.tolist():

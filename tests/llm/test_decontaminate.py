@@ -46,15 +46,15 @@ def benchmark(spark, rows):
 
 
 def test_finds_copies_reordered_passages_and_nothing_else(spark, monkeypatch):
-    items = [(i, prose(700 + i, 40)) for i in range(8)] + [(20, "four words are few"), (21, None), (22, prose(702, 40)), (23, prose(900, 150))]
+    items = [(i, prose(700 + i, 40)) for i in range(8)] + [(20, "four words are few"), (21, None), (24, "Élan où naît l'été à Évian, çà et là"), (22, prose(702, 40)), (23, prose(900, 150))]
     words = [t.split() for _, t in items[:8]]
     shuffled = words[1][20:] + ["between", "them"] + words[1][:20]
     third = words[3][:12]
     docs = [
         (1, prose(1, 50) + " " + items[0][1].upper() + " " + prose(2, 50)), (2, " ".join(prose(3, 20).split() + shuffled)), (3, " ".join(third) + " " + prose(4, 80)),
-        (4, prose(5, 100)), (5, items[2][1] + "\n" + prose(6, 10)), (6, items[4][1].replace(" ", ", ")), (7, "four words are few " + prose(7, 30)), (8, " ".join(prose(900, 150).split()[:60])),
+        (4, prose(5, 100)), (5, items[2][1] + "\n" + prose(6, 10)), (6, items[4][1].replace(" ", ", ")), (7, "four words are few " + prose(7, 30)), (8, " ".join(prose(900, 150).split()[:60])), (9, "ÉLAN OÙ NAÎT L'ÉTÉ À ÉVIAN, ÇÀ ET LÀ!! " + prose(8, 30)),
     ]
-    want = {(1, 0), (2, 1), (5, 2), (5, 22), (6, 4), (8, 23)}
+    want = {(1, 0), (2, 1), (5, 2), (5, 22), (6, 4), (8, 23), (9, 24)}
     got = dc.leaks(texts(spark, docs), benchmark(spark, items)).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == want
     assert {r["n_tiles"] for r in got if r["doc_id"] == 2} == {2}
