@@ -40,7 +40,7 @@ def keep_ids(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFra
 def utf8(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column in one piece, and the offset where each row begins (one more for the end)."""
     if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks) if column.num_chunks != 1 else column.chunk(0)
+        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.string())
     column = column.cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
     data = column.buffers()[2]
