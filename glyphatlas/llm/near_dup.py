@@ -2,15 +2,17 @@
 
 1. A document is the set of its distinct `k`-word shingles. Equal sets are one class from the start (a digest of the set,
    grouped with the smallest doc_id), so a group of copies is one row from here on.
-2. A signature holds `CHUNKS` * `PER_CHUNK` minima of `BITS` bits. Two signatures that differ in at most `GUARANTEED` values
+2. A signature holds `CHUNKS` * `PER_CHUNK` minima of `BITS` bits, a chunk in one long. Two signatures that differ in at most `GUARANTEED` values
    have, by pigeonhole, a chunk with at most one wrong value: all keys of a chunk with one value left out are
    enumerated, and such a pair shares a key. With 7 chunks of 4 values, sets at a similarity of 0.85 share no key with a
    probability of 2e-7, at 0.8 of 6e-6.
-3. Within a key, members are not paired with each other: each is compared with the key's hub, the member that shares
-   keys with most others. Links are confirmed on the full sets, and linked classes contracted to components.
-4. What is left: members of a key outside the hub's component are compared with the members of other components whose
-   signatures differ in at most `FARTHEST` values. Large keys are split before that by the same pigeonhole argument over
-   the other chunks, so no link between two components is given up.
+3. Within a key, members are not paired with each other: each is compared with a hub of the key, at first the member that
+   shares keys with most others, then, where components still differ, a member drawn anew for every key. Pairs whose
+   signatures differ in at most `FARTHEST` values are confirmed on the full sets, and linked classes contracted.
+4. What is left: members of a key outside its first hub's component are compared with all members of other components, each
+   pair in the first key that it shares. A second signature of `LONG_VALUES` short minima tells which of them are worth
+   the full sets: sets at the asked similarity differ in more than `_farthest` of them with a probability of at most
+   `LONG_MISS`. So no link between two components is given up, and families of texts that fall just short cost little.
 
 Defined results: documents without words, and rows without doc_id, are linked with nothing and kept; texts of fewer than `k`
 words are one shingle of all their words; rows that share a doc_id share a component; of equal sets the smallest doc_id
@@ -20,7 +22,7 @@ stays. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +33,21 @@ from glyphatlas.llm.common import MIX, Words, doc_texts, in_pieces, keep_ids, mi
 from glyphatlas.operators.components import contract
 from glyphatlas.session import cut_lineage
 
-CHUNKS, PER_CHUNK, BITS = 7, 4, 16
+CHUNKS, PER_CHUNK, BITS = 7, 4, 14
 VALUES = CHUNKS * PER_CHUNK
 GUARANTEED = 2 * CHUNKS - 1
 FARTHEST = 16
-LARGE_KEY = 1_000
-_TURNS = mixed(np.arange(1, VALUES + 1).astype(np.uint64) * MIX) | np.uint64(1)
+DRAWN_ROUNDS = 1
+# A value has BITS bits and one spare, so that adding ONES carries into the spare bit unless the value is 0.
+LANE = BITS + 1
+ONES = sum(((1 << BITS) - 1) << (LANE * i) for i in range(PER_CHUNK))
+SPARE = sum(1 << (LANE * i + BITS) for i in range(PER_CHUNK))
+SIG = [f"s{c}" for c in range(CHUNKS)]
+LONG_VALUES, LONG_BITS, LONG_EACH, LONG_MISS = 98, 7, 7, 2e-6
+LONG_ONES = sum(((1 << LONG_BITS) - 1) << ((LONG_BITS + 1) * i) for i in range(LONG_EACH))
+LONG_SPARE = sum(1 << ((LONG_BITS + 1) * i + LONG_BITS) for i in range(LONG_EACH))
+LONG = [f"l{c}" for c in range(LONG_VALUES // LONG_EACH)]
+_TURNS = mixed(np.arange(1, VALUES + LONG_VALUES + 1).astype(np.uint64) * MIX) | np.uint64(1)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,69 +70,98 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, sig): two digests of the set and its signature, null without words."""
+    """(doc_id, n_shingles, d1, d2, s0, s1, ..., l0, l1, ...): two digests of the set, and its signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_pieces(batches, 4 << 20):
+        for batch in in_pieces(batches, 1 << 19):
             rows = batch.num_rows
             row, shingle = shingle_sets(*utf8(batch.column(1)), k)
             n = np.bincount(row, minlength=rows)
             full = np.flatnonzero(n)
             begin = (np.cumsum(n) - n)[full]
             d1, d2 = np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)
-            sig = np.zeros((rows, VALUES), np.int32)
+            sig = np.zeros((CHUNKS + len(LONG), rows), np.int64)
             if len(full):
                 d1[full] = np.add.reduceat(shingle, begin)
                 d2[full] = np.bitwise_xor.reduceat(mixed(shingle), begin)
                 for i, turn in enumerate(_TURNS):
                     low = np.minimum.reduceat(shingle * turn, begin)
-                    sig[full, i] = mixed(low) >> np.uint64(64 - BITS)
-            flat = pa.FixedSizeListArray.from_arrays(pa.array(sig.ravel()), VALUES).cast(pa.list_(pa.int32()))
+                    if i < VALUES:
+                        value = (mixed(low) >> np.uint64(64 - BITS)).astype(np.int64)
+                        sig[i // PER_CHUNK, full] |= value << (LANE * (i % PER_CHUNK))
+                    else:
+                        value = (mixed(low) >> np.uint64(64 - LONG_BITS)).astype(np.int64)
+                        sig[CHUNKS + (i - VALUES) // LONG_EACH, full] |= value << ((LONG_BITS + 1) * ((i - VALUES) % LONG_EACH))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), flat],
-                ["doc_id", "n_shingles", "d1", "d2", "sig"])
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), *map(pa.array, sig)],
+                ["doc_id", "n_shingles", "d1", "d2", *SIG, *LONG])
 
-    return doc_texts(docs).mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, sig array<int>")
+    return doc_texts(docs).mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, " + ", ".join(f"{c} long" for c in SIG + LONG))
 
 
 def _keys() -> Column:
-    """Every chunk with every single value left out."""
+    """(slot, key): every chunk with every single value left out."""
     out = []
     for c in range(CHUNKS):
-        places = range(c * PER_CHUNK, (c + 1) * PER_CHUNK)
-        out += [F.xxhash64(F.lit(left_out), *[F.col("sig")[i] for i in places if i != left_out]) for left_out in places]
-    return F.explode(F.array(*out))
+        for left_out in range(PER_CHUNK):
+            rest = (1 << (LANE * PER_CHUNK)) - 1 - (((1 << LANE) - 1) << (LANE * left_out))
+            out.append(F.xxhash64(F.lit(c * PER_CHUNK + left_out), F.col(SIG[c]).bitwiseAND(F.lit(rest))))
+    return F.posexplode(F.array(*out)).alias("slot", "key")
 
 
-def _finer_keys() -> Column:
-    """Within a key: every other chunk with every pair of values left out. Of two signatures that differ in at most
-    `GUARANTEED` values, some chunk but the key's own has at most two wrong ones."""
-    out = []
-    for c in range(CHUNKS):
-        places = range(c * PER_CHUNK, (c + 1) * PER_CHUNK)
-        for left_out in combinations(places, 2):
-            name = F.lit(left_out[0] * VALUES + left_out[1])
-            out.append(F.xxhash64("key", name, *[F.col("sig")[i] for i in places if i not in left_out]))
-    return F.explode(F.array(*out))
+def _alike(percent: int) -> Column:
+    """Whether the sizes of the members x and y allow the similarity."""
+    return (100 * F.col("x_n") >= percent * F.col("y_n")) & (100 * F.col("y_n") >= percent * F.col("x_n"))
+
+
+def _wrong(c: str) -> Column:
+    """How many values of a chunk differ between the members x and y."""
+    return F.bit_count((F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}")) + F.lit(ONES)).bitwiseAND(F.lit(SPARE)))
+
+
+def _near() -> Column:
+    """Whether the signatures of the members x and y differ in at most FARTHEST values."""
+    return sum((_wrong(c) for c in SIG[1:]), _wrong(SIG[0])) <= FARTHEST
+
+
+def _farthest(percent: int) -> int:
+    """The largest distance of the second signatures at which sets of the similarity are still expected."""
+    p = (1 - percent / 100) * (1 - 2.0 ** -LONG_BITS)
+    most, beyond = LONG_VALUES, 0.0
+    while most > 0:
+        beyond += comb(LONG_VALUES, most) * p ** most * (1 - p) ** (LONG_VALUES - most)
+        if beyond > LONG_MISS:
+            break
+        most -= 1
+    return most
+
 
+def _long_near(percent: int) -> Column:
+    each = [F.bit_count((F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}")) + F.lit(LONG_ONES)).bitwiseAND(F.lit(LONG_SPARE))) for c in LONG]
+    return sum(each[1:], each[0]) <= _farthest(percent)
 
-def _alike(a: str, b: str, percent: int) -> Column:
-    """Whether the sizes allow the similarity."""
-    return (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
 
+def _first_shared() -> Column:
+    """Whether the key of column `slot` is the first that the members x and y share: no chunk before has fewer than two wrong values,
+    and of the keys of a chunk without wrong ones it is the first."""
+    out, before = F.lit(False), F.lit(True)
+    for i, c in enumerate(SIG):
+        here = (F.floor(F.col("slot") / PER_CHUNK) == i) & ((_wrong(c) == 1) | (F.col("slot") % PER_CHUNK == 0))
+        out = out | (here & before)
+        before = before & (_wrong(c) > 1)
+    return out
 
-def _near(a: str, b: str) -> Column:
-    wrong = F.lit(0)
-    for i in range(VALUES):
-        wrong = wrong + F.when(F.col(a)[i] != F.col(b)[i], 1).otherwise(0)
-    return wrong <= FARTHEST
+
+def _as(member: str, frame: DataFrame, *more: str) -> DataFrame:
+    """The columns of a member, with its name in front."""
+    return frame.select(*more, *[F.col(c).alias(f"{member}_{'n' if c == 'n_shingles' else c}") for c in ("rep", "n_shingles", *SIG, *LONG) if c in frame.columns])
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(rep, shingles): the sorted hashes of the sets of the wanted documents, as one binary value."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_pieces(batches, 4 << 20):
+        for batch in in_pieces(batches, 1 << 19):
             row, shingle = shingle_sets(*utf8(batch.column(1)), k)
             ends = np.cumsum(np.bincount(row, minlength=batch.num_rows))
             parts = [np.sort(shingle[a:b]).tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
@@ -149,59 +189,70 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
-def _ordered(pairs: DataFrame, one: str, other: str) -> DataFrame:
-    return pairs.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).where("a < b").distinct()
+def _distinct_pairs(found: DataFrame) -> DataFrame:
+    return found.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).where("a < b").distinct()
+
+
+def _with_roots(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return members.withColumn("root", F.col("rep"))
+    return members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+
+
+def _hub_pairs(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a member and the hub of one of its keys, in different components and near enough."""
+    centre = hubs.join(labelled.select(F.col("rep").alias("hub"), F.col("root").alias("hub_root")).distinct(), "hub")
+    apart = labelled.join(centre, "key").where("root <> hub_root").select(F.col("rep").alias("x_rep"), F.col("hub").alias("y_rep")).distinct()
+    short = classes.select("rep", "n_shingles", *SIG)
+    sized = apart.join(_as("x", short), "x_rep").join(_as("y", short), "y_rep")
+    return _distinct_pairs(sized.where(_alike(percent) & _near()))
+
+
+def _left_over(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a key and lie in different components, one of them outside the component of the key's hub."""
+    centre = hubs.join(labelled.select(F.col("rep").alias("hub"), F.col("root").alias("hub_root")).distinct(), "hub")
+    minor = labelled.join(centre, "key").where("root <> hub_root").select("key", "slot", "rep", "root")
+    open_keys = minor.select("key").distinct()
+    one = _as("x", minor.join(classes, "rep"), "key", "slot", F.col("root").alias("x_root"))
+    two = _as("y", labelled.join(open_keys, "key", "left_semi").join(classes, "rep"), "key", F.col("root").alias("y_root"))
+    return _distinct_pairs(one.join(two, "key").where((F.col("x_root") != F.col("y_root")) & _alike(percent) & _near() & _long_near(percent) & _first_shared()))
 
 
 def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of `docs`."""
     signed = cut_lineage(signatures(docs, k))
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = cut_lineage(usable.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")))
-    keyed = classes.select("rep", "n_shingles", "sig", _keys().alias("key"))
+    classes = cut_lineage(usable.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"), *[F.min(c).alias(c) for c in SIG + LONG]))
+    member = classes.groupBy("rep").agg(F.min("n_shingles").alias("n_shingles"), *[F.min(c).alias(c) for c in SIG + LONG])
+    keyed = classes.select("rep", _keys())
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     # AQE splits a key that holds many rows; the counts are one row per key
-    members = cut_lineage(keyed.select("key", "rep").join(shared, "key"))
+    members = cut_lineage(keyed.join(shared, "key").select("key", "slot", "rep", "members"))
     degree = members.groupBy("rep").agg(F.sum("members").alias("degree"))
     ranked = members.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("minus"))).alias("best"))
     hubs = cut_lineage(ranked.select("key", (-F.col("best.minus")).alias("hub")))
-    candidates = cut_lineage(_ordered(members.join(hubs, "key"), "rep", "hub"))
-    sizes = classes.select("rep", "n_shingles")
-    sized = candidates.join(sizes.withColumnsRenamed({"rep": "a", "n_shingles": "na"}), "a").join(sizes.withColumnsRenamed({"rep": "b", "n_shingles": "nb"}), "b")
     sets = cut_lineage(full_sets(docs, members.select("rep").distinct(), k).groupBy("rep").agg(F.max("shingles").alias("shingles")))
-    links = cut_lineage(confirmed(sized.where(_alike("na", "nb", percent)).select("a", "b"), sets, percent))
-    roots = cut_lineage(contract(links))
-    rest = confirmed(_left_over(members, hubs, classes, roots, percent).join(candidates, ["a", "b"], "left_anti"), sets, percent)
-    more = cut_lineage(rest)
-    if not more.isEmpty():
-        roots = cut_lineage(contract(links.unionByName(more)))
-    named = classes.select("n_shingles", "d1", "d2", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("n_shingles", "d1", "d2", F.coalesce("root", "rep").alias("class_root"))
-    # rows that share a doc_id share the smallest component
+    links, roots = None, None
+    for turn in range(DRAWN_ROUNDS + 2):
+        labelled = cut_lineage(_with_roots(members, roots))
+        if turn == 0:
+            pairs = _hub_pairs(labelled, hubs, member, percent)
+        elif turn <= DRAWN_ROUNDS:
+            drawn = F.min(F.struct(F.xxhash64("key", "rep", F.lit(turn)).alias("draw"), "rep"))
+            pairs = _hub_pairs(labelled, labelled.groupBy("key").agg(drawn.alias("d")).select("key", F.col("d.rep").alias("hub")), member, percent)
+        else:
+            pairs = _left_over(labelled, hubs, member, percent)
+        found = cut_lineage(confirmed(pairs, sets, percent))
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            roots = cut_lineage(contract(links))
+    named = _with_roots(classes.select("n_shingles", "d1", "d2", "rep"), roots).select("n_shingles", "d1", "d2", F.col("root").alias("class_root"))
     found = signed.select("doc_id", "n_shingles", "d1", "d2").join(named, ["n_shingles", "d1", "d2"], "left")
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0) | F.col("class_root").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.least("class_root", "doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _left_over(members: DataFrame, hubs: DataFrame, classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share a key and lie in different components, at least one of them not in the hub's."""
-    labelled = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    hub_root = hubs.join(roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root")), "hub", "left")
-    labelled = labelled.join(hub_root.select("key", F.coalesce("hub_root", "hub").alias("hub_root")), "key")
-    labelled = labelled.withColumn("minor", F.col("root") != F.col("hub_root"))
-    open_keys = labelled.where("minor").groupBy("key").agg(F.count(F.lit(1)).alias("minors"))
-    full = labelled.join(open_keys, "key").join(classes.select("rep", "n_shingles", "sig"), "rep")
-    full = cut_lineage(full.select("key", "rep", "root", "minor", "n_shingles", "sig", (F.col("minors") * F.col("members") > LARGE_KEY ** 2).alias("large")))
-    small = full.where("NOT large")
-    finer = full.where("large").withColumn("finer", _finer_keys()).withColumn("key", F.col("finer"))
-    spread = small.select("key", "rep", "root", "minor", "n_shingles", "sig").unionByName(finer.select("key", "rep", "root", "minor", "n_shingles", "sig"))
-    one = spread.where("minor").select("key", *[F.col(c).alias(f"{c}_1") for c in ("rep", "root", "n_shingles", "sig")])
-    two = spread.select("key", *[F.col(c).alias(f"{c}_2") for c in ("rep", "root", "n_shingles", "sig")])
-    test = (F.col("root_1") != F.col("root_2")) & _alike("n_shingles_1", "n_shingles_2", percent) & _near("sig_1", "sig_2")
-    return _ordered(one.join(two, "key").where(test), "rep_1", "rep_2")
-
-
 def first_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` that stay, with all their columns: one document of each component. A doc_id stays in one row."""
     kept = components(docs, k, percent).where("kept").select("doc_id").where("doc_id IS NOT NULL")
