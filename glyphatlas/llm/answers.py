@@ -92,8 +92,8 @@ sets AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transfor
 sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
 pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
 links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
-both AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
-reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN both l ON r.b = l.a),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN ways l ON r.b = l.a),
 root AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN root USING (doc_id) LEFT JOIN sizes USING (doc_id)
