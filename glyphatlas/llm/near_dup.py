@@ -7,12 +7,12 @@
    enumerated, and such a pair shares a key. With 7 chunks of 4 values, sets at a similarity of 0.85 share no key with a
    probability of 2e-7, at 0.8 of 6e-6.
 3. Within a key, members are not paired with each other: each is compared with a hub of the key, at first the member that
-   shares keys with most others, then, where components still differ, a member drawn anew for every key. Pairs whose
-   signatures differ in at most `FARTHEST` values are confirmed on the full sets, and linked classes contracted.
-4. What is left: members of a key outside its first hub's component are compared with all members of other components, each
-   pair in the first key that it shares. A second signature of `LONG_VALUES` short minima tells which of them are worth
-   the full sets: sets at the asked similarity differ in more than `_farthest` of them with a probability of at most
-   `LONG_MISS`. So no link between two components is given up, and families of texts that fall just short cost little.
+   shares keys with most others, then, where components still differ, a member drawn anew for every key. A second
+   signature of `LONG_VALUES` short minima tells which pairs are worth the full sets: sets at the asked similarity differ in more
+   than `_farthest` of them with a probability of at most `LONG_MISS`. Confirmed links are contracted to components.
+4. What is left: members of a key outside its first hub's component are compared with all members of other components by both
+   signatures, each pair in the first key that it shares. So no link between two components is given up, and families
+   of texts that fall just short cost little.
 
 Defined results: documents without words, and rows without doc_id, are linked with nothing and kept; texts of fewer than `k`
 words are one shingle of all their words; rows that share a doc_id share a component; of equal sets the smallest doc_id
@@ -43,7 +43,7 @@ LANE = BITS + 1
 ONES = sum(((1 << BITS) - 1) << (LANE * i) for i in range(PER_CHUNK))
 SPARE = sum(1 << (LANE * i + BITS) for i in range(PER_CHUNK))
 SIG = [f"s{c}" for c in range(CHUNKS)]
-LONG_VALUES, LONG_BITS, LONG_EACH, LONG_MISS = 98, 7, 7, 2e-6
+LONG_VALUES, LONG_BITS, LONG_EACH, LONG_MISS = 196, 7, 7, 2e-6
 LONG_ONES = sum(((1 << LONG_BITS) - 1) << ((LONG_BITS + 1) * i) for i in range(LONG_EACH))
 LONG_SPARE = sum(1 << ((LONG_BITS + 1) * i + LONG_BITS) for i in range(LONG_EACH))
 LONG = [f"l{c}" for c in range(LONG_VALUES // LONG_EACH)]
@@ -203,9 +203,9 @@ def _hub_pairs(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, percent
     """Pairs (a, b) of a member and the hub of one of its keys, in different components and near enough."""
     centre = hubs.join(labelled.select(F.col("rep").alias("hub"), F.col("root").alias("hub_root")).distinct(), "hub")
     apart = labelled.join(centre, "key").where("root <> hub_root").select(F.col("rep").alias("x_rep"), F.col("hub").alias("y_rep")).distinct()
-    short = classes.select("rep", "n_shingles", *SIG)
+    short = classes.select("rep", "n_shingles", *LONG)
     sized = apart.join(_as("x", short), "x_rep").join(_as("y", short), "y_rep")
-    return _distinct_pairs(sized.where(_alike(percent) & _near()))
+    return _distinct_pairs(sized.where(_alike(percent) & _long_near(percent)))
 
 
 def _left_over(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
