@@ -16,6 +16,8 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,19 +53,22 @@ REPORT = (
 
 
 class Automaton:
-    """Deterministic table over letters a-z, and one class for any other character.
+    """Deterministic table over the letters a-z, every other character of the terms, and one class for all that stand in no term.
 
-    A state stands for a set of (trie node, letter that is still to come of two that changed places, edits spent); `distance[state]` is the smallest number of edits to a term
+    Classes are 0-25 for a-z, 26 for characters of no term, and 27 onwards for `letters`, the other characters of all terms;
+    `column` leads from these classes to the columns of the table, which has the characters of its own terms only. A state stands for a set of (trie node, letter that is still to come of two that changed places, edits spent); `distance[state]` is the smallest number of edits to a term
     that the word read so far is within, or 9. State 0 is dead, state 1 the start.
     """
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], letters: str = ""):
+        own = sorted({c for term in terms for c in term if not "a" <= c <= "z"})
+        column = {c: 27 + i for i, c in enumerate(own)} | {chr(97 + i): i for i in range(26)}
         children: list[dict[int, int]] = [{}]
         end: list[int] = [-1]
         for term in terms:
             node = 0
             for c in term:
-                k = ord(c) - 97 if "a" <= c <= "z" else 26
+                k = column[c]
                 if k not in children[node]:
                     children[node][k] = len(children)
                     children.append({})
@@ -94,18 +99,26 @@ class Automaton:
                     yield (node, -1), e
                 return
             for letter, child in children[node].items():
-                yield (child, -1), e + (letter != k or k == 26)
-                if letter != k and k in children[child] and k < 26:
+                yield (child, -1), e + (letter != k)
+                if letter != k and k in children[child]:
                     yield (children[child][k], letter), e + 1
             yield (node, -1), e + 1
 
+        def told_apart(state: frozenset) -> set[int]:
+            """The letters that lead elsewhere than a character of no term."""
+            known = {due for (_, due), _ in state if due >= 0}
+            for (node, due), _ in state:
+                if due < 0:
+                    known.update(children[node], *(children[child] for child in children[node].values()))
+            return known
+
         start = settled({(0, -1): 0}) if terms else frozenset()
         number = {frozenset(): 0, start: 1}
-        table, distance = [[0] * 27], [9]
+        table, distance = [[0] * (27 + len(own))], [9]
         queue = [start]
         for state in queue:
-            row = []
-            for k in range(27):
+            row = [0] * (27 + len(own))
+            for k in (26, *sorted(told_apart(state))):
                 found: dict[tuple[int, int], int] = {}
                 for (node, due), e in state:
                     for to, cost in steps(node, due, e, k):
@@ -115,9 +128,12 @@ class Automaton:
                 if goal not in number:
                     number[goal] = len(number)
                     queue.append(goal)
-                row.append(number[goal])
+                if k == 26:
+                    row = [number[goal]] * len(row)
+                row[k] = number[goal]
             table.append(row)
             distance.append(min([9, *(e for (node, due), e in state if due < 0 and e <= end[node])]))
+        self.column = np.array([*range(27), *(column.get(c, 26) for c in letters)], np.int32)
         self.table = np.array(table, np.int32)
         self.distance = np.array(distance, np.int8)
 
@@ -132,7 +148,7 @@ class Automaton:
             out[alive[done]] = self.distance[state[done]]
             go = ~done
             alive, at, left = alive[go], at[go], left[go]
-            state = self.table[state[go], letters[at]]
+            state = self.table[state[go], self.column[letters[at]]]
             go = state > 0
             alive, at, left, state = alive[go], at[go] + 1, left[go] - 1, state[go]
         return out
@@ -144,7 +160,20 @@ class Automata:
 
     def __init__(self, terms: list[str]):
         terms = sorted(set(terms))
-        self.parts = [Automaton(terms[i:i + TERMS_EACH]) for i in range(0, len(terms), TERMS_EACH)]
+        self.letters = "".join(sorted({c for term in terms for c in term if not "a" <= c <= "z"}))
+        self.parts = [Automaton(terms[i:i + TERMS_EACH], self.letters) for i in range(0, len(terms), TERMS_EACH)]
+
+    @functools.cached_property
+    def _class(self) -> np.ndarray:
+        codes = [ord(c) for c in self.letters]
+        out = np.full(max([256, *(c + 2 for c in codes)]), 26, np.int32)  # the last place stands for all code points beyond
+        out[:256] = _LETTER
+        out[codes] = 27 + np.arange(len(codes))
+        return out
+
+    def classes(self, codes: np.ndarray) -> np.ndarray:
+        """The letter class of every code point."""
+        return self._class[np.minimum(codes, len(self._class) - 1)]
 
     def distances(self, letters: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         out = np.full(len(start), 9, np.int8)
@@ -157,30 +186,54 @@ class Automata:
 
 _LETTER = np.full(256, 26, np.uint8)
 _LETTER[97:123] = np.arange(26)
-_PART = np.zeros(256, bool)
-_PART[97:123] = _PART[48:58] = _PART[0xC0:] = True
-_MASKS = np.isin(np.arange(256), [ord(c) for c in "@$*"])
+# A word as the lexicon learns it; context windows also take digits and signs that mask a letter as part of a word.
+WORD = r"([\p{L}\p{M}]+(?:\p{Cf}[\p{L}\p{M}]+)*)"
+
+
+@functools.cache
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """For every code point, whether it is part of a word, and whether it masks a letter if it stands inside one."""
+    kinds = [unicodedata.category(chr(c)) for c in range(128, 0x110000)]
+    part, masks = np.zeros(0x110000, bool), np.zeros(0x110000, bool)
+    part[97:123] = part[48:58] = True
+    part[128:] = [k[0] in "LMN" for k in kinds]
+    masks[128:] = [k[0] == "S" or k == "Cf" for k in kinds]
+    masks[[ord(c) for c in "@$*¡"]] = True
+    return part, masks
+
+
+def _codes(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of a string column in one piece, and the offset where each row begins (one more for the end)."""
+    data, offsets = utf8(column)
+    lead = (data & 0xC0) != 0x80
+    kept = np.concatenate([[0], np.cumsum(lead)])
+    codes = data[lead].astype(np.int32)
+    wide = np.flatnonzero(codes >= 0xC0)
+    if len(wide):
+        at, first = np.flatnonzero(lead)[wide], codes[wide]
+        padded = np.concatenate([data, np.zeros(3, np.uint8)])
+        b, c, d = (padded[at + i].astype(np.int32) & 0x3F for i in (1, 2, 3))
+        two, three = (first & 0x1F) << 6 | b, (first & 0x0F) << 12 | b << 6 | c
+        four = np.minimum((first & 0x07) << 18 | b << 12 | c << 6 | d, 0x10FFFF)
+        codes[wide] = np.where(first < 0xE0, two, np.where(first < 0xF0, three, four))
+    return codes, kept[offsets]
 
 
 def _word_list(words: tuple[str, ...]) -> np.ndarray:
-    data = np.frombuffer("".join(words).encode(), np.uint8)
+    data = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
     ends = np.cumsum([len(w) for w in words])
     return np.sort(span_hashes(data, ends - [len(w) for w in words], ends))
 
 
 def context_counts(column: pa.Array, automaton: Automata, ordinary: tuple[str, ...] = ()) -> dict[str, np.ndarray]:
     """Per row: words, exact hits, misspelled hits, quoted hits, and the sum of the hits' weights."""
-    data, offsets = utf8(pc.utf8_lower(column))
+    data, offsets = _codes(pc.utf8_lower(column))
     rows = len(offsets) - 1
-    after = np.concatenate([data[1:], np.zeros(2, np.uint8)])
-    marks = (data == 34) | (data == 0xC2) & np.isin(after[:len(data)], [0xAB, 0xBB])
-    marks |= (data == 0xE2) & (after[:len(data)] == 0x80) & (after[1:len(data) + 1] >= 0x98) & (after[1:len(data) + 1] <= 0x9F)
-    lead = (data & 0xC0) != 0x80  # one place per character
-    kept = np.concatenate([[0], np.cumsum(lead)])
-    data, marks, offsets = data[lead], marks[lead], kept[offsets]
-    part = _PART[data] & ~marks
+    marks = (data == 0x22) | (data == 0xAB) | (data == 0xBB) | (data >= 0x2018) & (data <= 0x201F)
+    in_word, masking = _kinds()
+    part = in_word[data]
     if len(data) > 2:  # a sign that masks a letter
-        part[1:-1] |= _MASKS[data[1:-1]] & part[:-2] & part[2:]
+        part[1:-1] |= masking[data[1:-1]] & part[:-2] & part[2:]
     owner_cut = np.zeros(len(data) + 1, bool)
     owner_cut[offsets] = True
     before = np.concatenate([[False], part[:-1]])
@@ -189,7 +242,7 @@ def context_counts(column: pa.Array, automaton: Automata, ordinary: tuple[str, .
     end = np.flatnonzero(part & (~behind | owner_cut[1:])) + 1
     row = np.searchsorted(offsets, start, "right") - 1
     out = {"n_words": np.bincount(row, minlength=rows)}
-    edits = automaton.distances(_LETTER[data], start, end)
+    edits = automaton.distances(automaton.classes(data), start, end)
     hit = np.flatnonzero(edits < 9)
     if len(ordinary) and len(hit):
         hit = hit[(edits[hit] == 0) | ~np.isin(_local_hashes(data, start[hit], end[hit]), _word_list(ordinary))]
@@ -245,7 +298,7 @@ def word_counts(texts: DataFrame, sample: DataFrame) -> DataFrame:
     """(word, toxic, contexts, other): in how many toxic and other texts of the sample a word stands, and after how many
     different words in toxic ones."""
     seen = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("known"))
-    listed = seen.select("label", F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1).alias("w")).where(F.size("w") > 0)
+    listed = seen.select("label", F.regexp_extract_all(F.lower("text"), F.lit(WORD), 1).alias("w")).where(F.size("w") > 0)
     long_enough = F.filter(F.array_distinct("w"), lambda w: F.length(w) >= SHORTEST)
     texts_of = listed.select("label", F.explode(long_enough).alias("word")).groupBy("word").agg(
         F.count(F.when(F.col("label") == 1, 1)).alias("toxic"), F.count(F.when(F.col("label") == 0, 1)).alias("other"))
@@ -275,10 +328,8 @@ def learn_lexicon(counts: DataFrame, sample: DataFrame, most: int = MOST_TERMS)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(0))
-            lead = (data & 0xC0) != 0x80
-            kept = np.concatenate([[0], np.cumsum(lead)])
-            edits = automaton.distances(_LETTER[data[lead]], kept[offsets[:-1]], kept[offsets[1:]])
+            codes, offsets = _codes(batch.column(0))
+            edits = automaton.distances(automaton.classes(codes), offsets[:-1], offsets[1:])
             yield batch.filter(pa.array((edits > 0) & (edits < 9)))
 
     usual = counts.where((F.col("other") > 0) & (ratio < LEAST_RATIO)).select("word", "other").mapInArrow(near, "word string, other long")
@@ -297,7 +348,8 @@ def measure(docs: DataFrame, terms: list[str], ordinary: tuple[str, ...] = ()) -
                 [batch.column(0), *[pa.array(found[c], pa.int64()) for c in ("n_words", "exact", "misspelled", "quoted")], pa.array(found["weight"], pa.float64())],
                 ["doc_id", "n_words", "exact", "misspelled", "quoted", "weight"])
 
-    return doc_texts(docs).mapInArrow(run, "doc_id long, n_words long, exact long, misspelled long, quoted long, weight double")
+    lowered = doc_texts(docs).withColumn("text", F.lower("text"))  # as in the lexicon, in every script
+    return lowered.mapInArrow(run, "doc_id long, n_words long, exact long, misspelled long, quoted long, weight double")
 
 
 @dataclass(frozen=True)

@@ -50,6 +50,51 @@ def test_automaton_matches_edit_distance():
     assert got.tolist() == want
 
 
+def test_automaton_knows_the_letters_of_every_script():
+    terms = ["élève", "dégénéré", "дурак", "мерзавец", "βλάκας", "حقيراً", "愚か者だ", "क्षुद्रबुद्धि", "idiot"]
+    draw, words = random.Random(2), list(terms)
+    for _ in range(1500):
+        w = list(draw.choice(terms))
+        for _ in range(draw.randint(0, 3)):
+            at, kind = draw.randrange(len(w)), draw.randrange(4)
+            if kind == 0:
+                w.insert(at, draw.choice("éдуβ愚ы"))
+            elif kind == 1:
+                w[at] = draw.choice("éдуβ愚ы")
+            elif kind == 2 and len(w) > 1:
+                del w[at]
+            elif at + 1 < len(w):
+                w[at], w[at + 1] = w[at + 1], w[at]
+        words.append("".join(w))
+    automata = toxicity.Automata(terms)
+    codes, offsets = toxicity._codes(pa.array(words))
+    assert "".join(map(chr, codes)) == "".join(words)
+    got = automata.distances(automata.classes(codes), offsets[:-1], offsets[1:])
+    limit = lambda t: 2 if len(t) >= toxicity.LONG else 1
+    want = [min([e for t in terms if (e := edits(w, t)) <= limit(t)], default=9) for w in words]
+    assert got.tolist() == want and got[:len(terms)].max() == 0
+
+
+def test_terms_of_every_script_count_in_their_context():
+    terms = ["élève", "дурак", "βλάκας", "愚か者だ", "क्षुद्र"]
+    rows = ["un élève", "ты—дурак…", "ДУРАК и дурк", "ΒΛΆΚΑΣ!", "彼は、愚か者だ。", "वह क्षुद्र है", "«дурак»", "ду€ак", "дурик"]
+    found = toxicity.context_counts(pa.array([r.lower() for r in rows]), toxicity.Automata(terms), ("обычный", "дурик"))
+    assert found["exact"].tolist() == [1, 1, 1, 1, 1, 1, 1, 0, 0]
+    assert found["misspelled"].tolist() == [0, 0, 1, 0, 0, 0, 0, 1, 0]
+    assert found["quoted"].tolist() == [0, 0, 0, 0, 0, 0, 1, 0, 0]
+
+
+def test_learns_and_finds_terms_of_other_scripts(spark):
+    docs, labels = labelled(spark)
+    other = dict(zip(TERMS, ["дурак", "сволочь", "élèvé", "βλάκας", "क्षुद्र"], strict=True))
+    text = F.col("text")
+    for a, b in other.items():
+        text = F.regexp_replace(text, f"\\b{a}\\b", b)
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.upper(text)).otherwise(text))
+    held = [r for r in toxicity.toxicity(docs, labels).join(labels, "doc_id").collect() if r["held_out"]]
+    assert len(held) > 50 and all(r["predicted"] == r["toxic"] for r in held)
+
+
 def counts(*rows, ordinary=()):
     found = toxicity.context_counts(pa.array(list(rows)), toxicity.Automata(TERMS), ordinary)
     return {k: v.tolist() for k, v in found.items()}
