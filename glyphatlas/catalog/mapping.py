@@ -198,6 +198,15 @@ def _fuzzy(spark, sf):
     return B.fuzzy_graph(neighbours(spark, sf)).withColumn("weight", F.round("weight", 4))
 
 
+@query("knn_recall", f"WITH {S.VECTORS} SELECT count(*) AS probes, true AS enough FROM v WHERE id % 50 = 0")
+def _recall(spark, sf):
+    """Whether the approximate search at its defaults finds 0.95 of the exact neighbours of every fiftieth id."""
+    want = neighbours(spark, sf).where("src % 50 = 0")
+    got = B.knn_approximate(I.vectors(spark, sf)).select("src", "dst", F.lit(1).alias("held"))
+    both = want.join(got, ["src", "dst"], "left")
+    return both.agg(F.countDistinct("src").alias("probes"), (F.avg(F.coalesce("held", F.lit(0))) >= B.RECALL).alias("enough"))
+
+
 @query("pca_2d")
 def _pca(spark, sf):
     out = B.pca_2d(I.vectors(spark, sf))

@@ -22,6 +22,9 @@ DIST_DIGITS = 9
 # Rows that place the hyperplanes of the approximate search, and the cuts kept ready for leaves that come out too large.
 PLANE_SAMPLE = 10_000
 FURTHER_CUTS = 16
+# Rows whose exact lists tell the recall of the approximate search, and the share of them that it has to find.
+PROBES = 256
+RECALL = 0.95
 # All forces on a node are added up in a round, so steps are far smaller than in one-edge-at-a-time descent.
 FIRST_STEP = 0.1
 
@@ -52,12 +55,17 @@ def knn(vectors: DataFrame, k: int = N_NEIGHBORS, metric: str = "cosine", block_
 
 def knn_approximate(
     vectors: DataFrame, k: int = N_NEIGHBORS, metric: str = "cosine", leaf_rows: int = 1024, tables: int = 12, seed: int = SPLIT_SEED,
+    recall: float = RECALL,
 ) -> DataFrame:
-    """(src, dst, rank, distance) like `knn`, with nearly all of the nearest rows, in work and traffic linear in the rows.
+    """(src, dst, rank, distance) like `knn`, with nearly all of the nearest rows, by fewer comparisons.
 
     Every table cuts the space by its own random hyperplanes, through medians of at most PLANE_SAMPLE rows, into leaves of
     about `leaf_rows`; a leaf that came out larger is cut by further hyperplanes. Rows that share a leaf in any
     table are compared by one bounded matrix product. Copies are folded first, so no leaf is full of equal rows.
+
+    More rows need more cuts, which part more neighbours: after the first `tables`, as many again follow until the lists
+    of PROBES rows hold the share `recall` of their exact neighbours. Where that takes as many comparisons as all pairs,
+    the search is exact.
     """
     if metric not in ("cosine", "euclidean"):
         raise ValueError(f"unknown metric {metric!r}")
@@ -67,10 +75,36 @@ def knn_approximate(
     sizes = distinct.agg(F.count(F.lit(1)).alias("d"), F.sum("n").alias("n"), F.max(F.size("v")).alias("dim")).first()
     if not sizes["d"]:
         return _empty_lists(points)
+    alone = distinct.select("id", "v")
     depth = max(0, int(np.ceil(np.log2(sizes["d"] / leaf_rows))))
-    planes = np.random.default_rng(seed).normal(size=(tables, depth + FURTHER_CUTS, sizes["dim"]))
-    sample = np.array([r["v"] for r in top_rows(distinct, PLANE_SAMPLE, sample_order(seed)).select("v").collect()])
-    middle = np.median(np.einsum("tcd,nd->tcn", planes, sample), axis=2)
+    if not depth:  # a single leaf
+        near = _within_leaves(alone, depth, sizes["dim"], k, metric, leaf_rows, 1, seed)
+    else:
+        sample = top_rows(alone, PLANE_SAMPLE, sample_order(seed)).collect()
+        near, made = None, 0
+        exact = _probe(alone, sample[:PROBES], k, metric)
+        while near is None or _recall(near, exact) < recall:
+            more = tables if near is None else made
+            if near is not None and (made + more) * leaf_rows >= sizes["d"]:
+                near = _distinct_neighbours(alone, sizes["d"], k, metric, 4096)
+                break
+            found = _within_leaves(alone, depth, sizes["dim"], k, metric, leaf_rows, more, seed + made, np.array([r["v"] for r in sample]))
+            if near is not None:
+                found = near.unionByName(found).groupBy("src", "dst").agg(F.min("distance").alias("distance"))
+            best = found.withColumn("_r", F.row_number().over(_by_distance("src"))).where(F.col("_r") <= k).drop("_r")
+            near, made = cut_lineage(best), made + more
+    if sizes["d"] < sizes["n"]:
+        near = _hand_to_copies(points, distinct, near, k, metric)
+    ranked = near.withColumn("rank", F.row_number().over(_by_distance("src")).cast("bigint"))
+    return ranked.where(F.col("rank") <= k).select("src", "dst", "rank", "distance")
+
+
+def _within_leaves(
+    points: DataFrame, depth: int, dim: int, k: int, metric: str, leaf_rows: int, tables: int, seed: int, sample: np.ndarray | None = None,
+) -> DataFrame:
+    """(src, dst, distance): the k nearest rows in each leaf of each table, a pair once."""
+    planes = np.random.default_rng(seed).normal(size=(tables, depth + FURTHER_CUTS, dim))
+    middle = np.zeros(planes.shape[:2]) if sample is None else np.median(np.einsum("tcd,nd->tcn", planes, sample), axis=2)
 
     def side(frames):
         import pandas as pd
@@ -84,8 +118,8 @@ def knn_approximate(
                     yield pd.DataFrame({"id": f["id"], "v": f["v"], "leaf": t + tables * (bits[:, :depth] @ weight[:depth]), "more": bits[:, depth:] @ weight[:FURTHER_CUTS]})
 
     whole = T.LongType()
-    cut = distinct.select("id", "v").mapInPandas(side, T.StructType([
-        *distinct.select("id", "v").schema.fields, T.StructField("leaf", whole), T.StructField("more", whole)]))
+    cut = points.mapInPandas(side, T.StructType([
+        *points.schema.fields, T.StructField("leaf", whole), T.StructField("more", whole)]))
     counts = cut.groupBy("leaf").agg(F.count(F.lit(1)).alias("_n"))  # one row per leaf
     further = F.least(F.greatest(F.ceil(F.log2(F.col("_n") / leaf_rows)), F.lit(0)), F.lit(FURTHER_CUTS)).cast("int")
     leaves = cut.join(counts, "leaf").withColumn("more", F.expr("more") % F.pow(F.lit(2), further).cast("bigint")).drop("_n")
@@ -101,11 +135,7 @@ def knn_approximate(
         src, dst, dist = [ids[:0]], [ids[:0]], [np.zeros(0)]
         for at in range(0, len(ids) if most else 0, 512):
             block = x[at : at + 512]
-            if metric == "cosine":
-                d = np.round(1.0 - block @ x.T, DIST_DIGITS)
-            else:
-                sq = (block**2).sum(1)[:, None] + (x**2).sum(1)[None, :] - 2 * block @ x.T
-                d = np.round(np.sqrt(np.maximum(sq, 0)), DIST_DIGITS)
+            d = _distances(block, x, metric)
             rows = np.arange(len(block))
             d[rows, rows + at] = np.inf
             near = np.argpartition(d, most - 1, axis=1)[:, :most]
@@ -114,11 +144,43 @@ def knn_approximate(
             dist.append(d[rows[:, None], near].ravel())
         return pd.DataFrame({"src": np.concatenate(src), "dst": np.concatenate(dst), "distance": np.concatenate(dist)})
 
-    near = leaves.groupBy("leaf", "more").applyInPandas(within, lists).groupBy("src", "dst").agg(F.min("distance").alias("distance"))
-    if sizes["d"] < sizes["n"]:
-        near = _hand_to_copies(points, distinct, near, k, metric)
-    ranked = near.withColumn("rank", F.row_number().over(_by_distance("src")).cast("bigint"))
-    return ranked.where(F.col("rank") <= k).select("src", "dst", "rank", "distance")
+    return leaves.groupBy("leaf", "more").applyInPandas(within, lists).groupBy("src", "dst").agg(F.min("distance").alias("distance"))
+
+
+def _distances(block: np.ndarray, x: np.ndarray, metric: str) -> np.ndarray:
+    if metric == "cosine":
+        return np.round(1.0 - block @ x.T, DIST_DIGITS)
+    sq = (block**2).sum(1)[:, None] + (x**2).sum(1)[None, :] - 2 * block @ x.T
+    return np.round(np.sqrt(np.maximum(sq, 0)), DIST_DIGITS)
+
+
+def _probe(points: DataFrame, rows: list, k: int, metric: str) -> DataFrame:
+    """(src, dst): the k nearest of all other rows, for a few rows."""
+    ids, x = np.array([r["id"] for r in rows]), np.array([r["v"] for r in rows])
+    id_type = points.schema["id"].dataType
+
+    def nearest(frames):
+        import pandas as pd
+
+        for f in frames:
+            if len(f):
+                own = f["id"].to_numpy()
+                d = _distances(x, np.stack(f["v"].to_numpy()), metric)
+                d[ids[:, None] == own[None, :]] = np.inf
+                near = np.argpartition(d, min(k, len(own)) - 1, axis=1)[:, :k]
+                found = pd.DataFrame({"src": np.repeat(ids, near.shape[1]), "dst": own[near.ravel()], "distance": np.take_along_axis(d, near, 1).ravel()})
+                yield found[np.isfinite(found["distance"])]
+
+    found = points.mapInPandas(nearest, T.StructType([
+        T.StructField("src", id_type), T.StructField("dst", id_type), T.StructField("distance", T.DoubleType())]))
+    ranked = found.withColumn("_r", F.row_number().over(_by_distance("src")))
+    return cut_lineage(ranked.where(F.col("_r") <= k).select("src", "dst"))
+
+
+def _recall(near: DataFrame, exact: DataFrame) -> float:
+    """The share of the pairs of `exact` that `near` holds."""
+    both = exact.join(near.select("src", "dst", F.lit(1).alias("held")), ["src", "dst"], "left")
+    return both.agg(F.avg(F.coalesce("held", F.lit(0)))).first()[0]
 
 
 def _by_distance(key: str):

@@ -76,6 +76,18 @@ def test_approximate_lists_hold_nearly_all_neighbours(spark, metric):
     assert all(len(x) == 10 for x in got.values())
 
 
+@pytest.mark.parametrize("leaf_rows, tables", [(32, 2), (256, 1)])
+def test_approximate_lists_hold_them_at_many_cuts(spark, leaf_rows, tables):
+    # wide clusters and many or few tables: the first tables alone find far too few
+    draw = np.random.default_rng(5)
+    q = np.repeat(draw.normal(size=(60, 32)), 50, axis=0) + draw.normal(size=(3000, 32)) * 0.7
+    df = frame(spark, q)
+    got, want = lists(B.knn_approximate(df, 10, leaf_rows=leaf_rows, tables=tables)), lists(B.knn(df, 10))
+    hits = sum(len({j for j, _ in got[i]} & {j for j, _ in want[i]}) for i in want)
+    assert hits / sum(map(len, want.values())) >= 0.93  # the probes are a sample
+    assert all(len(x) == 10 for x in got.values())
+
+
 def test_approximate_lists_of_few_rows(spark):
     assert B.knn_approximate(frame(spark, np.zeros((0, 3))), 3).count() == 0
     q = np.random.default_rng(1).normal(size=(40, 5))
