@@ -13,7 +13,8 @@
    that the common prefix covers.
 5. An anchor with more than `HOT` different segments (a line that a third of all documents share, in different
    surroundings) would be too much for one task: its windows are compared by 128-bit digests in a map-side combined
-   minimum instead.
+   minimum instead. Where maximal repeats are listed, all strings between its repeated windows are counted by their digests, with the
+   bytes before and after them: a string is a maximal repeat if both differ.
 
 Texts are dealt out once, by doc_id, for fetching bytes and for cutting. Results: null or empty texts have 0 bytes; a
 null doc_id comes before all others; rows that share a doc_id follow each other in the order of their texts; an empty
@@ -298,6 +299,42 @@ def _every_window(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
              pa.array((table.column("start").to_numpy()[owner] + inner).astype(np.int32))], ["w1", "w2", "key", "copy", "start"])
 
 
+def _every_part(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(s1, s2, length, h, f, inner, before, after): digests of all strings between repeated windows of hot segments, with the bytes on
+    either side, or -1 where the segment begins or ends. Without a column `repeated`, of all single windows."""
+    for batch in in_slices(batches, 64):
+        data, offsets = utf8(batch.column(2))
+        single = batch.num_columns == 4
+        owner, first, last = [], [], []
+        for i in range(batch.num_rows):
+            if single:
+                a = b = np.arange(batch.column(3)[i].as_py())
+            else:
+                inner = np.sort(np.array(batch.column(4)[i].as_py(), np.int64))
+                a, b = np.triu_indices(len(inner))
+                whole = inner[b] - inner[a] == b - a  # no gap between them
+                a, b = inner[a[whole]], inner[b[whole]]
+            owner.append(np.full(len(a), i))
+            first.append(a)
+            last.append(b)
+        owner, first, last = np.concatenate(owner), np.concatenate(first), np.concatenate(last)
+        start, end = offsets[owner] + first, offsets[owner] + last + WINDOW
+        before = np.where(first == 0, -1, data[np.maximum(start - 1, 0)].astype(np.int64))
+        after = np.where(end == offsets[owner + 1], -1, data[np.minimum(end, len(data) - 1)].astype(np.int64))
+        picked = pa.array(owner)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(span_hashes(data, start, end).view(np.int64)), pa.array(span_hashes(data ^ np.uint8(0x5A), start, end).view(np.int64)),
+             pa.array((end - start).astype(np.int32)), batch.column(0).take(picked), batch.column(1).take(picked), pa.array(first.astype(np.int32)),
+             pa.array(before.astype(np.int32)), pa.array(after.astype(np.int32))], ["s1", "s2", "length", "h", "f", "inner", "before", "after"])
+
+
+def in_slices(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most `most` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, most):
+            yield batch.slice(at, most)
+
+
 # --- jobs ------------------------------------------------------------------------------------------------
 
 
@@ -364,14 +401,32 @@ def removed_runs(dealt: DataFrame, texts: DataFrame) -> DataFrame:
         (start + F.col("place").bitwiseAND(F.lit(0xFF)) + (WINDOW - 1)).cast("int").alias("end")))
 
 
+def _hot_groups(segments_of: DataFrame) -> DataFrame:
+    """(repeat, length, h, f, inner) like `_groups`, for hot anchors: by digests, so that no task holds an anchor."""
+    parts = "s1 long, s2 long, length int, h long, f long, inner int, before int, after int"
+    held = cut_lineage(segments_of.select("h", "f", "bytes", "windows"))
+    windows = held.mapInArrow(_every_part, parts)
+    twice = windows.groupBy("s1", "s2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("s1", "s2")
+    repeated = windows.join(twice, ["s1", "s2"]).groupBy("h", "f").agg(F.collect_list("inner").alias("repeated"))
+    open_ones = cut_lineage(held.join(repeated, ["h", "f"]).select("h", "f", "bytes", "windows", "repeated"))
+    strings = open_ones.mapInArrow(_every_part, parts)
+    differ = lambda c: (F.min(c) == -1) | (F.min(c) != F.max(c))
+    maximal = strings.groupBy("s1", "s2", "length").agg(F.count(F.lit(1)).alias("n"), (differ("before") & differ("after")).alias("both"))
+    return strings.join(maximal.where("n > 1 AND both").select("s1", "s2", "length"), ["s1", "s2", "length"]).select(
+        F.concat_ws(":", F.lit("hot"), "s1", "s2", "length").alias("repeat"), "length", "h", "f", "inner")
+
+
 def maximal_repeats(docs: DataFrame) -> DataFrame:
     """(repeat, length, doc_id, start): all occurrences of every maximal repeat within segments that differ elsewhere; a repeat of more
-    than a segment is a chain of overlapping ones, and segments that are equal throughout are the occurrences of one. Hot anchors are
-    left to `dedup`."""
+    than a segment is a chain of overlapping ones, and segments that are equal throughout are the occurrences of one."""
     texts = _numbered(docs)
+    dealt = _dealt(texts)
     occurrences = _occurrences(texts)
     firsts = _first_ones(occurrences)
-    found = _by_anchor(_fetched(_dealt(texts), firsts, False)).mapInArrow(_groups, "repeat string, length int, h long, f long, inner int")
+    found = _by_anchor(_fetched(dealt, firsts, False)).mapInArrow(_groups, "repeat string, length int, h long, f long, inner int")
+    hot = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > HOT)
+    if not hot.isEmpty():
+        found = found.unionByName(_hot_groups(_fetched(dealt, firsts, True)))
     whole = firsts.where("n > 1").select(
         F.concat_ws(":", "h", "f", F.lit("all")).alias("repeat"), (F.col("first.place").bitwiseAND(F.lit(0xFF)) + (WINDOW - 1)).cast("int").alias("length"), "h", "f",
         F.lit(0).alias("inner"))

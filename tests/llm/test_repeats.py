@@ -74,5 +74,22 @@ def test_maximal_repeats_are_equal_and_complete(spark):
         assert covered[i] == want
 
 
+def test_maximal_repeats_of_hot_anchors(spark, monkeypatch):
+    line = prose(99, 60)[:130]  # a line between surroundings that differ, some of which go on alike
+    rows = [(i, prose(100 + i, 30) + "xyz"[i % 3] * 4 + line + "uvw"[i % 2] * 5 + prose(500 + i, 30)) for i in range(18)] + shared_line(8)[8:]
+    rows += [(50, rows[2][1][40:]), (51, "é" + rows[3][1][:-30]), (52, rows[4][1]), (53, rows[4][1])]
+
+    def groups():
+        found = {}
+        for r in repeats.maximal_repeats(texts(spark, rows)).collect():
+            found.setdefault((r["repeat"], r["length"]), set()).add((r["doc_id"], r["start"]))
+        return sorted((length, sorted(places)) for (_, length), places in found.items())
+
+    want = groups()
+    assert any(len(places) >= 18 for _, places in want)
+    monkeypatch.setattr(repeats, "HOT", 1)
+    assert groups() == want
+
+
 def test_empty_table(spark):
     assert repeats.dedup(empty(spark)).count() == 0
