@@ -158,7 +158,7 @@ def _as(member: str, frame: DataFrame, *more: str) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(rep, shingles): the sorted hashes of the sets of the wanted documents, as one binary value."""
+    """(rep, shingles): the sorted hashes of the sets of the wanted documents, as one binary value; one row for each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_pieces(batches, 1 << 19):
@@ -167,7 +167,6 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             parts = [np.sort(shingle[a:b]).tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts, pa.binary())], ["rep", "shingles"])
 
-    # of rows that share a doc_id, the class stands on those of its own size and digests
     texts = doc_texts(docs).where("doc_id IS NOT NULL").join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
     return texts.mapInArrow(run, "rep long, shingles binary")
 
@@ -218,12 +217,26 @@ def _left_over(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, percent
     return _distinct_pairs(one.join(two, "key").where((F.col("x_root") != F.col("y_root")) & _alike(percent) & _near() & _long_near(percent) & _first_shared()))
 
 
+def _same_ids(usable: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links (a, b) between the classes of rows that share a doc_id, or None if no texts do."""
+    differ = (F.min("d1") != F.max("d1")) | (F.min("d2") != F.max("d2"))
+    shared = cut_lineage(usable.groupBy("doc_id").agg(differ.alias("differ")).where("differ").select("doc_id"))
+    if shared.isEmpty():
+        return None
+    own = usable.join(shared, "doc_id", "left_semi").select("doc_id", "n_shingles", "d1", "d2")
+    reps = cut_lineage(own.join(classes.select("n_shingles", "d1", "d2", "rep"), ["n_shingles", "d1", "d2"]).select("doc_id", "rep"))
+    first = reps.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    found = cut_lineage(reps.join(first, "doc_id").select("a", F.col("rep").alias("b")).where("a < b").distinct())
+    return None if found.isEmpty() else found
+
+
 def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of `docs`."""
     signed = cut_lineage(signatures(docs, k))
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = cut_lineage(usable.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"), *[F.min(c).alias(c) for c in SIG + LONG]))
-    member = classes.groupBy("rep").agg(F.min("n_shingles").alias("n_shingles"), *[F.min(c).alias(c) for c in SIG + LONG])
+    # rows with different texts may share a doc_id: then it stands for several classes, each with its own signatures and set
+    member = classes.select("rep", "n_shingles", *SIG, *LONG)
     keyed = classes.select("rep", _keys())
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     # AQE splits a key that holds many rows; the counts are one row per key
@@ -231,8 +244,11 @@ def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     degree = members.groupBy("rep").agg(F.sum("members").alias("degree"))
     ranked = members.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("minus"))).alias("best"))
     hubs = cut_lineage(ranked.select("key", (-F.col("best.minus")).alias("hub")))
-    sets = cut_lineage(full_sets(docs, members.select("rep").distinct(), k).groupBy("rep").agg(F.max("shingles").alias("shingles")))
-    links, roots = None, None
+    sets = full_sets(docs, members.select("rep").distinct(), k)
+    each = [F.xxhash64("shingles").alias("h1"), F.xxhash64(F.lit(1), "shingles").alias("h2")]
+    sets = cut_lineage(sets.groupBy("rep", *each).agg(F.max("shingles").alias("shingles")).select("rep", "shingles"))
+    links = _same_ids(usable, classes)
+    roots = None if links is None else cut_lineage(contract(links))
     for turn in range(DRAWN_ROUNDS + 2):
         labelled = cut_lineage(_with_roots(members, roots))
         if turn == 0:

@@ -78,6 +78,20 @@ def test_awkward_rows(spark):
     assert all(r["kept"] for r in got if r["doc_id"] is None or r["n_shingles"] == 0)
 
 
+def test_texts_that_share_an_id_are_compared_each(spark):
+    def close(text, n):
+        words = text.split()
+        return " ".join(words[:n] + ["changed"] + words[n:])
+
+    a, b, c, d = (prose(70 + i, 120 + 10 * i) for i in range(4))
+    rows = [(5, a), (5, b), (6, close(a, 40)), (7, close(b, 60)), (8, c), (9, c), (9, d), (11, close(d, 50)), (12, prose(80, 90)), (12, prose(81, 90)), (13, prose(80, 90))]
+    got = near_dup.components(texts(spark, rows), 3, 85).collect()
+    want = brute(rows, 3, 85)
+    assert want == {5: 5, 6: 5, 7: 5, 8: 8, 9: 8, 11: 8, 12: 12, 13: 12}
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == sorted((i, want[i]) for i, _ in rows)
+    assert {r["doc_id"] for r in got if r["kept"]} == {5, 8, 12}
+
+
 def test_one_row_of_each_group_stays_with_its_columns(spark):
     docs = messy(spark)
     out = near_dup.first_of_each(docs)
