@@ -99,4 +99,11 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id =
 FROM documents d JOIN root USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
-ANSWERS: dict[str, str] = {"op1_suffix_array": OP1, "op3_hamming_join": OP3, "op6_hash_tree": OP6, "op7_source_schedule": OP7}
+OP13 = """
+WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+texts AS (SELECT x, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY x)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(x) AS text_sha256 FROM t JOIN texts USING (x)
+"""
+
+ANSWERS: dict[str, str] = {
+    "op1_suffix_array": OP1, "op3_hamming_join": OP3, "op6_hash_tree": OP6, "op7_source_schedule": OP7, "op13_salted_dedup": OP13}

@@ -151,3 +151,16 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
     for c in on:
         test = test & F.col(c).eqNullSafe(F.col(f"__r_{c}"))
     return left.join(renamed, test, how).drop(*[f"__r_{c}" for c in on])
+
+
+def join_with_hot_keys(rows: DataFrame, table: DataFrame, on: list[str], count: str, share: int = 500) -> DataFrame:
+    """Inner equi-join of `rows` with `table`, which has one row per key and, in `count`, how many of `rows` hold it.
+
+    Fewer than `share` keys can each hold more than one part in `share` of all rows: these are broadcast, and their rows are not
+    moved. No key that is left holds more than that part, so the shuffle of the rest is even.
+    """
+    total = table.agg(F.sum(count)).first()[0] or 0
+    hot = F.col(count) * share > total
+    often = F.broadcast(table.where(hot))
+    rest = rows.join(often.select(*on), on, "left_anti").join(table.where(~hot), on)
+    return rows.join(often, on).unionByName(rest)

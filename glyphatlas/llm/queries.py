@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphatlas.llm import decontaminate, discriminant, fertility, length_histogram, mixing, near_dup, repeats, sharding, token_codes, toxicity
+from glyphatlas.llm import (
+    decontaminate,
+    discriminant,
+    exact_dedup,
+    fertility,
+    length_histogram,
+    mixing,
+    near_dup,
+    repeats,
+    sharding,
+    token_alignment,
+    token_codes,
+    toxicity,
+)
 from glyphatlas.llm.answers import ANSWERS
 from glyphatlas.llm.common import table
 
@@ -71,3 +84,13 @@ def op10_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_codes.scratch(spark, "token-codes")
     token_codes.write_codes(table(spark, sf_dir, "documents"), path)
     return token_codes.read_codes(spark, path)
+
+
+@query
+def op12_end_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_salted_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicates(table(spark, sf_dir, "documents"))

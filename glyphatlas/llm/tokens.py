@@ -2,7 +2,7 @@
 
 A byte-level BPE splits a text before it merges, so a text may be cut wherever a split is certain, each
 distinct piece encoded once by the library, and the ids strung together: they are the ids of the whole text.
-The certain places used here: where a run of ASCII blanks begins, after a blank other than a space, and
+The certain places used here: where a run of ASCII blanks begins, after a single blank other than a space, and
 between a letter and a full stop, comma, colon, semicolon, exclamation or question mark. A text with other blanks or
 with something like an added token is one piece.
 """
@@ -41,7 +41,7 @@ class PieceCache:
 
     def _reset(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
+        self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def places(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For every piece where its ids begin in `self.ids`, and how many there are."""
@@ -68,7 +68,7 @@ class PieceCache:
         whole = data.tobytes()
         ids, sizes = self.encode([whole[s:e] for s, e in zip(start.tolist(), end.tolist(), strict=True)])
         begin = len(self.ids) + np.cumsum(sizes) - sizes
-        self.ids = np.concatenate([self.ids, ids.astype(np.uint16)])
+        self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
         keys = np.concatenate([self.keys, keys])
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
@@ -100,7 +100,10 @@ def _pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     letter = _ASCII_LETTER[before]
     # U+00C0 to U+00FF are letters, but for the signs of multiplication and division
     letter[2:] |= (data[:-2] == 0xC3) & (before[2:] >= 0x80) & (before[2:] != 0x97) & (before[2:] != 0xB7)
-    cut = blank & ~blank_before | blank_before & (before != 32) & ~blank | letter & _STOP[data]
+    # of several blanks the last one is split off by what follows them
+    single = blank_before.copy()
+    single[2:] &= ~blank[:-2]
+    cut = blank & ~blank_before | single & (before != 32) & ~blank | letter & _STOP[data]
     # other blanks of Unicode begin with these bytes, and added tokens look like <|...|>
     after = np.concatenate([data[1:], [np.uint8(0)]])
     odd = (data == 0xC2) & ((after == 0x85) | (after == 0xA0)) | (data == 0xE1) & (after == 0x9A)
@@ -113,11 +116,12 @@ def _pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return start, np.append(start[1:], n)
 
 
-def _byte_bpe(path: str):
+def _byte_bpe(path: str, plain: bool = False):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
+    library.encode_special_tokens = plain
     width = np.zeros(library.get_vocab_size(), np.int64)
     for token, i in library.get_vocab().items():
         width[i] = len(token)  # a byte-level token has one character for each byte
@@ -160,13 +164,14 @@ def _byte_bpe(path: str):
 
 
 @functools.lru_cache(maxsize=4)
-def _byte_cache(path: str) -> PieceCache:
-    return PieceCache(_byte_bpe(path))
+def _byte_cache(path: str, plain: bool = False) -> PieceCache:
+    return PieceCache(_byte_bpe(path, plain))
 
 
-def byte_bpe_ids(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of every row's whole text, strung together, and the number of ids of each row."""
-    cache = _byte_cache(path)
+def byte_bpe_ids(path: str, data: np.ndarray, offsets: np.ndarray, plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of every row's whole text, strung together, and the number of ids of each row; if `plain`, the strings of special
+    tokens are ordinary text."""
+    cache = _byte_cache(path, plain)
     start, end = _pieces(data, offsets)
     at, size = cache.places(data, start, end)
     return strung(cache.ids, at, size), _per_row(start, size, offsets)
@@ -232,3 +237,99 @@ def word_pieces(path: str, data: np.ndarray, words: Words) -> tuple[np.ndarray,
     cache = _piece_cache(path)
     at, size = cache.places(data, words.start, words.end)
     return strung(cache.ids, at, size), size
+
+
+# --- pieces with byte fallback, whole texts ------------------------------------------------------------------
+
+MARK = "\u2581"
+
+
+@functools.lru_cache(maxsize=4)
+def byte_bpe_bytes(path: str) -> tuple[bytes, ...]:
+    """The bytes of every id of a byte-level vocabulary, in which a printable character stands for each byte."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in plain}
+    byte_of |= {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(plain)))}
+    out = [b""] * library.get_vocab_size()
+    for token, i in library.get_vocab().items():
+        out[i] = bytes(byte_of[c] for c in token)
+    return tuple(out)
+
+
+@functools.lru_cache(maxsize=4)
+def piece_bytes(path: str) -> tuple[bytes, ...]:
+    """The bytes that every piece of a vocabulary with byte fallback stands for; control pieces stand for none."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    out = []
+    for i in range(library.get_piece_size()):
+        piece = library.id_to_piece(i)
+        if library.is_byte(i):
+            out.append(bytes([int(piece[3:5], 16)]))
+        else:
+            out.append(b"" if library.is_control(i) or library.is_unknown(i) else piece.replace(MARK, " ").encode())
+    return tuple(out)
+
+
+def _spaced_bpe(path: str):
+    """Ids of chunks of text that begin with spaces. No piece holds a blank after another character, so no merge crosses the
+    place where a run of spaces begins. A chunk whose pieces do not give back its bytes has no ids."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    held = piece_bytes(path)
+    width = np.array([len(b) for b in held])
+
+    def alone(chunk: bytes) -> list[int]:
+        # the library puts a space before a text; a chunk of spaces only is read behind a letter
+        if chunk.strip(b" "):
+            ids = library.encode(chunk[1:].decode(), num_threads=1)
+        else:
+            ids = library.encode("a" + chunk.decode(), num_threads=1)[1:]
+        return ids if b"".join(held[i] for i in ids) == chunk else []
+
+    def encode(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.zeros(len(chunks), np.int64)
+        found: list[np.ndarray] = []
+        at = 0
+        for group in _groups(chunks):
+            whole = b"".join(group)
+            ids = np.zeros(0, np.int64)
+            if all(c.strip(b" ") for c in group):
+                ids = np.array(library.encode(whole[1:].decode(), num_threads=1), np.int64)
+            if b"".join(held[i] for i in ids) == whole:
+                owner = np.searchsorted(np.cumsum([len(c) for c in group]), np.cumsum(width[ids]) - width[ids], "right")
+                sizes[at:at + len(group)] = np.bincount(owner, minlength=len(group))
+                found.append(ids)
+            else:
+                each = [alone(c) for c in group]
+                sizes[at:at + len(group)] = [len(e) for e in each]
+                found.append(np.array([i for e in each for i in e], np.int64))
+            at += len(group)
+        return np.concatenate(found), sizes
+
+    return encode
+
+
+@functools.lru_cache(maxsize=4)
+def _spaced_cache(path: str) -> PieceCache:
+    return PieceCache(_spaced_bpe(path))
+
+
+def spaced_piece_ids(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The piece ids of every row's whole text, strung together, and the number of ids of each row. Every row must begin with
+    the space that the library adds."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
+    space = data == 32
+    cut = space.copy()
+    cut[1:] &= ~space[:-1]
+    cut[offsets[:-1][np.diff(offsets) > 0]] = True
+    start = np.flatnonzero(cut)
+    cache = _spaced_cache(path)
+    at, size = cache.places(data, start, np.append(start[1:], len(data)))
+    return strung(cache.ids, at, size), _per_row(start, size, offsets)

@@ -32,6 +32,7 @@ def test_pieces_give_the_ids_of_whole_texts():
     rows = [prose(i, 80) for i in range(20)] + [
         "", " ", "  a  b ", " a\n\n b\t c", "x  y", "<|endoftext|> it's he'll 12.5,ab", "…. a é. ç,", "\n", "a .b", "ÀÿŒ.x ×. ÷:", "a b c", "tab\t.x", "\r\n a",
         "don't. we'VE; 3.14!? “q”. end", "   a", "a\u0085b", "naïve.café:x", "日本語。 テスト", "emoji 😀. x",
+        "a\n\nb", "a\n\n\nb.", "\n\tx", "a \nb", "a\n b\t\t1", "\t\t日\n\n",
     ]
     batch = pa.record_batch({"text": pa.array(rows)})
     got = []
