@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from glyphatlas.llm import (
+    conversations,
     decontaminate,
     discriminant,
     exact_dedup,
@@ -86,6 +87,11 @@ def op10_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_codes.read_codes(spark, path)
 
 
+@query
+def op11_path_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op12_end_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.scored(table(spark, sf_dir, "documents"))
