@@ -22,6 +22,8 @@ PIECE_BPE = "piece_bpe_32k.model"
 
 # Distinct pieces that a worker remembers; when full, it starts afresh, so memory is bounded.
 MOST_PIECES = 3_000_000
+# The same where a worker has two vocabularies at once.
+SHARED_PIECES = 1_000_000
 _TOGETHER = 1 << 19
 
 
@@ -35,8 +37,8 @@ def vocabulary(name: str) -> str:
 class PieceCache:
     """Ids of pieces by hash. `encode` turns a list of pieces into (ids of all, number of ids of each)."""
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int = MOST_PIECES):
+        self.encode, self.most = encode, most
         self._reset()
 
     def _reset(self) -> None:
@@ -55,7 +57,7 @@ class PieceCache:
         at[at == len(self.keys)] = 0
         missing = self.keys[at] != distinct if len(self.keys) else np.ones(len(distinct), bool)
         if missing.any():
-            if len(self.keys) + int(missing.sum()) > MOST_PIECES:
+            if len(self.keys) + int(missing.sum()) > self.most:
                 self._reset()
                 missing[:] = True
             self._learn(data, distinct[missing], start[first[missing]], end[first[missing]])
@@ -165,7 +167,7 @@ def _byte_bpe(path: str, plain: bool = False):
 
 @functools.lru_cache(maxsize=4)
 def _byte_cache(path: str, plain: bool = False) -> PieceCache:
-    return PieceCache(_byte_bpe(path, plain))
+    return PieceCache(_byte_bpe(path, plain), SHARED_PIECES if plain else MOST_PIECES)
 
 
 def byte_bpe_ids(path: str, data: np.ndarray, offsets: np.ndarray, plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -317,7 +319,7 @@ def _spaced_bpe(path: str):
 
 @functools.lru_cache(maxsize=4)
 def _spaced_cache(path: str) -> PieceCache:
-    return PieceCache(_spaced_bpe(path))
+    return PieceCache(_spaced_bpe(path), SHARED_PIECES)
 
 
 def spaced_piece_ids(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
