@@ -10,9 +10,9 @@
    shares keys with most others, then, where components still differ, a member drawn anew for every key. A second
    signature of `LONG_VALUES` short minima tells which pairs are worth the full sets: sets at the asked similarity differ in more
    than `_farthest` of them with a probability of at most `LONG_MISS`. Confirmed links are contracted to components.
-4. What is left: members of a key outside its first hub's component are compared with all members of other components by both
-   signatures, each pair in the first key that it shares. So no link between two components is given up, and families
-   of texts that fall just short cost little.
+4. What is left: members of a key outside its first hub's component meet the members of other components by the rarest shingles of
+   their full sets (`_left_over`), and both signatures. So no link between two components is given up, and families
+   of texts that fall just short of each other cost little more than their own length.
 
 Defined results: documents without words, and rows without doc_id, are linked with nothing and kept; texts of fewer than `k`
 words are one shingle of all their words; rows that share a doc_id share a component; of equal sets the smallest doc_id
@@ -27,9 +27,10 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from glyphatlas.llm.common import MIX, Words, doc_texts, in_pieces, keep_ids, mixed, utf8
+from glyphatlas.llm.common import MIX, Words, doc_texts, in_pieces, join_with_hot_keys, keep_ids, mixed, utf8
 from glyphatlas.operators.components import contract
 from glyphatlas.session import cut_lineage
 
@@ -38,6 +39,7 @@ VALUES = CHUNKS * PER_CHUNK
 GUARANTEED = 2 * CHUNKS - 1
 FARTHEST = 16
 DRAWN_ROUNDS = 1
+SIZE_STEP = 1.02
 # A value has BITS bits and one spare, so that adding ONES carries into the spare bit unless the value is 0.
 LANE = BITS + 1
 ONES = sum(((1 << BITS) - 1) << (LANE * i) for i in range(PER_CHUNK))
@@ -141,17 +143,6 @@ def _long_near(percent: int) -> Column:
     return sum(each[1:], each[0]) <= _farthest(percent)
 
 
-def _first_shared() -> Column:
-    """Whether the key of column `slot` is the first that the members x and y share: no chunk before has fewer than two wrong values,
-    and of the keys of a chunk without wrong ones it is the first."""
-    out, before = F.lit(False), F.lit(True)
-    for i, c in enumerate(SIG):
-        here = (F.floor(F.col("slot") / PER_CHUNK) == i) & ((_wrong(c) == 1) | (F.col("slot") % PER_CHUNK == 0))
-        out = out | (here & before)
-        before = before & (_wrong(c) > 1)
-    return out
-
-
 def _as(member: str, frame: DataFrame, *more: str) -> DataFrame:
     """The columns of a member, with its name in front."""
     return frame.select(*more, *[F.col(c).alias(f"{member}_{'n' if c == 'n_shingles' else c}") for c in ("rep", "n_shingles", *SIG, *LONG) if c in frame.columns])
@@ -207,14 +198,64 @@ def _hub_pairs(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, percent
     return _distinct_pairs(sized.where(_alike(percent) & _long_near(percent)))
 
 
-def _left_over(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share a key and lie in different components, one of them outside the component of the key's hub."""
+def _shingle_rows(frame: DataFrame) -> DataFrame:
+    """(rep, root, minor, own, n, shingle) for (rep, root, minor, shingles): a row for every shingle of every set; `own` tells the sets of a rep apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                held = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(4)]
+                n = np.array([len(x) for x in held])
+                row = pa.array(np.repeat(np.arange(len(n)), n))
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(i).take(row) for i in range(4)), pa.array(np.repeat(n, n)), pa.array(np.concatenate(held))],
+                    ["rep", "root", "minor", "own", "n", "shingle"])
+
+    cut = frame.select("rep", "root", "minor", F.xxhash64("shingles").alias("own"), "shingles")
+    return cut.mapInArrow(run, "rep long, root long, minor boolean, own long, n long, shingle long")
+
+
+def _overlap(x: Column, y: Column, percent: int) -> Column:
+    """The fewest common shingles of sets of these sizes with the similarity."""
+    return F.ceil(percent * (x + y) / F.lit(100.0 + percent) - 1e-9)
+
+
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(SIZE_STEP)) + 1e-9)
+
+
+def _left_over(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) in different components that share a key, one of them outside the component of the key's hub, and that can still be similar enough.
+
+    Signatures cannot tell sets that just miss the similarity from those that reach it, and a family of such texts has very many pairs. The
+    sets themselves can: put the shingles of all sets concerned in order, rare ones first. Two sets with enough in common share their first common shingle
+    within the first size - overlap + 1 of either set, and texts that differ have their own words in front. So sets meet by these first
+    shingles and the size of the other one (in classes of 2%), and near misses with own words never meet.
+    """
     centre = hubs.join(labelled.select(F.col("rep").alias("hub"), F.col("root").alias("hub_root")).distinct(), "hub")
-    minor = labelled.join(centre, "key").where("root <> hub_root").select("key", "slot", "rep", "root")
-    open_keys = minor.select("key").distinct()
-    one = _as("x", minor.join(classes, "rep"), "key", "slot", F.col("root").alias("x_root"))
-    two = _as("y", labelled.join(open_keys, "key", "left_semi").join(classes, "rep"), "key", F.col("root").alias("y_root"))
-    return _distinct_pairs(one.join(two, "key").where((F.col("x_root") != F.col("y_root")) & _alike(percent) & _near() & _long_near(percent) & _first_shared()))
+    minor = cut_lineage(labelled.join(centre, "key").where("root <> hub_root").select("key", "rep"))
+    left = minor.select("rep").distinct().withColumn("minor", F.lit(True))
+    concerned = labelled.join(minor.select("key").distinct(), "key", "left_semi").select("rep", "root").distinct()
+    marked = concerned.join(left, "rep", "left").select("rep", "root", F.coalesce("minor", F.lit(False)).alias("minor"))
+    rows = cut_lineage(_shingle_rows(marked.join(sets, "rep").select("rep", "root", "minor", "shingles")))
+    counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"))
+    placed = join_with_hot_keys(rows, counts, ["shingle"], "sets").withColumn(
+        "place", F.row_number().over(W.partitionBy("rep", "own").orderBy("sets", "shingle")))
+    n = F.col("n")
+    least = F.ceil(n * percent / F.lit(100.0) - 1e-9)
+    first = cut_lineage(placed.where(F.col("place") <= n - least + 1).select("rep", "root", "minor", "n", "place", "shingle"))
+    each = F.explode(F.sequence(_size_class(least), _size_class(F.floor(n * 100 / F.lit(float(percent)) + 1e-9)))).alias("of_size")
+    asked = first.where("minor").select("*", each)
+    smallest = F.greatest(F.floor(F.pow(F.lit(SIZE_STEP), F.col("of_size")) - 1e-6), least)
+    asked = asked.where(F.col("place") <= n - _overlap(n, smallest, percent) + 1)
+    x = asked.select("shingle", "of_size", *[F.col(c).alias(f"x_{c}") for c in ("rep", "root", "n", "place")])
+    y = first.select("shingle", _size_class(n).alias("of_size"), *[F.col(c).alias(f"y_{c}") for c in ("rep", "root", "n", "place")])
+    enough = _overlap(F.col("x_n"), F.col("y_n"), percent)
+    meet = (F.col("x_place") <= F.col("x_n") - enough + 1) & (F.col("y_place") <= F.col("y_n") - enough + 1)
+    met = x.join(y, ["shingle", "of_size"]).where((F.col("x_root") != F.col("y_root")) & meet).select("x_rep", "y_rep").distinct()
+    signed = met.join(_as("x", classes), "x_rep").join(_as("y", classes), "y_rep")
+    return _distinct_pairs(signed.where(_alike(percent) & _near() & _long_near(percent)))
 
 
 def _same_ids(usable: DataFrame, classes: DataFrame) -> DataFrame | None:
@@ -257,7 +298,7 @@ def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
             drawn = F.min(F.struct(F.xxhash64("key", "rep", F.lit(turn)).alias("draw"), "rep"))
             pairs = _hub_pairs(labelled, labelled.groupBy("key").agg(drawn.alias("d")).select("key", F.col("d.rep").alias("hub")), member, percent)
         else:
-            pairs = _left_over(labelled, hubs, member, percent)
+            pairs = _left_over(labelled, hubs, member, sets, percent)
         found = cut_lineage(confirmed(pairs, sets, percent))
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)

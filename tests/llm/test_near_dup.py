@@ -103,3 +103,28 @@ def test_one_row_of_each_group_stays_with_its_columns(spark):
 
 def test_empty_table(spark):
     assert near_dup.components(empty(spark), 3, 85).count() == 0
+
+
+def test_a_family_of_near_misses(spark):
+    # texts that each change up to 14 of 150 words of one text: alike, but many fall short of the similarity among each other
+    rows = list(enumerate(family(12, 300, 14, 150), 1))
+    want = brute(rows, 3, 85)
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.components(texts(spark, rows), 3, 85).collect()}
+    assert got == want and len(set(want.values())) > 20
+
+
+def test_left_over_pairs_grow_with_the_rows(spark, monkeypatch):
+    made = []
+    kept = near_dup.confirmed
+    monkeypatch.setattr(near_dup, "confirmed", lambda pairs, *rest: made.append(pairs.count()) or kept(pairs, *rest))
+    # near misses: 13 words changed, so that hardly any two reach the similarity
+    for n in (100, 400):
+        draw, base = random.Random(n), prose(31, 150).split()
+        rows = []
+        for i in range(n):
+            words = base[:]
+            for at in draw.sample(range(0, 150, 3), 13):
+                words[at] = f"own{i}x{at}"
+            rows.append((i, " ".join(words)))
+        near_dup.components(texts(spark, rows), 3, 85).count()
+    assert made[-1] < 20 * 400 and len(made) == 2 * (near_dup.DRAWN_ROUNDS + 2)
