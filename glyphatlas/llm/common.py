@@ -37,6 +37,17 @@ def keep_ids(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFra
     return docs.join(picked, docs["doc_id"].eqNullSafe(picked["__picked"]), how)
 
 
+def text_mark(text: str) -> Column:
+    """A hash that tells texts of the same doc_id apart; a null text is empty."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def drop_marked(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """Rows of `docs` whose doc_id and text are not those of a row (doc_id, mark); null ids and repeated ids are told apart by their texts."""
+    gone = marked.select(F.col("doc_id").alias("__gone"), F.col("mark").alias("__mark")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["__gone"]) & (text_mark("text") == gone["__mark"]), "left_anti")
+
+
 def utf8(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column in one piece, and the offset where each row begins (one more for the end)."""
     if isinstance(column, pa.ChunkedArray):

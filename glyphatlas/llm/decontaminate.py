@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphatlas.llm.common import MIX, Words, doc_texts, in_pieces, keep_ids, mixed, utf8
+from glyphatlas.llm.common import MIX, Words, doc_texts, drop_marked, in_pieces, mixed, text_mark, utf8
 from glyphatlas.llm.mixing import n_words
 
 MIN_TILE = 5
@@ -167,7 +167,7 @@ def candidates(row: np.ndarray, windows: np.ndarray, block: Block) -> np.ndarray
     return np.unique(np.stack([np.repeat(row, size), owner]), axis=1)
 
 
-RESULT = "doc_id long, item_id long, item_words long, covered long, coverage double, longest_tile long, n_tiles long, first_word long, last_word long"
+RESULT = "doc_id long, item_id long, item_words long, covered long, coverage double, longest_tile long, n_tiles long, first_word long, last_word long, mark long"
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, passage: int = PASSAGE) -> DataFrame:
@@ -175,7 +175,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, pas
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     total = items.agg(F.sum(n_words(F.col("text")))).first()[0] or 0
     n_blocks = max(1, -(-total // BLOCK_WORDS))
-    texts = doc_texts(docs)
+    texts = doc_texts(docs).withColumn("mark", text_mark("text"))
     found = None
     for b in range(n_blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b) if n_blocks > 1 else items
@@ -191,7 +191,7 @@ def _pass(texts: DataFrame, block: Block, coverage: float, passage: int) -> Data
         block = shipped.value
         for batch in in_pieces(batches, 1 << 19):
             words = BareWords(*utf8(pc.utf8_lower(batch.column(1))))
-            names = batch.column(0)
+            names, marks = batch.column(0), batch.column(2)
             out = []
             for row, item in candidates(*words.shingles(MIN_TILE), block).T.tolist():
                 doc, own = words.hash[words.first[row]:words.first[row + 1]], block.words[item]
@@ -200,9 +200,9 @@ def _pass(texts: DataFrame, block: Block, coverage: float, passage: int) -> Data
                 longest = max(t[2] for t in tiles)
                 if covered >= coverage * len(own) or longest >= passage:
                     out.append((names[row].as_py(), block.item_ids[item], len(own), covered, covered / len(own), longest, len(tiles),
-                                min(t[1] for t in tiles), max(t[1] + t[2] for t in tiles) - 1))
+                                min(t[1] for t in tiles), max(t[1] + t[2] for t in tiles) - 1, marks[row].as_py()))
             if out:
-                kinds = [pa.int64()] * 4 + [pa.float64()] + [pa.int64()] * 4
+                kinds = [pa.int64()] * 4 + [pa.float64()] + [pa.int64()] * 5
                 columns = [pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in RESULT.split(", ")])
 
@@ -211,4 +211,4 @@ def _pass(texts: DataFrame, block: Block, coverage: float, passage: int) -> Data
 
 def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, passage: int = PASSAGE) -> DataFrame:
     """The rows of `docs` that no item contaminates, with all their columns."""
-    return keep_ids(docs, leaks(docs, benchmark, coverage, passage), "left_anti")
+    return drop_marked(docs, leaks(docs, benchmark, coverage, passage))

@@ -125,7 +125,8 @@ def measure(docs: DataFrame, vocabulary: str = tokens.PIECE_BPE) -> DataFrame:
                 [batch.column(0), language, *[pa.array(found[c], pa.int64()) for c in _COUNTS], pa.array(found["entropy"], pa.float64())],
                 ["doc_id", "language", *_COUNTS, "entropy"])
 
-    language = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    # an empty language is none, whatever else its batch holds
+    language = F.nullif(F.trim(F.col("lang").cast("string")), F.lit("")) if "lang" in docs.columns else F.lit(None).cast("string")
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), language.alias("language"))
     return read.mapInArrow(run, _SCHEMA)
 

@@ -1,13 +1,15 @@
 """Misspelled terms of a lexicon by Levenshtein automata intersected with its trie, scored by context.
 
-1. `learn_lexicon`: terms that labelled toxic texts use far more often than others, in many texts and contexts. The
-   labelled rows are a bounded sample (`MOST_LABELLED`, smallest digests of doc_id), which may therefore be broadcast.
+1. `learn_lexicon`: all terms that labelled toxic texts use far more often than others, in many texts and contexts, by counts over all
+   labelled rows outside the held-out fold. A term needs a fixed share of the toxic texts, so there are no more terms than
+   that share of them can hold words.
 2. `Automaton`: the trie of the terms, intersected with the automaton of all words within 1 edit of a term (2 edits
-   for terms of `LONG` letters or more; two letters that change places are one edit), made deterministic. All words
-   of a batch step through its table together. Words that other texts of the sample use as well are no misspellings.
+   for terms of `LONG` letters or more, none for terms of fewer than `SHORT`; two letters that change places are one edit), made deterministic. All words
+   of a batch step through its table together. Words that other labelled texts use as well are no misspellings; only those within reach of a
+   term are listed, so their number is bounded by what one or two edits can make of the terms.
 3. `measure`: every hit in every whole text counts by its context window: less in quotation marks or beside a reporting
    word, more beside a word of address, less if misspelled.
-4. A logistic fit of the labels on these measures gives the score.
+4. A logistic fit of the labels on these measures gives the score, from at most `MOST_LABELLED` labelled rows (smallest digests of doc_id).
 
 Null or empty texts have no hits. Null labels are left out; without labels of both classes the lexicon is
 empty and every score is the share of toxic labels (0 without any). Rows that share a doc_id are scored each on its own text. An
@@ -27,15 +29,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphatlas.llm.common import doc_texts, held_out, in_pieces, span_hashes, utf8
+from glyphatlas.llm.common import doc_texts, held_out, in_pieces, span_hashes, text_mark, utf8
 from glyphatlas.session import cut_lineage
 
 MOST_LABELLED = 20_000
-MOST_TERMS = 500
-MOST_ORDINARY = 50_000
 LEAST_SUPPORT, LEAST_SHARE = 5, 0.002
 LEAST_RATIO = 10.0
-SHORTEST, LONG = 4, 9
+SHORT, LONG = 4, 9
 TERMS_EACH = 32
 WINDOW = 4
 REACH = 60
@@ -74,7 +74,7 @@ class Automaton:
                     children.append({})
                     end.append(-1)
                 node = children[node][k]
-            end[node] = 2 if len(term) >= LONG else 1
+            end[node] = 2 if len(term) >= LONG else 1 if len(term) >= SHORT else 0
         spare = end[:]  # most edits that any term below a node allows
         for node in range(len(children) - 1, -1, -1):
             spare[node] = max([end[node], *(spare[c] for c in children[node].values())])
@@ -287,43 +287,47 @@ def _local_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
 # --- lexicon and score ----------------------------------------------------------------------------------
 
 
-def labelled_sample(labels: DataFrame, folds: int, fold: int, most: int = MOST_LABELLED) -> DataFrame:
-    """(known, label): at most `most` labelled ids outside the held-out fold, those with the smallest digests."""
+def known_labels(labels: DataFrame, folds: int, fold: int) -> DataFrame:
+    """(known, label): all labelled ids outside the held-out fold."""
     known = labels.select(F.col("doc_id").cast("long").alias("known"), F.col("toxic").cast("int").alias("label"))
     known = known.where(F.col("known").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("known"), folds, fold))
-    return known.groupBy("known").agg(F.max("label").alias("label")).orderBy(F.xxhash64("known"), "known").limit(most)
+    return known.groupBy("known").agg(F.max("label").alias("label"))
 
 
-def word_counts(texts: DataFrame, sample: DataFrame) -> DataFrame:
-    """(word, toxic, contexts, other): in how many toxic and other texts of the sample a word stands, and after how many
+def labelled_sample(known: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
+    """At most `most` of the labelled ids, those with the smallest digests."""
+    return known.orderBy(F.xxhash64("known"), "known").limit(most)
+
+
+def word_counts(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """(word, toxic, contexts, other): in how many toxic and other labelled texts a word stands, and after how many
     different words in toxic ones."""
-    seen = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("known"))
+    seen = texts.join(known, F.col("doc_id") == F.col("known"))
     listed = seen.select("label", F.regexp_extract_all(F.lower("text"), F.lit(WORD), 1).alias("w")).where(F.size("w") > 0)
-    long_enough = F.filter(F.array_distinct("w"), lambda w: F.length(w) >= SHORTEST)
-    texts_of = listed.select("label", F.explode(long_enough).alias("word")).groupBy("word").agg(
+    texts_of = listed.select("label", F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(
         F.count(F.when(F.col("label") == 1, 1)).alias("toxic"), F.count(F.when(F.col("label") == 0, 1)).alias("other"))
     pairs = F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.struct(
         F.element_at("w", i).alias("word"), F.when(i > 1, F.element_at("w", F.greatest(i - 1, F.lit(1)))).otherwise("").alias("before")))
-    toxic = listed.where("label = 1").select(F.explode(F.array_distinct(pairs)).alias("p")).select("p.word", "p.before").where(F.length("word") >= SHORTEST)
+    toxic = listed.where("label = 1").select(F.explode(F.array_distinct(pairs)).alias("p")).select("p.word", "p.before")
     contexts = toxic.distinct().groupBy("word").agg(F.count(F.lit(1)).alias("contexts"))
     return texts_of.join(contexts, "word", "left").select("word", "toxic", F.coalesce("contexts", F.lit(0)).alias("contexts"), "other")
 
 
-def learn_lexicon(counts: DataFrame, sample: DataFrame, most: int = MOST_TERMS) -> tuple[list[str], tuple[str, ...]]:
-    """Up to `most` terms, by the ratio of their shares among toxic and other texts, and the ordinary words near them.
+def learn_lexicon(counts: DataFrame, known: DataFrame) -> tuple[list[str], tuple[str, ...]]:
+    """The terms, by the ratio of their shares among toxic and other texts, and the ordinary words near them.
 
-    A term stands in `LEAST_SUPPORT` toxic texts of the sample and `LEAST_SHARE` of them, after as many different words, so that
+    A term stands in `LEAST_SUPPORT` labelled toxic texts and `LEAST_SHARE` of them, after as many different words, so that
     neither the words of a long text nor those of a text with many copies count. An ordinary word is within the
     automaton's reach, but no more frequent in toxic texts than elsewhere.
     """
-    found = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    found = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     n1, n0 = found.get(1, 0), found.get(0, 0)
     if not n1 or not n0:
         return [], ()
     support = F.least("toxic", "contexts")
     ratio = ((support + 0.5) / n1) / ((F.col("other") + 0.5) / n0)
     best = counts.where(support >= max(LEAST_SUPPORT, LEAST_SHARE * n1)).withColumn("ratio", ratio).where(F.col("ratio") >= LEAST_RATIO)
-    terms = sorted(r["word"] for r in best.orderBy(F.desc("ratio"), "word").limit(most).collect())
+    terms = sorted(r["word"] for r in best.select("word").collect())
     automaton = Automata(terms)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,23 +337,22 @@ def learn_lexicon(counts: DataFrame, sample: DataFrame, most: int = MOST_TERMS)
             yield batch.filter(pa.array((edits > 0) & (edits < 9)))
 
     usual = counts.where((F.col("other") > 0) & (ratio < LEAST_RATIO)).select("word", "other").mapInArrow(near, "word string, other long")
-    ordinary = usual.orderBy(F.desc("other"), "word").limit(MOST_ORDINARY).collect()
-    return terms, tuple(r["word"] for r in ordinary)
+    return terms, tuple(sorted(r["word"] for r in usual.select("word").collect()))
 
 
 def measure(docs: DataFrame, terms: list[str], ordinary: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, n_words, exact, misspelled, quoted, weight) of every whole text. The automaton grows with the terms only."""
+    """(doc_id, mark, n_words, exact, misspelled, quoted, weight) of every whole text; `mark` is a hash of the text. The automaton grows with the terms only."""
     automaton = Automata(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_pieces(batches, 1 << 20):
             found = context_counts(batch.column(1), automaton, ordinary)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(found[c], pa.int64()) for c in ("n_words", "exact", "misspelled", "quoted")], pa.array(found["weight"], pa.float64())],
-                ["doc_id", "n_words", "exact", "misspelled", "quoted", "weight"])
+                [batch.column(0), batch.column(2), *[pa.array(found[c], pa.int64()) for c in ("n_words", "exact", "misspelled", "quoted")], pa.array(found["weight"], pa.float64())],
+                ["doc_id", "mark", "n_words", "exact", "misspelled", "quoted", "weight"])
 
-    lowered = doc_texts(docs).withColumn("text", F.lower("text"))  # as in the lexicon, in every script
-    return lowered.mapInArrow(run, "doc_id long, n_words long, exact long, misspelled long, quoted long, weight double")
+    lowered = doc_texts(docs).select("doc_id", F.lower("text").alias("text"), text_mark("text").alias("mark"))  # as in the lexicon, in every script
+    return lowered.mapInArrow(run, "doc_id long, mark long, n_words long, exact long, misspelled long, quoted long, weight double")
 
 
 @dataclass(frozen=True)
@@ -382,9 +385,10 @@ def fit(rows: np.ndarray, labels: np.ndarray, ridge: float = 0.01) -> Logistic:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, folds: int = 3, fold: int = 1, most: int = MOST_LABELLED) -> DataFrame:
-    """(doc_id, held_out, score, predicted, exact, misspelled, quoted) for every row; labels of the held-out fold are never read."""
-    sample = cut_lineage(labelled_sample(labels, folds, fold, most))
-    terms, ordinary = learn_lexicon(cut_lineage(word_counts(doc_texts(docs), sample)), sample)
+    """(doc_id, held_out, score, predicted, exact, misspelled, quoted, mark) for every row; labels of the held-out fold are never read."""
+    everyone = cut_lineage(known_labels(labels, folds, fold))
+    sample = cut_lineage(labelled_sample(everyone, most))
+    terms, ordinary = learn_lexicon(cut_lineage(word_counts(doc_texts(docs), everyone)), everyone)
     measured = cut_lineage(measure(docs, terms, ordinary))
     density = F.log1p(100 * F.col("weight") / F.greatest("n_words", F.lit(1)))
     known = measured.join(F.broadcast(sample), F.col("doc_id") == F.col("known"))
@@ -395,4 +399,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, folds:
     scored = measured.withColumn("score", 1 / (1 + F.exp(-odds)))
     return scored.select(
         "doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), "score",
-        F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int").alias("predicted"), "exact", "misspelled", "quoted")
+        F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int").alias("predicted"), "exact", "misspelled", "quoted", "mark")

@@ -59,3 +59,11 @@ def test_scripts():
 
 def test_empty_table(spark):
     assert fertility.judge(empty(spark)).count() == 0
+
+
+def test_empty_languages_do_not_depend_on_batches(spark):
+    rows = [(i, prose(i, 70), lang, "a", 1) for i, lang in enumerate(["en", "", " ", None] * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    seen = [sorted(map(str, fertility.judge(docs.repartition(n)).collect())) for n in (1, 64)]
+    assert seen[0] == seen[1]
+    assert {r["language"] for r in fertility.judge(docs).collect()} == {"en", "script:latin"}

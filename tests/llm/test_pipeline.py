@@ -55,4 +55,25 @@ def test_awkward_and_empty_tables(spark, tmp_path, make):
 
 
 def test_queries_are_named_by_number():
-    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
+
+
+def test_a_rejected_row_takes_no_other_with_it(spark, tmp_path):
+    rows, labels = [], []
+    for i in range(200):
+        words = prose(i, 60).split()
+        if i % 10 == 0:
+            for at, term in ((5, "vilename"), (30, "nastyword"), (40, "vilename")):
+                words.insert(at, term)
+        rows.append((i, " ".join(words), "s"))
+        labels.append((i, 1, int(i % 10 == 0)))
+    vile, leak = rows[0][1] + " more", prose(5000, 30) + " " + prose(6000, 60)
+    odd = [(None, vile, "s"), (None, prose(7000, 60), "s"), (None, leak, "s"), (5000, vile, "s"), (5000, prose(7001, 60), "s"), (None, None, "s"), (None, "", "s")]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, source string")
+    sf = write(spark, tmp_path, docs, [(1, prose(6000, 60))], labels)
+    stages = dict(corpus_pipeline.STAGES)
+    left = stages["toxicity"](spark, docs, sf)
+    assert {(r["doc_id"], r["text"]) for r in left.collect()} == {(i, t) for i, t, _ in rows + odd if "vilename" not in (t or "")}
+    left = stages["decontamination"](spark, left, sf)
+    want = {(i, t) for i, t, _ in rows + odd if "vilename" not in (t or "") and t != leak}
+    assert {(r["doc_id"], r["text"]) for r in left.collect()} == want

@@ -133,11 +133,35 @@ def test_learns_terms_and_scores_held_out_rows(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in out)
     held = [r for r in out if r["held_out"]]
     assert len(held) > 50 and all(r["predicted"] == r["toxic"] and 0 <= r["score"] <= 1 for r in held)
-    sample = toxicity.labelled_sample(labels, 3, 1)
-    terms, _ = toxicity.learn_lexicon(toxicity.word_counts(docs, sample), sample)
+    known = toxicity.known_labels(labels, 3, 1)
+    terms, _ = toxicity.learn_lexicon(toxicity.word_counts(docs, known), known)
     assert set(terms) == set(TERMS)
 
 
+def test_many_terms_and_short_ones_are_all_learned(spark):
+    terms = [f"zq{chr(97 + i // 26)}{chr(97 + i % 26)}xv" for i in range(640)] + ["zqj"]
+    rows, labels = [], []
+    for i in range(240):
+        words = prose(i, 40).split()
+        if i % 2:
+            words += [w for t in terms for w in (t, f"w{(i * 7 + len(words)) % 50}")] + [f"own{i}"]
+            draw = random.Random(i)
+            draw.shuffle(words)
+        rows.append((i, " ".join(words), "en", "a", 1))
+        labels.append((i, 1, i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    known = toxicity.known_labels(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), 3, 1)
+    found, _ = toxicity.learn_lexicon(toxicity.word_counts(docs, known), known)
+    assert set(terms) <= set(found)
+
+
+def test_short_terms_match_exactly_only():
+    automaton = toxicity.Automata(["zqj", "zqjk"])
+    words = ["zqj", "zqa", "zq", "zqjk", "zqja", "qjk"]
+    codes, offsets = toxicity._codes(pa.array(words))
+    assert automaton.distances(automaton.classes(codes), offsets[:-1], offsets[1:]).tolist() == [0, 9, 9, 0, 1, 1]
+
+
 def test_held_out_labels_are_not_read(spark):
     docs, labels = labelled(spark)
     flipped = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))
