@@ -4,8 +4,9 @@ STAGES names five functions of (spark, docs, sf_dir), each one operator of glyph
 into the shared folder and reads it again for the next one, so a lost executor costs no more than a stage's tasks. All stages but the
 last return the columns of `documents`.
 
-Defined results: null and empty texts pass all filters; a null doc_id passes them too; extra columns are carried along; an empty
-table passes through as an empty table.
+Defined results: null and empty texts, and rows without doc_id, are judged by their own text alone: a rejected row takes no other row
+with it, whatever ids they share. The near-duplicate stage keeps one row of each doc_id, and all rows without one. The mixing stage deals out words,
+so rows without words go there. Extra columns are carried along; an empty table passes through as an empty table.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphatlas.llm import decontaminate, mixing, near_dup, sharding, toxicity
-from glyphatlas.llm.common import keep_ids, table
+from glyphatlas.llm.common import drop_marked, table
 from glyphatlas.llm.token_codes import scratch
 
 SHINGLE, PERCENT = 5, 80
@@ -23,7 +24,7 @@ SHINGLE, PERCENT = 5, 80
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator does not reject."""
     scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
-    return keep_ids(docs, scored.where("predicted = 1"), "left_anti")
+    return drop_marked(docs, scored.where("predicted = 1"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
