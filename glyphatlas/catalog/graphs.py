@@ -195,7 +195,7 @@ def _summary(spark, sf):
 _ALPHAS = "0.2, 0.4, 0.6, 0.8, 0.9, 1.0"
 
 
-@query("retrofit_grid", f"""WITH {S.TRAINED}, {S.smoothing(10, _ALPHAS)}, {S.MEMBERS},
+_GRID = f"""WITH {S.TRAINED}, {S.smoothing(10, _ALPHAS)}, {S.MEMBERS},
 g AS (SELECT 0.0 AS alpha, 0 AS n_iter, id, dim, val FROM q0 UNION ALL SELECT alpha, 5, id, dim, val FROM q5
   UNION ALL SELECT alpha, 10, id, dim, val FROM q10),
 u AS (SELECT alpha, n_iter, id, list_transform(l, lambda x: x / CASE WHEN z = 0 THEN 1 ELSE z END) AS emb
@@ -213,7 +213,10 @@ o AS (SELECT alpha, n_iter, class, any_value(n) AS n, (sum(s * s) - any_value(n)
     sum(s * (t - s)) / (any_value(n) * ((SELECT count(*) FROM v) - any_value(n))) AS inter
   FROM cs JOIN tot USING (alpha, n_iter, dim) GROUP BY ALL),
 w AS (SELECT alpha, n_iter, avg(intra - inter) AS mean_gap, sum(n * (intra - inter)) / sum(n) AS weighted_gap FROM o GROUP BY ALL),
-f AS (SELECT * FROM h JOIN w USING (alpha, n_iter)), b AS (SELECT * FROM f WHERE n_iter = 0)
+f AS (SELECT * FROM h JOIN w USING (alpha, n_iter)), b AS (SELECT * FROM f WHERE n_iter = 0)"""
+
+
+@query("retrofit_grid", f"""{_GRID}
 SELECT round(f.alpha, 6) AS alpha, f.n_iter::BIGINT AS n_iter, f.n_pairs, round(f.hits_at_10, 6) AS hits_at_10, round(f.hits_at_100, 6) AS hits_at_100,
   round(f.mrr, 6) AS mrr, round(f.weighted_gap, 6) AS weighted_gap, round(f.mrr - b.mrr, 6) AS delta_mrr,
   round(f.hits_at_10 - b.hits_at_10, 6) AS delta_hits_at_10, round(f.weighted_gap - b.weighted_gap, 6) AS delta_weighted_gap FROM f, b""")
@@ -224,6 +227,26 @@ def _grid(spark, sf):
                        *[r6(c).alias(c) for c in shown])
 
 
+@query("grid_per_class", f"""{_GRID}
+SELECT round(o.alpha, 6) AS alpha, o.n_iter::BIGINT AS n_iter, class, o.n, round(o.intra, 6) AS intra, round(o.inter, 6) AS inter,
+  round(o.intra - o.inter - (z.intra - z.inter), 6) AS delta_gap FROM o JOIN (SELECT class, intra, inter FROM o WHERE n_iter = 0) z USING (class)""")
+def _grid_classes(spark, sf):
+    classes = M.grid_report(I.vectors(spark, sf), vector_split(spark, sf), members(spark, sf))[1]
+    return classes.select(r6("alpha").alias("alpha"), F.col("n_iter").cast("bigint").alias("n_iter"), "class", "n", *[r6(c).alias(c) for c in ("intra", "inter", "delta_gap")])
+
+
+@query("grid_winner", f"""{_GRID},
+c AS (SELECT (SELECT count(*) FROM v) AS n_vectors, count(*) AS n_edges, count(*) FILTER (split = 'train') AS n_train_edges,
+  count(*) FILTER (split = 'holdout') AS n_holdout_edges, (SELECT count(*) FROM pairs) AS n_eval_pairs FROM split)
+SELECT round(alpha, 6) AS alpha, n_iter::BIGINT AS n_iter, round(hits_at_10, 6) AS hits_at_10, c.* FROM f, c WHERE n_iter > 0
+ORDER BY f.hits_at_10 DESC, alpha, n_iter LIMIT 1""")
+def _grid_winner(spark, sf):
+    grid, _, counts = M.grid_report(I.vectors(spark, sf), vector_split(spark, sf), members(spark, sf))
+    best = M.winner(grid).first()
+    return counts.select(
+        F.lit(round(best["alpha"], 6)).alias("alpha"), F.lit(best["n_iter"]).cast("bigint").alias("n_iter"), F.lit(round(best["hits_at_10"], 6)).alias("hits_at_10"), "*")
+
+
 @query("variant_cohesion", f"""WITH {S.TRAINED}, {S.smoothing(10, '0.2, 0.8')}, {S.MEMBERS},
 g AS (SELECT 'baseline' AS variant, id, dim, val FROM q0 UNION ALL SELECT 'alpha_02', id, dim, val FROM q10 WHERE alpha = 0.2
   UNION ALL SELECT 'alpha_08', id, dim, val FROM q5 WHERE alpha = 0.8),

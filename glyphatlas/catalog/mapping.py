@@ -10,9 +10,11 @@ from glyphatlas.catalog.registry import query, r6
 from glyphatlas.functions import display as D
 from glyphatlas.functions.predicates import contains_text, facet_match
 from glyphatlas.operators import density as Y
+from glyphatlas.operators import hierarchy as H
 from glyphatlas.operators import mapdata as M
 from glyphatlas.operators import naming as T
 from glyphatlas.operators import neighbors as B
+from glyphatlas.session import settle
 
 _REC = f"WITH {S.RECORDS}"
 
@@ -198,13 +200,15 @@ def _fuzzy(spark, sf):
     return B.fuzzy_graph(neighbours(spark, sf)).withColumn("weight", F.round("weight", 4))
 
 
-@query("knn_recall", f"WITH {S.VECTORS} SELECT count(*) AS probes, true AS enough FROM v WHERE id % 50 = 0")
+@query("knn_recall")
 def _recall(spark, sf):
-    """Whether the approximate search at its defaults finds 0.95 of the exact neighbours of every fiftieth id."""
-    want = neighbours(spark, sf).where("src % 50 = 0")
-    got = B.knn_approximate(I.vectors(spark, sf)).select("src", "dst", F.lit(1).alias("held"))
-    both = want.join(got, ["src", "dst"], "left")
-    return both.agg(F.countDistinct("src").alias("probes"), (F.avg(F.coalesce("held", F.lit(0))) >= B.RECALL).alias("enough"))
+    """How many of the exact neighbours of every fiftieth id the approximate search finds where it has to cut the rows at least four times, and at what cost."""
+    vectors = I.vectors(spark, sf)
+    got, how = B.knn_counted(vectors, leaf_rows=max(1, vectors.count() // 24))
+    both = neighbours(spark, sf).where("src % 50 = 0").join(got.select("src", "dst", F.lit(1).alias("held")), ["src", "dst"], "left")
+    return both.agg(
+        F.countDistinct("src").alias("probes"), F.avg(F.coalesce("held", F.lit(0))).alias("recall"), F.lit(how["cuts"]).alias("cuts"),
+        F.lit(how["rounds"]).alias("rounds"), F.lit(float(how["per_row"])).alias("comparisons_per_row"))
 
 
 @query("pca_2d")
@@ -218,6 +222,22 @@ def _layout(spark, sf):
     return B.layout_2d(B.pca_2d(I.vectors(spark, sf)), B.fuzzy_graph(neighbours(spark, sf)))
 
 
+@query("layout_recall")
+def _layout_recall(spark, sf):
+    """The share of the neighbours of the vectors that are neighbours of the positions as well: of the layout, and of the two main axes that it starts from."""
+    want = neighbours(spark, sf).select("src", "dst")
+    start = settle(B.pca_2d(I.vectors(spark, sf)))
+    end = B.layout_2d(start, B.fuzzy_graph(neighbours(spark, sf)))
+
+    def share(place):
+        near = B.knn(place.select("id", F.array("x", "y").alias("embedding")), metric="euclidean")
+        both = want.join(near.select("src", "dst", F.lit(1).alias("held")), ["src", "dst"], "left")
+        return both.agg(F.avg(F.coalesce("held", F.lit(0))).alias("recall"))
+
+    named = share(end).withColumn("positions", F.lit("layout_2d")).unionByName(share(start).withColumn("positions", F.lit("pca_2d")))
+    return named.select("positions", "recall")
+
+
 # Connected components of each scale, by the smallest id that can be reached.
 _SCALES = ", ".join(str(q) for q in Y.SCALES)
 _LIMITS = " UNION ALL ".join(f"SELECT {i} AS scale, round((SELECT quantile_cont(core, {q}) FROM core), 9) AS t" for i, q in enumerate(Y.SCALES))
@@ -237,7 +257,7 @@ comps AS (SELECT id, scale::BIGINT AS scale, min(root) AS component FROM reach G
 
 # Layers from the components: enough clusters of enough rows, and not the clusters of the scale before.
 _LAYERS_SQL = """,
-sz AS (SELECT scale, component, count(*) AS n FROM comps GROUP BY ALL HAVING count(*) >= 5),
+sz AS (SELECT scale, component, count(*) AS n FROM comps GROUP BY ALL HAVING count(*) >= 20),
 fd AS (SELECT scale, count(*) AS k, sum(n) AS m FROM sz GROUP BY scale),
 lg AS (SELECT *, lag(k) OVER (ORDER BY scale) AS pk, lag(m) OVER (ORDER BY scale) AS pm FROM fd),
 en AS (SELECT scale FROM lg WHERE k >= 4 AND (k, m) IS DISTINCT FROM (pk, pm)),
@@ -246,11 +266,6 @@ la AS (SELECT scale, row_number() OVER (ORDER BY scale DESC) - 1 AS layer FROM k
 ci AS (SELECT scale, component, row_number() OVER (PARTITION BY scale ORDER BY n DESC, component) - 1 AS c FROM sz)
 SELECT id, layer, coalesce(c, -1) AS cluster_id FROM comps JOIN la USING (scale) LEFT JOIN ci USING (scale, component)"""
 
-_KNN_FLAT = f"""{S.VECTORS},
-dd AS (SELECT a.id AS src, b.id AS dst, round(list_distance(a.emb[1:2], b.emb[1:2]), 9) AS distance FROM v a JOIN v b ON a.id <> b.id),
-nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY distance, dst) AS rank FROM dd) WHERE rank <= 10)"""
-
-
 @query("density_components", _components_sql(_KNN) + " SELECT * FROM comps")
 def _components(spark, sf):
     rows = Y.density_components(neighbours(spark, sf))
@@ -259,15 +274,26 @@ def _components(spark, sf):
 
 @query("density_layers_hd", _components_sql(_KNN) + _LAYERS_SQL)
 def _layers_hd(spark, sf):
-    out = Y.density_layers(neighbours(spark, sf), min_size=5)
+    out = Y.density_layers(neighbours(spark, sf))
     return out.withColumn("layer", F.col("layer").cast("bigint"))
 
 
-@query("density_layers", _components_sql(_KNN_FLAT) + _LAYERS_SQL)
+@query("spanning_forest")
+def _forest(spark, sf):
+    return H.spanning_forest(Y.mutual_reachability(neighbours(spark, sf))).withColumn("weight", F.round("weight", 6))
+
+
+@query("density_layers")
 def _layers(spark, sf):
-    flat = I.vectors(spark, sf).select("id", F.slice("embedding", 1, 2).alias("embedding"))
-    out = Y.density_layers(B.knn(flat, 10, "euclidean"), min_size=5)
-    return out.withColumn("layer", F.col("layer").cast("bigint"))
+    """The most stable clusters of the map positions."""
+    place = B.pca_2d(I.vectors(spark, sf)).select("id", F.array("x", "y").alias("embedding"))
+    return H.stable_layers(B.knn(place, metric="euclidean"))
+
+
+@query("density_layers_vectors")
+def _layers_vectors(spark, sf):
+    """The most stable clusters of the vectors themselves."""
+    return H.stable_layers(neighbours(spark, sf))
 
 
 # --- clusters -------------------------------------------------------------------------------------

@@ -1,9 +1,11 @@
-"""Exact nearest neighbours, the weighted neighbour graph, principal axes and a 2-D layout."""
+"""Exact and approximate nearest neighbours, the weighted neighbour graph, principal axes and a 2-D layout."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -12,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glyphatlas.functions.vectors import dot, doubles, unit
-from glyphatlas.operators.ranking import top_rows, with_position
+from glyphatlas.operators.ranking import top_rows
 from glyphatlas.operators.selection import sample_order
-from glyphatlas.session import cut_lineage, shuffle_width
+from glyphatlas.session import cut_lineage, discard, settle, shuffle_width
 from glyphatlas.vocab import MIN_DIST, N_NEIGHBORS, SPLIT_SEED
 
 MAX_PIVOTS = 1024
@@ -22,9 +24,13 @@ DIST_DIGITS = 9
 # Rows that place the hyperplanes of the approximate search, and the cuts kept ready for leaves that come out too large.
 PLANE_SAMPLE = 10_000
 FURTHER_CUTS = 16
-# Rows whose exact lists tell the recall of the approximate search, and the share of them that it has to find.
-PROBES = 256
+# The share of the exact neighbours that the approximate search is meant to find.
 RECALL = 0.95
+# Descent ends when a round renews less than this share of the lists, or after twice as many rounds as the rows can be halved.
+UPDATE_RATE = 0.001
+LIST_SALTS = 32
+# Nodes that a round of the layout draws its repelling nodes from.
+SAMPLED = 4096
 # All forces on a node are added up in a round, so steps are far smaller than in one-edge-at-a-time descent.
 FIRST_STEP = 0.1
 
@@ -54,55 +60,147 @@ def knn(vectors: DataFrame, k: int = N_NEIGHBORS, metric: str = "cosine", block_
 
 
 def knn_approximate(
-    vectors: DataFrame, k: int = N_NEIGHBORS, metric: str = "cosine", leaf_rows: int = 1024, tables: int = 12, seed: int = SPLIT_SEED,
-    recall: float = RECALL,
+    vectors: DataFrame, k: int = N_NEIGHBORS, metric: str = "cosine", leaf_rows: int = 1024, tables: int = 4, seed: int = SPLIT_SEED,
+    held: int | None = None,
 ) -> DataFrame:
-    """(src, dst, rank, distance) like `knn`, with nearly all of the nearest rows, by fewer comparisons.
+    """(src, dst, rank, distance) like `knn`, with nearly all of the nearest rows, by comparisons that grow with the rows alone.
+
+    1. Every table cuts the space by its own random hyperplanes, through medians of at most PLANE_SAMPLE rows, into leaves of
+       about `leaf_rows`; a leaf that came out larger is cut by further hyperplanes. Rows that share a leaf in any
+       table are compared by one bounded matrix product. A single leaf is exact.
+    2. Neighbours of neighbours: see `descend`. Lists of `held` rows (twice `k`) are kept on the way. A single table would leave no way from
+       leaf to leaf, so there are at least two.
+    Copies are folded first, so no leaf and no list is full of equal rows.
+    """
+    return knn_counted(vectors, k, metric, leaf_rows, tables, seed, held)[0]
 
-    Every table cuts the space by its own random hyperplanes, through medians of at most PLANE_SAMPLE rows, into leaves of
-    about `leaf_rows`; a leaf that came out larger is cut by further hyperplanes. Rows that share a leaf in any
-    table are compared by one bounded matrix product. Copies are folded first, so no leaf is full of equal rows.
 
-    More rows need more cuts, which part more neighbours: after the first `tables`, as many again follow until the lists
-    of PROBES rows hold the share `recall` of their exact neighbours. Where that takes as many comparisons as all pairs,
-    the search is exact.
-    """
+def knn_counted(
+    vectors: DataFrame, k: int = N_NEIGHBORS, metric: str = "cosine", leaf_rows: int = 1024, tables: int = 4, seed: int = SPLIT_SEED,
+    held: int | None = None,
+) -> tuple[DataFrame, dict[str, float]]:
+    """The lists of `knn_approximate`, and how they came about: cuts, rounds, and comparisons per distinct row."""
     if metric not in ("cosine", "euclidean"):
         raise ValueError(f"unknown metric {metric!r}")
     v = doubles(F.col("embedding"))
-    points = cut_lineage(vectors.select("id", (unit(v) if metric == "cosine" else v).alias("v")))
-    distinct = cut_lineage(points.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
+    points = settle(vectors.select("id", (unit(v) if metric == "cosine" else v).alias("v")))
+    distinct = settle(points.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
     sizes = distinct.agg(F.count(F.lit(1)).alias("d"), F.sum("n").alias("n"), F.max(F.size("v")).alias("dim")).first()
     if not sizes["d"]:
-        return _empty_lists(points)
+        return _empty_lists(points), {"cuts": 0, "rounds": 0, "per_row": 0.0}
     alone = distinct.select("id", "v")
     depth = max(0, int(np.ceil(np.log2(sizes["d"] / leaf_rows))))
     if not depth:  # a single leaf
         near = _within_leaves(alone, depth, sizes["dim"], k, metric, leaf_rows, 1, seed)
+        how = {"cuts": 0, "rounds": 0, "per_row": (sizes["d"] - 1) / 2}
     else:
-        sample = top_rows(alone, PLANE_SAMPLE, sample_order(seed)).collect()
-        near, made = None, 0
-        exact = _probe(alone, sample[:PROBES], k, metric)
-        while near is None or _recall(near, exact) < recall:
-            more = tables if near is None else made
-            if near is not None and (made + more) * leaf_rows >= sizes["d"]:
-                near = _distinct_neighbours(alone, sizes["d"], k, metric, 4096)
-                break
-            found = _within_leaves(alone, depth, sizes["dim"], k, metric, leaf_rows, more, seed + made, np.array([r["v"] for r in sample]))
-            if near is not None:
-                found = near.unionByName(found).groupBy("src", "dst").agg(F.min("distance").alias("distance"))
-            best = found.withColumn("_r", F.row_number().over(_by_distance("src"))).where(F.col("_r") <= k).drop("_r")
-            near, made = cut_lineage(best), made + more
+        sample = np.array([r["v"] for r in top_rows(alone, PLANE_SAMPLE, sample_order(seed)).collect()])
+        held, tables = held or 2 * k, max(2, tables)
+        leaves = settle(_leaves(alone, depth, sizes["dim"], leaf_rows, tables, seed, sample))
+        pairs = F.sum((F.col("n") * (F.col("n") - 1) / 2)).alias("p")
+        compared = leaves.groupBy("leaf", "more").agg(F.count(F.lit(1)).alias("n")).agg(pairs).first()["p"]
+        first = settle(_nearest(_compared_leaves(leaves, held, metric), held))
+        discard(leaves)
+        near, rounds, more = descend(alone, first, sizes["d"], held, metric, seed)
+        how = {"cuts": depth, "rounds": rounds, "per_row": (compared + more) / sizes["d"]}
     if sizes["d"] < sizes["n"]:
         near = _hand_to_copies(points, distinct, near, k, metric)
     ranked = near.withColumn("rank", F.row_number().over(_by_distance("src")).cast("bigint"))
-    return ranked.where(F.col("rank") <= k).select("src", "dst", "rank", "distance")
+    return ranked.where(F.col("rank") <= k).select("src", "dst", "rank", "distance"), how
 
 
-def _within_leaves(
-    points: DataFrame, depth: int, dim: int, k: int, metric: str, leaf_rows: int, tables: int, seed: int, sample: np.ndarray | None = None,
-) -> DataFrame:
+def descend(points: DataFrame, near: DataFrame, n: int, held: int, metric: str, seed: int = SPLIT_SEED) -> tuple[DataFrame, int, int]:
+    """Renew the lists `near` (src, dst, distance) of `n` rows by neighbours of neighbours, until few entries change; also the number of rounds and of comparisons.
+
+    In a round every row gathers the rows of its list and, drawn by a hash, at most as many rows that list it. Of these it
+    compares those that have not met: pairs with an entry that is new since the last round. A pair is handed on only where it
+    is nearer than the worst entry of a list. A row compares at most 2 * `held` rows, however many list it.
+    """
+    lists = near.withColumn("new", F.lit(True))
+    compared = 0
+    last = max(1, 2 * int(np.ceil(np.log2(max(n, 2)))))
+    kind = points.schema["id"].dataType
+    found = T.StructType([T.StructField("src", kind), T.StructField("dst", kind), T.StructField("distance", T.DoubleType())])
+    for turn in range(1, last + 1):
+        forward = lists.select(F.col("src").alias("at"), F.col("dst").alias("id"), "new")
+        draw = F.xxhash64(F.lit(seed), F.lit(turn), "src", "dst")
+        backward = _first_of(lists.select(F.col("dst").alias("at"), F.col("src").alias("id"), "new", draw.alias("_d")), "at", [F.col("_d"), F.col("id")], held, "id")
+        gathered = settle(forward.unionByName(backward.select("at", "id", "new")).groupBy("at", "id").agg(F.max("new").alias("new")))
+        met = gathered.groupBy("at").agg(F.sum(F.col("new").cast("long")).alias("a"), F.count(F.lit(1)).alias("b")).where("a > 0")
+        compared += met.agg(F.sum(F.col("a") * (F.col("a") - 1) / 2 + F.col("a") * (F.col("b") - F.col("a")))).first()[0] or 0
+        worst = lists.groupBy("src").agg(F.when(F.count(F.lit(1)) >= held, F.max("distance")).otherwise(F.lit(float("inf"))).alias("worst"))
+        known = points.join(worst.withColumnRenamed("src", "id"), "id", "left").select("id", "v", F.coalesce("worst", F.lit(float("inf"))).alias("worst"))
+        shipped = gathered.join(met.select("at"), "at", "left_semi").join(known, "id").select("at", "id", "new", "worst", "v")
+        dealt = shipped.repartition(shuffle_width(points.sparkSession), "at").sortWithinPartitions("at", "id")
+        better = dealt.mapInArrow(_meetings(metric), found)
+        merged = lists.select("src", "dst", "distance", F.lit(False).alias("new")).unionByName(better.withColumn("new", F.lit(True)))
+        # an entry that was there before is not new
+        each = merged.groupBy("src", "dst").agg(F.min("distance").alias("distance"), F.min("new").alias("new"))
+        renewed = settle(_nearest(each, held, "new"), replaces=lists if turn > 1 else near)
+        discard(gathered)
+        lists = renewed
+        if lists.where("new").count() <= UPDATE_RATE * held * n:
+            break
+    return lists.select("src", "dst", "distance"), turn, int(compared)
+
+
+def _meetings(metric: str):
+    """For groups of (at, id, new, worst, v) rows: the pairs with a new member that are nearer than the worst entry of a list."""
+
+    def pairs(batch: pa.Table) -> pa.RecordBatch:
+        at, ids, new, worst = (batch.column(i).to_numpy() for i in range(4))
+        flat = batch.column(4).combine_chunks()
+        x = flat.flatten().to_numpy().reshape(len(ids), -1)
+        edges = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1], [True]]))
+        src, dst, dist = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            d = _distances(x[a:b], x[a:b], metric)
+            fresh = new[a:b]
+            good = (fresh[:, None] | fresh[None, :]) & (d < worst[a:b, None])
+            np.fill_diagonal(good, False)
+            i, j = np.nonzero(good)
+            src.append(i + a)
+            dst.append(j + a)
+            dist.append(d[i, j])
+        column = batch.column(1).combine_chunks()
+        return pa.RecordBatch.from_arrays([column.take(pa.array(np.concatenate(src))), column.take(pa.array(np.concatenate(dst))), pa.array(np.concatenate(dist))], ["src", "dst", "distance"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            at = table.column(0).to_numpy()
+            whole = int(np.flatnonzero(at != at[-1])[-1]) + 1 if at[0] != at[-1] else 0
+            if whole:
+                yield pairs(table.slice(0, whole))
+            rest = table.slice(whole)
+        if rest is not None:
+            yield pairs(rest)
+
+    return run
+
+
+def _first_of(rows: DataFrame, key: str, order: list[Column], most: int, spread: str) -> DataFrame:
+    """The first `most` rows of every key. A key may hold a large share of all rows: they are cut down in LIST_SALTS parts first."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(LIST_SALTS)))
+    for by in ([key, "_salt"], [key]):
+        salted = salted.withColumn("_r", F.row_number().over(W.partitionBy(*by).orderBy(*order))).where(F.col("_r") <= most).drop("_r")
+    return salted.drop("_salt")
+
+
+def _nearest(pairs: DataFrame, most: int, *more: str) -> DataFrame:
+    return _first_of(pairs, "src", [F.col("distance"), F.col("dst")], most, "dst").select("src", "dst", "distance", *more)
+
+
+def _within_leaves(points: DataFrame, depth: int, dim: int, k: int, metric: str, leaf_rows: int, tables: int, seed: int, sample: np.ndarray | None = None) -> DataFrame:
     """(src, dst, distance): the k nearest rows in each leaf of each table, a pair once."""
+    return _compared_leaves(_leaves(points, depth, dim, leaf_rows, tables, seed, sample), k, metric)
+
+
+def _leaves(points: DataFrame, depth: int, dim: int, leaf_rows: int, tables: int, seed: int, sample: np.ndarray | None = None) -> DataFrame:
+    """(id, v, leaf, more): the leaf of every row in every table, and its part of a leaf that was cut further."""
     planes = np.random.default_rng(seed).normal(size=(tables, depth + FURTHER_CUTS, dim))
     middle = np.zeros(planes.shape[:2]) if sample is None else np.median(np.einsum("tcd,nd->tcn", planes, sample), axis=2)
 
@@ -122,9 +220,12 @@ def _within_leaves(
         *points.schema.fields, T.StructField("leaf", whole), T.StructField("more", whole)]))
     counts = cut.groupBy("leaf").agg(F.count(F.lit(1)).alias("_n"))  # one row per leaf
     further = F.least(F.greatest(F.ceil(F.log2(F.col("_n") / leaf_rows)), F.lit(0)), F.lit(FURTHER_CUTS)).cast("int")
-    leaves = cut.join(counts, "leaf").withColumn("more", F.expr("more") % F.pow(F.lit(2), further).cast("bigint")).drop("_n")
+    return cut.join(counts, "leaf").withColumn("more", F.expr("more") % F.pow(F.lit(2), further).cast("bigint")).drop("_n")
+
+
+def _compared_leaves(leaves: DataFrame, k: int, metric: str) -> DataFrame:
     lists = T.StructType([
-        T.StructField("src", points.schema["id"].dataType), T.StructField("dst", points.schema["id"].dataType), T.StructField("distance", T.DoubleType())])
+        T.StructField("src", leaves.schema["id"].dataType), T.StructField("dst", leaves.schema["id"].dataType), T.StructField("distance", T.DoubleType())])
 
     def within(f):
         import pandas as pd
@@ -154,35 +255,6 @@ def _distances(block: np.ndarray, x: np.ndarray, metric: str) -> np.ndarray:
     return np.round(np.sqrt(np.maximum(sq, 0)), DIST_DIGITS)
 
 
-def _probe(points: DataFrame, rows: list, k: int, metric: str) -> DataFrame:
-    """(src, dst): the k nearest of all other rows, for a few rows."""
-    ids, x = np.array([r["id"] for r in rows]), np.array([r["v"] for r in rows])
-    id_type = points.schema["id"].dataType
-
-    def nearest(frames):
-        import pandas as pd
-
-        for f in frames:
-            if len(f):
-                own = f["id"].to_numpy()
-                d = _distances(x, np.stack(f["v"].to_numpy()), metric)
-                d[ids[:, None] == own[None, :]] = np.inf
-                near = np.argpartition(d, min(k, len(own)) - 1, axis=1)[:, :k]
-                found = pd.DataFrame({"src": np.repeat(ids, near.shape[1]), "dst": own[near.ravel()], "distance": np.take_along_axis(d, near, 1).ravel()})
-                yield found[np.isfinite(found["distance"])]
-
-    found = points.mapInPandas(nearest, T.StructType([
-        T.StructField("src", id_type), T.StructField("dst", id_type), T.StructField("distance", T.DoubleType())]))
-    ranked = found.withColumn("_r", F.row_number().over(_by_distance("src")))
-    return cut_lineage(ranked.where(F.col("_r") <= k).select("src", "dst"))
-
-
-def _recall(near: DataFrame, exact: DataFrame) -> float:
-    """The share of the pairs of `exact` that `near` holds."""
-    both = exact.join(near.select("src", "dst", F.lit(1).alias("held")), ["src", "dst"], "left")
-    return both.agg(F.avg(F.coalesce("held", F.lit(0)))).first()[0]
-
-
 def _by_distance(key: str):
     return W.partitionBy(key).orderBy("distance", "dst")
 
@@ -387,42 +459,39 @@ def layout_2d(
     negatives: int = 5,
 ) -> DataFrame:
     """(id, x, y): positions after `epochs` synchronous rounds of attraction along `graph` (a, b, weight)
-    and repulsion from `negatives` nodes per node and round, chosen by a keyed hash.
+    and repulsion from `negatives` nodes per node and round, which a keyed hash draws from a sample of at most SAMPLED nodes that
+    all nodes of the round share.
 
-    Every round is one join of the pairs with the positions of both ends and one partial sum per node.
+    A round joins the links with the positions of both ends, sums per node, and writes the new positions: links with
+    weights meet in one shuffle, and the sample is broadcast.
     """
     a, b = curve_parameters(min_dist)
-    width = shuffle_width(start.sparkSession)
-    nodes = cut_lineage(with_position(start.select("id", "x", "y"), [F.col("id")], "i"))
-    n = nodes.count()
-    span = nodes.agg(F.max(F.greatest(F.abs("x"), F.abs("y"))).alias("m")).first()["m"] or 1.0
-    place = nodes.select("i", (F.col("x") * (10.0 / span)).alias("x"), (F.col("y") * (10.0 / span)).alias("y"))
-    idx = nodes.select("id", "i")
-    ends = graph.join(idx.select(F.col("id").alias("a"), F.col("i").alias("ia")), "a").join(
-        idx.select(F.col("id").alias("b"), F.col("i").alias("ib")), "b")
-    wires = cut_lineage(ends.select(F.explode(F.array(F.struct(F.col("ia").alias("i"), F.col("ib").alias("j")),
-                                                      F.struct(F.col("ib").alias("i"), F.col("ia").alias("j")))).alias("e"),
-                                    "weight").select("e.i", "e.j", "weight").repartition(width, "i"))
+    span = start.agg(F.max(F.greatest(F.abs("x"), F.abs("y"))).alias("m")).first()["m"] or 1.0
+    place = settle(start.select("id", (F.col("x") * (10.0 / span)).alias("x"), (F.col("y") * (10.0 / span)).alias("y")))
+    drawn = min(SAMPLED, place.count())
+    wires = settle(graph.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("other")),
+                                                  F.struct(F.col("b").alias("id"), F.col("a").alias("other")))).alias("e"),
+                                "weight").select("e.id", "e.other", "weight"))
     clip = lambda c: F.greatest(F.least(c, F.lit(4.0)), F.lit(-4.0))
+    dx, dy = F.col("x") - F.col("ox"), F.col("y") - F.col("oy")
+    d2 = dx * dx + dy * dy
+    pull = F.when(d2 > 0, -2.0 * a * b * F.pow(d2, b - 1) / (1 + a * F.pow(d2, b))).otherwise(F.lit(0.0)) * F.col("weight")
+    push = 2.0 * b / ((0.001 + d2) * (1 + a * F.pow(d2, b)))
     for epoch in range(epochs):
         rate = FIRST_STEP * (1.0 - epoch / epochs)
-        draws = F.explode(F.sequence(F.lit(1), F.lit(negatives)))
-        away = idx.select("i", draws.alias("t")).select(
-            "i", F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), "i", "t"), F.lit(n)).alias("j"), F.lit(-1.0).alias("weight"))
-        pairs = wires.unionByName(away.where("i <> j"))
-        ours = place.select("i", F.col("x").alias("xi"), F.col("y").alias("yi"))
-        theirs = place.select(F.col("i").alias("j"), F.col("x").alias("xj"), F.col("y").alias("yj"))
-        dx, dy = F.col("xi") - F.col("xj"), F.col("yi") - F.col("yj")
-        d2 = dx * dx + dy * dy
-        pull = F.when(d2 > 0, -2.0 * a * b * F.pow(d2, b - 1) / (1 + a * F.pow(d2, b))).otherwise(F.lit(0.0)) * F.col("weight")
-        push = 2.0 * b / ((0.001 + d2) * (1 + a * F.pow(d2, b)))
-        force = F.when(F.col("weight") > 0, pull).otherwise(push)
-        pairs = pairs.join(ours, "i").join(theirs, "j")
-        moves = pairs.groupBy("i").agg(F.sum(clip(force * dx)).alias("mx"), F.sum(clip(force * dy)).alias("my"))
+        others = place.select(F.col("id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"))
+        pulls = wires.join(others, "other").join(place, "id").select("id", clip(pull * dx).alias("mx"), clip(pull * dy).alias("my"))
+        draw = F.xxhash64(F.lit(seed), F.lit(epoch), "other")
+        shared = others.orderBy(draw, "other").limit(drawn).withColumn("slot", F.row_number().over(W.orderBy(draw, "other")) - 1)
+        slots = F.explode(F.array(*[F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), "id", F.lit(t)), F.lit(drawn)).cast("int") for t in range(negatives)]))
+        away = place.select("id", "x", "y", slots.alias("slot")).join(F.broadcast(shared), "slot").where("id <> other")
+        pushes = away.select("id", clip(push * dx).alias("mx"), clip(push * dy).alias("my"))
+        moves = pulls.unionByName(pushes).groupBy("id").agg(F.sum("mx").alias("mx"), F.sum("my").alias("my"))
         shift = lambda c: F.coalesce(clip(F.col(c)), F.lit(0.0)) * rate
-        place = cut_lineage(place.join(moves, "i", "left").select(
-            "i", (F.col("x") + shift("mx")).alias("x"), (F.col("y") + shift("my")).alias("y")))
-    return idx.join(place, "i").select("id", F.col("x").cast("float").alias("x"), F.col("y").cast("float").alias("y"))
+        place = settle(place.join(moves, "id", "left").select(
+            "id", (F.col("x") + shift("mx")).alias("x"), (F.col("y") + shift("my")).alias("y")), replaces=place)
+    discard(wires)
+    return place.select("id", F.col("x").cast("float").alias("x"), F.col("y").cast("float").alias("y"))
 
 
 __all__ = ["curve_parameters", "fuzzy_graph", "knn", "layout_2d", "memberships", "pca_2d", "sigma"]

@@ -1,120 +1,199 @@
 """Graph smoothing of vectors, and its grid search.
 
-All (id, alpha) variants advance together: one pass over the graph per iteration serves every alpha. Links
-and vectors are laid out once by (node, alpha, piece of the vector), so an iteration shuffles only the
-partial neighbour sums.
+Nodes lie in blocks of bounded size, a row per node with the vectors of all alphas side by side; links are a row each, in cells by the block of the node
+that they pull from. A cell adds up what its links pull, one partial sum per pulling node, and the partial sums of a block's nodes meet its old vectors.
+A block with more links than a cell takes is sent to several cells, so a node may have any number of links in either direction.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphatlas.functions.vectors import CHUNK, chunks, dimension, doubles, join_parts, sum_part, unit
+from glyphatlas.functions.vectors import dimension, doubles, unit
 from glyphatlas.operators.graph import adjacency, eval_pairs
 from glyphatlas.operators.retrieval import hits_at_k
 from glyphatlas.operators.vectors import class_cohesion, cohesion_summary
-from glyphatlas.session import cut_lineage, lay_out
+from glyphatlas.session import discard, settle
 from glyphatlas.vocab import ALPHA_GRID, N_ITER_GRID, VARIANTS
 
-_CUT_EVERY = 3
-# A node is hot if it has more links than this and than 1/500 of all; there can be at most 500 hot nodes.
-_HOT_LINKS = 50_000
-_MAX_HOT = 500
+# Vectors of a block, and links of a cell, that a task holds at a time.
+BLOCK_BYTES = 8 << 20
+CELL_LINKS = 200_000
+_AT_ONCE = 4096
 
 
-def retrofit_variants(
-    vectors: DataFrame, links: DataFrame, alphas: Sequence[float], n_iters: Sequence[int], dim: int | None = None,
-    hot_links: int = _HOT_LINKS,
+def smoothed(
+    vectors: DataFrame, links: DataFrame, settings: Sequence[tuple[float, int]], block_bytes: int = BLOCK_BYTES, cell_links: int = CELL_LINKS,
 ) -> DataFrame:
-    """(alpha, n_iter, id, embedding) for every combination.
+    """(alpha, n_iter, id, embedding) for every (alpha, n_iter) of `settings`, and no other.
 
     Q <- (1 - alpha) Q0 + alpha (mean of the neighbours' Q), n_iter times; nodes without links keep Q0; the
-    result is scaled to length 1. `links` is (src, dst, weight) with weights summing to 1 per source.
+    result is scaled to length 1. `links` is (src, dst, weight) with weights summing to 1 per source. All alphas advance together, each
+    as far as it is asked for.
     """
-    d = dim or dimension(vectors)
-    # variants are numbered: a whole-number key keeps its partitioning, a floating-point key does not
-    each = F.posexplode(F.array(*[F.lit(float(a)) for a in alphas])).alias("variant", "alpha")
-    pieces = F.explode(F.sequence(F.lit(0), F.lit((d - 1) // CHUNK))).alias("chunk")
-    keys = ["id", "variant", "chunk"]
-    whole = vectors.select("id", unit(doubles(F.col("embedding"))).alias("v"), each)
-    base = lay_out(whole.select("id", "variant", "alpha", F.inline(chunks(F.col("v"), d))).withColumnRenamed("part", "q0"), *keys)
-    pulls = cut_lineage(links.select("src", F.col("dst").alias("id"), "weight"))
-    cold, hot = _hot_nodes(pulls, hot_links)
-    spread = lambda rows: rows.select("*", each).drop("alpha").select("*", pieces)
-    wires = lay_out(spread(cold), *keys)
-    busy = None if hot is None else cut_lineage(
-        spread(pulls.join(F.broadcast(hot), "id", "left_semi").repartition("src")))
-    state = base.withColumnRenamed("q0", "q")
-    snapshots = [state.withColumn("n_iter", F.lit(0))] if 0 in n_iters else []
-    for i in range(1, max(n_iters) + 1):
-        sent = wires.join(state, keys).select("src", "variant", "chunk", "weight", "q")
-        if busy is not None:
-            few = F.broadcast(state.join(F.broadcast(hot), "id", "left_semi"))  # at most _MAX_HOT nodes
-            sent = sent.unionByName(busy.join(few, keys).select(*sent.columns))
-        pulled = sent.groupBy(F.col("src").alias("id"), "variant", "chunk").agg(
-            sum_part(F.col("q"), F.col("weight")).alias("m"))
-        a = F.col("alpha")
-        mixed = F.zip_with("q0", "m", lambda x, y: (1 - a) * x + a * y)
-        state = base.join(pulled, keys, "left").select(
-            *keys, "alpha", F.when(F.col("m").isNull(), F.col("q0")).otherwise(mixed).alias("q"))
-        if i % _CUT_EVERY == 0 or (i in n_iters and i < max(n_iters)):
-            state = cut_lineage(state)
-        if i in n_iters:
-            snapshots.append(state.withColumn("n_iter", F.lit(i)))
-    out = snapshots[0]
-    for more in snapshots[1:]:
+    settings = sorted({(float(a), int(n)) for a, n in settings})
+    alphas = sorted({a for a, _ in settings})
+    last = {a: max(n for b, n in settings if b == a) for a in alphas}
+    base = settle(vectors.select("id", unit(doubles(F.col("embedding"))).alias("q0")))
+    size = base.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("q0")).alias("d")).first()
+    d, kind = size["d"] or 1, base.schema["id"].dataType
+    blocks = max(1, -(-size["n"] * d * 8 * (len(alphas) + 1) // block_bytes))
+    block = lambda c: F.pmod(F.xxhash64(F.col(c).cast(kind)), F.lit(blocks)).cast("int")
+    wires = links.select(F.col("src").cast(kind).alias("src"), F.col("dst").cast(kind).alias("dst"), F.col("weight").cast("double").alias("weight"))
+    wires = settle(wires.withColumns({"home": block("src"), "at": block("dst")}))
+    parts = settle(wires.groupBy("at").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell_links)).cast("int").alias("parts")))
+    part = F.pmod(F.xxhash64("src", "dst"), F.col("parts")).cast("int")
+    cells = settle(wires.join(parts, "at").select("at", part.alias("part"), "home", "src", "dst", "weight"), replaces=wires)
+    state = settle(base.select(block("id").alias("block"), "id", "q0", F.flatten(F.array_repeat("q0", len(alphas))).alias("q")), replaces=base)
+    name = kind.simpleString()
+    made = [_snapshot(state, alphas, settings, 0, d)]
+    kept = [state]
+    for i in range(1, max(last.values()) + 1):
+        every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+        shipped = state.join(parts, state["block"] == parts["at"]).select("at", every, "id", "q")
+        pulled = cells.groupBy("at", "part").cogroup(shipped.groupBy("at", "part")).applyInArrow(_pulled, f"home int, id {name}, m array<double>")
+        share = np.repeat([a if last[a] >= i else np.nan for a in alphas], d)
+        new = state.groupBy("block").cogroup(pulled.groupBy("home")).applyInArrow(_mixed(share), f"block int, id {name}, q0 array<double>, q array<double>")
+        asked = any(n == i for _, n in settings)
+        state = settle(new, replaces=None if state in kept else state)
+        if asked:
+            made.append(_snapshot(state, alphas, settings, i, d))
+            kept.append(state)
+    out = made[0]
+    for more in made[1:]:
         out = out.unionByName(more)
-    joined = out.withColumnRenamed("q", "part").groupBy("id", "variant", "n_iter").agg(
-        F.max("alpha").alias("alpha"), join_parts(d).alias("q"))
-    return joined.select("alpha", "n_iter", "id", unit(F.col("q")).alias("embedding"))
-
+    done = settle(out)
+    discard(*kept, cells, parts)
+    return done
+
+
+def _snapshot(state: DataFrame, alphas: list[float], settings: list[tuple[float, int]], i: int, d: int) -> DataFrame:
+    asked = [(v, a) for v, a in enumerate(alphas) if (a, i) in settings]
+    each = F.array(*[F.struct(F.lit(a).alias("alpha"), F.slice("q", v * d + 1, d).alias("q")) for v, a in asked])
+    if not asked:
+        each = F.array().cast("array<struct<alpha:double,q:array<double>>>")
+    return state.select("id", F.inline(each)).select("alpha", F.lit(i).alias("n_iter"), "id", unit(F.col("q")).alias("embedding"))
+
+
+def _matrix(table: pa.Table, column: str) -> np.ndarray:
+    return table.column(column).combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+
+
+def _lists(x: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+
+
+def _summed(target: np.ndarray, rows: int, values) -> np.ndarray:
+    """Sums per target of the rows that `values` gives for slices of them, in order of the target."""
+    order = np.argsort(target, kind="stable")
+    out = None
+    for at in range(0, len(order), _AT_ONCE):
+        chosen = order[at:at + _AT_ONCE]
+        to = target[chosen]
+        first = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
+        sums = np.add.reduceat(values(chosen), first, axis=0)
+        if out is None:
+            out = np.zeros((rows, sums.shape[1]))
+        out[to[first]] += sums
+    return out
+
+
+def _pulled(links: pa.Table, nodes: pa.Table) -> pa.Table:
+    """What the links of a cell pull: the weighted sum of the nodes' vectors per pulling node."""
+    empty = pa.table({"home": pa.array([], pa.int32()), "id": pa.array([], nodes.schema.field("id").type), "m": pa.array([], pa.list_(pa.float64()))})
+    if not links.num_rows or not nodes.num_rows:
+        return empty
+    found = pc.index_in(links.column("dst"), value_set=nodes.column("id").combine_chunks())
+    links, found = links.filter(found.is_valid()), found.drop_null().to_numpy()
+    if not links.num_rows:
+        return empty
+    q, weight = _matrix(nodes, "q"), links.column("weight").to_numpy()
+    named = links.column("src").combine_chunks().dictionary_encode()
+    codes = named.indices.to_numpy()
+    m = _summed(codes, len(named.dictionary), lambda rows: q[found[rows]] * weight[rows][:, None])
+    home = np.zeros(len(m), np.int32)
+    home[codes] = links.column("home").to_numpy()
+    return pa.table({"home": pa.array(home), "id": named.dictionary, "m": _lists(m)})
+
+
+def _mixed(share: np.ndarray):
+    """New vectors of a block from the partial sums of its nodes; elements without a share stay as they are."""
+
+    def run(nodes: pa.Table, pulled: pa.Table) -> pa.Table:
+        if not nodes.num_rows or not pulled.num_rows:
+            return nodes.select(["block", "id", "q0", "q"])
+        found = pc.index_in(pulled.column("id"), value_set=nodes.column("id").combine_chunks())
+        pulled, found = pulled.filter(found.is_valid()), found.drop_null().to_numpy()
+        if not pulled.num_rows:
+            return nodes.select(["block", "id", "q0", "q"])
+        m = _matrix(pulled, "m")
+        total = _summed(found, nodes.num_rows, lambda rows: m[rows])
+        seen = np.zeros(nodes.num_rows, bool)
+        seen[found] = True
+        q0, q = _matrix(nodes, "q0"), _matrix(nodes, "q").copy()
+        moves = ~np.isnan(share)
+        start = np.tile(q0, (1, q.shape[1] // q0.shape[1]))
+        new = np.where(seen[:, None], (1 - share) * start + share * total, start)
+        q[:, moves] = new[:, moves]
+        return pa.table({"block": nodes.column("block"), "id": nodes.column("id"), "q0": nodes.column("q0"), "q": _lists(q)})
+
+    return run
 
-def _hot_nodes(pulls: DataFrame, hot_links: int = _HOT_LINKS) -> tuple[DataFrame, DataFrame | None]:
-    """(links of ordinary nodes, ids of hot nodes or None).
 
-    The bucket of a node with very many links would be one long task. Such nodes are few by definition, so
-    their vectors are sent to their links instead, which stay spread out.
-    """
-    total = pulls.count()
-    if total <= hot_links:
-        return pulls, None
-    limit = max(hot_links, total // _MAX_HOT)
-    hot = cut_lineage(pulls.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("id"))
-    if hot.isEmpty():
-        return pulls, None
-    return pulls.join(F.broadcast(hot), "id", "left_anti"), hot
+def retrofit_variants(
+    vectors: DataFrame, links: DataFrame, alphas: Sequence[float], n_iters: Sequence[int], block_bytes: int = BLOCK_BYTES, cell_links: int = CELL_LINKS,
+) -> DataFrame:
+    """(alpha, n_iter, id, embedding) for every combination."""
+    return smoothed(vectors, links, [(a, n) for a in alphas for n in n_iters], block_bytes, cell_links)
 
 
 def retrofit(vectors: DataFrame, links: DataFrame, alpha: float, n_iter: int) -> DataFrame:
-    return retrofit_variants(vectors, links, [alpha], [n_iter]).select("id", "embedding")
+    return smoothed(vectors, links, [(alpha, n_iter)]).select("id", "embedding")
 
 
-def retrofit_grid(
+def grid_report(
     vectors: DataFrame,
     split: DataFrame,
     members: DataFrame,
     alphas: Sequence[float] = ALPHA_GRID,
     n_iters: Sequence[int] = N_ITER_GRID,
-) -> DataFrame:
-    """One row per (alpha, n_iter): retrieval of holdout edges, class cohesion, and their change against
-    the untouched vectors, which are the row with n_iter 0 (alpha 0)."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(grid, classes, counts). The grid has one row per (alpha, n_iter): retrieval of holdout edges, class cohesion, and their change against
+    the untouched vectors, which are the row with n_iter 0 (alpha 0). `classes` has the cohesion of every class there, and its change; `counts` is one
+    row with the numbers of vectors, edges, training and holdout edges, and evaluated pairs."""
     d = dimension(vectors)
     links = adjacency(split.where("split = 'train'").select("from_id", "to_id"))
-    pairs = cut_lineage(eval_pairs(split))
+    pairs = settle(eval_pairs(split))
     plain = vectors.select(
         F.lit(0.0).alias("alpha"), F.lit(0).alias("n_iter"), "id", unit(doubles(F.col("embedding"))).alias("embedding"))
-    points = cut_lineage(plain.unionByName(retrofit_variants(vectors, links, alphas, n_iters, d)))
-    by = ("alpha", "n_iter")
-    hits = hits_at_k(points, pairs, by=by)
-    gaps = cohesion_summary(class_cohesion(points, members, by, d), by)
-    scored = cut_lineage(hits.join(gaps, list(by), "left"))
+    points = settle(plain.unionByName(retrofit_variants(vectors, links, alphas, n_iters)))
+    by = ["alpha", "n_iter"]
+    hits = hits_at_k(points, pairs, by=tuple(by))
+    cohesion = settle(class_cohesion(points, members, tuple(by), d))
+    scored = settle(hits.join(cohesion_summary(cohesion, tuple(by)), by, "left"))
     start = scored.where("n_iter = 0")
     change = ("hits_at_10", "hits_at_100", "mrr", "weighted_gap", "mean_gap")
-    return scored.select(
+    grid = scored.select(
         "*", *[(F.col(c) - start.select(c).scalar()).alias(f"delta_{c}") for c in change])
+    before = cohesion.where("n_iter = 0").select("class", F.col("gap").alias("_before"))
+    classes = cohesion.join(before, "class").withColumn("delta_gap", F.col("gap") - F.col("_before")).drop("_before")
+    part = lambda name: F.count_if(F.col("split") == name)
+    counts = split.agg(F.count(F.lit(1)).alias("n_edges"), part("train").alias("n_train_edges"), part("holdout").alias("n_holdout_edges")).select(
+        F.lit(vectors.count()).alias("n_vectors"), "*", F.lit(pairs.count()).alias("n_eval_pairs"))
+    return grid, classes, counts
+
+
+def retrofit_grid(
+    vectors: DataFrame, split: DataFrame, members: DataFrame, alphas: Sequence[float] = ALPHA_GRID, n_iters: Sequence[int] = N_ITER_GRID,
+) -> DataFrame:
+    """The grid of `grid_report`."""
+    return grid_report(vectors, split, members, alphas, n_iters)[0]
 
 
 def winner(grid: DataFrame) -> DataFrame:
@@ -125,6 +204,6 @@ def winner(grid: DataFrame) -> DataFrame:
 def variant_vectors(vectors: DataFrame, split: DataFrame, variants=VARIANTS) -> DataFrame:
     """(variant, id, embedding) for named (alpha, n_iter) settings over the training edges."""
     links = adjacency(split.where("split = 'train'").select("from_id", "to_id"))
-    points = retrofit_variants(vectors, links, sorted({a for _, a, _ in variants}), sorted({n for _, _, n in variants}))
+    points = smoothed(vectors, links, [(a, n) for _, a, n in variants])
     name = F.coalesce(*[F.when((F.col("alpha") == a) & (F.col("n_iter") == n), v) for v, a, n in variants])
-    return points.withColumn("variant", name).where("variant is not null").select("variant", "id", "embedding")
+    return points.withColumn("variant", name).select("variant", "id", "embedding")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from glyphatlas.functions import compose as C
 from glyphatlas.operators import agreement as A
-from glyphatlas.operators import density as Y
 from glyphatlas.operators import graph as G
+from glyphatlas.operators import hierarchy as H
 from glyphatlas.operators import incremental as N
 from glyphatlas.operators import inference as I
 from glyphatlas.operators import mapdata as M
@@ -20,7 +20,7 @@ from glyphatlas.operators import selection as L
 from glyphatlas.operators import smoothing as S
 from glyphatlas.operators import vectors as V
 from glyphatlas.operators.records import parse_report, tagged_records
-from glyphatlas.session import cut_lineage
+from glyphatlas.session import cut_lineage, settle
 from glyphatlas.sources.exports import write_csv, write_json
 from glyphatlas.sources.snapshots import exists, get_or_build, publish_snapshot, sample_path
 from glyphatlas.sources.tagged import discover, scan_tagged
@@ -168,8 +168,8 @@ def embed_records(
 def smooth(
     spark: SparkSession, records: str, vectors: str, edges: str, out: str, alphas=ALPHA_GRID, n_iters=N_ITER_GRID,
 ) -> DataFrame:
-    """Split the in-scope edges, search the grid, publish `out`/{split, vectors} and `out`/metrics as JSON;
-    returns the grid. An error if no edge is in scope, none can be evaluated, or the result is not unit."""
+    """Split the in-scope edges, search the grid, publish `out`/{split, vectors}, and as JSON `out`/metrics, the cohesion of every class
+    in `out`/classes, and counts with the winner in `out`/report; returns the grid. An error if no edge is in scope, none can be evaluated, or the result is not unit."""
     rows = spark.read.parquet(records).select("id", "keywords")
     points = spark.read.parquet(vectors).select("id", "embedding")
     inside = G.in_scope(spark.read.parquet(edges), rows)
@@ -180,7 +180,7 @@ def smooth(
     if G.eval_pairs(split).isEmpty():
         raise ValueError("no holdout edge can be evaluated")
     members = V.class_members(rows, "keywords", CONTENT_KEYWORDS)
-    grid = S.retrofit_grid(points, split, members, alphas, n_iters)
+    grid, classes, counts = S.grid_report(points, split, members, alphas, n_iters)
     best = S.winner(grid).first()
     links = G.adjacency(split.where("split = 'train'").select("from_id", "to_id"))
     publish_snapshot(S.retrofit(points, links, best["alpha"], best["n_iter"]), f"{out}/vectors")
@@ -188,6 +188,8 @@ def smooth(
     if check["n_nan"] or check["n_not_unit"] or check["n_dims"] != 1:
         raise ValueError(f"smoothed vectors break their invariants: {check.asDict()}")
     write_json(grid, f"{out}/metrics")
+    write_json(classes, f"{out}/classes")
+    write_json(counts.select("*", F.lit(best["alpha"]).alias("alpha"), F.lit(best["n_iter"]).alias("n_iter")), f"{out}/report")
     return grid
 
 
@@ -199,13 +201,13 @@ def place_and_label(
     label summary. With `flat` the positions are clustered, else the vectors themselves. The neighbours of
     the vectors come from the approximate search, whose work is linear, unless `exact` is asked for."""
     points = spark.read.parquet(vectors).select("id", "embedding")
-    near = cut_lineage(B.knn(points) if exact else B.knn_approximate(points))
+    near = settle(B.knn(points) if exact else B.knn_approximate(points))
     place = B.layout_2d(B.pca_2d(points), B.fuzzy_graph(near), epochs)
     publish_snapshot(place, f"{out}/coords")
     coords = spark.read.parquet(f"{out}/coords")
     if flat:
         near = (B.knn if exact else B.knn_approximate)(coords.select("id", F.array("x", "y").alias("embedding")), metric="euclidean")
-    layers = cut_lineage(Y.density_layers(near, min_size, min_clusters))
+    layers = settle(H.stable_layers(near, min_size, min_clusters))
     docs = spark.read.parquet(records).select("id", C.topic_doc().alias("text"))
     texts = layers.where("cluster_id >= 0").join(docs, "id")
     names = T.name_clusters(T.keyphrases(texts, by=("layer", "cluster_id")), ("layer", "cluster_id"), namer)

@@ -241,7 +241,7 @@ def test_from_records_to_map(spark, sf, tmp_path):
     publish_snapshot(pairs.unionByName(more), p("edges"))
     grid = jobs.smooth(spark, p("enriched"), p("vec"), p("edges"), p("smooth"), alphas=(0.4,), n_iters=(1, 2))
     assert grid.count() == 3 and spark.read.parquet(p("smooth/vectors")).count() == kept
-    summary = jobs.place_and_label(spark, p("enriched"), p("smooth/vectors"), p("map"), epochs=2, min_size=5, min_clusters=2)
+    summary = jobs.place_and_label(spark, p("enriched"), p("smooth/vectors"), p("map"), min_size=5, min_clusters=2)
     assert summary.where(F.col("n_rows") == kept).count() == summary.count() > 0
     config = json.loads(jobs.map_tables(spark, p("enriched"), p("map"), p("tables")).first()["config"])
     points = spark.read.parquet(p("tables/points"))

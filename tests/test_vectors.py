@@ -45,10 +45,9 @@ def q0():
     return unit(np.random.default_rng(3).normal(size=(10, 16)))
 
 
-@pytest.mark.parametrize("hot", [50_000, 2])
-def test_smoothing_matches_plain_arithmetic(spark, q0, hot, monkeypatch):
-    monkeypatch.setattr(S, "_MAX_HOT", 1000)
-    out = S.retrofit_variants(frame(spark, q0), G.adjacency(edges(spark, *LINKS)), [0.0, 0.8, 1.0], [1, 4, 5], hot_links=hot)
+@pytest.mark.parametrize("block_bytes, cell_links", [(S.BLOCK_BYTES, S.CELL_LINKS), (2000, 2)])
+def test_smoothing_matches_plain_arithmetic(spark, q0, block_bytes, cell_links):
+    out = S.retrofit_variants(frame(spark, q0), G.adjacency(edges(spark, *LINKS)), [0.0, 0.8, 1.0], [1, 4, 5], block_bytes, cell_links)
     rows = out.collect()
     assert len(rows) == 90
     for r in rows:
@@ -56,6 +55,28 @@ def test_smoothing_matches_plain_arithmetic(spark, q0, hot, monkeypatch):
         assert np.allclose(r["embedding"], want, atol=1e-9)
 
 
+def test_hubs_over_many_cells_and_named_settings(spark, monkeypatch):
+    # two hubs, one of them with fewer than a 500th of the links, in cells of 7 links
+    monkeypatch.setattr(S, "_AT_ONCE", 5)
+    draw = np.random.default_rng(8)
+    q = unit(draw.normal(size=(300, 5)))
+    links = sorted({(0, i) for i in range(1, 290)} | {(1, i) for i in range(2, 12)} | {tuple(sorted(map(int, p))) for p in draw.integers(2, 300, (900, 2)) if p[0] != p[1]})
+    asked = [(0.3, 2), (0.9, 4), (0.9, 0)]
+    out = S.smoothed(frame(spark, q), G.adjacency(edges(spark, *links)), asked, 3000, 7).collect()
+    assert len(out) == 3 * 300 and {(r["alpha"], r["n_iter"]) for r in out} == set(asked)
+    want = {s: plain_smoothing(q, links, *s) for s in asked}
+    for r in out:
+        assert np.allclose(r["embedding"], want[r["alpha"], r["n_iter"]][r["id"]], atol=1e-9)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("glyphatlas")]
+
+
+def test_smoothing_with_text_ids_and_links_to_nowhere(spark):
+    vec = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("c", [1.0, 1.0])], "id string, embedding array<double>")
+    links = spark.createDataFrame([("a", "b", 1.0), ("b", "x", 1.0), ("x", "a", 1.0)], "src string, dst string, weight double")
+    got = {r["id"]: r["embedding"] for r in S.retrofit(vec, links, 0.5, 1).collect()}
+    assert np.allclose(got["a"], [0.5**0.5, 0.5**0.5]) and got["b"] == [0.0, 1.0] and np.allclose(got["c"], [0.5**0.5, 0.5**0.5])
+
+
 def test_smoothing_directions(spark):
     q0 = unit(np.random.default_rng(42).normal(size=(10, 16)))
     q = matrix(S.retrofit(frame(spark, q0), G.adjacency(edges(spark, (0, 1), (2, 3))), 0.8, 10))
@@ -139,6 +160,10 @@ def test_grid_and_winner(spark):
     assert len(rows) == 5
     best = max((r for r in rows if r["n_iter"] > 0), key=lambda r: (r["hits_at_10"], -r["alpha"], -r["n_iter"]))
     won = S.winner(grid).first()
+    _, classes, counts = S.grid_report(frame(spark, q), split, members(spark, {"a": range(10), "b": range(5, 30)}), [0.2, 0.8], [1, 2])
+    by = {(r["alpha"], r["n_iter"], r["class"]): r for r in classes.collect()}
+    assert len(by) == 10 and all(np.isclose(r["delta_gap"], r["gap"] - by[0.0, 0, r["class"]]["gap"]) for r in by.values())
+    assert counts.first()["n_edges"] == len(pairs) and counts.first()["n_vectors"] == 40
     assert (won["alpha"], won["n_iter"]) == (best["alpha"], best["n_iter"])
     start = next(r for r in rows if r["n_iter"] == 0)
     assert np.isclose(won["delta_mrr"], won["mrr"] - start["mrr"])
