@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from glyphatlas.llm.common import MIX, Words, doc_texts, in_pieces, join_with_hot_keys, keep_ids, mixed, utf8
 from glyphatlas.operators.components import contract
-from glyphatlas.session import cut_lineage
+from glyphatlas.session import cut_lineage, settle
 
 CHUNKS, PER_CHUNK, BITS = 7, 4, 14
 VALUES = CHUNKS * PER_CHUNK
@@ -40,6 +40,8 @@ GUARANTEED = 2 * CHUNKS - 1
 FARTHEST = 16
 DRAWN_ROUNDS = 1
 SIZE_STEP = 1.02
+# Bits that mark the shingles of left-over sets: 8 MB, at any size of the input.
+MARK_BITS = 26
 # A value has BITS bits and one spare, so that adding ONES carries into the spare bit unless the value is 0.
 LANE = BITS + 1
 ONES = sum(((1 << BITS) - 1) << (LANE * i) for i in range(PER_CHUNK))
@@ -198,22 +200,51 @@ def _hub_pairs(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, percent
     return _distinct_pairs(sized.where(_alike(percent) & _long_near(percent)))
 
 
-def _shingle_rows(frame: DataFrame) -> DataFrame:
-    """(rep, root, minor, own, n, shingle) for (rep, root, minor, shingles): a row for every shingle of every set; `own` tells the sets of a rep apart."""
+def _bit(shingle: np.ndarray) -> np.ndarray:
+    return (shingle.view(np.uint64) >> np.uint64(64 - MARK_BITS)).astype(np.int64)
+
+
+def _marked_shingles(sets: DataFrame) -> np.ndarray:
+    """A bitmap of 2 ** MARK_BITS bits, whatever the data, with a bit for every shingle of the sets (shingles)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.unique(_bit(np.frombuffer(b"".join(x.as_py() for x in batch.column(0)), np.int64)))
+            word = bits // 64
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            held = np.bitwise_or.reduceat(np.uint64(1) << (bits % 64).astype(np.uint64), first) if len(bits) else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(word[first]), pa.array(held.view(np.int64))], ["word", "bits"])
+
+    words = sets.select("shingles").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros((1 << MARK_BITS) // 64, np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def _shingle_rows(frame: DataFrame, percent: int) -> DataFrame:
+    """(rep, root, minor, own, n, outside, shingle) for (rep, root, minor, shingles): a row for every shingle that may stand in a minor set; `outside` is how many of
+    the set's `n` shingles stand in none, and `own` tells the sets of a rep apart. Sets with too few shingles in minor sets are left out."""
+    shipped = frame.sparkSession.sparkContext.broadcast(_marked_shingles(frame.where("minor")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shipped.value
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
                 held = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(4)]
                 n = np.array([len(x) for x in held])
-                row = pa.array(np.repeat(np.arange(len(n)), n))
+                flat, row = np.concatenate(held), np.repeat(np.arange(len(n)), n)
+                bit = _bit(flat)
+                inside = (known[bit // 64] >> (bit % 64).astype(np.uint64) & np.uint64(1)).astype(bool)
+                many = np.bincount(row[inside], minlength=len(n))
+                keep = inside & (100 * many >= percent * n)[row]
+                row = row[keep]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i).take(row) for i in range(4)), pa.array(np.repeat(n, n)), pa.array(np.concatenate(held))],
-                    ["rep", "root", "minor", "own", "n", "shingle"])
+                    [*(part.column(i).take(pa.array(row)) for i in range(4)), pa.array(n[row]), pa.array((n - many)[row]), pa.array(flat[keep])],
+                    ["rep", "root", "minor", "own", "n", "outside", "shingle"])
 
     cut = frame.select("rep", "root", "minor", F.xxhash64("shingles").alias("own"), "shingles")
-    return cut.mapInArrow(run, "rep long, root long, minor boolean, own long, n long, shingle long")
+    return cut.mapInArrow(run, "rep long, root long, minor boolean, own long, n long, outside long, shingle long")
 
 
 def _overlap(x: Column, y: Column, percent: int) -> Column:
@@ -229,22 +260,22 @@ def _left_over(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, sets: D
     """Pairs (a, b) in different components that share a key, one of them outside the component of the key's hub, and that can still be similar enough.
 
     Signatures cannot tell sets that just miss the similarity from those that reach it, and a family of such texts has very many pairs. The
-    sets themselves can: put the shingles of all sets concerned in order, rare ones first. Two sets with enough in common share their first common shingle
-    within the first size - overlap + 1 of either set, and texts that differ have their own words in front. So sets meet by these first
-    shingles and the size of the other one (in classes of 2%), and near misses with own words never meet.
+    sets themselves can: put the shingles of all sets concerned in order, those of no minor set in front and rare ones next. Two sets with enough in common
+    share their first common shingle within the first size - overlap + 1 of either set, and texts that differ have their own words in front. So
+    sets meet by these first shingles and the size of the other one (in classes of 2%), and near misses with own words never meet.
     """
     centre = hubs.join(labelled.select(F.col("rep").alias("hub"), F.col("root").alias("hub_root")).distinct(), "hub")
     minor = cut_lineage(labelled.join(centre, "key").where("root <> hub_root").select("key", "rep"))
     left = minor.select("rep").distinct().withColumn("minor", F.lit(True))
     concerned = labelled.join(minor.select("key").distinct(), "key", "left_semi").select("rep", "root").distinct()
     marked = concerned.join(left, "rep", "left").select("rep", "root", F.coalesce("minor", F.lit(False)).alias("minor"))
-    rows = cut_lineage(_shingle_rows(marked.join(sets, "rep").select("rep", "root", "minor", "shingles")))
+    rows = settle(_shingle_rows(marked.join(sets, "rep").select("rep", "root", "minor", "shingles"), percent))
     counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"))
     placed = join_with_hot_keys(rows, counts, ["shingle"], "sets").withColumn(
-        "place", F.row_number().over(W.partitionBy("rep", "own").orderBy("sets", "shingle")))
+        "place", F.col("outside") + F.row_number().over(W.partitionBy("rep", "own").orderBy("sets", "shingle")))
     n = F.col("n")
     least = F.ceil(n * percent / F.lit(100.0) - 1e-9)
-    first = cut_lineage(placed.where(F.col("place") <= n - least + 1).select("rep", "root", "minor", "n", "place", "shingle"))
+    first = settle(placed.where(F.col("place") <= n - least + 1).select("rep", "root", "minor", "n", "place", "shingle"))
     each = F.explode(F.sequence(_size_class(least), _size_class(F.floor(n * 100 / F.lit(float(percent)) + 1e-9)))).alias("of_size")
     asked = first.where("minor").select("*", each)
     smallest = F.greatest(F.floor(F.pow(F.lit(SIZE_STEP), F.col("of_size")) - 1e-6), least)
