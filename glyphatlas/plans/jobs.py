@@ -22,7 +22,7 @@ from glyphatlas.operators import vectors as V
 from glyphatlas.operators.records import parse_report, tagged_records
 from glyphatlas.session import cut_lineage, settle
 from glyphatlas.sources.exports import write_csv, write_json
-from glyphatlas.sources.snapshots import exists, get_or_build, publish_snapshot, sample_path
+from glyphatlas.sources.snapshots import exists, get_or_build, merge_snapshot, publish_snapshot, read_snapshot, sample_path
 from glyphatlas.sources.tagged import discover, scan_tagged
 from glyphatlas.vocab import (
     ALPHA_GRID,
@@ -35,54 +35,50 @@ from glyphatlas.vocab import (
 )
 
 
-def _changed_files(spark: SparkSession, root: str, table: str, glob: str) -> tuple[DataFrame, DataFrame | None, DataFrame]:
-    """(discovered files, kept rows of the old snapshot, contents of new and changed files)."""
-    found = cut_lineage(discover(spark, root, glob))
+def _changed_files(spark: SparkSession, root: str, table: str, glob: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """((path, mtime, size) of new and changed files, path_rel of vanished ones); both None where there is no table yet."""
     if not exists(spark, table):
-        return found, None, scan_tagged(spark, root, glob)
-    old = spark.read.parquet(table)
-    cache = old.select(F.col("path_rel").alias("path"), "mtime", "size")
-    live = N.purge_missing(old, found.select(F.col("path").alias("path_rel")), "path_rel")
-    return found, live, scan_tagged(spark, root, glob, N.changed(found, cache))
+        return None, None
+    found = settle(discover(spark, root, glob))
+    cache = read_snapshot(spark, table).select("path_rel", "mtime", "size")
+    gone = cache.select("path_rel").join(found.select(F.col("path").alias("path_rel")), "path_rel", "left_anti")
+    return settle(N.changed(found, cache.withColumnRenamed("path_rel", "path"))), gone
 
 
 def ingest(spark: SparkSession, root: str, table: str, quarantine: str | None = None, glob: str = "*.seq") -> DataFrame:
     """Bring the record table up to date with the files below `root`; returns the parse report.
 
-    Rows of vanished files go, also when nothing else changed. Files that are not UTF-8 are listed in
+    Only the buckets of changed files are rewritten. Rows of vanished files go, also when nothing else changed. Files that are not UTF-8 are listed in
     `quarantine` (beside the table if not given); their old rows stay and they are tried again next time.
     """
-    _, live, read = _changed_files(spark, root, table, glob)
-    read = cut_lineage(read)
-    new = tagged_records(read.where("valid").drop("valid"))
+    wanted, gone = _changed_files(spark, root, table, glob)
+    read = scan_tagged(spark, root, glob, wanted)
+    merge_snapshot(tagged_records(read.where("valid").drop("valid")), table, "path_rel", gone)
     _set_aside(read, quarantine or f"{table}._quarantine")
-    merged = new if live is None else N.upsert(live, new.select(*live.columns), "path_rel")
-    publish_snapshot(merged.orderBy("id"), table)
-    return parse_report(spark.read.parquet(table))
+    return parse_report(read_snapshot(spark, table))
 
 
 def _set_aside(read: DataFrame, quarantine: str) -> None:
-    """List the files of this run that are not UTF-8."""
+    """List the files of this run that are not UTF-8; their bytes are read again for that, not kept."""
     publish_snapshot(read.where("NOT valid").select("path", "mtime", "size"), quarantine)
 
 
 def extract_references(
     spark: SparkSession, root: str, cache: str, edges: str, glob: str = "*.seq", quarantine: str | None = None, id_pattern: str = G.ID_PATTERN,
 ) -> DataFrame:
-    """Bring the per-file edge cache up to date and rebuild the undirected edge table; returns its report. Files
+    """Bring the per-file edge cache up to date, in the buckets of changed files, and rebuild the undirected edge table; returns its report. Files
     that are not UTF-8 are listed in `quarantine`, beside the cache if not given."""
-    _, live, read = _changed_files(spark, root, cache, glob)
-    read = cut_lineage(read)
-    new = G.edge_cache(read.where("valid"), id_pattern)
+    wanted, gone = _changed_files(spark, root, cache, glob)
+    read = scan_tagged(spark, root, glob, wanted)
+    merge_snapshot(G.edge_cache(read.where("valid"), id_pattern), cache, "path_rel", gone)
     _set_aside(read, quarantine or f"{cache}._quarantine")
-    publish_snapshot(new if live is None else N.upsert(live, new, "path_rel"), cache)
-    publish_snapshot(G.canonical(G.cached_edges(spark.read.parquet(cache))).orderBy("from_id", "to_id"), edges)
-    return G.edge_report(spark.read.parquet(edges))
+    publish_snapshot(G.canonical(G.cached_edges(read_snapshot(spark, cache))), edges)
+    return G.edge_report(read_snapshot(spark, edges))
 
 
 def select_records(spark: SparkSession, table: str, out: str, scope: str, target: int = CURATED_TARGET) -> DataFrame:
     """Publish the records of a scope, best first; returns the audit of exclusions."""
-    records = spark.read.parquet(table)
+    records = read_snapshot(spark, table)
     publish_snapshot(L.select(records, scope, target).orderBy(*L.score_order()), out)
     return L.exclude_audit(records)
 
@@ -90,7 +86,7 @@ def select_records(spark: SparkSession, table: str, out: str, scope: str, target
 def draw_sample(spark: SparkSession, table: str, root: str, n: int, seed: int) -> DataFrame:
     """The evaluation sample for (n, seed): read again if it exists, else drawn and published."""
     path = sample_path(root, n, seed)
-    return get_or_build(spark, path, lambda: L.sample_n(spark.read.parquet(table), n, seed))
+    return get_or_build(spark, path, lambda: L.sample_n(read_snapshot(spark, table), n, seed))
 
 
 def enrich(
@@ -104,7 +100,7 @@ def enrich(
     `chunks`, so that an interrupted run loses at most one chunk, each with the classifier's `version` and a digest of the columns it
     saw: a row is sent again if it was edited, if the version is another, or if it has no complete answer yet.
     """
-    records = spark.read.parquet(table)
+    records = read_snapshot(spark, table)
     if skip:
         publish_snapshot(records, out)
         return records.agg(F.count(F.lit(1)).alias("n_rows"))
@@ -129,7 +125,7 @@ def enrich(
         last = current.groupBy("id").agg(F.max_by("error", "answered_at").alias("error"))
         failed = F.lit(last.where("error IS NOT NULL").count()).cast("bigint")
     publish_snapshot(done, out)
-    return A.completeness(spark.read.parquet(out).withColumn("run", F.lit("enrich")), "run").withColumn("n_failed", failed)
+    return A.completeness(read_snapshot(spark, out).withColumn("run", F.lit("enrich")), "run").withColumn("n_failed", failed)
 
 
 def _with_fields(df: DataFrame) -> DataFrame:
@@ -153,12 +149,12 @@ def embed_records(
 ) -> int:
     """Embed records that have no vector of this version and text, and publish vectors for exactly the
     current ids; returns their number."""
-    texts = spark.read.parquet(table).select("id", C.embed_text().alias("text"))
+    texts = read_snapshot(spark, table).select("id", C.embed_text().alias("text"))
     if embedder is None:
         return publish_snapshot(I.hash_embed(texts, dim, version), out)
     if not exists(spark, out):
         return publish_snapshot(I.embed(texts, embedder, version), out)
-    old = spark.read.parquet(out)
+    old = read_snapshot(spark, out)
     current = old.join(texts.select("id", I.text_hash(F.col("text")).alias("text_hash")), ["id", "text_hash"], "left_semi")
     current = current.select(*old.columns).where(F.coalesce("text_version", F.lit("v1")) == version)
     new = I.embed(N.pending(texts, current), embedder, version)
@@ -170,13 +166,13 @@ def smooth(
 ) -> DataFrame:
     """Split the in-scope edges, search the grid, publish `out`/{split, vectors}, and as JSON `out`/metrics, the cohesion of every class
     in `out`/classes, and counts with the winner in `out`/report; returns the grid. An error if no edge is in scope, none can be evaluated, or the result is not unit."""
-    rows = spark.read.parquet(records).select("id", "keywords")
-    points = spark.read.parquet(vectors).select("id", "embedding")
-    inside = G.in_scope(spark.read.parquet(edges), rows)
+    rows = read_snapshot(spark, records).select("id", "keywords")
+    points = read_snapshot(spark, vectors).select("id", "embedding")
+    inside = G.in_scope(read_snapshot(spark, edges), rows)
     if inside.isEmpty():
         raise ValueError("no edge has both ends in scope")
     publish_snapshot(G.split_edges(inside), f"{out}/split")
-    split = spark.read.parquet(f"{out}/split")
+    split = read_snapshot(spark, f"{out}/split")
     if G.eval_pairs(split).isEmpty():
         raise ValueError("no holdout edge can be evaluated")
     members = V.class_members(rows, "keywords", CONTENT_KEYWORDS)
@@ -184,7 +180,7 @@ def smooth(
     best = S.winner(grid).first()
     links = G.adjacency(split.where("split = 'train'").select("from_id", "to_id"))
     publish_snapshot(S.retrofit(points, links, best["alpha"], best["n_iter"]), f"{out}/vectors")
-    check = V.vector_invariants(spark.read.parquet(f"{out}/vectors")).first()
+    check = V.vector_invariants(read_snapshot(spark, f"{out}/vectors")).first()
     if check["n_nan"] or check["n_not_unit"] or check["n_dims"] != 1:
         raise ValueError(f"smoothed vectors break their invariants: {check.asDict()}")
     write_json(grid, f"{out}/metrics")
@@ -200,29 +196,29 @@ def place_and_label(
     """Lay the vectors out in two dimensions, cluster, name, and publish `out`/{coords, labels}; returns the
     label summary. With `flat` the positions are clustered, else the vectors themselves. The neighbours of
     the vectors come from the approximate search, whose work is linear, unless `exact` is asked for."""
-    points = spark.read.parquet(vectors).select("id", "embedding")
+    points = read_snapshot(spark, vectors).select("id", "embedding")
     near = settle(B.knn(points) if exact else B.knn_approximate(points))
     place = B.layout_2d(B.pca_2d(points), B.fuzzy_graph(near), epochs)
     publish_snapshot(place, f"{out}/coords")
-    coords = spark.read.parquet(f"{out}/coords")
+    coords = read_snapshot(spark, f"{out}/coords")
     if flat:
         near = (B.knn if exact else B.knn_approximate)(coords.select("id", F.array("x", "y").alias("embedding")), metric="euclidean")
     layers = settle(H.stable_layers(near, min_size, min_clusters))
-    docs = spark.read.parquet(records).select("id", C.topic_doc().alias("text"))
+    docs = read_snapshot(spark, records).select("id", C.topic_doc().alias("text"))
     texts = layers.where("cluster_id >= 0").join(docs, "id")
     names = T.name_clusters(T.keyphrases(texts, by=("layer", "cluster_id")), ("layer", "cluster_id"), namer)
     publish_snapshot(T.label_points(layers, names), f"{out}/labels")
-    return T.label_summary(spark.read.parquet(f"{out}/labels"))
+    return T.label_summary(read_snapshot(spark, f"{out}/labels"))
 
 
 def map_tables(spark: SparkSession, records: str, placed: str, out: str) -> DataFrame:
     """Publish the map points and the facet configuration; returns the configuration."""
-    rows = spark.read.parquet(records)
-    labels = spark.read.parquet(f"{placed}/labels")
+    rows = read_snapshot(spark, records)
+    labels = read_snapshot(spark, f"{placed}/labels")
     n_layers = (labels.agg(F.max("layer")).first()[0] or 0) + 1
     wide = T.label_pivot(labels, n_layers)
-    publish_snapshot(M.map_points(rows, spark.read.parquet(f"{placed}/coords"), wide), f"{out}/points")
-    config = M.facets(spark.read.parquet(f"{out}/points"), rows)
+    publish_snapshot(M.map_points(rows, read_snapshot(spark, f"{placed}/coords"), wide), f"{out}/points")
+    config = M.facets(read_snapshot(spark, f"{out}/points"), rows)
     write_json(config, f"{out}/facets")
     return config
 
@@ -248,14 +244,14 @@ def compare_variants(
 ) -> DataFrame:
     """Smooth, lay out and label every named variant that has not been materialised yet; returns the label
     summaries of all of them, one `variant` column apart."""
-    points, edges = spark.read.parquet(vectors), spark.read.parquet(split)
+    points, edges = read_snapshot(spark, vectors), read_snapshot(spark, split)
     summary = None
     for name, alpha, n_iter in variants:
         base = f"{out}/{name}"
         made = lambda a=alpha, n=n_iter, v=name: S.variant_vectors(points, edges, ((v, a, n),)).select("id", "embedding")
         get_or_build(spark, f"{base}/vectors", made)
         if exists(spark, f"{base}/labels"):
-            report = T.label_summary(spark.read.parquet(f"{base}/labels"))
+            report = T.label_summary(read_snapshot(spark, f"{base}/labels"))
         else:
             report = place_and_label(spark, records, f"{base}/vectors", base, epochs, **kw)
         report = report.withColumn("variant", F.lit(name))

@@ -1,7 +1,7 @@
 """New tagged files as a stream that upserts into a record table.
 
 The file source remembers paths, so it sees new files but not edits; run the batch ingest for those. Both read files, key
-rows and set bad bytes aside in the same way, so they can serve the same table.
+rows, rewrite the buckets of changed files only and set bad bytes aside in the same way, so they can serve the same table.
 """
 
 from __future__ import annotations
@@ -9,10 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from glyphatlas.operators.incremental import upsert
 from glyphatlas.operators.records import tagged_records
-from glyphatlas.session import cut_lineage
-from glyphatlas.sources.snapshots import exists, publish_snapshot
+from glyphatlas.sources.snapshots import merge_snapshot
 from glyphatlas.sources.tagged import stream_tagged
 
 
@@ -25,15 +23,8 @@ def ingest_stream(
     aside = quarantine or f"{table}._quarantine"
 
     def merge(batch: DataFrame, _: int) -> None:
-        read = cut_lineage(batch)
-        new = tagged_records(read.where("valid").drop("valid"))
-        bad = read.where("NOT valid").select("path", "mtime", "size")
-        if exists(spark, aside):
-            bad = upsert(spark.read.parquet(aside), bad, "path")
-        publish_snapshot(bad, aside)
-        if exists(spark, table):
-            new = upsert(spark.read.parquet(table), new, "path_rel")
-        publish_snapshot(new, table)
+        merge_snapshot(tagged_records(batch.where("valid").drop("valid")), table, "path_rel")
+        merge_snapshot(batch.where("NOT valid").select("path", "mtime", "size"), aside, "path", buckets=1)
 
     stream = stream_tagged(spark, root, glob, max_files)
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

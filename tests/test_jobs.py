@@ -3,6 +3,7 @@
 import hashlib
 import json
 import os
+import threading
 
 import numpy as np
 import pytest
@@ -13,7 +14,8 @@ from glyphatlas.operators import graph as G
 from glyphatlas.operators import inference as I
 from glyphatlas.plans import jobs
 from glyphatlas.sources.exports import read_csv
-from glyphatlas.sources.snapshots import publish_snapshot, swap
+from glyphatlas.sources import snapshots
+from glyphatlas.sources.snapshots import manifest, merge_snapshot, publish_snapshot, read_snapshot
 from glyphatlas.streaming.ingest import ingest_stream
 from glyphatlas.vocab import ENUM_FIELDS
 
@@ -30,7 +32,7 @@ def test_incremental_ingest(spark, tmp_path):
     for n in (1, 2, 1003):
         write(root, n, f"name {n}")
     assert jobs.ingest(spark, root, table, bad).first()["n_rows"] == 3
-    names = lambda: {r["id"]: r["name"] for r in spark.read.parquet(table).collect()}
+    names = lambda: {r["id"]: r["name"] for r in read_snapshot(spark, table).collect()}
     assert names() == {"A000001": "name 1", "A000002": "name 2", "A001003": "name 1003"}
     write(root, 2, "a longer name 2")
     os.remove(os.path.join(root, "A001", "a001003.seq"))
@@ -39,11 +41,11 @@ def test_incremental_ingest(spark, tmp_path):
         f.write(b"%N A000001 \xff\xfe\n")
     jobs.ingest(spark, root, table, bad)
     assert names() == {"A000001": "name 1", "A000002": "a longer name 2", "A000004": "name 4"}
-    assert [r["path"] for r in spark.read.parquet(bad).collect()] == ["A000/a000001.seq"]
+    assert [r["path"] for r in read_snapshot(spark, bad).collect()] == ["A000/a000001.seq"]
     os.remove(os.path.join(root, "A000", "a000004.seq"))
     jobs.ingest(spark, root, table, bad)
     assert set(names()) == {"A000001", "A000002"}
-    assert spark.read.parquet(table).filter("path_rel = 'A000/a000002.seq' and mtime > 1e9 and size > 50").count() == 1
+    assert read_snapshot(spark, table).filter("path_rel = 'A000/a000002.seq' and mtime > 1e9 and size > 50").count() == 1
 
 
 def test_reference_edges_are_cached_per_file(spark, tmp_path):
@@ -53,10 +55,10 @@ def test_reference_edges_are_cached_per_file(spark, tmp_path):
     write(root, 3, "c")
     report = jobs.extract_references(spark, root, cache, edges).first()
     assert (report["n_edges"], report["n_nodes"], report["fan_max"]) == (2, 3, 2)
-    assert spark.read.parquet(cache).count() == 3
+    assert read_snapshot(spark, cache).count() == 3
     write(root, 1, "a", "%Y A000001 Cf. A000009.\n")
     jobs.extract_references(spark, root, cache, edges)
-    assert sorted(map(tuple, spark.read.parquet(edges).collect())) == [("A000001", "A000002"), ("A000001", "A000009")]
+    assert sorted(map(tuple, read_snapshot(spark, edges).collect())) == [("A000001", "A000002"), ("A000001", "A000009")]
 
 
 def test_stream_merges_new_files_once(spark, tmp_path):
@@ -65,7 +67,7 @@ def test_stream_merges_new_files_once(spark, tmp_path):
     ingest_stream(spark, root, table, ck).awaitTermination()
     write(root, 2, "two")
     ingest_stream(spark, root, table, ck).awaitTermination()
-    rows = spark.read.parquet(table)
+    rows = read_snapshot(spark, table)
     assert {r["id"]: r["name"] for r in rows.collect()} == {"A000001": "one", "A000002": "two"}
 
 
@@ -80,10 +82,10 @@ def test_stream_and_batch_share_keys_and_quarantine(spark, tmp_path):
     with open(os.path.join(root, "A000", "bad.seq"), "wb") as f:
         f.write(b"%N A000009 \xff\xfe\n")
     ingest_stream(spark, root, table, ck).awaitTermination()
-    rows = lambda: {r["path_rel"]: r["name"] for r in spark.read.parquet(table).collect()}
+    rows = lambda: {r["path_rel"]: r["name"] for r in read_snapshot(spark, table).collect()}
     want = {"A000/a000001.seq": "one", "A000/a000002.seq": "two", "A000/a000003.seq": "three", "A000/a[4]*.seq": "four"}
-    assert rows() == want and spark.read.parquet(table).count() == 4
-    aside = lambda place: [r["path"] for r in spark.read.parquet(place).collect()]
+    assert rows() == want and read_snapshot(spark, table).count() == 4
+    aside = lambda place: [r["path"] for r in read_snapshot(spark, place).collect()]
     assert aside(f"{table}._quarantine") == ["A000/bad.seq"]
     write(root, 1, "one again")
     jobs.ingest(spark, root, table)
@@ -93,29 +95,59 @@ def test_stream_and_batch_share_keys_and_quarantine(spark, tmp_path):
     assert aside(f"{tmp_path / 'cache'}._quarantine") == ["A000/bad.seq"]
 
 
-@pytest.mark.parametrize("refused", [1, 2])
-def test_refused_rename_keeps_the_old_snapshot(refused):
-    class Store:
-        def __init__(self):
-            self.held, self.calls = {"new": "new rows", "table": "old rows"}, 0
-
-        def exists(self, p):
-            return p in self.held
-
-        def rename(self, a, b):
-            self.calls += 1
-            if self.calls == refused:
-                return False
-            self.held[b] = self.held.pop(a)
-            return True
+def test_failed_publish_leaves_the_pointer(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    publish_snapshot(spark.range(4), path)
+    before = manifest(spark, path)
+    real = snapshots._verified
+    monkeypatch.setattr(snapshots, "_verified", lambda df, place, *rest: (real(df, place, *rest), 1 / 0))
+    with pytest.raises(ZeroDivisionError):
+        publish_snapshot(spark.range(9), path)
+    assert manifest(spark, path) == before and read_snapshot(spark, path).count() == 4
+
+
+def test_readers_never_fail_while_versions_are_published(spark, tmp_path):
+    path, seen, faults = str(tmp_path / "t"), set(), []
+    publish_snapshot(spark.range(1), path)
+    stop = threading.Event()
+
+    def watch():
+        while not stop.is_set():
+            try:
+                seen.add(read_snapshot(spark, path).count())
+            except Exception as e:  # noqa: BLE001
+                faults.append(str(e))
+
+    reader = threading.Thread(target=watch)
+    reader.start()
+    try:
+        for n in range(2, 9):
+            publish_snapshot(spark.range(n), path)
+    finally:
+        stop.set()
+        reader.join()
+    assert not faults and seen <= set(range(1, 9)) and len(seen) > 1
 
-        def delete(self, p, _):
-            self.held.pop(p, None)
 
-    store = Store()
-    with pytest.raises(RuntimeError):
-        swap(store, lambda p: p, "new", "table", "old")
-    assert store.held == {"table": "old rows"}
+def test_a_change_rewrites_its_bucket_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(10_000).selectExpr("concat('f', id) AS path_rel", "id AS v")
+    assert merge_snapshot(rows, path, "path_rel") == snapshots.BUCKETS
+    before = manifest(spark, path)["parts"]
+    assert merge_snapshot(rows.where("v = 77").withColumn("v", F.lit(-1).cast("long")), path, "path_rel") == 1
+    after = manifest(spark, path)["parts"]
+    assert sum(before[b] != after[b] for b in before) == 1
+    assert merge_snapshot(rows.where("false"), path, "path_rel", rows.where("v IN (5, 6)")) <= 2
+    assert merge_snapshot(rows.where("false"), path, "path_rel", rows.where("false")) == 0
+    got = read_snapshot(spark, path)
+    assert got.columns == ["path_rel", "v"] and (got.count(), got.agg(F.sum("v")).first()[0]) == (9_998, sum(range(10_000)) - 77 - 1 - 11)
+
+
+def test_a_plain_table_is_taken_over(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).selectExpr("concat('f', id) AS k", "id AS v").write.parquet(path)
+    merge_snapshot(spark.createDataFrame([("f3", 30), ("g", 1)], "k string, v long"), path, "k")
+    assert {r["k"]: r["v"] for r in read_snapshot(spark, path).collect()} == {f"f{i}": i for i in range(10)} | {"f3": 30, "g": 1}
 
 
 def test_ids_of_seven_digits_stay_apart(spark):
@@ -138,10 +170,10 @@ def test_snapshot_checks_its_rows(spark, tmp_path):
     assert publish_snapshot(spark.range(5), path) == 5
     with pytest.raises(RuntimeError):
         publish_snapshot(spark.range(7), path, expected=8)
-    assert spark.read.parquet(path).count() == 5
-    assert publish_snapshot(spark.read.parquet(path).where("id < 3"), path) == 3
+    assert read_snapshot(spark, path).count() == 5
+    assert publish_snapshot(read_snapshot(spark, path).where("id < 3"), path) == 3
     assert sorted(os.listdir(tmp_path)) == ["t"]
-    assert any(f.endswith(".zstd.parquet") for f in os.listdir(path))
+    assert any(f.endswith(".zstd.parquet") for _, _, files in os.walk(path) for f in files)
 
 
 def messy_classifier(rows):
@@ -220,7 +252,7 @@ def test_embed_again_only_what_changed(spark, tmp_path):
     finally:
         J.I.embed = real
     assert calls == [2]  # one new id, one edited text
-    vec = {r["id"]: r["embedding"] for r in spark.read.parquet(out).collect()}
+    vec = {r["id"]: r["embedding"] for r in read_snapshot(spark, out).collect()}
     assert set(vec) == {"A1", "A2", "A3", "A4", "A5"} and vec["A2"][2] == vec["A1"][2] + 4
 
 
@@ -229,22 +261,22 @@ def test_from_records_to_map(spark, sf, tmp_path):
     publish_snapshot(inputs.records(spark, sf), p("raw"))
     audit = jobs.select_records(spark, p("raw"), p("selected"), "all")
     kept = {r["reason"]: r["n_rows"] for r in audit.collect()}["kept"]
-    assert spark.read.parquet(p("selected")).count() == kept
-    scores = [r["select_score"] for r in spark.read.parquet(p("selected")).select("select_score").collect()]
+    assert read_snapshot(spark, p("selected")).count() == kept
+    scores = [r["select_score"] for r in read_snapshot(spark, p("selected")).select("select_score").collect()]
     assert len(scores) == kept
     assert jobs.enrich(spark, p("selected"), p("enriched")).first()["n_complete"] == kept
     assert jobs.embed_records(spark, p("enriched"), p("vec"), dim=64) == kept
-    ids = spark.read.parquet(p("enriched")).select("id")
+    ids = read_snapshot(spark, p("enriched")).select("id")
     ring = ids.withColumn("k", F.expr("cast(substring(id, 2) as int)"))
     pairs = ring.alias("a").join(ring.selectExpr("id AS other", "k - 1 AS k"), "k").selectExpr("id AS from_id", "other AS to_id")
     more = ring.join(ring.selectExpr("id AS other", "k - 5 AS k"), "k").selectExpr("id AS from_id", "other AS to_id")
     publish_snapshot(pairs.unionByName(more), p("edges"))
     grid = jobs.smooth(spark, p("enriched"), p("vec"), p("edges"), p("smooth"), alphas=(0.4,), n_iters=(1, 2))
-    assert grid.count() == 3 and spark.read.parquet(p("smooth/vectors")).count() == kept
+    assert grid.count() == 3 and read_snapshot(spark, p("smooth/vectors")).count() == kept
     summary = jobs.place_and_label(spark, p("enriched"), p("smooth/vectors"), p("map"), min_size=5, min_clusters=2)
     assert summary.where(F.col("n_rows") == kept).count() == summary.count() > 0
     config = json.loads(jobs.map_tables(spark, p("enriched"), p("map"), p("tables")).first()["config"])
-    points = spark.read.parquet(p("tables/points"))
+    points = read_snapshot(spark, p("tables/points"))
     assert config["totalCount"] == points.count() == kept
     assert set(config["ranges"]) == {"edits", "refs", "links", "year"} and config["domains"][-1] == "other"
     xy = np.array([(r["x"], r["y"]) for r in points.select("x", "y").collect()])
