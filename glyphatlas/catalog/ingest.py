@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from glyphatlas.catalog import inputs as I
@@ -11,6 +13,8 @@ from glyphatlas.functions import records as R
 from glyphatlas.functions.strings import split_lines
 from glyphatlas.operators import incremental as N
 from glyphatlas.operators.records import parse_report, tagged_lines, tagged_records
+from glyphatlas.session import run_folder
+from glyphatlas.sources.tagged import scan_tagged
 from glyphatlas.vocab import ENUM_FIELDS, VALUE_FIELDS
 
 
@@ -33,13 +37,18 @@ def _records(spark, sf):
 
 
 @query("tagged_scan", f"""WITH {S.TAGGED_LINES}
-SELECT path, (1700000000 + doc_id)::DOUBLE AS mtime, (len(lines) + 1)::BIGINT AS n_lines,
+SELECT path, (len(lines) + 1)::BIGINT AS n_lines,
   (list_sum(list_transform(lines, lambda x: 4 + length(id) + strlen(x.c))) + 25
-    + len(lines) * CASE WHEN doc_id % 3 = 1 THEN 2 ELSE 1 END)::BIGINT AS size
+    + len(lines) * CASE WHEN doc_id % 3 = 1 THEN 2 ELSE 1 END)::BIGINT AS size, true AS valid
 FROM ln""")
 def _scan(spark, sf):
-    return I.tagged(spark, sf).select(
-        "path", "mtime", F.size(split_lines(F.col("text"))).cast("bigint").alias("n_lines"), "size")
+    """The texts as files of their own in the shared folder, found and read again."""
+    root = f"{run_folder(spark)}/{uuid.uuid4().hex}"
+    I.tagged(spark, sf).select("path", "text").write.partitionBy("path").text(root)
+    named = F.url_decode(F.regexp_extract("path", "^path=([^/]*)/", 1)).alias("path")
+    # the writer ends every file with a line break of its own
+    own = split_lines(F.expr("left(text, length(text) - 1)"))
+    return scan_tagged(spark, root, "*.txt").select(named, F.size(own).cast("bigint").alias("n_lines"), (F.col("size") - 1).alias("size"), "valid")
 
 
 @query("tagged_lines", f"""WITH {S.TAGGED_LINES}

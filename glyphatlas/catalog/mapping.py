@@ -124,8 +124,9 @@ def _points(spark, sf):
 
 @query("points_labels", """SELECT 'A' || lpad(doc_id::VARCHAR, greatest(6, length(doc_id::VARCHAR))::INTEGER, '0') AS id, quality::BIGINT AS quality FROM documents LEFT JOIN labels USING (doc_id)""")
 def _labels(spark, sf):
-    docs = I.table(spark, sf, "documents").join(I.table(spark, sf, "labels"), "doc_id", "left")
-    return docs.selectExpr("concat('A', lpad(cast(doc_id as string), greatest(6, length(cast(doc_id as string))), '0')) AS id", "cast(quality as bigint) AS quality")
+    named = "concat('A', lpad(cast(doc_id as string), greatest(6, length(cast(doc_id as string))), '0')) AS id"
+    ids = I.table(spark, sf, "documents").selectExpr(named)
+    return M.align_labels(ids, I.table(spark, sf, "labels").selectExpr(named, "cast(quality as bigint) AS quality"))
 
 
 @query("facet_filter", f"""{_POINTS} SELECT id FROM pt WHERE author_filter IN ('Other', 'src1') AND (edit_count >= 500)
@@ -162,9 +163,17 @@ def _universe(spark, sf):
     return M.keyword_universe(I.records(spark, sf))
 
 
-@query("map_facets")
+@query("map_facets", f"""{_POINTS}, fa_f AS (SELECT DISTINCT unnest([{{'f': 'authors', 'v': author_filter}}, {{'f': 'domains', 'v': domain_filter}}, {{'f': 'types', 'v': type_filter}},
+    {{'f': 'growths', 'v': growth_filter}}, {{'f': 'eras', 'v': era_filter}}]) AS u FROM pt),
+fa_g AS (SELECT u.f AS facet, u.v AS value, CASE u.v WHEN 'unknown' THEN 1 WHEN 'Unknown' THEN 2 WHEN 'other' THEN 3 WHEN 'Other' THEN 4 ELSE 0 END AS t FROM fa_f),
+fa_w AS (SELECT DISTINCT unnest(keywords) AS value FROM k),
+fa_r AS (SELECT unnest([{{'f': 'edits', 'v': edit_count}}, {{'f': 'refs', 'v': n_references}}, {{'f': 'links', 'v': n_links}}]) AS u FROM k)
+SELECT facet, row_number() OVER (PARTITION BY facet ORDER BY t, value) - 1 AS position, value, NULL::BIGINT AS min, NULL::BIGINT AS max, NULL::BIGINT AS slider_max FROM fa_g
+UNION ALL SELECT 'keywords', row_number() OVER (ORDER BY value) - 1, value, NULL, NULL, NULL FROM fa_w WHERE value <> ''
+UNION ALL SELECT u.f, NULL, NULL, min(u.v)::BIGINT, max(u.v)::BIGINT, floor(quantile_cont(u.v, 0.99))::BIGINT FROM fa_r GROUP BY u.f
+UNION ALL SELECT 'year', NULL, NULL, min(edit_year)::BIGINT, max(edit_year)::BIGINT, max(edit_year)::BIGINT FROM k""")
 def _facets(spark, sf):
-    return M.facets(points(spark, sf), I.records(spark, sf))
+    return M.facet_table(points(spark, sf), I.records(spark, sf))
 
 
 # --- neighbours -----------------------------------------------------------------------------------

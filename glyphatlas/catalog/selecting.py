@@ -138,7 +138,7 @@ _BATCHES = f"""WITH {S.RECORDS}, b AS (
 
 
 def batches(spark, sf):
-    return M.with_batches(_scored(spark, sf, "all"), L.score_order())
+    return M.with_batches(_scored(spark, sf, "all"), L.score_order(), by=("id", "select_score"))
 
 
 @query("batch_prompts", _BATCHES + """

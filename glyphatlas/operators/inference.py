@@ -42,10 +42,12 @@ def validated(df: DataFrame, fields=ENUM_FIELDS) -> DataFrame:
     return df.withColumns({f: validate_enum(F.col(f), f) for f in fields})
 
 
-def with_batches(df: DataFrame, order: list[Column], size: int = CLASSIFY_BATCH) -> DataFrame:
-    """Add (batch_id, place): consecutive rows in `order`, `size` to a batch, places from 0."""
-    placed = with_position(df, order, "_p")
-    return placed.withColumn("batch_id", F.floor(F.col("_p") / size)).withColumn("place", F.col("_p") % size).drop("_p")
+def with_batches(df: DataFrame, order: list[Column], size: int = CLASSIFY_BATCH, by: tuple[str, ...] = ("id",)) -> DataFrame:
+    """Add (batch_id, place): consecutive rows in `order`, `size` to a batch, places from 0. Only `id` and the columns `by`, which `order` reads, are
+    put in order; the wide rows get their numbers by id."""
+    placed = with_position(df.select(*{"id": 0, **dict.fromkeys(by)}), order, "_p").select("id", "_p")
+    numbered = df.join(placed, "id")
+    return numbered.withColumn("batch_id", F.floor(F.col("_p") / size)).withColumn("place", F.col("_p") % size).drop("_p")
 
 
 def batch_prompts(batches: DataFrame, noun: str = "records", title: str = "Sequence") -> DataFrame:

@@ -56,7 +56,8 @@ def map_points(records: DataFrame, coords: DataFrame, labels_wide: DataFrame) ->
     base = records.withColumn("_author", D.clean_author(F.col("author")))
     base = marker_size(topn_bucket(base, "_author", "author_filter"), "edit_count")
     label_cols = [c for c in labels_wide.columns if c.startswith("label_layer_")]
-    joined = base.join(coords.select("id", "x", "y"), "id").join(labels_wide.select("id", *label_cols), "id", "left")
+    joined = base.join(coords.select("id", "x", "y"), "id")
+    joined = align_labels(joined, labels_wide.select("id", *label_cols))
     whole = lambda c: D.int_or_zero(F.col(c))
     cols: dict[str, Column] = {
         "x": F.col("x"),
@@ -116,12 +117,34 @@ def facet_ranges(points: DataFrame) -> DataFrame:
     return counts.unionByName(years)
 
 
-def facets(points: DataFrame, records: DataFrame) -> DataFrame:
-    """The whole facet configuration as one row with one JSON document; vocabularies, not rows, are collected."""
+def facet_table(points: DataFrame, records: DataFrame) -> DataFrame:
+    """(facet, position, value, min, max, slider_max): the values of every facet in their order, the keywords, and the ends of every range; a row each,
+    so that no vocabulary meets in one row."""
+    fields = _facet_fields(points)
+    none = F.lit(None).cast("bigint")
+    values = facet_values(points, fields).select("facet", F.col("position").cast("bigint").alias("position"), "value")
+    words = with_position(keyword_universe(records), [F.col("keyword")], "position").select(F.lit("keywords").alias("facet"), "position", F.col("keyword").alias("value"))
+    listed = values.unionByName(words).withColumns({"min": none, "max": none, "slider_max": none})
+    ranges = facet_ranges(points).select(
+        "facet", none.alias("position"), F.lit(None).cast("string").alias("value"), *[F.col(c).cast("bigint").alias(c) for c in ("min", "max", "slider_max")])
+    return listed.unionByName(ranges)
+
+
+def _facet_fields(points: DataFrame) -> dict[str, str]:
     fields = {"authors": "author_filter"}
     if "domain_filter" in points.columns:
         fields.update({"domains": "domain_filter", "types": "type_filter", "growths": "growth_filter", "eras": "era_filter"})
-    values = facet_values(points, fields).groupBy("facet").agg(
+    return fields
+
+
+def align_labels(points: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every point once, with the columns of its row of `labels`; null where it has none."""
+    return points.join(labels, "id", "left")
+
+
+def facets(points: DataFrame, records: DataFrame) -> DataFrame:
+    """The whole facet configuration as one row with one JSON document, for a map whose vocabularies fit a page; `facet_table` has them as rows."""
+    values = facet_values(points, _facet_fields(points)).groupBy("facet").agg(
         F.array_sort(F.collect_list(F.struct("position", "value"))).alias("v"))
     lists = values.agg(F.map_from_entries(F.collect_list(F.struct("facet", F.transform("v", lambda x: x["value"]))))).scalar()
     words = keyword_universe(records).agg(F.array_sort(F.collect_list("keyword"))).scalar()

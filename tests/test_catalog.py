@@ -11,7 +11,7 @@ from glyphatlas.catalog import ANSWERS, QUERIES
 from scripts.compare import rows_of
 
 WITHOUT_SQL = {
-    "hash_embed", "pca_2d", "layout_2d", "layout_recall", "map_facets", "knn_recall", "spanning_forest", "density_layers", "density_layers_vectors"}
+    "hash_embed", "pca_2d", "layout_2d", "layout_recall", "knn_recall", "spanning_forest", "density_layers", "density_layers_vectors"}
 SAMPLE = ("tagged_records", "tagged_lines", "changed_files", "scope_curated", "agreement", "edge_split", "adjacency",
           "class_cohesion", "knn_graph", "map_points", "facet_values", "cluster_names")
 
