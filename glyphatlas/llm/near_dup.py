@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from glyphatlas.llm.common import MIX, Words, doc_texts, in_pieces, join_with_hot_keys, keep_ids, mixed, utf8
 from glyphatlas.operators.components import contract
-from glyphatlas.session import cut_lineage, settle
+from glyphatlas.session import cut_lineage, discard, settle
 
 CHUNKS, PER_CHUNK, BITS = 7, 4, 14
 VALUES = CHUNKS * PER_CHUNK
@@ -286,7 +286,9 @@ def _left_over(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, sets: D
     meet = (F.col("x_place") <= F.col("x_n") - enough + 1) & (F.col("y_place") <= F.col("y_n") - enough + 1)
     met = x.join(y, ["shingle", "of_size"]).where((F.col("x_root") != F.col("y_root")) & meet).select("x_rep", "y_rep").distinct()
     signed = met.join(_as("x", classes), "x_rep").join(_as("y", classes), "y_rep")
-    return _distinct_pairs(signed.where(_alike(percent) & _near() & _long_near(percent)))
+    found = settle(_distinct_pairs(signed.where(_alike(percent) & _near() & _long_near(percent))))
+    discard(rows, first)
+    return found
 
 
 def _same_ids(usable: DataFrame, classes: DataFrame) -> DataFrame | None:
@@ -312,13 +314,13 @@ def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     keyed = classes.select("rep", _keys())
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     # AQE splits a key that holds many rows; the counts are one row per key
-    members = cut_lineage(keyed.join(shared, "key").select("key", "slot", "rep", "members"))
+    members = settle(keyed.join(shared, "key").select("key", "slot", "rep", "members"))
     degree = members.groupBy("rep").agg(F.sum("members").alias("degree"))
     ranked = members.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("minus"))).alias("best"))
-    hubs = cut_lineage(ranked.select("key", (-F.col("best.minus")).alias("hub")))
+    hubs = settle(ranked.select("key", (-F.col("best.minus")).alias("hub")))
     sets = full_sets(docs, members.select("rep").distinct(), k)
     each = [F.xxhash64("shingles").alias("h1"), F.xxhash64(F.lit(1), "shingles").alias("h2")]
-    sets = cut_lineage(sets.groupBy("rep", *each).agg(F.max("shingles").alias("shingles")).select("rep", "shingles"))
+    sets = settle(sets.groupBy("rep", *each).agg(F.max("shingles").alias("shingles")).select("rep", "shingles"))
     links = _same_ids(usable, classes)
     roots = None if links is None else cut_lineage(contract(links))
     for turn in range(DRAWN_ROUNDS + 2):
@@ -334,6 +336,7 @@ def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             roots = cut_lineage(contract(links))
+    discard(members, hubs, sets)
     named = _with_roots(classes.select("n_shingles", "d1", "d2", "rep"), roots).select("n_shingles", "d1", "d2", F.col("root").alias("class_root"))
     found = signed.select("doc_id", "n_shingles", "d1", "d2").join(named, ["n_shingles", "d1", "d2"], "left")
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0) | F.col("class_root").isNull()
@@ -343,6 +346,10 @@ def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 def first_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` that stay, with all their columns: one document of each component. A doc_id stays in one row."""
-    kept = components(docs, k, percent).where("kept").select("doc_id").where("doc_id IS NOT NULL")
-    stay = keep_ids(docs.where("doc_id IS NOT NULL"), kept).dropDuplicates(["doc_id"])
+    kept = settle(components(docs, k, percent).where("kept").select("doc_id").where("doc_id IS NOT NULL"))
+    stay = keep_ids(docs.where("doc_id IS NOT NULL"), kept)
+    # only rows that share their doc_id have to meet
+    again = settle(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"))
+    if not again.isEmpty():
+        stay = keep_ids(stay, again, "left_anti").unionByName(keep_ids(stay, again).dropDuplicates(["doc_id"]))
     return stay.unionByName(docs.where("doc_id IS NULL"))
