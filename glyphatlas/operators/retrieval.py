@@ -1,21 +1,23 @@
 """Ranking of targets among all vectors.
 
-The vectors stay where they are. Queries are shipped to the tasks in chunks of at most CHUNK_BYTES, whose size is counted
-first; a task multiplies its vectors with a chunk and returns one count per query. Similarities are never rows, no vector is
-copied, and a node with very many edges makes no large group.
+Queries and vectors lie in numbered blocks of at most CHUNK_BYTES, and every pair of blocks is one task: a matrix product that returns one count per
+query. Similarities are never rows, nothing passes the driver, and a node with very many edges makes no large group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glyphatlas.functions.vectors import dot, doubles
-from glyphatlas.session import cut_lineage
+from glyphatlas.session import settle
 
 CHUNK_BYTES = 32 << 20
 SIM_DIGITS = 9
+_AT_ONCE = 1024
 
 
 def hits_at_k(vectors: DataFrame, pairs: DataFrame, ks=(10, 100), by: tuple[str, ...] = ()) -> DataFrame:
@@ -35,50 +37,41 @@ def hits_at_k(vectors: DataFrame, pairs: DataFrame, ks=(10, 100), by: tuple[str,
 
 def target_ranks(vectors: DataFrame, pairs: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """(by..., src, dst, rank) for every pair."""
-    points = cut_lineage(vectors.select(*by, "id", doubles(F.col("embedding")).alias("v")))
+    points = settle(vectors.select(*by, "id", doubles(F.col("embedding")).alias("v")))
     first = points.select(*by, F.col("id").alias("src"), F.col("v").alias("sv"))
     second = points.select(*by, F.col("id").alias("dst"), F.col("v").alias("tv"))
     target = F.round(dot(F.col("sv"), F.col("tv")), SIM_DIGITS)
-    asked = pairs.join(first, "src").join(second, [*by, "dst"]).select(*by, "src", "dst", "sv", target.alias("target"))
-    asked = cut_lineage(asked)
-    size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("sv")).alias("dim")).first()
-    n_chunks = -(-size["n"] * 8 * ((size["dim"] or 0) + 4) // CHUNK_BYTES)
+    asked = settle(pairs.join(first, "src").join(second, [*by, "dst"]).select(*by, "src", "dst", "sv", target.alias("target")))
+    width = (points.agg(F.max(F.size("v"))).first()[0] or 0) + 4
+    queries, corpus = _blocks(asked, by, width), _blocks(points, by, width)
+    each = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+    left = asked.select("*", F.pmod(F.xxhash64("src", "dst"), F.lit(queries)).cast("int").alias("_q"), each(corpus, "_c"))
+    right = points.select("*", F.pmod(F.xxhash64("id"), F.lit(corpus)).cast("int").alias("_c"), each(queries, "_q"))
+    keys = [*by, "_q", "_c"]
     schema = T.StructType([asked.schema[c] for c in (*by, "src", "dst")] + [T.StructField("above", T.LongType())])
-    counted = asked.select(*by, "src", "dst", F.lit(0).cast("long").alias("above")).where("false")
-    for c in range(n_chunks):
-        # hashed to chunks of like size
-        chunk = asked.where(F.pmod(F.xxhash64("src", "dst"), F.lit(n_chunks)) == c).toPandas()
-        counted = counted.unionByName(points.mapInPandas(_count_above(chunk, by, points.sparkSession), schema))
+    counted = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_count_above, schema)
     return counted.groupBy(*by, "src", "dst").agg((F.sum("above") + 1).alias("rank"))
 
 
-def _count_above(chunk, by: tuple[str, ...], spark: SparkSession):
-    """For every query of the chunk, how many vectors of a task are nearer than its target."""
-    import numpy as np
-
-    groups = chunk.groupby(list(by), dropna=False, sort=False) if by else [((), chunk)]
-    queries = {
-        tuple(np.atleast_1d(np.array(key, dtype=object)).tolist()): (q[[*by, "src", "dst"]], q["src"].to_numpy(), q["target"].to_numpy(), np.stack(q["sv"].to_numpy()))
-        for key, q in groups if len(q)}
-    shipped = spark.sparkContext.broadcast(queries)
-
-    def run(frames):
-        above = {}
-        for f in frames:
-            for key, part in f.groupby(list(by), dropna=False, sort=False) if by else [((), f)]:
-                key = tuple(np.atleast_1d(np.array(key, dtype=object)).tolist())
-                if key not in shipped.value or not len(part):
-                    continue
-                _, src, target, sv = shipped.value[key]
-                ids, corpus = part["id"].to_numpy(), np.stack(part["v"].to_numpy())
-                total = above.setdefault(key, np.zeros(len(src), dtype=np.int64))
-                for at in range(0, len(src), 1024):
-                    spot = slice(at, at + 1024)
-                    nearer = np.round(sv[spot] @ corpus.T, SIM_DIGITS) > target[spot][:, None]
-                    total[spot] += (nearer & (src[spot][:, None] != ids[None, :])).sum(axis=1)
-        for key, total in above.items():
-            out = shipped.value[key][0].copy()
-            out["above"] = total
-            yield out
-
-    return run
+def _blocks(rows: DataFrame, by: tuple[str, ...], width: int) -> int:
+    """Into how many blocks the rows of the largest group of `by` go."""
+    most = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    return max(1, -(-most * 8 * width // CHUNK_BYTES))
+
+
+def _matrix(table: pa.Table, column: str) -> np.ndarray:
+    return table.column(column).combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+
+
+def _count_above(queries: pa.Table, corpus: pa.Table) -> pa.Table:
+    """For every query of a block, how many vectors of the other block are nearer than its target."""
+    above = np.zeros(queries.num_rows, np.int64)
+    if queries.num_rows and corpus.num_rows:
+        sv, target, src = _matrix(queries, "sv"), queries.column("target").to_numpy(), queries.column("src").to_numpy()
+        v, ids = _matrix(corpus, "v"), corpus.column("id").to_numpy()
+        for at in range(0, len(above), _AT_ONCE):
+            spot = slice(at, at + _AT_ONCE)
+            nearer = np.round(sv[spot] @ v.T, SIM_DIGITS) > target[spot][:, None]
+            above[spot] = (nearer & (src[spot][:, None] != ids[None, :])).sum(axis=1)
+    kept = [c for c in queries.column_names if c not in ("sv", "target", "_q", "_c")]
+    return queries.select(kept).append_column("above", pa.array(above))

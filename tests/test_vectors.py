@@ -109,7 +109,7 @@ def test_ranks_with_ties_copies_and_a_hub(spark):
 def test_ranks_over_many_blocks(spark, monkeypatch):
     import glyphatlas.operators.retrieval as H
 
-    monkeypatch.setattr(H, "CHUNK_BYTES", 600)
+    monkeypatch.setattr(H, "CHUNK_BYTES", 1100)  # three blocks of either side
     q = unit(np.random.default_rng(6).normal(size=(50, 4)))
     pairs = spark.createDataFrame([(i, (i * 7 + 1) % 50) for i in range(50)], "src bigint, dst bigint").where("src <> dst")
     row = hits_at_k(frame(spark, q), pairs, ks=(5,)).first()
