@@ -102,7 +102,7 @@ def talk(seed, convs, longest):
 
 
 # a search that settles each (place, state) at its least (cost, audit) is right: audits that lead there go on alike
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_same_as_brute_force(spark, seed):
     rows = talk(seed, 150, 14)
     assert got(spark, rows) == want(rows)

@@ -118,13 +118,12 @@ def test_left_over_pairs_grow_with_the_rows(spark, monkeypatch):
     kept = near_dup.confirmed
     monkeypatch.setattr(near_dup, "confirmed", lambda pairs, *rest: made.append(pairs.count()) or kept(pairs, *rest))
     # near misses: 13 words changed, so that hardly any two reach the similarity
-    for n in (100, 400):
-        draw, base = random.Random(n), prose(31, 150).split()
-        rows = []
-        for i in range(n):
-            words = base[:]
-            for at in draw.sample(range(0, 150, 3), 13):
-                words[at] = f"own{i}x{at}"
-            rows.append((i, " ".join(words)))
-        near_dup.components(texts(spark, rows), 3, 85).count()
-    assert made[-1] < 20 * 400 and len(made) == 2 * (near_dup.DRAWN_ROUNDS + 2)
+    n, draw, base = 400, random.Random(1), prose(31, 150).split()
+    rows = []
+    for i in range(n):
+        words = base[:]
+        for at in draw.sample(range(0, 150, 3), 13):
+            words[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(words)))
+    near_dup.components(texts(spark, rows), 3, 85).count()
+    assert made[-1] < 20 * n and len(made) == near_dup.DRAWN_ROUNDS + 2
