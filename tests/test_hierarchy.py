@@ -31,9 +31,8 @@ def random_edges(seed, n, m, ties):
     return [(a, b, float(draw.integers(0, 5)) if ties else float(draw.random())) for a, b in sorted(pairs)]
 
 
-@pytest.mark.parametrize("ties", [False, True])
-def test_forest_is_the_minimum_one(spark, ties):
-    edges = random_edges(1, 200, 300, ties)
+def test_forest_is_the_minimum_one(spark):
+    edges = random_edges(1, 200, 300, True)
     got = H.spanning_forest(spark.createDataFrame(edges, "a bigint, b bigint, weight double")).collect()
     assert sorted(tuple(r) for r in got) == sorted(kruskal(edges))
 
@@ -140,7 +139,7 @@ def chosen(clusters):
     return set().union(*(best(c)[1] for c in clusters if clusters[c][0] is None))
 
 
-@pytest.mark.parametrize("seed, min_size", [(5, 4), (6, 8)])
+@pytest.mark.parametrize("seed, min_size", [(5, 4)])
 def test_condensed_tree_and_its_stable_clusters(spark, seed, min_size):
     draw = np.random.default_rng(seed)
     q = np.concatenate([c + draw.normal(size=(25, 2)) * s for c, s in (((0, 0), 0.3), ((4, 0), 0.5), ((4, 1.5), 0.2), ((-5, 5), 1.0))])
