@@ -92,18 +92,3 @@ def discard(*frames: DataFrame | None) -> None:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def lay_out(df: DataFrame, *keys: str) -> DataFrame:
-    """Write `df` once as a table bucketed by `keys` in the checkpoint folder and read it back.
-
-    Joins on exactly these keys then need no shuffle of this side, in every round that reads it. A plain
-    checkpoint forgets how its rows are partitioned.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    name = f"glyphatlas_{uuid.uuid4().hex}"
-    place = f"{spark.sparkContext.getCheckpointDir()}/{name}"
-    width = shuffle_width(spark)
-    df.repartition(width, *keys).write.bucketBy(width, *keys).option("path", place).format("parquet").saveAsTable(name)
-    return spark.table(name)
