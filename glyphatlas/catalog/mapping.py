@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from glyphatlas.catalog import inputs as I
@@ -14,7 +16,8 @@ from glyphatlas.operators import hierarchy as H
 from glyphatlas.operators import mapdata as M
 from glyphatlas.operators import naming as T
 from glyphatlas.operators import neighbors as B
-from glyphatlas.session import settle
+from glyphatlas.operators import postings as X
+from glyphatlas.session import run_folder, settle
 
 _REC = f"WITH {S.RECORDS}"
 
@@ -143,6 +146,14 @@ def _search(spark, sf):
     return I.table(spark, sf, "documents").where(contains_text(F.col("text"), "The and")).select("doc_id")
 
 
+@query("text_search_postings", "SELECT doc_id FROM documents WHERE contains(lower(text), 'the and')")
+def _search_index(spark, sf):
+    """The same question through an index of all whole texts."""
+    place = f"{run_folder(spark)}/{uuid.uuid4().hex}"
+    X.write_postings(I.table(spark, sf, "documents"), place, "doc_id", "text")
+    return X.search_postings(spark, place, "The and").select(F.col("key").alias("doc_id"))
+
+
 @query("facet_values", f"""{_POINTS}, f AS (SELECT DISTINCT unnest([{{'f': 'authors', 'v': author_filter}}, {{'f': 'domains', 'v': domain_filter}},
     {{'f': 'growths', 'v': growth_filter}}]) AS u FROM pt),
 g AS (SELECT u.f AS facet, u.v AS value, CASE u.v WHEN 'unknown' THEN 1 WHEN 'Unknown' THEN 2 WHEN 'other' THEN 3 WHEN 'Other' THEN 4 ELSE 0 END AS t FROM f)

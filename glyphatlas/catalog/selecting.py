@@ -8,6 +8,7 @@ from glyphatlas.catalog import inputs as I
 from glyphatlas.catalog import sql as S
 from glyphatlas.catalog.registry import query, r6
 from glyphatlas.functions import compose as C
+from glyphatlas.functions.predicates import is_seed
 from glyphatlas.operators import inference as M
 from glyphatlas.operators import selection as L
 from glyphatlas.vocab import CONTENT_KEYWORDS
@@ -61,6 +62,30 @@ def _curated(spark, sf):
     return _scored(spark, sf, "curated").select("id", r6("select_score").alias("select_score"), "scope")
 
 
+def _curated_sql(places: str) -> str:
+    return f"""WITH {S.RECORDS}, ranked AS (SELECT *, row_number() OVER (ORDER BY is_seed DESC, round(score, 9) DESC, id) AS place FROM k WHERE NOT out),
+c AS (SELECT count(*) AS n, count(*) FILTER (is_seed) AS seeds FROM ranked)
+SELECT id, is_seed, round(score, 6) AS select_score FROM ranked, c WHERE place <= {places}"""
+
+
+def _curated_part(spark, sf, places):
+    rows = I.records(spark, sf)
+    n, seeds = L.hard_exclude(rows).agg(F.count(F.lit(1)), F.count_if(is_seed())).first()
+    return L.select(rows, "curated", places(n, seeds)).select("id", is_seed().alias("is_seed"), r6("select_score").alias("select_score"))
+
+
+@query("scope_curated_top_up", _curated_sql("seeds + (n - seeds) // 2"))
+def _top_up(spark, sf):
+    """All seeds, and half of the other rows by score: the target is a share of the rows."""
+    return _curated_part(spark, sf, lambda n, seeds: seeds + (n - seeds) // 2)
+
+
+@query("scope_curated_best_seeds", _curated_sql("seeds // 2"))
+def _best_seeds(spark, sf):
+    """Fewer places than seeds: the best half of the seeds."""
+    return _curated_part(spark, sf, lambda n, seeds: seeds // 2)
+
+
 @query("select_report", f"""WITH {S.RECORDS}, {_CURATED} SELECT count(*) AS n_selected, round(min(score), 6) AS score_min,
   round(max(score), 6) AS score_max, count(*) FILTER (id IN {WATCH}) AS watch_present, {len(WATCH)}::BIGINT AS watch_total,
   round(median(score), 6) AS score_median FROM cur""")

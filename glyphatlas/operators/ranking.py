@@ -8,11 +8,13 @@ one row per range.
 
 from __future__ import annotations
 
+import os.path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from glyphatlas.session import cut_lineage, shuffle_width
+from glyphatlas.session import cut_lineage, discard, settle, shuffle_width
 
 # Spark keeps the rows of a sorted limit on the driver: use it only up to this many.
 DRIVER_LIMIT = 50_000
@@ -58,6 +60,46 @@ def top_rows(df: DataFrame, n: int, order: list[Column], key: str = "id") -> Dat
     return df.join(keys, key, "left_semi").select(*df.columns)
 
 
+def place_key(levels: list[Column], score: Column, key: Column, digits: int) -> Column:
+    """One string per row whose order is: the flags of `levels` (true first), the rounded score (highest first, nulls last), the bytes of the key.
+
+    Scores are below 2^62 / 10^digits in size. Four hexadecimal places of it take few values, whatever the rows hold.
+    """
+    flags = [F.when(c, "0").otherwise("1") for c in levels]
+    whole = F.round(F.round(score, digits) * F.lit(10.0**digits)).cast("bigint")
+    turned = F.hex(F.lit(2**62) - whole)
+    return F.concat(*flags, F.coalesce(F.lpad(turned, 16, "0"), F.lit("G" * 16)), F.coalesce(F.hex(F.encode(key.cast("string"), "UTF-8")), F.lit("")))
+
+
+def nth_key(keys: DataFrame, n: int, room: int = DRIVER_LIMIT) -> str | None:
+    """The `n`-th of the strings in the only column of `keys`, which `place_key` made, counted from 1; None if there are fewer.
+
+    Rows are counted per next four places behind a common beginning, at most some 65,000 counts, until the group that holds the n-th has at
+    most `room` rows; only these are sorted. No sort or limit grows with `n` or with the rows that share a score.
+    """
+    name = keys.columns[0]
+    written = settle(keys.where(F.col(name).isNotNull()))
+    ends = written.agg(F.count(F.lit(1)), F.min(name), F.max(name)).first()
+    if n < 1 or n > ends[0]:
+        discard(written)
+        return None
+    begin, left, size = os.path.commonprefix([ends[1], ends[2]]), n, ends[0]
+    while size > room:
+        rows = written.where(F.col(name).startswith(begin))
+        groups = rows.groupBy(F.substring(name, len(begin) + 1, 4).alias("g")).count().collect()
+        for g, size in sorted((r["g"], r["count"]) for r in groups):
+            if left <= size:
+                break
+            left -= size
+        if g == "":  # all keys of this group are the same
+            break
+        begin += g
+    rows = written.where(F.col(name).startswith(begin))
+    found = begin if size > room else rows.orderBy(name).limit(left).agg(F.max(name)).first()[0]
+    discard(written)
+    return found
+
+
 def grouped_quantiles(df: DataFrame, by: list[str], col: str, qs: dict[str, float]) -> DataFrame:
     """Linearly interpolated exact quantiles of `col` per group.
 

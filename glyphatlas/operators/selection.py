@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphatlas.functions.predicates import excluded, exclusion_reasons, is_seed
-from glyphatlas.operators.ranking import exact_quantiles, running_totals, top_rows
+from glyphatlas.operators.ranking import exact_quantiles, nth_key, place_key, running_totals, top_rows
 from glyphatlas.vocab import CURATED_TARGET, SAMPLE_COLUMNS, SCOPES, SCORE_WEIGHTS
 
 # Scores are compared after rounding, so that equal inputs rank equally on every machine.
@@ -46,7 +46,8 @@ def score_order() -> list[Column]:
 
 def select(df: DataFrame, scope: str, target: int = CURATED_TARGET) -> DataFrame:
     """Records of a scope, scored. The curated scope takes the seed first and tops it up by score; with
-    more seeds than places it takes the best seeds. One order (seed, score, id) covers both cases.
+    more seeds than places it takes the best seeds. One order (seed, score, id) covers both cases; the last place in it is found by
+    refined counts, so the rows are filtered and neither sorted nor joined. Rows that repeat the id at the last place stay together.
 
     Exclusion comes before scoring, so only survivors are scored. Rows are not sorted here: sort by
     `score_order()` when writing or showing them.
@@ -57,8 +58,12 @@ def select(df: DataFrame, scope: str, target: int = CURATED_TARGET) -> DataFrame
     if scope == "core":
         kept = kept.where(F.array_contains("keywords", "core"))
     elif scope == "curated":
-        kept = kept.withColumn("_seed", is_seed())
-        kept = top_rows(kept, target, [F.col("_seed").desc(), *score_order()]).drop("_seed")
+        place = place_key([is_seed()], F.col("select_score"), F.col("id"), SCORE_DIGITS)
+        last = nth_key(kept.select(place.alias("place")), target)
+        if target < 1:
+            kept = kept.where(F.lit(False))
+        elif last is not None:
+            kept = kept.where(place <= last)
     return kept.withColumn("scope", F.lit(scope))
 
 

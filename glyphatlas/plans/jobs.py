@@ -19,6 +19,7 @@ from glyphatlas.operators import neighbors as B
 from glyphatlas.operators import selection as L
 from glyphatlas.operators import smoothing as S
 from glyphatlas.operators import vectors as V
+from glyphatlas.operators.postings import write_postings
 from glyphatlas.operators.records import parse_report, tagged_records
 from glyphatlas.session import cut_lineage, settle
 from glyphatlas.sources.exports import write_csv, write_json
@@ -223,6 +224,11 @@ def map_tables(spark: SparkSession, records: str, placed: str, out: str) -> Data
     return config
 
 
+def index_map(spark: SparkSession, tables: str, out: str) -> None:
+    """Index the search texts of published map points below `out`; `operators.postings.search_postings` reads it."""
+    write_postings(read_snapshot(spark, f"{tables}/points"), out, "id", "search_text")
+
+
 def compare_annotators(a: DataFrame, b: DataFrame, out: str | None = None) -> dict[str, DataFrame]:
     """All agreement tables of two annotators; the disagreements also go to `out` as CSV."""
     joined = A.join_annotators(a, b)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from glyphatlas.catalog import inputs
 from glyphatlas.operators import graph as G
 from glyphatlas.operators import inference as I
+from glyphatlas.operators.postings import search_postings
 from glyphatlas.plans import jobs
 from glyphatlas.sources.exports import read_csv
 from glyphatlas.sources import snapshots
@@ -279,6 +280,9 @@ def test_from_records_to_map(spark, sf, tmp_path):
     points = read_snapshot(spark, p("tables/points"))
     assert config["totalCount"] == points.count() == kept
     assert set(config["ranges"]) == {"edits", "refs", "links", "year"} and config["domains"][-1] == "other"
+    jobs.index_map(spark, p("tables"), p("index"))
+    one = points.first()
+    assert one["id"] in {r["key"] for r in search_postings(spark, p("index"), one["search_text"][:20].upper()).collect()}
     xy = np.array([(r["x"], r["y"]) for r in points.select("x", "y").collect()])
     assert np.isfinite(xy).all()
     sample = jobs.draw_sample(spark, p("raw"), p("samples"), 20, 7)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from glyphatlas.operators import selection as L
-from glyphatlas.operators.ranking import exact_quantiles, grouped_quantiles, running_totals, top_rows, with_position
+from glyphatlas.operators.ranking import exact_quantiles, grouped_quantiles, nth_key, running_totals, top_rows, with_position
 
 ROW = dict(name="n", comments="", formulas="", examples="", code_languages=[], n_references=0, n_terms_visible=9, edit_count=0)
 DDL = ("id string, name string, comments string, formulas string, examples string, code_languages array<string>, "
@@ -31,6 +31,27 @@ def test_curated(spark, target, want):
     assert {r["id"] for r in L.select(pool(spark), "curated", target).collect()} == want
 
 
+def test_curated_with_ties_beyond_the_room(spark, monkeypatch):
+    """A score that most rows share: the last place is found by refined counts down to the ids."""
+    import glyphatlas.operators.ranking as K
+
+    rows = frame(spark, *[dict(id=f"A{i:03d}é{i % 7}", edit_count=5 if i % 4 else i, keywords=["core"] if i % 3 == 0 else ["nonn"]) for i in range(300)],
+                 dict(id=None, keywords=["nonn"], edit_count=5))
+    scored = rows.withColumn("s", F.round(L.quality_score(), 9)).withColumn("seed", F.array_contains("keywords", "core"))
+    want = [r["id"] for r in scored.orderBy(F.desc("seed"), F.desc("s"), "id").collect()]
+    monkeypatch.setattr(K.nth_key, "__defaults__", (5,))
+    for target in (1, 60, 100, 101, 180, 300, 301):
+        got = [r["id"] for r in L.select(rows, "curated", target).select("id").collect()]
+        assert sorted(map(str, got)) == sorted(map(str, want[:target]))
+    assert L.select(rows, "curated", 0).count() == 0
+
+
+def test_nth_key(spark):
+    df = spark.createDataFrame([("1ABCD01",)] * 50 + [("1ABCD02",), ("2",), (None,)], "k string")
+    assert [nth_key(df, n, 3) for n in (0, 1, 50, 51, 52, 53)] == [None, "1ABCD01", "1ABCD01", "1ABCD02", "2", None]
+    assert nth_key(df.limit(0), 1) is None
+
+
 def test_scopes(spark):
     assert [r["id"] for r in L.select(pool(spark), "core").collect()] == ["A0"]
     assert L.select(pool(spark), "all").count() == 8
