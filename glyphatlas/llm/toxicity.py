@@ -301,8 +301,10 @@ def labelled_sample(known: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
 
 def word_counts(texts: DataFrame, known: DataFrame) -> DataFrame:
     """(word, toxic, contexts, other): in how many toxic and other labelled texts a word stands, and after how many
-    different words in toxic ones."""
-    seen = texts.join(known, F.col("doc_id") == F.col("known"))
+    different words in toxic ones.
+
+    The labelled ids grow with the documents, so they are never broadcast: at every size both sides meet by id, and the narrow side is hashed."""
+    seen = texts.join(known.hint("shuffle_hash"), F.col("doc_id") == F.col("known"))
     listed = seen.select("label", F.regexp_extract_all(F.lower("text"), F.lit(WORD), 1).alias("w")).where(F.size("w") > 0)
     texts_of = listed.select("label", F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(
         F.count(F.when(F.col("label") == 1, 1)).alias("toxic"), F.count(F.when(F.col("label") == 0, 1)).alias("other"))
