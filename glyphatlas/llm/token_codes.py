@@ -34,6 +34,8 @@ STRIDE = 512
 MAGIC = b"DAC1"
 END_ID = 2
 BLOB_TOKENS = 1 << 20
+# Bytes of text that a task encodes at a time, whole texts at least; the arrays of a piece are some fifty times its size.
+PIECE_BYTES = 1 << 19
 FILE_SCHEMA = "part int, block int, doc_ids array<long>, lengths array<long>, n_tokens long, payload binary"
 
 
@@ -118,6 +120,36 @@ class Reader:
         return out
 
 
+def blobs(batches: Iterator[pa.RecordBatch], vocabulary: str = tokens.BYTE_BPE, end_id: int = END_ID) -> Iterator[pa.RecordBatch]:
+    """The blobs of a part from its (doc_id, text, part) rows in order."""
+    path = tokens.vocabulary(vocabulary)
+    ids: list[np.ndarray] = []
+    docs: list[pa.Array] = []
+    sizes: list[np.ndarray] = []
+    part, block = None, 0
+
+    def blob() -> pa.RecordBatch:
+        length, flat = np.concatenate(sizes), np.concatenate(ids)
+        names = pa.chunked_array(docs).combine_chunks()
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([names.to_pylist()], pa.list_(pa.int64())),
+             pa.array([length], pa.list_(pa.int64())), pa.array([len(flat)], pa.int64()), pa.array([encode(flat)], pa.binary())],
+            ["part", "block", "doc_ids", "lengths", "n_tokens", "payload"])
+
+    for batch in in_pieces(batches, PIECE_BYTES):
+        part = batch.column(2)[0].as_py()
+        flat, n = tokens.byte_bpe_ids(path, *utf8(batch.column(1)))
+        ends = np.cumsum(n)
+        ids.append(np.insert(flat.astype(np.uint32), ends, end_id))
+        sizes.append(n + 1)
+        docs.append(batch.column(0))
+        if sum(map(len, ids)) >= BLOB_TOKENS:
+            yield blob()
+            ids, docs, sizes, block = [], [], [], block + 1
+    if ids:
+        yield blob()
+
+
 def write_codes(docs: DataFrame, path: str, vocabulary: str = tokens.BYTE_BPE, end_id: int = END_ID) -> None:
     """Encode every whole text, append `end_id`, and write the blobs to `path` in ascending doc_id order.
 
@@ -126,32 +158,7 @@ def write_codes(docs: DataFrame, path: str, vocabulary: str = tokens.BYTE_BPE, e
     """
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path = tokens.vocabulary(vocabulary)
-        ids: list[np.ndarray] = []
-        docs: list[pa.Array] = []
-        sizes: list[np.ndarray] = []
-        part, block = None, 0
-
-        def blob() -> pa.RecordBatch:
-            length, flat = np.concatenate(sizes), np.concatenate(ids)
-            names = pa.chunked_array(docs).combine_chunks()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([names.to_pylist()], pa.list_(pa.int64())),
-                 pa.array([length], pa.list_(pa.int64())), pa.array([len(flat)], pa.int64()), pa.array([encode(flat)], pa.binary())],
-                ["part", "block", "doc_ids", "lengths", "n_tokens", "payload"])
-
-        for batch in in_pieces(batches):
-            part = batch.column(2)[0].as_py()
-            flat, n = tokens.byte_bpe_ids(path, *utf8(batch.column(1)))
-            ends = np.cumsum(n)
-            ids.append(np.insert(flat.astype(np.uint32), ends, end_id))
-            sizes.append(n + 1)
-            docs.append(batch.column(0))
-            if sum(map(len, ids)) >= BLOB_TOKENS:
-                yield blob()
-                ids, docs, sizes, block = [], [], [], block + 1
-        if ids:
-            yield blob()
+        return blobs(batches, vocabulary, end_id)
 
     laid = doc_texts(docs).repartitionByRange(shuffle_width(docs.sparkSession), F.col("doc_id").asc_nulls_first())
     laid = laid.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")

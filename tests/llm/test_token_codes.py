@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -73,3 +74,19 @@ def test_empty_table(spark):
     path = token_codes.scratch(spark, "codes")
     token_codes.write_codes(empty(spark), path)
     assert token_codes.read_codes(spark, path).count() == 0
+
+
+def test_memory_does_not_grow_with_the_batch():
+    rows = [prose(i, 80) for i in range(2000)]
+    rows = [" ".join(rows[i:i + 10]) for i in range(0, 2000, 10)] * 8
+    batch = pa.record_batch({"doc_id": pa.array(range(len(rows))), "text": pa.array(rows), "part": pa.array([0] * len(rows))})
+    assert batch.column(1).nbytes > 4 << 20
+    list(token_codes.blobs(iter([batch.slice(0, 10)])))  # the vocabulary is there
+    tracemalloc.start()
+    try:
+        got = list(token_codes.blobs(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(b.column(4)[0].as_py() for b in got) > 0
+    assert peak < 120 << 20
