@@ -168,11 +168,8 @@ def grid_report(
     the untouched vectors, which are the row with n_iter 0 (alpha 0). `classes` has the cohesion of every class there, and its change; `counts` is one
     row with the numbers of vectors, edges, training and holdout edges, and evaluated pairs."""
     d = dimension(vectors)
-    links = adjacency(split.where("split = 'train'").select("from_id", "to_id"))
     pairs = settle(eval_pairs(split))
-    plain = vectors.select(
-        F.lit(0.0).alias("alpha"), F.lit(0).alias("n_iter"), "id", unit(doubles(F.col("embedding"))).alias("embedding"))
-    points = settle(plain.unionByName(retrofit_variants(vectors, links, alphas, n_iters)))
+    points = settle(_plain(vectors).unionByName(_grid_points(vectors, split, alphas, n_iters)))
     by = ["alpha", "n_iter"]
     hits = hits_at_k(points, pairs, by=tuple(by))
     cohesion = settle(class_cohesion(points, members, tuple(by), d))
@@ -181,12 +178,44 @@ def grid_report(
     change = ("hits_at_10", "hits_at_100", "mrr", "weighted_gap", "mean_gap")
     grid = scored.select(
         "*", *[(F.col(c) - start.select(c).scalar()).alias(f"delta_{c}") for c in change])
+    return grid, _against_plain(cohesion), _counts(vectors, split, pairs)
+
+
+def _plain(vectors: DataFrame) -> DataFrame:
+    return vectors.select(F.lit(0.0).alias("alpha"), F.lit(0).alias("n_iter"), "id", unit(doubles(F.col("embedding"))).alias("embedding"))
+
+
+def _grid_points(vectors: DataFrame, split: DataFrame, alphas: Sequence[float], n_iters: Sequence[int]) -> DataFrame:
+    links = adjacency(split.where("split = 'train'").select("from_id", "to_id"))
+    return retrofit_variants(vectors, links, alphas, n_iters)
+
+
+def _against_plain(cohesion: DataFrame) -> DataFrame:
     before = cohesion.where("n_iter = 0").select("class", F.col("gap").alias("_before"))
-    classes = cohesion.join(before, "class").withColumn("delta_gap", F.col("gap") - F.col("_before")).drop("_before")
+    return cohesion.join(before, "class").withColumn("delta_gap", F.col("gap") - F.col("_before")).drop("_before")
+
+
+def _counts(vectors: DataFrame, split: DataFrame, pairs: DataFrame) -> DataFrame:
     part = lambda name: F.count_if(F.col("split") == name)
-    counts = split.agg(F.count(F.lit(1)).alias("n_edges"), part("train").alias("n_train_edges"), part("holdout").alias("n_holdout_edges")).select(
+    return split.agg(F.count(F.lit(1)).alias("n_edges"), part("train").alias("n_train_edges"), part("holdout").alias("n_holdout_edges")).select(
         F.lit(vectors.count()).alias("n_vectors"), "*", F.lit(pairs.count()).alias("n_eval_pairs"))
-    return grid, classes, counts
+
+
+def grid_classes(
+    vectors: DataFrame, split: DataFrame, members: DataFrame, alphas: Sequence[float] = ALPHA_GRID, n_iters: Sequence[int] = N_ITER_GRID,
+) -> DataFrame:
+    """The classes of `grid_report`; nothing is ranked, so the work is linear in the vectors."""
+    points = _plain(vectors).unionByName(_grid_points(vectors, split, alphas, n_iters))
+    return _against_plain(settle(class_cohesion(points, members, ("alpha", "n_iter"), dimension(vectors))))
+
+
+def grid_hits(
+    vectors: DataFrame, split: DataFrame, alphas: Sequence[float] = ALPHA_GRID, n_iters: Sequence[int] = N_ITER_GRID,
+) -> tuple[DataFrame, DataFrame]:
+    """Retrieval of holdout edges at every grid point but the untouched vectors, and the counts of `grid_report`."""
+    pairs = settle(eval_pairs(split))
+    points = _grid_points(vectors, split, alphas, n_iters)
+    return hits_at_k(points, pairs, by=("alpha", "n_iter")), _counts(vectors, split, pairs)
 
 
 def retrofit_grid(

@@ -169,6 +169,25 @@ def test_grid_and_winner(spark):
     assert np.isclose(won["delta_mrr"], won["mrr"] - start["mrr"])
 
 
+def test_classes_and_hits_of_the_grid_alone(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    q = unit(rng.normal(size=(40, 6)))
+    pairs = sorted({tuple(sorted(map(int, p))) for p in rng.integers(0, 40, size=(120, 2)) if p[0] != p[1]})
+    split = G.split_edges(edges(spark, *pairs))
+    named = members(spark, {"a": range(10), "b": range(5, 30)})
+    grid, classes, counts = S.grid_report(frame(spark, q), split, named, [0.2, 0.8], [1, 2])
+    hits, same_counts = S.grid_hits(frame(spark, q), split, [0.2, 0.8], [1, 2])
+    assert same_counts.collect() == counts.collect()
+    assert np.allclose(sorted(map(tuple, hits.collect())), sorted(map(tuple, grid.where("n_iter > 0").select(hits.columns).collect())))
+    want = {(r["alpha"], r["n_iter"], r["class"]): r for r in classes.collect()}
+    monkeypatch.setattr(S, "hits_at_k", None)  # classes need no ranks
+    got = S.grid_classes(frame(spark, q), split, named, [0.2, 0.8], [1, 2]).collect()
+    assert len(got) == len(want)
+    for r in got:
+        w = want[r["alpha"], r["n_iter"], r["class"]]
+        assert r["n"] == w["n"] and all(np.isclose(r[c], w[c]) for c in ("intra", "inter", "gap", "delta_gap"))
+
+
 def test_invariants_find_faults(spark):
     bad = frame(spark, np.array([[1.0, 0.0], [float("nan"), 0.0], [2.0, 0.0]]))
     row = V.vector_invariants(bad).first()
