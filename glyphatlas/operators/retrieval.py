@@ -17,7 +17,8 @@ from glyphatlas.session import settle
 
 CHUNK_BYTES = 32 << 20
 SIM_DIGITS = 9
-_AT_ONCE = 1024
+# Similarities that a task holds at a time.
+CELLS = 1 << 21
 
 
 def hits_at_k(vectors: DataFrame, pairs: DataFrame, ks=(10, 100), by: tuple[str, ...] = ()) -> DataFrame:
@@ -69,8 +70,9 @@ def _count_above(queries: pa.Table, corpus: pa.Table) -> pa.Table:
     if queries.num_rows and corpus.num_rows:
         sv, target, src = _matrix(queries, "sv"), queries.column("target").to_numpy(), queries.column("src").to_numpy()
         v, ids = _matrix(corpus, "v"), corpus.column("id").to_numpy()
-        for at in range(0, len(above), _AT_ONCE):
-            spot = slice(at, at + _AT_ONCE)
+        step = max(1, CELLS // len(ids))
+        for at in range(0, len(above), step):
+            spot = slice(at, at + step)
             nearer = np.round(sv[spot] @ v.T, SIM_DIGITS) > target[spot][:, None]
             above[spot] = (nearer & (src[spot][:, None] != ids[None, :])).sum(axis=1)
     kept = [c for c in queries.column_names if c not in ("sv", "target", "_q", "_c")]

@@ -188,6 +188,28 @@ def test_classes_and_hits_of_the_grid_alone(spark, monkeypatch):
         assert r["n"] == w["n"] and all(np.isclose(r[c], w[c]) for c in ("intra", "inter", "gap", "delta_gap"))
 
 
+def test_ranking_holds_few_similarities():
+    import tracemalloc
+
+    import pyarrow as pa
+    import glyphatlas.operators.retrieval as H
+
+    q = unit(np.random.default_rng(11).normal(size=(20_000, 4)))
+    lists = pa.FixedSizeListArray.from_arrays(pa.array(q.ravel()), 4).cast(pa.list_(pa.float64()))
+    corpus = pa.table({"id": np.arange(len(q)), "v": lists})
+    asked = pa.table({"src": np.arange(1500), "dst": np.arange(1, 1501), "sv": lists[:1500], "target": np.round((q[:1500] * q[1:1501]).sum(axis=1), 9)})
+    tracemalloc.start()
+    try:
+        got = H._count_above(asked, corpus)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    sims = np.round(q @ q[9], 9)
+    sims[9] = -np.inf
+    assert got.column("above")[9].as_py() == (sims > asked.column("target")[9].as_py()).sum()
+    assert peak < 80 << 20
+
+
 def test_invariants_find_faults(spark):
     bad = frame(spark, np.array([[1.0, 0.0], [float("nan"), 0.0], [2.0, 0.0]]))
     row = V.vector_invariants(bad).first()
