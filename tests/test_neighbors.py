@@ -49,6 +49,11 @@ def test_knn_is_exact(spark, metric, block_rows):
     check(spark, q, 6, metric, block_rows)
 
 
+def test_pivots_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(B, "PIVOT_CELLS", 70)  # eleven rows at a time
+    check(spark, np.random.default_rng(12).normal(size=(120, 4)), 6, "cosine", 20)
+
+
 @pytest.mark.parametrize("metric", ["cosine", "euclidean"])
 def test_knn_when_a_third_are_copies(spark, metric):
     rng = np.random.default_rng(12)
