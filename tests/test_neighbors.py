@@ -111,6 +111,17 @@ def test_approximate_lists_of_few_rows(spark):
     assert lists(B.knn_approximate(frame(spark, q), 5)) == lists(B.knn(frame(spark, q), 5))
 
 
+def test_exact_search_sends_rows_to_few_groups_and_runs_once(spark):
+    q = np.random.default_rng(31).normal(size=(300, 24))  # no cell is out of reach
+    near = B.knn(frame(spark, q), 4, block_rows=10)
+    unit = q / np.linalg.norm(q, axis=1)[:, None]
+    d = np.round(1 - unit @ unit.T, 9)
+    np.fill_diagonal(d, np.inf)
+    assert lists(near) == {i: [(int(j), float(d[i, j])) for j in np.lexsort((np.arange(300), d[i]))[:4]] for i in range(300)}
+    assert "CoGroup" not in near._jdf.queryExecution().toString()  # the lists are read, not worked out again
+    assert [B._groups(n, 4096) for n in (1, 10_000, 100_000, 500_000, 1_000_000)] == [1, 8, 8, 8, 16]
+
+
 def test_memberships_sum_to_the_target(spark):
     q = np.random.default_rng(13).normal(size=(50, 6))
     near = B.knn(frame(spark, q), 8)
