@@ -1,24 +1,31 @@
 """Ranking of targets among all vectors.
 
-Queries and vectors lie in numbered blocks of at most CHUNK_BYTES, and every pair of blocks is one task: a matrix product that returns one count per
-query. Similarities are never rows, nothing passes the driver, and a node with very many edges makes no large group.
+Queries lie in numbered groups whose vectors take about CHUNK_BYTES; every group is one task, which reads all vectors as a stream: once to pick those of its
+pairs, once to count. Similarities are never rows, nothing passes the driver, and a node with very many edges makes no large group.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glyphatlas.functions.vectors import dot, doubles
-from glyphatlas.session import settle
+from glyphatlas.functions.vectors import doubles
+from glyphatlas.session import settle, shuffle_width
 
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 256 << 20
+# Groups of queries at least, over all values of `by`.
+LEAST_GROUPS = 16
 SIM_DIGITS = 9
 # Similarities that a task holds at a time.
 CELLS = 1 << 21
+# Pairs that a task looks up at a time.
+AT_ONCE = 4096
 
 
 def hits_at_k(vectors: DataFrame, pairs: DataFrame, ks=(10, 100), by: tuple[str, ...] = ()) -> DataFrame:
@@ -38,42 +45,137 @@ def hits_at_k(vectors: DataFrame, pairs: DataFrame, ks=(10, 100), by: tuple[str,
 
 def target_ranks(vectors: DataFrame, pairs: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """(by..., src, dst, rank) for every pair."""
-    points = settle(vectors.select(*by, "id", doubles(F.col("embedding")).alias("v")))
-    first = points.select(*by, F.col("id").alias("src"), F.col("v").alias("sv"))
-    second = points.select(*by, F.col("id").alias("dst"), F.col("v").alias("tv"))
-    target = F.round(dot(F.col("sv"), F.col("tv")), SIM_DIGITS)
-    asked = settle(pairs.join(first, "src").join(second, [*by, "dst"]).select(*by, "src", "dst", "sv", target.alias("target")))
+    points = vectors.select(*by, "id", doubles(F.col("embedding")).alias("v"))
+    asked = settle(pairs.select("src", "dst"))
     width = (points.agg(F.max(F.size("v"))).first()[0] or 0) + 4
-    queries, corpus = _blocks(asked, by, width), _blocks(points, by, width)
-    each = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
-    left = asked.select("*", F.pmod(F.xxhash64("src", "dst"), F.lit(queries)).cast("int").alias("_q"), each(corpus, "_c"))
-    right = points.select("*", F.pmod(F.xxhash64("id"), F.lit(corpus)).cast("int").alias("_c"), each(queries, "_q"))
-    keys = [*by, "_q", "_c"]
-    schema = T.StructType([asked.schema[c] for c in (*by, "src", "dst")] + [T.StructField("above", T.LongType())])
-    counted = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_count_above, schema)
+    each = points.select(*by).distinct()
+    groups = max(1, -(-LEAST_GROUPS // max(1, each.count() if by else 1)), -(-asked.count() * 8 * width // CHUNK_BYTES))
+    # both directions of an edge are in one group, which holds each of their vectors once
+    group = F.pmod(F.xxhash64(F.least("src", "dst"), F.greatest("src", "dst")), F.lit(groups)).cast("int")
+    empty = F.lit(None).cast("array<double>")
+    of_all = asked.crossJoin(F.broadcast(each)) if by else asked  # a row for every value of `by`
+    questions = of_all.select(*by, group.alias("_q"), F.lit(0).alias("_kind"), F.col("src").alias("id"), "dst", empty.alias("v"))
+    # every group gets the vectors twice: to pick those of its pairs, and to compare
+    kind = points.schema["id"].dataType
+    sent = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(q).alias("q")) for q in range(groups) for k in (1, 2)]))
+    told = points.select(*by, "id", "v", sent.alias("e")).select(
+        *by, F.col("e.q").alias("_q"), F.col("e.k").alias("_kind"), "id", F.lit(None).cast(asked.schema["dst"].dataType).alias("dst"), "v")
+    keys = [*by, "_q"]
+    dealt = questions.select(*keys, "_kind", F.col("id").cast(kind).alias("id"), F.col("dst").cast(kind).alias("dst"), "v").unionByName(
+        told.withColumn("dst", F.col("dst").cast(kind)))
+    dealt = dealt.repartition(shuffle_width(vectors.sparkSession), *keys).sortWithinPartitions(*keys, "_kind")
+    schema = T.StructType([*[points.schema[c] for c in by], T.StructField("src", kind), T.StructField("dst", kind), T.StructField("above", T.LongType())])
+    counted = dealt.mapInArrow(_ranks(len(by)), schema)
     return counted.groupBy(*by, "src", "dst").agg((F.sum("above") + 1).alias("rank"))
 
 
-def _blocks(rows: DataFrame, by: tuple[str, ...], width: int) -> int:
-    """Into how many blocks the rows of the largest group of `by` go."""
-    most = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    return max(1, -(-most * 8 * width // CHUNK_BYTES))
-
-
-def _matrix(table: pa.Table, column: str) -> np.ndarray:
-    return table.column(column).combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy().reshape(len(column), -1)
+
+
+def _runs(table: pa.Table, keys: int) -> Iterator[tuple[tuple, pa.Table]]:
+    """The slices of a table sorted by its first `keys` columns that share their values."""
+    cut = np.zeros(max(0, table.num_rows - 1), bool)
+    for i in range(keys):
+        codes = table.column(i).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        cut |= codes[1:] != codes[:-1]
+    edges = [0, *(np.flatnonzero(cut) + 1).tolist(), table.num_rows]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        if b > a:
+            yield tuple(table.column(i)[a].as_py() for i in range(keys)), table.slice(a, b - a)
+
+
+class _Group:
+    """The pairs of a group, the vectors of their ends, and how many vectors so far are nearer than the targets."""
+
+    def __init__(self) -> None:
+        self.pairs: list[pa.Table] = []
+        self.ends: list[tuple[np.ndarray, np.ndarray]] = []
+        self.named: pa.Array | None = None
+        self.ready = False
+
+    def add(self, kind: int, rows: pa.Table) -> None:
+        if kind == 0:
+            self.pairs.append(rows.select(["id", "dst"]))
+        elif not self.pairs:
+            return
+        elif kind == 1:
+            if self.named is None:
+                pairs = pa.concat_tables(self.pairs)
+                self.named = pa.chunked_array([*pairs.column("id").chunks, *pairs.column("dst").chunks]).unique().drop_null()
+            held = rows.filter(pc.is_in(rows.column("id"), value_set=self.named))
+            if held.num_rows:
+                self.ends.append((held.column("id").to_numpy(), _matrix(held.column("v"))))
+        elif self.ends:
+            self._prepare()
+            self._count(rows)
+
+    def _prepare(self) -> None:
+        import pandas as pd
+
+        if self.ready:
+            return
+        self.ready = True
+        ids = np.concatenate([i for i, _ in self.ends])
+        self.v = np.concatenate([v for _, v in self.ends])
+        self.ends = [(ids, self.v)]
+        pairs = pa.concat_tables(self.pairs).to_pandas().dropna()
+        spots = pd.DataFrame({"id": ids, "_s": np.arange(len(ids))})
+        both = pairs.merge(spots, on="id").merge(spots.rename(columns={"id": "dst", "_s": "_t"}), on="dst")
+        both = both.sort_values("_s", kind="stable")
+        self.src, self.dst, self.at = both["id"].to_numpy(), both["dst"].to_numpy(), both["_s"].to_numpy()
+        self.above = np.zeros(len(both), np.int64)
+        self.target = np.zeros(len(both))
+        to = both["_t"].to_numpy()
+        for a in range(0, len(both), AT_ONCE):
+            spot = slice(a, a + AT_ONCE)
+            self.target[spot] = np.round(np.einsum("ij,ij->i", self.v[self.at[spot]], self.v[to[spot]]), SIM_DIGITS)
+
+    def _count(self, rows: pa.Table) -> None:
+        for a in range(0, len(self.src), AT_ONCE):
+            spot = slice(a, a + AT_ONCE)
+            x = self.v[self.at[spot]]
+            sv = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+            queries = pa.table({"src": pa.array(self.src[spot], rows.schema.field("id").type), "sv": sv, "target": self.target[spot]})
+            self.above[spot] += _count_above(queries, rows).column("above").to_numpy()
 
 
 def _count_above(queries: pa.Table, corpus: pa.Table) -> pa.Table:
-    """For every query of a block, how many vectors of the other block are nearer than its target."""
+    """For every (src, ..., sv, target), how many of the vectors (id, v) are nearer than its target."""
     above = np.zeros(queries.num_rows, np.int64)
     if queries.num_rows and corpus.num_rows:
-        sv, target, src = _matrix(queries, "sv"), queries.column("target").to_numpy(), queries.column("src").to_numpy()
-        v, ids = _matrix(corpus, "v"), corpus.column("id").to_numpy()
+        sv, target, src = _matrix(queries.column("sv")), queries.column("target").to_numpy(), queries.column("src").to_numpy()
+        v, ids = _matrix(corpus.column("v")), corpus.column("id").to_numpy()
         step = max(1, CELLS // len(ids))
         for at in range(0, len(above), step):
             spot = slice(at, at + step)
             nearer = np.round(sv[spot] @ v.T, SIM_DIGITS) > target[spot][:, None]
             above[spot] = (nearer & (src[spot][:, None] != ids[None, :])).sum(axis=1)
-    kept = [c for c in queries.column_names if c not in ("sv", "target", "_q", "_c")]
+    kept = [c for c in queries.column_names if c not in ("sv", "target")]
     return queries.select(kept).append_column("above", pa.array(above))
+
+
+def _ranks(n_by: int):
+    """For sorted (by..., group, kind, id, dst, v) rows: (by..., src, dst, above), how many vectors are nearer to `src` than `dst` is."""
+
+    def answer(key: tuple, group: _Group, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        if group.ready and len(group.src):
+            id_type = schema.field("id").type
+            named = [pa.array([key[i]] * len(group.src), schema.field(i).type) for i in range(n_by)]
+            arrays = [*named, pa.array(group.src, id_type), pa.array(group.dst, id_type), pa.array(group.above)]
+            yield pa.RecordBatch.from_arrays(arrays, [*schema.names[:n_by], "src", "dst", "above"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, group, schema = None, None, None
+        for batch in batches:
+            schema = batch.schema
+            for key, rows in _runs(pa.Table.from_batches([batch]), n_by + 2):
+                if group is None or key[:-1] != last:
+                    if group is not None:
+                        yield from answer(last, group, schema)
+                    last, group = key[:-1], _Group()
+                group.add(key[-1], rows)
+        if group is not None:
+            yield from answer(last, group, schema)
+
+    return run

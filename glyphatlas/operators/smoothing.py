@@ -1,7 +1,7 @@
 """Graph smoothing of vectors, and its grid search.
 
-Nodes lie in blocks of bounded size, a row per node with the vectors of all alphas side by side; links are a row each, in cells by the block of the node
-that they pull from. A cell adds up what its links pull, one partial sum per pulling node, and the partial sums of a block's nodes meet its old vectors.
+Nodes lie in few blocks of bounded size, a row per node; links are a row each, in cells by the block of the node
+that they pull from. A cell adds up what its links pull, one partial sum per pulling node, and the partial sums of a block's nodes make its new vectors.
 A block with more links than a cell takes is sent to several cells, so a node may have any number of links in either direction.
 """
 
@@ -22,9 +22,10 @@ from glyphatlas.operators.vectors import class_cohesion, cohesion_summary
 from glyphatlas.session import discard, settle
 from glyphatlas.vocab import ALPHA_GRID, N_ITER_GRID, VARIANTS
 
-# Vectors of a block, and links of a cell, that a task holds at a time.
-BLOCK_BYTES = 8 << 20
-CELL_LINKS = 200_000
+# Vectors of a block, and links of a cell, that a task holds at a time; there are FEW_BLOCKS until these are full.
+BLOCK_BYTES = 64 << 20
+CELL_LINKS = 1_000_000
+FEW_BLOCKS = 8
 _AT_ONCE = 4096
 
 
@@ -34,53 +35,48 @@ def smoothed(
     """(alpha, n_iter, id, embedding) for every (alpha, n_iter) of `settings`, and no other.
 
     Q <- (1 - alpha) Q0 + alpha (mean of the neighbours' Q), n_iter times; nodes without links keep Q0; the
-    result is scaled to length 1. `links` is (src, dst, weight) with weights summing to 1 per source. All alphas advance together, each
-    as far as it is asked for.
+    result is scaled to length 1. `links` is (src, dst, weight) with weights summing to 1 per source.
+
+    A round is linear in Q, so with P_j the plain means taken j times, P_0 = Q0, the result is the sum of (1 - alpha) alpha^j P_j for
+    j < n_iter, and alpha^n_iter P_n_iter. The rounds move these P_j only, whatever the number of settings; each setting is their mean by these weights.
     """
     settings = sorted({(float(a), int(n)) for a, n in settings})
-    alphas = sorted({a for a, _ in settings})
-    last = {a: max(n for b, n in settings if b == a) for a in alphas}
-    base = settle(vectors.select("id", unit(doubles(F.col("embedding"))).alias("q0")))
-    size = base.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("q0")).alias("d")).first()
-    d, kind = size["d"] or 1, base.schema["id"].dataType
-    blocks = max(1, -(-size["n"] * d * 8 * (len(alphas) + 1) // block_bytes))
+    last = max(n for _, n in settings)
+    base = settle(vectors.select(F.monotonically_increasing_id().alias("row"), "id", unit(doubles(F.col("embedding"))).alias("q")))
+    size = base.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("q")).alias("d")).first()
+    n, d, kind = size["n"], size["d"] or 1, base.schema["id"].dataType
+    # few blocks: a node has at most one partial sum a block and part
+    blocks = max(1, min(FEW_BLOCKS, n // 64), -(-n * d * 8 // block_bytes))
     block = lambda c: F.pmod(F.xxhash64(F.col(c).cast(kind)), F.lit(blocks)).cast("int")
     wires = links.select(F.col("src").cast(kind).alias("src"), F.col("dst").cast(kind).alias("dst"), F.col("weight").cast("double").alias("weight"))
     wires = settle(wires.withColumns({"home": block("src"), "at": block("dst")}))
     parts = settle(wires.groupBy("at").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell_links)).cast("int").alias("parts")))
-    part = F.pmod(F.xxhash64("src", "dst"), F.col("parts")).cast("int")
-    cells = settle(wires.join(parts, "at").select("at", part.alias("part"), "home", "src", "dst", "weight"), replaces=wires)
-    state = settle(base.select(block("id").alias("block"), "id", "q0", F.flatten(F.array_repeat("q0", len(alphas))).alias("q")), replaces=base)
+    # all links of a node into a block make one partial sum, unless they are more than a block has nodes
+    often = settle(wires.groupBy("at", "src").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell_links).select("at", "src", F.lit(True).alias("often")))
+    part = F.pmod(F.when(F.col("often"), F.xxhash64("src", "dst")).otherwise(F.xxhash64("src")), F.col("parts")).cast("int")
+    cells = settle(wires.join(parts, "at").join(often, ["at", "src"], "left").select("at", part.alias("part"), "home", "src", "dst", "weight"), replaces=wires)
+    state = settle(base.select(block("id").alias("block"), "row", "id", "q"), replaces=base)
     name = kind.simpleString()
-    made = [_snapshot(state, alphas, settings, 0, d)]
-    kept = [state]
-    for i in range(1, max(last.values()) + 1):
+    means = [state]
+    for _ in range(last):
         every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
         shipped = state.join(parts, state["block"] == parts["at"]).select("at", every, "id", "q")
         pulled = cells.groupBy("at", "part").cogroup(shipped.groupBy("at", "part")).applyInArrow(_pulled, f"home int, id {name}, m array<double>")
-        share = np.repeat([a if last[a] >= i else np.nan for a in alphas], d)
-        new = state.groupBy("block").cogroup(pulled.groupBy("home")).applyInArrow(_mixed(share), f"block int, id {name}, q0 array<double>, q array<double>")
-        asked = any(n == i for _, n in settings)
-        state = settle(new, replaces=None if state in kept else state)
-        if asked:
-            made.append(_snapshot(state, alphas, settings, i, d))
-            kept.append(state)
-    out = made[0]
-    for more in made[1:]:
-        out = out.unionByName(more)
-    done = settle(out)
-    discard(*kept, cells, parts)
+        state = settle(state.groupBy("block").cogroup(pulled.groupBy("home")).applyInArrow(_mixed, f"block int, row bigint, id {name}, q array<double>"))
+        means.append(state)
+    each = [m.select(F.lit(j).alias("step"), "row", "id", "q") for j, m in enumerate(means)]
+    together = each[0]
+    for more in each[1:]:
+        together = together.unionByName(more)
+    shares = max(1, min(8 * FEW_BLOCKS, n // 64), -(-n * d * 8 * (last + 1) // block_bytes))
+    share = F.pmod(F.xxhash64("row"), F.lit(shares)).cast("int")
+    mixed = together.withColumn("share", share).groupBy("share").applyInArrow(
+        _weighted(settings, last), f"alpha double, n_iter int, id {name}, embedding array<double>")
+    done = settle(mixed.withColumn("embedding", unit(F.col("embedding"))))
+    discard(*means, cells, parts, often)
     return done
 
 
-def _snapshot(state: DataFrame, alphas: list[float], settings: list[tuple[float, int]], i: int, d: int) -> DataFrame:
-    asked = [(v, a) for v, a in enumerate(alphas) if (a, i) in settings]
-    each = F.array(*[F.struct(F.lit(a).alias("alpha"), F.slice("q", v * d + 1, d).alias("q")) for v, a in asked])
-    if not asked:
-        each = F.array().cast("array<struct<alpha:double,q:array<double>>>")
-    return state.select("id", F.inline(each)).select("alpha", F.lit(i).alias("n_iter"), "id", unit(F.col("q")).alias("embedding"))
-
-
 def _matrix(table: pa.Table, column: str) -> np.ndarray:
     return table.column(column).combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
 
@@ -122,26 +118,40 @@ def _pulled(links: pa.Table, nodes: pa.Table) -> pa.Table:
     return pa.table({"home": pa.array(home), "id": named.dictionary, "m": _lists(m)})
 
 
-def _mixed(share: np.ndarray):
-    """New vectors of a block from the partial sums of its nodes; elements without a share stay as they are."""
-
-    def run(nodes: pa.Table, pulled: pa.Table) -> pa.Table:
-        if not nodes.num_rows or not pulled.num_rows:
-            return nodes.select(["block", "id", "q0", "q"])
-        found = pc.index_in(pulled.column("id"), value_set=nodes.column("id").combine_chunks())
-        pulled, found = pulled.filter(found.is_valid()), found.drop_null().to_numpy()
-        if not pulled.num_rows:
-            return nodes.select(["block", "id", "q0", "q"])
-        m = _matrix(pulled, "m")
-        total = _summed(found, nodes.num_rows, lambda rows: m[rows])
-        seen = np.zeros(nodes.num_rows, bool)
-        seen[found] = True
-        q0, q = _matrix(nodes, "q0"), _matrix(nodes, "q").copy()
-        moves = ~np.isnan(share)
-        start = np.tile(q0, (1, q.shape[1] // q0.shape[1]))
-        new = np.where(seen[:, None], (1 - share) * start + share * total, start)
-        q[:, moves] = new[:, moves]
-        return pa.table({"block": nodes.column("block"), "id": nodes.column("id"), "q0": nodes.column("q0"), "q": _lists(q)})
+def _mixed(nodes: pa.Table, pulled: pa.Table) -> pa.Table:
+    """New vectors of a block from the partial sums of its nodes; nodes without one stay as they are."""
+    columns = ["block", "row", "id", "q"]
+    if not nodes.num_rows or not pulled.num_rows:
+        return nodes.select(columns)
+    found = pc.index_in(pulled.column("id"), value_set=nodes.column("id").combine_chunks())
+    pulled, found = pulled.filter(found.is_valid()), found.drop_null().to_numpy()
+    if not pulled.num_rows:
+        return nodes.select(columns)
+    m = _matrix(pulled, "m")
+    total = _summed(found, nodes.num_rows, lambda rows: m[rows])
+    seen = np.zeros(nodes.num_rows, bool)
+    seen[found] = True
+    q = np.where(seen[:, None], total, _matrix(nodes, "q"))
+    return pa.table({"block": nodes.column("block"), "row": nodes.column("row"), "id": nodes.column("id"), "q": _lists(q)})
+
+
+def _weighted(settings: list[tuple[float, int]], last: int):
+    """The vectors of every setting from the (step, row, id, q) rows of some nodes, all steps of each."""
+    weights = np.zeros((len(settings), last + 1))
+    for at, (alpha, n) in enumerate(settings):
+        weights[at, :n] = (1 - alpha) * alpha ** np.arange(n)
+        weights[at, n] = alpha**n
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.select(["row", "step", "id", "q"]).sort_by([("row", "ascending"), ("step", "ascending")])
+        q = _matrix(rows, "q").reshape(rows.num_rows // (last + 1), last + 1, -1)
+        ids = rows.column("id").take(pa.array(np.arange(len(q)) * (last + 1)))
+        made = []
+        for (alpha, n), w in zip(settings, weights, strict=True):
+            made.append(pa.table({
+                "alpha": pa.array(np.full(len(q), alpha)), "n_iter": pa.array(np.full(len(q), n, np.int32)), "id": ids,
+                "embedding": _lists(np.einsum("j,rjd->rd", w, q))}))
+        return pa.concat_tables(made)
 
     return run
 
@@ -169,7 +179,7 @@ def grid_report(
     row with the numbers of vectors, edges, training and holdout edges, and evaluated pairs."""
     d = dimension(vectors)
     pairs = settle(eval_pairs(split))
-    points = settle(_plain(vectors).unionByName(_grid_points(vectors, split, alphas, n_iters)))
+    points = _plain(vectors).unionByName(_grid_points(vectors, split, alphas, n_iters))
     by = ["alpha", "n_iter"]
     hits = hits_at_k(points, pairs, by=tuple(by))
     cohesion = settle(class_cohesion(points, members, tuple(by), d))

@@ -77,6 +77,45 @@ def test_smoothing_with_text_ids_and_links_to_nowhere(spark):
     assert np.allclose(got["a"], [0.5**0.5, 0.5**0.5]) and got["b"] == [0.0, 1.0] and np.allclose(got["c"], [0.5**0.5, 0.5**0.5])
 
 
+def test_smoothing_moves_one_vector_a_node_and_sums_a_block_once(spark):
+    draw = np.random.default_rng(12)
+    q = unit(draw.normal(size=(600, 5)))
+    links = sorted({tuple(sorted(map(int, p))) for p in draw.integers(0, 600, (9000, 2)) if p[0] != p[1]})
+    sent = []
+
+    class Seen:
+        """Widths of what each round hands on, from the schemas of the written states."""
+
+        def __call__(self, df, replaces=None):
+            out = settle(df, replaces=replaces)
+            if "block" in out.columns:
+                sent.append(max(len(r["q"]) for r in out.select("q").collect()))
+            return out
+
+    settle, S.settle = S.settle, Seen()
+    try:
+        asked = [(a, n) for a in (0.2, 0.5, 0.9, 1.0) for n in (1, 3)]
+        got = S.smoothed(frame(spark, q), G.adjacency(edges(spark, *links)), asked).collect()
+    finally:
+        S.settle = settle
+    assert sent == [5] * 4  # one vector a node and round, whatever the number of settings
+    want = {s: plain_smoothing(q, links, *s) for s in asked}
+    assert len(got) == 600 * 8 and all(np.allclose(r["embedding"], want[r["alpha"], r["n_iter"]][r["id"]], atol=1e-9) for r in got)
+
+
+def test_ranks_count_repeated_ids_as_joins_do(spark):
+    q = unit(np.random.default_rng(15).normal(size=(30, 4)))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(q)] + [(3, [float(x) for x in q[4]]), (None, [float(x) for x in q[5]])]
+    df = spark.createDataFrame(rows, "id bigint, embedding array<double>")
+    got = {(r["src"], r["dst"]): r["rank"] for r in target_ranks(df, spark.createDataFrame([(3, 9), (9, 3), (2, 7), (None, 7), (2, 99)], "src bigint, dst bigint")).collect()}
+    ids, v = np.array([-1 if i is None else i for i, _ in rows]), np.array([x for _, x in rows])
+    want = {}
+    for s, t in [(3, 9), (9, 3), (2, 7)]:
+        sims = lambda i: np.round(v @ v[i], 9)
+        want[s, t] = 1 + sum(int(((sims(i) > sims(i)[j]) & (ids != s)).sum()) for i in np.flatnonzero(ids == s) for j in np.flatnonzero(ids == t))
+    assert got == want
+
+
 def test_smoothing_directions(spark):
     q0 = unit(np.random.default_rng(42).normal(size=(10, 16)))
     q = matrix(S.retrofit(frame(spark, q0), G.adjacency(edges(spark, (0, 1), (2, 3))), 0.8, 10))
