@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from glyphatlas.functions.strings import ANY_BREAK, BLANK, let
 from glyphatlas.operators.ranking import exact_quantiles
-from glyphatlas.session import cut_lineage
+from glyphatlas.session import cut_lineage, settle
 from glyphatlas.vocab import HOLDOUT_FRACTION, SPLIT_SEED
 
 _XREF = rf"(?U)^%Y{BLANK}+A\d+(?={BLANK}|$)"
@@ -77,8 +77,9 @@ def in_scope(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def edge_report(edges: DataFrame) -> DataFrame:
-    """One row: edges, touched nodes, and median, 95th percentile and maximum of edges per first node."""
-    fan = edges.groupBy("from_id").agg(F.count(F.lit(1)).alias("n"))
+    """One row: edges, touched nodes, and median, 95th percentile and maximum of edges per first node. The edges are worked out once."""
+    edges = settle(edges.select("from_id", "to_id"))
+    fan = settle(edges.groupBy("from_id").agg(F.count(F.lit(1)).alias("n")))
     spread = exact_quantiles(fan, "n", {"fan_median": 0.5, "fan_p95": 0.95})
     return fan.agg(
         F.sum("n").alias("n_edges"),

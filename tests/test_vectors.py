@@ -254,3 +254,10 @@ def test_invariants_find_faults(spark):
     row = V.vector_invariants(bad).first()
     assert (row["n_vectors"], row["n_nan"]) == (3, 1) and row["n_not_unit"] >= 1
     assert V.l2_normalize(frame(spark, np.zeros((1, 3)))).select(F.col("embedding")[0]).first()[0] == 0.0
+
+
+def test_edges_of_the_report_are_worked_out_once(spark):
+    texts = spark.createDataFrame([("%Y A000001 Cf. A000002, A000003.",), ("%Y A000002 Cf. A000003.",)], "text string")
+    out = G.edge_report(G.canonical(G.extract_edges(texts)))
+    assert "regexp_extract" not in out._jdf.queryExecution().toString()
+    assert tuple(out.first()) == (3, 3, 1.5, 1.95, 2)
