@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from glyphatlas.functions.compose import prompt_entry
 from glyphatlas.operators.naming import terms
 from glyphatlas.operators.ranking import with_position
+from glyphatlas.session import settle
 from glyphatlas.vocab import (
     CLASSIFY_BATCH,
     EMBED_BATCH,
@@ -198,10 +199,12 @@ def hash_embed(df: DataFrame, dim: int = 256, text_version: str = EMBED_TEXT_VER
 
 
 def tfidf_terms(docs: DataFrame) -> DataFrame:
-    """(id, term, tf, df, tfidf) with tfidf = tf * ln((N + 1) / (df + 1)); terms are counted before the join."""
-    tf = docs.select("id", F.explode(terms(F.col("text"))).alias("term")).groupBy("id", "term").agg(
-        F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    """(id, term, tf, df, tfidf) with tfidf = tf * ln((N + 1) / (df + 1)); terms are counted before the join.
+
+    Texts are cut once. Both counts are written, so that the planner sees the true size of the vocabulary and leaves the rows where they are if it is small."""
+    tf = settle(docs.select("id", F.explode(terms(F.col("text"))).alias("term")).groupBy("id", "term").agg(
+        F.count(F.lit(1)).alias("tf")))
+    df = settle(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     total = docs.agg(F.count(F.lit(1))).scalar()
     weight = F.col("tf") * F.log((total + 1) / (F.col("df") + 1))
     return tf.join(df, "term").select("id", "term", "tf", "df", weight.alias("tfidf"))

@@ -261,3 +261,11 @@ def test_edges_of_the_report_are_worked_out_once(spark):
     out = G.edge_report(G.canonical(G.extract_edges(texts)))
     assert "regexp_extract" not in out._jdf.queryExecution().toString()
     assert tuple(out.first()) == (3, 3, 1.5, 1.95, 2)
+
+
+def test_texts_of_the_term_counts_are_cut_once(spark):
+    from glyphatlas.operators.inference import tfidf_terms
+
+    out = tfidf_terms(spark.createDataFrame([(1, "one two two"), (1, "one"), (2, None)], "id bigint, text string"))
+    assert "Generate" not in out._jdf.queryExecution().toString()
+    assert {(r["id"], r["term"], r["tf"], r["df"]) for r in out.collect()} == {(1, "one", 2, 1), (1, "two", 2, 1)}
