@@ -269,3 +269,14 @@ def test_texts_of_the_term_counts_are_cut_once(spark):
     out = tfidf_terms(spark.createDataFrame([(1, "one two two"), (1, "one"), (2, None)], "id bigint, text string"))
     assert "Generate" not in out._jdf.queryExecution().toString()
     assert {(r["id"], r["term"], r["tf"], r["df"]) for r in out.collect()} == {(1, "one", 2, 1), (1, "two", 2, 1)}
+
+
+def test_line_items_are_spread_by_the_size_of_their_table(spark, tmp_path, monkeypatch):
+    import glyphatlas.catalog.inputs as I
+
+    rows = spark.range(3000).selectExpr("id AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber")
+    rows.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(I, "_SHARE", 100, raising=False)
+    monkeypatch.setattr(I, "_SMALL", 1)
+    out = I.xref(spark, str(tmp_path))
+    assert out.rdd.getNumPartitions() > 3 * spark.sparkContext.defaultParallelism and out.count() == 3000
