@@ -191,13 +191,21 @@ def _with_roots(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     return members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
 
 
-def _hub_pairs(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _centres(hubs: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(key, hub, hub_root): the hubs with their components."""
+    return _with_roots(hubs.withColumnRenamed("hub", "rep"), roots).withColumnsRenamed({"rep": "hub", "root": "hub_root"})
+
+
+def _hub_pairs(labelled: DataFrame, centre: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of a member and the hub of one of its keys, in different components and near enough."""
-    centre = hubs.join(labelled.select(F.col("rep").alias("hub"), F.col("root").alias("hub_root")).distinct(), "hub")
-    apart = labelled.join(centre, "key").where("root <> hub_root").select(F.col("rep").alias("x_rep"), F.col("hub").alias("y_rep")).distinct()
+    # written in steps: the driver keeps what it knows of a plan once for every time that a part of it ends
+    met = labelled.join(centre, "key").where("root <> hub_root").select(F.col("rep").alias("x_rep"), F.col("hub").alias("y_rep"))
+    apart = settle(met.distinct())
     short = classes.select("rep", "n_shingles", *LONG)
     sized = apart.join(_as("x", short), "x_rep").join(_as("y", short), "y_rep")
-    return _distinct_pairs(sized.where(_alike(percent) & _long_near(percent)))
+    found = settle(_distinct_pairs(sized.where(_alike(percent) & _long_near(percent))))
+    discard(apart)
+    return found
 
 
 def _bit(shingle: np.ndarray) -> np.ndarray:
@@ -222,8 +230,8 @@ def _marked_shingles(sets: DataFrame) -> np.ndarray:
 
 
 def _shingle_rows(frame: DataFrame, percent: int) -> DataFrame:
-    """(rep, root, minor, own, n, outside, shingle) for (rep, root, minor, shingles): a row for every shingle that may stand in a minor set; `outside` is how many of
-    the set's `n` shingles stand in none, and `own` tells the sets of a rep apart. Sets with too few shingles in minor sets are left out."""
+    """(rep, root, minor, own, n, outside, shingle) for (rep, root, minor, shingles), written: a row for every shingle that may stand in a minor set; `outside` is how
+    many of the set's `n` shingles stand in none, and `own` tells the sets of a rep apart. Sets with too few shingles in minor sets are left out."""
     shipped = frame.sparkSession.sparkContext.broadcast(_marked_shingles(frame.where("minor")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +252,9 @@ def _shingle_rows(frame: DataFrame, percent: int) -> DataFrame:
                     ["rep", "root", "minor", "own", "n", "outside", "shingle"])
 
     cut = frame.select("rep", "root", "minor", F.xxhash64("shingles").alias("own"), "shingles")
-    return cut.mapInArrow(run, "rep long, root long, minor boolean, own long, n long, outside long, shingle long")
+    rows = settle(cut.mapInArrow(run, "rep long, root long, minor boolean, own long, n long, outside long, shingle long"))
+    shipped.destroy()
+    return rows
 
 
 def _overlap(x: Column, y: Column, percent: int) -> Column:
@@ -256,7 +266,7 @@ def _size_class(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(SIZE_STEP)) + 1e-9)
 
 
-def _left_over(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _left_over(labelled: DataFrame, centre: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) in different components that share a key, one of them outside the component of the key's hub, and that can still be similar enough.
 
     Signatures cannot tell sets that just miss the similarity from those that reach it, and a family of such texts has very many pairs. The
@@ -264,12 +274,11 @@ def _left_over(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, sets: D
     share their first common shingle within the first size - overlap + 1 of either set, and texts that differ have their own words in front. So
     sets meet by these first shingles and the size of the other one (in classes of 2%), and near misses with own words never meet.
     """
-    centre = hubs.join(labelled.select(F.col("rep").alias("hub"), F.col("root").alias("hub_root")).distinct(), "hub")
-    minor = cut_lineage(labelled.join(centre, "key").where("root <> hub_root").select("key", "rep"))
+    minor = settle(labelled.join(centre, "key").where("root <> hub_root").select("key", "rep"))
     left = minor.select("rep").distinct().withColumn("minor", F.lit(True))
     concerned = labelled.join(minor.select("key").distinct(), "key", "left_semi").select("rep", "root").distinct()
-    marked = concerned.join(left, "rep", "left").select("rep", "root", F.coalesce("minor", F.lit(False)).alias("minor"))
-    rows = settle(_shingle_rows(marked.join(sets, "rep").select("rep", "root", "minor", "shingles"), percent))
+    marked = settle(concerned.join(left, "rep", "left").select("rep", "root", F.coalesce("minor", F.lit(False)).alias("minor")))
+    rows = _shingle_rows(marked.join(sets, "rep").select("rep", "root", "minor", "shingles"), percent)
     counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"))
     placed = join_with_hot_keys(rows, counts, ["shingle"], "sets").withColumn(
         "place", F.col("outside") + F.row_number().over(W.partitionBy("rep", "own").orderBy("sets", "shingle")))
@@ -284,10 +293,10 @@ def _left_over(labelled: DataFrame, hubs: DataFrame, classes: DataFrame, sets: D
     y = first.select("shingle", _size_class(n).alias("of_size"), *[F.col(c).alias(f"y_{c}") for c in ("rep", "root", "n", "place")])
     enough = _overlap(F.col("x_n"), F.col("y_n"), percent)
     meet = (F.col("x_place") <= F.col("x_n") - enough + 1) & (F.col("y_place") <= F.col("y_n") - enough + 1)
-    met = x.join(y, ["shingle", "of_size"]).where((F.col("x_root") != F.col("y_root")) & meet).select("x_rep", "y_rep").distinct()
+    met = settle(x.join(y, ["shingle", "of_size"]).where((F.col("x_root") != F.col("y_root")) & meet).select("x_rep", "y_rep").distinct())
     signed = met.join(_as("x", classes), "x_rep").join(_as("y", classes), "y_rep")
     found = settle(_distinct_pairs(signed.where(_alike(percent) & _near() & _long_near(percent))))
-    discard(rows, first)
+    discard(minor, marked, rows, first, met)
     return found
 
 
@@ -322,20 +331,24 @@ def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     each = [F.xxhash64("shingles").alias("h1"), F.xxhash64(F.lit(1), "shingles").alias("h2")]
     sets = settle(sets.groupBy("rep", *each).agg(F.max("shingles").alias("shingles")).select("rep", "shingles"))
     links = _same_ids(usable, classes)
-    roots = None if links is None else cut_lineage(contract(links))
+    roots = None if links is None else contract(links)
+    labelled = _with_roots(members, None) if roots is None else cut_lineage(_with_roots(members, roots))
     for turn in range(DRAWN_ROUNDS + 2):
-        labelled = cut_lineage(_with_roots(members, roots))
         if turn == 0:
-            pairs = _hub_pairs(labelled, hubs, member, percent)
+            pairs = _hub_pairs(labelled, _centres(hubs, roots), member, percent)
         elif turn <= DRAWN_ROUNDS:
             drawn = F.min(F.struct(F.xxhash64("key", "rep", F.lit(turn)).alias("draw"), "rep"))
-            pairs = _hub_pairs(labelled, labelled.groupBy("key").agg(drawn.alias("d")).select("key", F.col("d.rep").alias("hub")), member, percent)
+            drawn = members.groupBy("key").agg(drawn.alias("d")).select("key", F.col("d.rep").alias("hub"))
+            pairs = _hub_pairs(labelled, _centres(drawn, roots), member, percent)
         else:
-            pairs = _left_over(labelled, hubs, member, sets, percent)
+            pairs = _left_over(labelled, _centres(hubs, roots), member, sets, percent)
         found = cut_lineage(confirmed(pairs, sets, percent))
+        discard(pairs)
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
-            roots = cut_lineage(contract(links))
+            roots = contract(links)
+            if turn <= DRAWN_ROUNDS:
+                labelled = cut_lineage(_with_roots(members, roots))
     discard(members, hubs, sets)
     named = _with_roots(classes.select("n_shingles", "d1", "d2", "rep"), roots).select("n_shingles", "d1", "d2", F.col("root").alias("class_root"))
     found = signed.select("doc_id", "n_shingles", "d1", "d2").join(named, ["n_shingles", "d1", "d2"], "left")

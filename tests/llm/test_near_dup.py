@@ -127,3 +127,19 @@ def test_left_over_pairs_grow_with_the_rows(spark, monkeypatch):
         rows.append((i, " ".join(words)))
     near_dup.components(texts(spark, rows), 3, 85).count()
     assert made[-1] < 20 * n and len(made) == near_dup.DRAWN_ROUNDS + 2
+
+
+def test_no_plan_is_kept_many_times_by_the_driver(spark):
+    """The driver keeps all figures of a plan once more whenever a part of it ends, so a long plan costs the square of its length."""
+    store = spark._jsparkSession.sharedState().statusStore()
+
+    def known():
+        listed = store.executionsList()
+        return {listed.apply(i).executionId(): listed.apply(i).metrics().size() for i in range(listed.size())}
+
+    last = max(known(), default=-1)
+    rows = list(enumerate([t for seed in range(4) for t in family(seed, 14, 12)], 1))
+    near_dup.components(texts(spark, rows), 3, 85).count()
+    spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    sizes = [n for i, n in known().items() if i > last]
+    assert max(sizes) < 1600
