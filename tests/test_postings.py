@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from glyphatlas.functions.predicates import contains_text
+from glyphatlas.operators import postings
 from glyphatlas.operators.postings import candidates, search_postings, trigrams, write_postings
 
 TEXTS = ["The cat and the hat", "cathat", "CAT  AND", "", None, "ab", "aaaa", "a" * 5000 + "b", "Élan vital élan", "x\n\ny z", "naïve 𝒳𝒴𝒵 sets", "the catalog, hatand"]
@@ -40,3 +41,18 @@ def test_only_candidates_are_compared(spark, index):
 def test_empty_table(spark, tmp_path):
     write_postings(spark.createDataFrame([], "id string, t string"), str(tmp_path / "x"), "id", "t")
     assert search_postings(spark, str(tmp_path / "x"), "any").count() == 0
+
+
+def test_packed_places_are_those_of_the_trigrams(spark, index, monkeypatch):
+    monkeypatch.setattr(postings, "PIECE", 20)
+    rows = index[0].select(F.col("id").alias("key"), F.col("t").alias("text")).where("text IS NOT NULL")
+    want = rows.select("key", F.inline(trigrams(F.col("text")))).select("gram", "key", "pos")
+    got = postings.packed(rows).select("gram", F.inline(F.arrays_zip("keys", "places")))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+
+
+def test_a_gram_is_one_row_of_many_texts(spark, tmp_path):
+    rows = spark.range(0, 500, 1, 1).select("id", F.lit("the and " * 20).alias("t"))
+    write_postings(rows, str(tmp_path / "x"), "id", "t", buckets=4)
+    assert spark.read.parquet(str(tmp_path / "x" / "postings")).count() < 500
+    assert search_postings(spark, str(tmp_path / "x"), "The and").count() == 500
