@@ -1,9 +1,13 @@
 """Density clusters by persistence: spanning forest, merge tree, condensed tree, stable clusters.
 
 All steps are joins and aggregates over edges or nodes; loops double pointers or halve components, so their number grows with the
-logarithm of the rows, and every round writes what it hands on.
+logarithm of the rows, and every round writes what it hands on. A round costs about a second whatever it holds, so tasks follow and join what
+they can within ranges of `BLOCK` rows, and rounds are left for what leads from range to range.
 
-* `spanning_forest`: Boruvka's rounds over mutual-reachability edges; equal weights are told apart by their ends, so the forest is unique.
+* `followed`: chains of pointers, within ranges of nodes first. Pointers that lead from range to range in order need as many rounds as the
+  ranges can be halved, however long the chains are.
+* `spanning_forest`: Boruvka's rounds over mutual-reachability edges, the last `BLOCK` edges in one task; equal weights are told apart by their
+  ends, so the forest is unique.
 * `merge_tree`: which edge joins which two components. Trees of more than `BLOCK` edges are halved at their median edge: what the lighter half
   joins becomes one node of the heavier half. A component is named after the edge that completed it, so the halves fit together again by name.
 * `condense`: components below `min_size` fall out of a cluster, splits into two larger ones begin new clusters; a cluster is named after its topmost edge.
@@ -13,11 +17,15 @@ logarithm of the rows, and every round writes what it hands on.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import operator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from glyphatlas.operators.components import contract, relabel
 from glyphatlas.operators.density import mutual_reachability
@@ -25,34 +33,101 @@ from glyphatlas.operators.ranking import with_position
 from glyphatlas.session import discard, settle
 from glyphatlas.vocab import NOISE
 
+# Rows of pointers or edges that a task follows or joins by itself.
 BLOCK = 200_000
 # Distances below this count as this, so that densities stay finite.
 NEAREST = 1e-9
 
 
-def followed(pointers: DataFrame, carry: dict[str, Callable[[Column, Column], Column]] | None = None) -> DataFrame:
+class _Columns:
+    """What carried values are made with, between tables."""
+
+    coalesce, greatest, plus, either = F.coalesce, F.greatest, operator.add, operator.or_
+
+
+class _Arrays:
+    """The same within a task."""
+
+    coalesce, greatest, plus, either = pc.coalesce, pc.max_element_wise, pc.add, pc.or_kleene
+
+
+# (operations, the values of a node, those of the node it jumps to) -> the new value
+Carry = dict[str, Callable]
+
+
+def followed(pointers: DataFrame, carry: Carry | None = None, block: int = BLOCK) -> DataFrame:
     """(node, root, ...) for (node, parent, ...): the end of every chain of pointers; ends point to themselves.
 
-    A carried column is replaced, jump by jump, by what its function makes of the node's value and that of the node it jumps to.
+    A carried column is replaced, jump by jump, by what its function makes of the values of the node and of the node it jumps to. Chains are
+    followed within ranges of about `block` nodes; rounds of joins take only the nodes at which a chain enters a further range.
     """
     carry = carry or {}
-    now = settle(pointers.select("node", "parent", *carry))
-    while True:
-        up = now.select(F.col("node").alias("parent"), F.col("parent").alias("_above"), *[F.col(c).alias(f"_up_{c}") for c in carry])
-        moved = [F.when(F.col("_above") == F.col("parent"), F.lit(False)).otherwise(F.lit(True)).alias("_moved")]
-        values = [how(F.col(c), F.col(f"_up_{c}")).alias(c) for c, how in carry.items()]
-        further = settle(now.join(up, "parent").select("node", F.col("_above").alias("parent"), *values, *moved))
-        discard(now)
-        now = further
-        if now.where("_moved").isEmpty():
-            return now.drop("_moved").withColumnRenamed("parent", "root")
-
-
-def spanning_forest(edges: DataFrame) -> DataFrame:
-    """(a, b, weight): the minimum spanning forest of undirected (a, b, weight) edges; of equal weights the smaller ends go first."""
+    given = settle(pointers.select("node", "parent", *carry))
+    parts = -(-given.count() // block)
+    dealt = given.repartitionByRange(parts, "node") if parts > 1 else given.repartition(1)
+    now = settle(dealt.mapInArrow(_within(carry), T.StructType([*given.schema.fields, T.StructField("_open", T.BooleanType())])), replaces=given)
+    if parts > 1:
+        open_ = now.where("_open")
+        entered = settle(now.join(open_.select(F.col("parent").alias("node")).distinct(), "node", "left_semi"))
+        while not entered.where("_open").isEmpty():
+            entered = settle(entered.where("NOT _open").unionByName(_jumped(entered.where("_open"), entered, carry)), replaces=entered)
+        now = settle(now.where("NOT _open").unionByName(_jumped(open_, entered, carry)), replaces=now)
+        discard(entered)
+    return now.drop("_open").withColumnRenamed("parent", "root")
+
+
+def _jumped(rows: DataFrame, over: DataFrame, carry: Carry) -> DataFrame:
+    """`rows` with the pointers of their parents, which `over` holds."""
+    up = over.select(F.col("node").alias("parent"), F.col("parent").alias("_above"), F.col("_open").alias("_further"), *[F.col(c).alias(f"_up_{c}") for c in carry])
+    own, above = {c: F.col(c) for c in carry}, {c: F.col(f"_up_{c}") for c in carry}
+    values = [how(_Columns, own, above).alias(c) for c, how in carry.items()]
+    return rows.drop("_open").join(up, "parent").select("node", F.col("_above").alias("parent"), *values, F.col("_further").alias("_open"))
+
+
+def _within(carry: Carry):
+    """Follows the pointers among the rows of a task; `_open` where a chain leads out of them."""
+
+    def joined(mask, own, up):
+        return {c: pc.if_else(mask, how(_Arrays, own, up), own[c]) for c, how in carry.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held).combine_chunks()
+        node, parent = (table.column(i).to_numpy() for i in (0, 1))
+        first = {c: table.column(c).combine_chunks() for c in carry}
+        order = np.argsort(node)
+        spot = order[np.minimum(np.searchsorted(node, parent, sorter=order), len(node) - 1)]
+        inside = node[spot] == parent
+        here = np.arange(len(node))
+        # a stop is an end or leads out; every node comes to stand before its stop, then takes the pointer of that
+        to = np.where(inside, spot, here)
+        stop, values = to == here, first
+        while not stop[to].all():
+            on = ~stop[to]
+            values = joined(pa.array(on), values, {c: v.take(pa.array(to)) for c, v in values.items()})
+            to = np.where(on, to[to], to)
+        values = joined(pa.array(~stop), values, {c: v.take(pa.array(to)) for c, v in first.items()})
+        out = [table.column(0), pa.chunked_array([table.column(1).combine_chunks().take(pa.array(to))]), *values.values(), pa.array(~inside[to])]
+        yield from pa.table(out, names=["node", "parent", *carry, "_open"]).to_batches(max_chunksize=1 << 16)
+
+    return run
+
+
+def spanning_forest(edges: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b, weight): the minimum spanning forest of undirected (a, b, weight) edges; of equal weights the smaller ends go first.
+
+    Rounds join every component with its nearest one until at most `block` edges between components are left.
+    """
     found = None
     live = settle(edges.select("a", "b", F.struct("weight", "a", "b").alias("e")).where("a <> b"))
-    while not live.isEmpty():
+    while left := live.count():
+        if left <= block:
+            chosen = live.repartition(1).sortWithinPartitions("e").mapInArrow(_joining, live.schema).select("e.a", "e.b", "e.weight")
+            whole = settle(chosen if found is None else found.unionByName(chosen))
+            discard(found, live)
+            return whole
         ends = F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other")))
         best = live.select(F.explode(ends).alias("n"), "e").groupBy(F.col("n.node").alias("node")).agg(F.min(F.struct("e", "n.other")).alias("m"))
         picked = settle(best.select("node", F.col("m.other").alias("other"), "m.e"))
@@ -62,12 +137,31 @@ def spanning_forest(edges: DataFrame) -> DataFrame:
         back = picked.select(F.col("node").alias("other"), F.col("other").alias("back"))
         # the only cycles are pairs of components that picked the same edge: the smaller one is the end
         ends_here = (F.col("back") == F.col("node")) & (F.col("node") < F.col("other"))
-        roots = followed(picked.join(back, "other").select("node", F.when(ends_here, F.col("node")).otherwise(F.col("other")).alias("parent")))
+        roots = followed(picked.join(back, "other").select("node", F.when(ends_here, F.col("node")).otherwise(F.col("other")).alias("parent")), block=block)
         live = settle(relabel(live, roots), replaces=live)
         discard(picked)
     return edges.select("a", "b", "weight").where("false") if found is None else found
 
 
+def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (a, b, ...) edges in order, those that join two components."""
+    parent: dict = {}
+    for batch in batches:
+        keep = []
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = _top(parent, parent.setdefault(a, a)), _top(parent, parent.setdefault(b, b))
+            keep.append(a != b)
+            parent[b] = a
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
+def _top(parent, i):
+    while parent[i] != i:
+        parent[i] = parent[parent[i]]
+        i = parent[i]
+    return i
+
+
 MERGES = "merge long, weight double, left long, right long, left_size long, right_size long"
 
 
@@ -83,15 +177,9 @@ def _kruskal(f):
         size[[at[x] for x in f[side]]] = f[f"size_{side}"]
     size = size.tolist()
 
-    def find(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
     rows = []
     for a, b, merge, weight, n in zip(f["a"], f["b"], f["merge"], f["weight"], f["points"], strict=True):
-        i, j = find(at[a]), find(at[b])
+        i, j = _top(parent, at[a]), _top(parent, at[b])
         rows.append((merge, weight, name[i], name[j], size[i], size[j]))
         if size[i] < size[j]:
             i, j = j, i
@@ -110,9 +198,8 @@ def merge_tree(forest: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFr
     n = points.count()
     ranked = with_position(forest, [F.col("weight"), F.col("a"), F.col("b")], "merge")
     left, right = (points.select(F.col("id").alias(c), F.col("node").alias(f"_{c}")) for c in ("a", "b"))
-    edges = settle(ranked.join(left, "a").join(right, "b").select("merge", "weight", F.col("_a").alias("a"), F.col("_b").alias("b")))
-    roots = contract(edges.select("a", "b"))
-    edges = settle(edges.join(roots.withColumnRenamed("node", "a"), "a").select("merge", "weight", "a", "b", F.col("root").alias("sub")), replaces=edges)
+    edges = ranked.join(left, "a").join(right, "b").select("merge", "weight", F.col("_a").alias("a"), F.col("_b").alias("b"), F.lit(-1).cast("long").alias("sub"))
+    edges = settle(edges)
     sizes = settle(points.select("node", F.lit(1).cast("long").alias("size")))
     while True:
         big = edges.groupBy("sub").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("merge", 0.5).alias("middle")).where(F.col("n") > block)
@@ -158,7 +245,7 @@ def condense(merges: DataFrame, points: DataFrame, n: int, min_size: int) -> tup
     # a point leaves at the first merge that completes a large component
     links = up.select("node", F.when(head, F.col("node")).otherwise(F.col("parent")).alias("parent"), F.when(F.col("large"), F.col("joined")).alias("leaves"))
     links = links.unionByName(tops.select("node", F.col("node").alias("parent"), F.lit(None).cast("double").alias("leaves")))
-    ends = followed(links, {"leaves": lambda own, above: F.coalesce(own, above)})
+    ends = followed(links, {"leaves": lambda op, own, up: op.coalesce(own["leaves"], up["leaves"])})
     heads = up.where(head).select("node", "node_size", F.col("parent").alias("_over"), F.col("joined").alias("birth"))
     heads = heads.unionByName(tops.where(F.col("node_size") >= min_size).select("node", "node_size", F.lit(None).cast("long").alias("_over"), F.lit(0.0).alias("birth")))
     over = ends.select(F.col("node").alias("_over"), F.col("root").alias("parent"))
@@ -188,12 +275,12 @@ def best_sums(tree: DataFrame) -> DataFrame:
         state = settle(state.select("cluster", "parent", "stability", F.coalesce("unknown", F.lit(0)).alias("unknown"), "next", F.coalesce("gained", F.lit(0.0)).alias("gained")))
         link = F.col("unknown") == 1
         # best(next) -> max(own, others + best(next)) along a chain; an end carries max(own, -) and nothing more
-        steps = F.when(link, F.struct(F.col("stability").alias("own"), F.col("gained").alias("others"))).otherwise(F.struct(F.lit(float("-inf")).alias("own"), F.lit(0.0).alias("others")))
+        steps = [F.when(link, F.col("stability")).otherwise(F.lit(float("-inf"))).alias("own"), F.when(link, F.col("gained")).otherwise(F.lit(0.0)).alias("others")]
         chain = followed(
-            state.select(F.col("cluster").alias("node"), F.when(link, F.col("next")).otherwise(F.col("cluster")).alias("parent"), steps.alias("f")),
-            {"f": lambda f, g: F.struct(F.greatest(f["own"], f["others"] + g["own"]).alias("own"), (f["others"] + g["others"]).alias("others"))})
+            state.select(F.col("cluster").alias("node"), F.when(link, F.col("next")).otherwise(F.col("cluster")).alias("parent"), *steps),
+            {"own": lambda op, f, g: op.greatest(f["own"], op.plus(f["others"], g["own"])), "others": lambda op, f, g: op.plus(f["others"], g["others"])})
         ends = state.where("unknown = 0").select(F.col("cluster").alias("root"), F.greatest("stability", "gained").alias("value"))
-        solved = chain.join(ends, "root").select(F.col("node").alias("cluster"), F.greatest(F.col("f.own"), F.col("f.others") + F.col("value")).alias("best"))
+        solved = chain.join(ends, "root").select(F.col("node").alias("cluster"), F.greatest("own", F.col("others") + F.col("value")).alias("best"))
         fresh = state.join(solved, "cluster").select("cluster", "parent", "stability", "best")
         now = settle(fresh if done is None else done.unionByName(fresh))
         left = settle(open_.join(now.select("cluster"), "cluster", "left_anti"), replaces=open_)
@@ -213,7 +300,7 @@ def stable_clusters(tree: DataFrame) -> DataFrame:
     start = picks.select(F.col("cluster").alias("node"), F.coalesce("parent", "cluster").alias("parent"), F.col("picked").alias("above"))
     over = picks.select(F.col("cluster").alias("parent"), F.col("picked").alias("over"))
     links = start.join(over, "parent").select("node", "parent", (F.col("over") & (F.col("parent") != F.col("node"))).alias("above"))
-    seen = followed(links, {"above": lambda own, up: own | up})
+    seen = followed(links, {"above": lambda op, own, up: op.either(own["above"], up["above"])})
     free = seen.where("NOT above").select(F.col("node").alias("cluster"))
     return settle(picks.where("picked").join(free, "cluster", "left_semi").select("cluster"))
 
@@ -224,8 +311,9 @@ def stable_layers(neighbours: DataFrame, min_size: int = 20, min_clusters: int =
     The finest layer holds the most stable clusters of the condensed tree, each coarser one the most stable clusters that have clusters of the finer one
     strictly inside. Coarser layers with fewer than `min_clusters` clusters are left out. The whole of the points is a cluster only if nothing splits off it.
     """
-    ids = settle(neighbours.select(F.col("src").alias("id")).distinct())
-    forest = spanning_forest(mutual_reachability(settle(neighbours.select("src", "dst", "distance"))))
+    lists = settle(neighbours.select("src", "dst", "distance"))
+    ids = settle(lists.select(F.col("src").alias("id")).distinct())
+    forest = spanning_forest(mutual_reachability(lists))
     clusters, members = condense(*merge_tree(forest), min_size)
     alone = clusters.where("parent IS NULL").count() == 1 and clusters.count() > 1
     whole = F.col("parent").isNull() & F.lit(alone)

@@ -3,7 +3,9 @@ import pytest
 
 from glyphatlas.operators import hierarchy as H
 from glyphatlas.operators import neighbors as B
+from glyphatlas.operators.components import relabel
 from glyphatlas.operators.density import mutual_reachability
+from glyphatlas.session import settle
 from glyphatlas.vocab import NOISE
 from tests.test_neighbors import frame
 
@@ -44,6 +46,46 @@ def test_forest_weight_over_neighbours(spark):
     assert got == pytest.approx(sum(w for _, _, w in kruskal([tuple(r) for r in edges.collect()])))
 
 
+@pytest.mark.parametrize("block", [H.BLOCK, 40])
+def test_forest_in_rounds_and_in_one_task(spark, monkeypatch, block):
+    edges = random_edges(4, 200, 400, True)
+    rounds = []
+    monkeypatch.setattr(H, "relabel", lambda *x: rounds.append(1) or relabel(*x))
+    got = H.spanning_forest(spark.createDataFrame(edges, "a bigint, b bigint, weight double"), block).collect()
+    assert sorted(tuple(r) for r in got) == sorted(kruskal(edges))
+    assert bool(rounds) == (block == 40)
+
+
+CARRIED = {
+    "seen": lambda op, own, up: op.coalesce(own["seen"], up["seen"]),
+    "hit": lambda op, own, up: op.either(own["hit"], up["hit"]),
+    "most": lambda op, own, up: op.greatest(own["most"], op.plus(own["more"], up["most"])),
+    "more": lambda op, own, up: op.plus(own["more"], up["more"])}
+
+
+@pytest.mark.parametrize("kind", ["chain", "down", "any"])
+@pytest.mark.parametrize("block, most", [(H.BLOCK, 2), (90, 9)])
+def test_chains_are_followed_in_few_rounds(spark, monkeypatch, kind, block, most):
+    n, draw = 1200, np.random.default_rng(6)
+    name = draw.permutation(n) if kind == "any" else np.arange(n) if kind == "chain" else np.arange(n)[::-1]
+    up = [i + 1 if kind != "any" else int(draw.integers(i + 1, n)) for i in range(n - 1)] + [n - 1]
+    own = [(float(i) if i % 50 == 0 and i < n - 1 else None, i % 333 == 0 and i < n - 1, float(i % 7) if i < n - 1 else float("-inf"), 1.0 if i < n - 1 else 0.0) for i in range(n)]
+    rows = [(int(name[i]), int(name[up[i]]), *own[i]) for i in range(n)]
+    written = []
+    monkeypatch.setattr(H, "settle", lambda *a, **b: written.append(1) or settle(*a, **b))
+    got = H.followed(spark.createDataFrame(rows, "node bigint, parent bigint, seen double, hit boolean, most double, more double"), CARRIED, block).collect()
+    held = {}
+    for i in reversed(range(n)):
+        seen, hit, best, more = own[i]
+        if up[i] != i:
+            s, h, b, m = held[name[up[i]]]
+            seen, hit, best, more = s if seen is None else seen, hit or h, max(best, more + b), more + m
+        held[name[i]] = seen, hit, best, more
+    assert {r["node"]: (r["seen"], r["hit"], r["most"], r["more"]) for r in got} == held
+    assert {r["root"] for r in got} == {name[-1]} and len(got) == n
+    assert len(written) <= most or kind == "any" and block == 90
+
+
 def sizes(rows, n):
     """Size and lesser side of every merge, by name."""
     return {n + r["merge"]: (r["left_size"] + r["right_size"], r["left"], r["right"]) for r in rows}
