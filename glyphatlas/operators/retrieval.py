@@ -1,7 +1,9 @@
 """Ranking of targets among all vectors.
 
 Queries lie in numbered groups whose vectors take about CHUNK_BYTES; every group is one task, which reads all vectors as a stream: once to pick those of its
-pairs, once to count. Similarities are never rows, nothing passes the driver, and a node with very many edges makes no large group.
+pairs, once to count. All pairs of a source are in one group, unless they are very many, so a source is compared with a vector once. Similarities are
+worked out in single precision, around a centre, and with a bound of their error; only those too near to a target to tell are worked out again in double precision. They
+are never rows, nothing passes the driver, and a node with very many edges makes no large group.
 """
 
 from __future__ import annotations
@@ -12,20 +14,30 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glyphatlas.functions.vectors import doubles
-from glyphatlas.session import settle, shuffle_width
+from glyphatlas.session import settle
 
 CHUNK_BYTES = 256 << 20
-# Groups of queries at least, over all values of `by`.
+# Groups of queries at least; over all values of `by` twice as many, so that tasks of equal size end at about the same time.
 LEAST_GROUPS = 16
 SIM_DIGITS = 9
 # Similarities that a task holds at a time.
 CELLS = 1 << 21
+# Similarities of a product in single precision, and vectors of one: with few, few pairs have one among them that single precision cannot tell from the target.
+TILE = 1 << 19
+COLUMNS = 2048
 # Pairs that a task looks up at a time.
 AT_ONCE = 4096
+# Pairs of a source that may lie in one group; those of a source with more are dealt to several.
+MOST_PAIRS = 1 << 16
+# Sources with more pairs than this have their similarities sorted once, instead of compared with the target of every pair.
+SORTED_FROM = 4
+# The largest relative error of rounding to single precision.
+HALF_ULP = 2.0**-24
 
 
 def hits_at_k(vectors: DataFrame, pairs: DataFrame, ks=(10, 100), by: tuple[str, ...] = ()) -> DataFrame:
@@ -48,22 +60,29 @@ def target_ranks(vectors: DataFrame, pairs: DataFrame, by: tuple[str, ...] = ())
     points = vectors.select(*by, "id", doubles(F.col("embedding")).alias("v"))
     asked = settle(pairs.select("src", "dst"))
     width = (points.agg(F.max(F.size("v"))).first()[0] or 0) + 4
-    each = points.select(*by).distinct()
-    groups = max(1, -(-LEAST_GROUPS // max(1, each.count() if by else 1)), -(-asked.count() * 8 * width // CHUNK_BYTES))
-    # both directions of an edge are in one group, which holds each of their vectors once
-    group = F.pmod(F.xxhash64(F.least("src", "dst"), F.greatest("src", "dst")), F.lit(groups)).cast("int")
+    each = settle(points.select(*by).distinct().withColumn("_e", F.row_number().over(W.orderBy(*by)) - 1)) if by else None  # few rows
+    n_each = max(1, each.count()) if by else 1
+    groups = max(1, -(-LEAST_GROUPS * (2 if n_each > 1 else 1) // n_each), -(-asked.count() * 8 * width // CHUNK_BYTES))
+    often = settle(asked.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / F.lit(MOST_PAIRS)).alias("_often")).where("_often > 1"))
+    part = F.pmod(F.xxhash64("dst"), F.coalesce("_often", F.lit(1)))
+    dealt_out = asked.join(often, "src", "left").select("src", "dst", F.pmod(F.xxhash64("src", part), F.lit(groups)).cast("int").alias("_q"))
     empty = F.lit(None).cast("array<double>")
-    of_all = asked.crossJoin(F.broadcast(each)) if by else asked  # a row for every value of `by`
-    questions = of_all.select(*by, group.alias("_q"), F.lit(0).alias("_kind"), F.col("src").alias("id"), "dst", empty.alias("v"))
+    of_all = dealt_out.crossJoin(F.broadcast(each)) if by else dealt_out.withColumn("_e", F.lit(0))  # a row for every value of `by`
+    place = (F.col("_e") * groups + F.col("_q")).cast("int").alias("_q")
+    questions = of_all.select(*by, place, F.lit(0).alias("_kind"), F.col("src").alias("id"), "dst", empty.alias("v"))
     # every group gets the vectors twice: to pick those of its pairs, and to compare
     kind = points.schema["id"].dataType
+    if by:
+        same = [F.col(f"p.{c}").eqNullSafe(F.col(f"e.{c}")) for c in by]
+        numbered = points.alias("p").join(F.broadcast(each.alias("e")), same).select(*[F.col(f"p.{c}") for c in by], "id", "v", "_e")
+    else:
+        numbered = points.withColumn("_e", F.lit(0))
     sent = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(q).alias("q")) for q in range(groups) for k in (1, 2)]))
-    told = points.select(*by, "id", "v", sent.alias("e")).select(
-        *by, F.col("e.q").alias("_q"), F.col("e.k").alias("_kind"), "id", F.lit(None).cast(asked.schema["dst"].dataType).alias("dst"), "v")
-    keys = [*by, "_q"]
-    dealt = questions.select(*keys, "_kind", F.col("id").cast(kind).alias("id"), F.col("dst").cast(kind).alias("dst"), "v").unionByName(
-        told.withColumn("dst", F.col("dst").cast(kind)))
-    dealt = dealt.repartition(shuffle_width(vectors.sparkSession), *keys).sortWithinPartitions(*keys, "_kind")
+    told = numbered.select(*by, "id", "v", "_e", sent.alias("e")).select(
+        *by, (F.col("_e") * groups + F.col("e.q")).cast("int").alias("_q"), F.col("e.k").alias("_kind"), "id", F.lit(None).cast(kind).alias("dst"), "v")
+    dealt = questions.select(*by, "_q", "_kind", F.col("id").cast(kind).alias("id"), F.col("dst").cast(kind).alias("dst"), "v").unionByName(told)
+    # a partition for every group
+    dealt = dealt.repartitionById(n_each * groups, F.col("_q")).sortWithinPartitions("_q", "_kind")
     schema = T.StructType([*[points.schema[c] for c in by], T.StructField("src", kind), T.StructField("dst", kind), T.StructField("above", T.LongType())])
     counted = dealt.mapInArrow(_ranks(len(by)), schema)
     return counted.groupBy(*by, "src", "dst").agg((F.sum("above") + 1).alias("rank"))
@@ -116,30 +135,145 @@ class _Group:
         if self.ready:
             return
         self.ready = True
-        ids = np.concatenate([i for i, _ in self.ends])
-        self.v = np.concatenate([v for _, v in self.ends])
-        self.ends = [(ids, self.v)]
+        ids, v = np.concatenate([i for i, _ in self.ends]), np.concatenate([v for _, v in self.ends])
+        self.ends = self.ends[:1]
         pairs = pa.concat_tables(self.pairs).to_pandas().dropna()
         spots = pd.DataFrame({"id": ids, "_s": np.arange(len(ids))})
         both = pairs.merge(spots, on="id").merge(spots.rename(columns={"id": "dst", "_s": "_t"}), on="dst")
-        both = both.sort_values("_s", kind="stable")
-        self.src, self.dst, self.at = both["id"].to_numpy(), both["dst"].to_numpy(), both["_s"].to_numpy()
+        self.pairs = self.pairs[:1]
+        # sources with most pairs come first, and the pairs of a source one after the other
+        spot, code, often = np.unique(both["_s"].to_numpy(), return_inverse=True, return_counts=True)
+        order = np.argsort(-often, kind="stable")
+        self.often = often[order]
+        self.first = np.concatenate([[0], np.cumsum(self.often)])
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        both = both.iloc[np.argsort(place[code], kind="stable")]
+        self.src, self.dst, to = both["id"].to_numpy(), both["dst"].to_numpy(), both["_t"].to_numpy()
+        self.at = np.repeat(np.arange(len(order)), self.often)
+        self.q = v[spot[order]]
         self.above = np.zeros(len(both), np.int64)
         self.target = np.zeros(len(both))
-        to = both["_t"].to_numpy()
         for a in range(0, len(both), AT_ONCE):
-            spot = slice(a, a + AT_ONCE)
-            self.target[spot] = np.round(np.einsum("ij,ij->i", self.v[self.at[spot]], self.v[to[spot]]), SIM_DIGITS)
+            part = slice(a, a + AT_ONCE)
+            self.target[part] = _rounded(self.q[self.at[part]], v[to[part]])
+        sound = v[np.isfinite(v).all(axis=1)]  # what is not a number is nearer than nothing
+        self.centre = sound.mean(axis=0) if len(sound) else np.zeros(v.shape[1])
+        # q.v = (q - c).(v - c) + c.(v - c) + q.c: where all vectors are alike, what tells them apart is not lost in rounding
+        away = self.q - self.centre
+        self.q32 = np.column_stack([away, np.ones(len(away))]).astype(np.float32)
+        self.length = np.sqrt(np.einsum("ij,ij->i", away, away))
+        # the first two terms above `limit`, which is a number, make a similarity that is rounded to more than the target
+        self.limit = self.target + 0.5 * 10.0**-SIM_DIGITS - (self.q @ self.centre)[self.at]
+        self.tile = np.empty(TILE + COLUMNS, np.float32)
+        # the pairs by the id of their source
+        self.by_id = np.argsort(self.src, kind="stable")
+        self.sorted_ids = self.src[self.by_id]
 
     def _count(self, rows: pa.Table) -> None:
+        if not len(self.src):
+            return
+        v = _matrix(rows.column("v"))
+        if not np.isfinite(v).all():  # what is not a number is above nothing; what is infinite has no bound
+            self._count_plainly(rows)
+            return
+        moved = v - self.centre
+        size = np.sqrt(np.einsum("ij,ij->i", moved, moved))
+        along = moved @ self.centre
+        # vectors at about the same distance from the centre share a bound
+        scale = np.frexp(size)[1] // 2
+        for s in np.unique(scale):
+            chosen = np.flatnonzero(scale == s)
+            self._count_near(v[chosen], moved[chosen], along[chosen], float(size[chosen].max()))
+        # the source itself does not count
+        column = rows.column("id").combine_chunks()
+        named = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+        ids = column.drop_null().to_numpy(zero_copy_only=False)
+        begin, end = np.searchsorted(self.sorted_ids, ids, "left"), np.searchsorted(self.sorted_ids, ids, "right")
+        for i in np.flatnonzero(end > begin):
+            own = self.by_id[begin[i] : end[i]]
+            x = np.broadcast_to(v[named[i]], (len(own), v.shape[1]))
+            self.above[own] -= _rounded(self.q[self.at[own]], x) > self.target[own]
+
+    def _count_near(self, v: np.ndarray, moved: np.ndarray, along: np.ndarray, size: float) -> None:
+        """Add the vectors `v` that are nearer than the targets; `moved` are the same around the centre, at most `size` long, and `along` their products with it."""
+        # rounding of both sides and of every step of the sum, of the limits, and of the double precision that the bound starts from
+        terms = size * self.length[self.at] + np.abs(along).max()
+        slack = HALF_ULP * (1.02 * (v.shape[1] + 6) * terms + 4 * np.abs(self.limit)) + 1e-13
+        low, high = (self.limit - slack).astype(np.float32), (self.limit + slack).astype(np.float32)
+        single = np.column_stack([moved, along]).astype(np.float32)
+        for at in range(0, len(v), COLUMNS):
+            self._count_tile(v[at : at + COLUMNS], single[at : at + COLUMNS], low, high)
+
+    def _count_tile(self, v: np.ndarray, single: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        n = len(v)
+        step = max(1, TILE // n)
+        for a in range(0, len(self.q), step):
+            b = min(a + step, len(self.q))
+            sims = np.matmul(self.q32[a:b], single.T, out=self.tile[: (b - a) * n].reshape(b - a, n))
+            # the sources with most pairs lead
+            many = a + int(np.searchsorted(-self.often[a:b], -SORTED_FROM, "left"))
+            lines = np.sort(sims[: many - a], axis=1).ravel()
+            for f in range(int(self.first[a]), int(self.first[many]), TILE):
+                pairs = np.arange(f, min(f + TILE, int(self.first[many])))
+                row = self.at[pairs] - a
+                found = _up_to(lines, row * n, n, high[pairs])
+                self.above[pairs] += n - found
+                close = np.flatnonzero((found > 0) & (lines[np.maximum(row * n + found - 1, 0)] > low[pairs]))
+                for c in range(0, len(close), step):
+                    some = close[c : c + step]
+                    self._settle(pairs[some], sims[row[some]], v, low, high)
+            for k in range(int(self.often[many]) if many < b else 0):
+                last = a + int(np.searchsorted(-self.often[a:b], -k, "left"))
+                pairs, some = self.first[many:last] + k, sims[many - a : last - a]
+                sure, maybe = _true(some > high[pairs, None]), _true(some > low[pairs, None])
+                self.above[pairs] += sure
+                close = np.flatnonzero(maybe > sure)
+                if len(close):
+                    self._settle(pairs[close], some[close], v, low, high)
+
+    def _settle(self, pairs: np.ndarray, sims: np.ndarray, v: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        """Add the vectors whose similarity single precision cannot tell from the targets of the pairs, a row each."""
+        row, col = np.nonzero((sims > low[pairs, None]) & (sims <= high[pairs, None]))
+        for a in range(0, len(row), 8 * AT_ONCE):
+            mine, other = pairs[row[a : a + 8 * AT_ONCE]], col[a : a + 8 * AT_ONCE]
+            nearer = _rounded(self.q[self.at[mine]], v[other]) > self.target[mine]
+            np.add.at(self.above, mine[nearer], 1)
+
+    def _count_plainly(self, rows: pa.Table) -> None:
         for a in range(0, len(self.src), AT_ONCE):
             spot = slice(a, a + AT_ONCE)
-            x = self.v[self.at[spot]]
+            x = self.q[self.at[spot]]
             sv = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
             queries = pa.table({"src": pa.array(self.src[spot], rows.schema.field("id").type), "sv": sv, "target": self.target[spot]})
             self.above[spot] += _count_above(queries, rows).column("above").to_numpy()
 
 
+def _rounded(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.round(np.einsum("ij,ij->i", a, b), SIM_DIGITS)
+
+
+def _up_to(lines: np.ndarray, begin: np.ndarray, n: int, most: np.ndarray) -> np.ndarray:
+    """How many of the `n` sorted numbers from each place of `begin` on are at most `most`."""
+    found = np.zeros(len(begin), np.int64)
+    for bit in reversed(range(n.bit_length())):
+        further = found + (1 << bit)
+        good = further <= n
+        good &= lines[begin + np.where(good, further, 1) - 1] <= most
+        found[good] = further[good]
+    return found
+
+
+def _true(mask: np.ndarray) -> np.ndarray:
+    """How many of each row are true; eight are added at a time."""
+    whole = mask.shape[1] // 8 * 8
+    found = mask[:, whole:].sum(axis=1)
+    words = np.ascontiguousarray(mask[:, :whole]).view(np.uint64)
+    for a in range(0, words.shape[1], 255):  # no byte overflows
+        found += words[:, a : a + 255].sum(axis=1).view(np.uint8).reshape(len(mask), 8).sum(axis=1, dtype=np.int64)
+    return found
+
+
 def _count_above(queries: pa.Table, corpus: pa.Table) -> pa.Table:
     """For every (src, ..., sv, target), how many of the vectors (id, v) are nearer than its target."""
     above = np.zeros(queries.num_rows, np.int64)
@@ -162,7 +296,7 @@ def _ranks(n_by: int):
         if group.ready and len(group.src):
             id_type = schema.field("id").type
             named = [pa.array([key[i]] * len(group.src), schema.field(i).type) for i in range(n_by)]
-            arrays = [*named, pa.array(group.src, id_type), pa.array(group.dst, id_type), pa.array(group.above)]
+            arrays = [*named, pa.array(group.src, id_type), pa.array(group.dst, id_type), pa.array(np.where(np.isfinite(group.limit), group.above, 0))]
             yield pa.RecordBatch.from_arrays(arrays, [*schema.names[:n_by], "src", "dst", "above"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
