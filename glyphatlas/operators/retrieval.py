@@ -234,7 +234,7 @@ class _Group:
 
     def _settle(self, pairs: np.ndarray, sims: np.ndarray, v: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
         """Add the vectors whose similarity single precision cannot tell from the targets of the pairs, a row each."""
-        row, col = np.nonzero((sims > low[pairs, None]) & (sims <= high[pairs, None]))
+        row, col = np.divmod(np.flatnonzero((sims > low[pairs, None]) & (sims <= high[pairs, None])), len(v))
         for a in range(0, len(row), 8 * AT_ONCE):
             mine, other = pairs[row[a : a + 8 * AT_ONCE]], col[a : a + 8 * AT_ONCE]
             nearer = _rounded(self.q[self.at[mine]], v[other]) > self.target[mine]
